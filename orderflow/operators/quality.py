@@ -76,15 +76,15 @@ def _row_conditions(today, null_date_is_invalid: bool) -> dict[str, Column]:
     }
 
 
-def _reason_list(conditions: dict[str, Column]) -> Column:
-    return F.array_compact(
-        F.array(*[F.when(conditions[r], F.lit(r)) for r in ROW_REASONS if r in conditions])
-    )
-
-
 def _with_reasons(orders: DataFrame, conditions: dict[str, Column]) -> DataFrame:
-    tagged = orders.withColumn(REASONS, _reason_list(conditions))
-    return tagged.withColumn(REASON, F.get(F.col(REASONS), F.lit(0)))
+    """Append the reasons. Blanks are removed by value rather than by a lambda, which would take
+    the projection out of generated code."""
+    applicable = [reason for reason in ROW_REASONS if reason in conditions]
+    slots = [F.when(conditions[r], F.lit(r)).otherwise(F.lit("")) for r in applicable]
+    first = F.coalesce(*[F.when(conditions[r], F.lit(r)) for r in applicable])
+    return orders.withColumns(
+        {REASONS: F.array_remove(F.array(*slots), ""), REASON: first}
+    )
 
 
 def invalid_order(today=None) -> Column:

@@ -38,20 +38,22 @@ def changed_rows(
 ) -> DataFrame:
     """Updates that would change the table, with the date each replaced row stood under.
 
-    Only four narrow columns of the target take part, which keeps the shuffle small next to the
-    table; ``upsert_dates`` then rewrites just the dates this touches.
+    Of the target only the key, date, time and hash bytes take part, and they are first reduced to
+    the keys being updated: a batch small enough to broadcast leaves the target unshuffled.
+    ``rows_of_dates`` then rewrites just the dates this touches.
     """
     held = target.select(
-        F.col(key).alias("_key"),
+        key,
         F.col(date).alias("replaced_date"),
         F.col("source_update_ts").alias("_ts"),
-        F.col("record_hash").alias("_hash"),
+        F.unhex("record_hash").alias("_hash"),
     )
+    matched = held.join(updates.select(key), key, "left_semi").withColumnRenamed(key, "_key")
     wins = F.col("_key").isNull() | _wins(
-        F.col("source_update_ts"), F.col("_ts"), F.col("record_hash"), F.col("_hash")
+        F.col("source_update_ts"), F.col("_ts"), F.unhex("record_hash"), F.col("_hash")
     )
     return (
-        updates.join(held, F.col(key) == F.col("_key"), "left")
+        updates.join(matched, F.col(key) == F.col("_key"), "left")
         .filter(wins)
         .drop("_key", "_ts", "_hash")
     )

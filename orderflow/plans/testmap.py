@@ -38,13 +38,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return apply_settings(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a small input as many tasks as there are cores.
+
+    The supplied files hold one row group each, so a scan is one task whatever its size. A table
+    with at least as many splits as cores, which is every large one, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def _every(n: int, key: str) -> Column:
     return F.col(key) % n == 0
 
 
 def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item; ids repeat naturally."""
-    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    lines = _spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    orders = table(spark, sf_dir, "orders")
     status = F.when(F.col("o_orderstatus") == "F", "completed").when(
         F.col("o_orderstatus") == "O", "cancelled"
     )
@@ -249,7 +260,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("invalid_status"), (F.col("k") % 7).cast("bigint"),
         F.lit("unknown_customer_id"), F.col("event_id") % 13,
     )
-    events = table(spark, sf_dir, "events").withColumns({"k": k, "metric_name": metric})
+    events = _spread(table(spark, sf_dir, "events"), "event_id").withColumns({"k": k, "metric_name": metric})
     status = (
         F.when(F.col("k") % 40 == 7, F.lit(None))
         .when(F.col("k") % 10 == 0, "failed")

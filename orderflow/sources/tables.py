@@ -125,7 +125,7 @@ def publish_upsert(
     if not spark.catalog.tableExists(table):
         return "created", publish_table(updates, table, [date])
     target = spark.table(table)
-    changes = stage(merging.changed_rows(target, updates, key, date))
+    changes = stage(merging.changed_rows(target, stage(updates), key, date))
     dates = stage(merging.touched_dates(changes, date))
     touched = _days(dates, date)
     if not touched:
