@@ -32,20 +32,22 @@ def affected_dates(*frames: DataFrame, date: str = "order_date") -> DataFrame:
     return reduce(DataFrame.unionByName, days).filter(F.col(date).isNotNull()).distinct()
 
 
+def _listed(dates: DataFrame, date: str) -> DataFrame:
+    """Broadcast form of the dates: distinct calendar days only, at most 3.7 million of them."""
+    return F.broadcast(dates.select(date).distinct())
+
+
+def _require_listed(rows: DataFrame, dates: DataFrame, date: str = "order_date") -> DataFrame:
+    """The rows unchanged; the query fails when one of them lies outside the dates."""
+    marked = rows.join(_listed(dates, date).withColumn("_listed", F.lit(True)), date, "left")
+    outside = F.raise_error(F.lit("a new row lies outside the dates to replace")).cast("date")
+    checked = F.when(F.col("_listed"), F.col(date)).otherwise(outside)
+    return marked.withColumn(date, checked).select(*rows.columns)
+
+
 def replace_dates(
     existing: DataFrame, new_rows: DataFrame, dates: DataFrame, date: str = "order_date"
 ) -> DataFrame:
-    """The table with the listed dates replaced by ``new_rows``; all other dates are kept.
-
-    New rows outside the listed dates are an error, so nothing is written beside the plan. The
-    broadcast side holds distinct calendar days only, at most 3.7 million of them.
-    """
-    listed = F.broadcast(dates.select(date).distinct())
-    kept = existing.join(listed, date, "left_anti")
-    checked = new_rows.join(listed.withColumn("_listed", F.lit(True)), date, "left").withColumn(
-        date,
-        F.when(F.col("_listed"), F.col(date)).otherwise(
-            F.raise_error(F.lit("a new row lies outside the dates to replace")).cast("date")
-        ),
-    )
-    return kept.unionByName(checked.select(*existing.columns))
+    """The table with the listed dates replaced by ``new_rows``; all other dates are kept."""
+    kept = existing.join(_listed(dates, date), date, "left_anti")
+    return kept.unionByName(_require_listed(new_rows, dates, date).select(*existing.columns))

@@ -36,7 +36,8 @@ def upsert(target: DataFrame, updates: DataFrame, key: str = "order_id") -> Data
 def changed_rows(
     target: DataFrame, updates: DataFrame, key: str = "order_id", date: str = "order_date"
 ) -> DataFrame:
-    """Updates that would change the table, with the date each replaced row stood under.
+    """Updates that would change the table, with the date the row stood under before (for a new
+    row its own date).
 
     Of the target only the key, date, time and hash bytes take part, and they are first reduced to
     the keys being updated: a batch small enough to broadcast leaves the target unshuffled.
@@ -55,28 +56,33 @@ def changed_rows(
     return (
         updates.join(matched, F.col(key) == F.col("_key"), "left")
         .filter(wins)
+        .withColumn(
+            "replaced_date", F.when(F.col("_key").isNull(), F.col(date)).otherwise(F.col("replaced_date"))
+        )
         .drop("_key", "_ts", "_hash")
     )
 
 
 def touched_dates(changes: DataFrame, date: str = "order_date") -> DataFrame:
-    """Old and new dates of every changed row: the partitions a merge has to rewrite."""
-    both = changes.select(F.explode(F.array(F.col("replaced_date"), F.col(date))).alias(date))
-    return both.filter(F.col(date).isNotNull()).distinct()
+    """Old and new dates of every changed row: the partitions a merge has to rewrite. NULL stands
+    for the rows without a readable date, which share one partition."""
+    both = F.array(F.col("replaced_date"), F.col(date))
+    return changes.select(F.explode(both).alias(date)).distinct()
 
 
 def rows_of_dates(
     target: DataFrame, changes: DataFrame, dates: DataFrame, key: str = "order_id",
     date: str = "order_date",
 ) -> DataFrame:
-    """New content of the touched partitions; the semi join prunes the scan to those dates.
+    """New content of the touched partitions.
 
     The broadcast is of distinct calendar days, of which a DATE column holds at most 3.7 million.
     """
-    kept = target.join(F.broadcast(dates), date, "left_semi").join(
-        changes.select(key), key, "left_anti"
+    listed = F.broadcast(dates.select(F.col(date).alias("_listed")))
+    kept = target.join(listed, F.col(date).eqNullSafe(F.col("_listed")), "left_semi")
+    return kept.join(changes.select(key), key, "left_anti").unionByName(
+        changes.select(*target.columns)
     )
-    return kept.unionByName(changes.select(*target.columns))
 
 
 def upsert_unconditional(target: DataFrame, updates: DataFrame, key: str = "order_id") -> DataFrame:

@@ -123,7 +123,8 @@ ORDER_UPDATES = ",\n".join(
 )
 ORDER_MERGE = ORDERS_FIRST + ",\n" + ORDER_UPDATES + """,
 winners AS (
-  SELECT u.*, t.order_date AS replaced_date
+  SELECT u.*,
+         CASE WHEN t.order_id IS NULL THEN u.order_date ELSE t.order_date END AS replaced_date
   FROM updates u LEFT JOIN target t ON u.order_id = t.order_id
   WHERE t.order_id IS NULL
      OR (u.source_update_ts >= t.source_update_ts AND u.record_hash <> t.record_hash))"""
@@ -447,8 +448,7 @@ SELECT {_out(_ORDER_TABLE)} FROM target WHERE order_id NOT IN (SELECT order_id F
     + f"SELECT {_out(['order_id', 'order_date', 'replaced_date', 'record_hash'])} FROM winners",
     "orders_upsert_dates": _with(ORDER_MERGE)
     + """SELECT DISTINCT CAST(d AS VARCHAR) AS order_date FROM (
-  SELECT order_date AS d FROM winners UNION ALL SELECT replaced_date FROM winners)
-WHERE d IS NOT NULL""",
+  SELECT order_date AS d FROM winners UNION ALL SELECT replaced_date FROM winners)""",
     "orders_upsert_unconditional": _with(ORDERS_FIRST, ORDER_UPDATES)
     + f"""SELECT {_out(_ORDER_TABLE)} FROM target
 WHERE order_id NOT IN (SELECT order_id FROM updates)

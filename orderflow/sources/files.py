@@ -12,16 +12,19 @@ def read_csv(
 ) -> DataFrame:
     """Read a CSV feed with a header row.
 
-    With a contract there is no inference pass: values that do not fit become NULL, and the line
-    they came from is kept in ``_corrupt_record``. Without one the types are inferred, which is
-    how the raw contract is checked.
+    With a contract there is no inference pass over the data: the header alone is looked at, so
+    that columns may come in any order and extra ones (an update time) are kept as text. Values
+    that do not fit become NULL and their line is kept in ``_corrupt_record``. Without a contract
+    the types are inferred, which is how the raw contract is checked.
     """
     reader = spark.read.option("header", True)
     if contract is None:
         return reader.option("inferSchema", True).csv(path)
-    schema = T.StructType(contract.fields + [T.StructField(CORRUPT_RECORD, T.StringType())])
+    types = {field.name: field.dataType for field in contract.fields}
+    header = reader.csv(path).columns
+    fields = [T.StructField(name, types.get(name, T.StringType())) for name in header]
     return (
-        reader.schema(schema)
+        reader.schema(T.StructType(fields + [T.StructField(CORRUPT_RECORD, T.StringType())]))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
         .csv(path)

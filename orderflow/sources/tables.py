@@ -9,12 +9,14 @@ is a second statement; should a run die in between, running it again completes t
 from __future__ import annotations
 
 import uuid
+from datetime import date as calendar_day
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from orderflow.operators import upsert as merging
+from orderflow.operators import scd2, upsert as merging, versions
 from orderflow.operators.audit import OPERATIONS_LOG
-from orderflow.operators.versions import without_key
+from orderflow.schemas import DIMENSION_METADATA_COLUMNS, INGESTION_COLUMNS
 from orderflow.sources.staging import stage
 
 
@@ -31,22 +33,32 @@ def _laid_out(df: DataFrame, partition_by: list[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(name) for name in partition_by]) if partition_by else df
 
 
-def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def observed_rows(seen: Observation) -> int:
+    """Rows of a finished write, for row accounting only. AQE removes the observing node together
+    with an input it finds empty, and then there is no metric to read."""
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError:
+        return 0
+
+
 def publish_table(df: DataFrame, table: str, partition_by: list[str] | None = None) -> int:
     """Create a table or replace all of it, schema included; returns the rows written.
 
-    Spark refuses a frame that reads the table it replaces: use ``switch_table`` for that.
+    Spark refuses a frame that reads the table it replaces: use ``switch_table`` or
+    ``publish_all_dates``, which also keep the old content until the new one is complete.
     """
-    counted, seen = _observed(df)
+    counted, seen = observed(df)
     writer = _laid_out(counted, partition_by or []).write.format("parquet").mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.option("partitionOverwriteMode", "static").saveAsTable(table)
-    return seen.get["rows"]
+    writer.saveAsTable(table)
+    return observed_rows(seen)
 
 
 def switch_table(df: DataFrame, table: str) -> int:
@@ -61,32 +73,55 @@ def switch_table(df: DataFrame, table: str) -> int:
         return publish_table(df, table)
     root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     path = f"{root}/{table.replace('.', '/')}-{uuid.uuid4().hex}"
-    counted, seen = _observed(df.select(*spark.table(table).columns))
+    counted, seen = observed(df.select(*spark.table(table).columns))
     counted.write.parquet(path)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     spark.catalog.refreshTable(table)
-    return seen.get["rows"]
+    return observed_rows(seen)
 
 
-def _drop_dates(spark: SparkSession, table: str, dates: list, date: str) -> None:
+def _drop_dates(spark: SparkSession, table: str, dates: set, date: str) -> None:
     if dates:
-        clauses = ", ".join(f"PARTITION ({date} = DATE '{day.isoformat()}')" for day in dates)
+        values = [f"DATE '{day.isoformat()}'" if day else "NULL" for day in dates]
+        clauses = ", ".join(f"PARTITION ({date} = {value})" for value in values)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {clauses}")
 
 
 def _days(df: DataFrame, date: str) -> set:
     """Distinct days as driver values, for partition statements only; bounded by the calendar."""
-    return {row[0] for row in df.select(date).distinct().collect() if row[0] is not None}
+    return {row[0] for row in df.select(date).distinct().collect()}
+
+
+def _stored_days(spark: SparkSession, table: str, date: str) -> set:
+    """Days a table has partitions for, from the catalog; None for the partition of NULL."""
+    names = [row[0].partition("=")[2] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    return {None if name.startswith("__") else calendar_day.fromisoformat(name) for name in names}
+
 
+def _replace_days(df: DataFrame, table: str, date: str, listed: set) -> int:
+    """Swap in the days the rows have and drop the listed days they no longer have.
 
-def _overwrite_dates(df: DataFrame, table: str, date: str) -> int:
+    The days are found by a query of their own, for which Spark reads little more than the date:
+    what may be dropped must not depend on a metric that a write happens to report.
+    """
     spark = df.sparkSession
-    stored = spark.table(table).columns
-    counted, seen = _observed(df.select(*stored))
-    _laid_out(counted, [date]).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).insertInto(table)
-    return seen.get["rows"]
+    present = _days(df, date)
+    outside = sorted(str(day) for day in present - listed)
+    if outside:
+        raise ValueError(f"rows outside the dates to replace in {table}: {outside[:5]}")
+    counted, seen = observed(df.select(*spark.table(table).columns))
+    if present:
+        _laid_out(counted, [date]).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).insertInto(table)
+    _drop_dates(spark, table, listed - present, date)
+    return observed_rows(seen) if present else 0
+
+
+def _require_partitioning(spark: SparkSession, table: str, date: str) -> None:
+    found = partition_columns(spark, table)
+    if found != [date]:
+        raise PartitioningMismatch(f"{table} is partitioned by {found}, not by ['{date}']")
 
 
 def publish_dates(
@@ -96,48 +131,69 @@ def publish_dates(
 
     Returns the outcome (``skipped``, ``created`` or ``replaced_partitions``) and the rows written.
     A table with other partition columns is refused, because rewriting it from a window of rows
-    would lose all other dates.
+    would lose all other dates; so is a row outside the listed dates.
     """
     spark = df.sparkSession
-    listed = _days(dates, date)
+    listed = _days(dates, date) - {None}
     if not listed:
         return "skipped", 0
     if not spark.catalog.tableExists(table):
         return "created", publish_table(df, table, [date])
-    found = partition_columns(spark, table)
-    if found != [date]:
-        raise PartitioningMismatch(f"{table} is partitioned by {found}, not by ['{date}']")
-    staged = stage(df)
-    written = _days(staged, date)
-    outside = sorted(day.isoformat() for day in written - listed)
-    if outside:
-        raise ValueError(f"rows outside the dates to replace in {table}: {outside[:5]}")
-    rows = _overwrite_dates(staged, table, date) if written else 0
-    _drop_dates(spark, table, sorted(listed - written), date)
-    return "replaced_partitions", rows
+    _require_partitioning(spark, table, date)
+    return "replaced_partitions", _replace_days(df, table, date, listed)
+
+
+def publish_all_dates(df: DataFrame, table: str, date: str = "order_date") -> int:
+    """Replace every date of a table; the old content stays until the new one is written.
+
+    A table whose columns differ is created anew with the frame's schema.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table) or set(spark.table(table).columns) != set(df.columns):
+        return publish_table(df, table, [date])
+    _require_partitioning(spark, table, date)
+    return _replace_days(df, table, date, _stored_days(spark, table, date) | _days(df, date))
 
 
 def publish_upsert(
     updates: DataFrame, table: str, key: str = "order_id", date: str = "order_date"
 ) -> tuple[str, int]:
-    """Merge prepared updates into a date-partitioned table, rewriting only the dates they touch."""
+    """Merge prepared updates into a date-partitioned table, rewriting only the dates they touch.
+
+    Returns ``created``, ``migrated`` (the table had no metadata columns yet) or ``merged``, and
+    the rows written.
+    """
     spark = updates.sparkSession
     if not spark.catalog.tableExists(table):
         return "created", publish_table(updates, table, [date])
     target = spark.table(table)
+    if versions.lacks_metadata(target, INGESTION_COLUMNS):
+        migrated = stage(versions.migrate_orders(target, updates))
+        return "migrated", publish_table(migrated, table, [date])
     changes = stage(merging.changed_rows(target, stage(updates), key, date))
     dates = stage(merging.touched_dates(changes, date))
     touched = _days(dates, date)
     if not touched:
         return "merged", 0
-    narrow = target.select(key, date).join(F.broadcast(dates), date, "left_semi")
-    remaining = narrow.join(changes.select(key), key, "left_anti").select(date)
-    kept = _days(remaining.unionByName(changes.select(date)), date)
-    rows = _overwrite_dates(
-        merging.rows_of_dates(target, changes, dates, key, date), table, date
-    )
-    _drop_dates(spark, table, sorted(touched - kept), date)
-    return "merged", rows
+    # A literal list lets the scan skip all other partitions while it is planned.
+    named = F.col(date).isin(*[day for day in touched if day])
+    pruned = target.filter(named | F.col(date).isNull() if None in touched else named)
+    content = merging.rows_of_dates(pruned, changes, dates, key, date)
+    return "merged", _replace_days(content, table, date, touched)
+
+
+def publish_dimension(
+    updates: DataFrame, table: str, key: str, business_columns: list[str], guard: bool = True
+) -> tuple[str, int]:
+    """Merge prepared versions into a type 2 dimension; outcomes as for ``publish_upsert``."""
+    spark = updates.sparkSession
+    if not spark.catalog.tableExists(table):
+        return "created", publish_table(updates, table)
+    target = spark.table(table)
+    if versions.lacks_metadata(target, DIMENSION_METADATA_COLUMNS):
+        migrated = versions.migrate_dimension(target, updates, key, business_columns)
+        return "migrated", publish_table(stage(migrated), table)
+    return "merged", switch_table(scd2.scd2_merge(target, updates, key, guard), table)
 
 
 def publish_unkeyed(normalized: DataFrame, table: str, batch: str, key: str = "order_id") -> int:
@@ -146,14 +202,14 @@ def publish_unkeyed(normalized: DataFrame, table: str, batch: str, key: str = "o
     All of them are kept, and replaying a batch replaces its own partition only.
     """
     spark = normalized.sparkSession
-    counted, seen = _observed(without_key(normalized, key).withColumn("batch", F.lit(batch)))
+    counted, seen = observed(versions.without_key(normalized, key).withColumn("batch", F.lit(batch)))
     if not spark.catalog.tableExists(table):
         counted.write.format("parquet").partitionBy("batch").saveAsTable(table)
     else:
         counted.select(*spark.table(table).columns).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).insertInto(table)
-    return seen.get["rows"]
+    return observed_rows(seen)
 
 
 def log_operation(
