@@ -161,23 +161,27 @@ def _positive_counts(predicate: Callable[[str], Column]) -> Column:
     return F.map_filter(F.create_map(*entries), lambda _, rows: rows > 0)
 
 
-def summary(tagged: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
-    """One row with all counts, in a single pass with partial aggregation."""
+def summary(
+    tagged: DataFrame, threshold: float = DEFAULT_THRESHOLD, total_rows: int | None = None
+) -> DataFrame:
+    """One row with all counts, in a single pass with partial aggregation.
+
+    Where the number of all rows is known, ``tagged`` may hold just the quarantined ones.
+    """
     counts = tagged.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(F.col(REASON).isNull()).alias("valid_rows"),
+        F.count(F.lit(1)).alias("_rows"),
         F.count_if(F.col(REASON).isNotNull()).alias("invalid_rows"),
         _positive_counts(lambda reason: F.col(REASON) == reason).alias("quarantine_reason_counts"),
         _positive_counts(lambda reason: F.array_contains(F.col(REASONS), reason)).alias(
             "all_quarantine_reason_counts"
         ),
     )
-    share = F.when(
-        F.col("total_rows") > 0, F.round(F.col("invalid_rows") / F.col("total_rows") * 100, 2)
-    ).otherwise(F.lit(0.0))
+    total = F.col("_rows") if total_rows is None else F.lit(total_rows).cast("bigint")
+    invalid = F.col("invalid_rows")
+    share = F.when(total > 0, F.round(invalid / total * 100, 2)).otherwise(F.lit(0.0))
     return counts.select(
-        "total_rows",
-        "valid_rows",
+        total.alias("total_rows"),
+        (total - invalid).alias("valid_rows"),
         "invalid_rows",
         share.alias("invalid_percentage"),
         F.lit(float(threshold)).alias("invalid_percentage_threshold"),

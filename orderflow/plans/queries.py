@@ -115,14 +115,14 @@ def orders_upsert(spark, d):
 @_query
 def orders_changed_rows(spark, d):
     """What a merge would change; the publishing path rewrites only these rows' dates."""
-    changes = upsert.changed_rows(tm.first_orders(spark, d), tm.order_updates(spark, d))
+    changes = upsert.changed_rows(tm.first_orders(spark, d), stage(tm.order_updates(spark, d)))
     return changes.select("order_id", "order_date", "replaced_date", "record_hash")
 
 
 @_query
 def orders_upsert_dates(spark, d):
     return upsert.touched_dates(
-        upsert.changed_rows(tm.first_orders(spark, d), tm.order_updates(spark, d))
+        upsert.changed_rows(tm.first_orders(spark, d), stage(tm.order_updates(spark, d)))
     )
 
 
@@ -286,6 +286,11 @@ def _silver(spark, d):
     return clean.silver_orders(tm.orders_feed(spark, d))
 
 
+def _stored_silver(spark, d):
+    """Silver as a stored table, for reports that read it more than once."""
+    return stage(_silver(spark, d))
+
+
 def _current_dimensions(spark, d):
     return (
         clean.clean_customers(tm.customers_feed(spark, d)),
@@ -317,14 +322,14 @@ def gold_revenue_unmatched(spark, d):
 @_query
 def gold_revenue_as_of(spark, d):
     return gold.revenue_as_of(
-        _silver(spark, d), tm.customer_history(spark, d), tm.product_history(spark, d)
+        _stored_silver(spark, d), tm.customer_history(spark, d), tm.product_history(spark, d)
     )
 
 
 @_query
 def orders_as_of_country(spark, d):
     joined = scd2.as_of_join(
-        _silver(spark, d), tm.customer_history(spark, d), "customer_id", "order_date", ["country"]
+        _stored_silver(spark, d), tm.customer_history(spark, d), "customer_id", "order_date", ["country"]
     )
     return joined.select("order_id", "customer_id", "order_date", "total_amount", "country")
 
@@ -373,9 +378,9 @@ def affected_dates(spark, d):
 @_query
 def replace_partitions(spark, d):
     """Gold with the window's dates rebuilt from updated orders; emptied dates disappear."""
-    before = gold.daily_sales(_silver(spark, d))
+    before = stage(gold.daily_sales(_silver(spark, d)))
     updates = backfill.in_window(clean.silver_orders(tm.order_updates(spark, d)), *WINDOW)
-    after = gold.daily_sales(updates.filter(F.dayofweek("order_date") != 1))
+    after = stage(gold.daily_sales(updates.filter(F.dayofweek("order_date") != 1)))
     days = backfill.affected_dates(backfill.in_window(before, *WINDOW), after)
     return backfill.replace_dates(before, after, days)
 

@@ -162,17 +162,18 @@ def validate_orders(
     if lake.has("orders_unkeyed"):
         bronze = bronze.unionByName(lake.table("orders_unkeyed").drop("batch"))
     orders = lake.windowed(bronze)
-    tagged = stage(
-        quality.tag_reasons(
-            orders, today,
-            lake.table("customers_bronze").select("customer_id"),
-            lake.table("products_bronze").select("product_id"),
-        )
+    tagged = quality.tag_reasons(
+        orders, today,
+        lake.table("customers_bronze").select("customer_id"),
+        lake.table("products_bronze").select("product_id"),
     )
-    summary = stage(quality.summary(tagged, threshold))
-    days = _days(lake, tagged, "orders_validated", "orders_quarantine")
+    # Only the small invalid part is staged. The valid part is tagged again while it is written,
+    # which costs a scan; staging it would write the whole feed a second time.
+    quarantined = stage(quality.quarantined_rows(tagged))
+    summary = stage(quality.summary(quarantined, threshold, total_rows=orders.count()))
+    days = _days(lake, orders, "orders_validated", "orders_quarantine")
     valid_mode = _replace(lake, quality.valid_rows(tagged), "orders_validated", days)
-    _replace(lake, quality.quarantined_rows(tagged), "orders_quarantine", days)
+    _replace(lake, quarantined, "orders_quarantine", days)
     if summary_path:
         tables.write_document(quality.summary_document(summary, orders), summary_path)
     row = summary.collect()[0].asDict()

@@ -12,7 +12,25 @@ SESSION_SETTINGS = {
 }
 
 
-def build_session(app_name: str, master: str | None = None, extra: dict | None = None) -> SparkSession:
+def sized_settings(shuffle_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a run whose largest shuffle moves about the given number of bytes.
+
+    AQE merges shuffle partitions but never adds any, so the first count has to suit the largest
+    shuffle; 128 MB each leaves room for sorting within an executor core's share of memory.
+    """
+    partition_bytes = 128 * 1024 * 1024
+    partitions = max(cores, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(2 * partition_bytes),
+    }
+
+
+def build_session(
+    app_name: str, master: str | None = None, extra: dict | None = None
+) -> SparkSession:
+    """A session with the required settings and the given ones, e.g. ``sized_settings``."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

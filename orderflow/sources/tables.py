@@ -98,14 +98,16 @@ def _stored_days(spark: SparkSession, table: str, date: str) -> set:
     return {None if name.startswith("__") else calendar_day.fromisoformat(name) for name in names}
 
 
-def _replace_days(df: DataFrame, table: str, date: str, listed: set) -> int:
-    """Swap in the days the rows have and drop the listed days they no longer have.
+def _replace_days(df: DataFrame, table: str, date: str, listed: set | None = None) -> int:
+    """Swap in the days the rows have and drop the listed days (by default all) they have no more.
 
     The days are found by a query of their own, for which Spark reads little more than the date:
     what may be dropped must not depend on a metric that a write happens to report.
     """
     spark = df.sparkSession
     present = _days(df, date)
+    if listed is None:
+        listed = _stored_days(spark, table, date) | present
     outside = sorted(str(day) for day in present - listed)
     if outside:
         raise ValueError(f"rows outside the dates to replace in {table}: {outside[:5]}")
@@ -152,7 +154,7 @@ def publish_all_dates(df: DataFrame, table: str, date: str = "order_date") -> in
     if not spark.catalog.tableExists(table) or set(spark.table(table).columns) != set(df.columns):
         return publish_table(df, table, [date])
     _require_partitioning(spark, table, date)
-    return _replace_days(df, table, date, _stored_days(spark, table, date) | _days(df, date))
+    return _replace_days(df, table, date)
 
 
 def publish_upsert(

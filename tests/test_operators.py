@@ -255,6 +255,8 @@ def test_seven_row_validation(orders_frame):
         "future_order_date": 1, "duplicate_order_id": 2,
     }
     assert quality.valid_rows(tagged).columns == schemas.ORDER_COLUMNS
+    part = quality.summary(quality.quarantined_rows(tagged), threshold=90, total_rows=7)
+    assert part.collect()[0] == row
     assert {r.quarantine_reason: r.rows for r in quality.first_reason_counts(tagged).collect()} == (
         row.quarantine_reason_counts
     )
@@ -470,3 +472,11 @@ def test_operation_coverage(spark):
 def test_unreadable_dates_are_null(spark):
     df = spark.createDataFrame([("2026-02-30",), ("2026-01-05",)], "d string")
     assert [r[0] for r in df.select(as_date("d")).collect()] == [None, date(2026, 1, 5)]
+
+
+def test_sized_settings():
+    from orderflow.session import sized_settings
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert sized_settings(10**12, 4000)[key] == "7451"
+    assert sized_settings(10**6, 64)[key] == "64"

@@ -96,6 +96,14 @@ def test_small_batches_leave_the_target_unshuffled(spark, orders_frame):
     assert changes.count() == 1
 
 
+SMALL_PARTITIONS = {
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20KB",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "1.5",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "20KB",
+    "spark__sql__adaptive__coalescePartitions__enabled": "false",
+    "spark__sql__shuffle__partitions": "16",
+    "spark__sql__files__maxPartitionBytes": "50KB",
+}
 HOT = 7
 
 
@@ -120,15 +128,7 @@ def test_hot_keys_are_split_in_validation(spark, skewed):
     customers = spark.range(5000).filter("id % 2 = 0 AND id != 7").select(
         F.col("id").cast("int").alias("customer_id"))
     products = spark.range(450).filter("id != 7").select(F.col("id").cast("int").alias("product_id"))
-    with settings(
-        spark, **NO_BROADCAST,
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
-        spark__sql__adaptive__coalescePartitions__enabled="false",
-        spark__sql__shuffle__partitions="16",
-        spark__sql__files__maxPartitionBytes="50KB",
-    ):
+    with settings(spark, **NO_BROADCAST, **SMALL_PARTITIONS):
         tagged = quality.tag_reasons(skewed, "2026-12-31", customers, products)
         assert "skew=true" in plan_of(tagged, final=True)
         got = {r[0]: r[1] for r in tagged.groupBy(
@@ -157,9 +157,10 @@ def test_reports_shrink_hot_customers_before_the_join(spark, skewed):
     products = stage(spark.range(900).select(
         F.col("id").cast("int").alias("product_id"),
         F.concat(F.lit("p"), F.col("id") % 3).alias("category")))
-    with settings(spark, **NO_BROADCAST):
+    with settings(spark, **NO_BROADCAST, **SMALL_PARTITIONS):
         report = gold.revenue_by_category_country(silver, customers, products)
-        plan = plan_of(report)
+        assert "skew=true" in plan_of(report, final=True), "the hot product is split"
+        plan = plan_of(gold.revenue_by_category_country(silver, customers, products))
         got = {
             (r.order_date, r.country, r.category): (r.total_orders, r.unique_customers, r.revenue)
             for r in report.collect()
