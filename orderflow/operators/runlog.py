@@ -258,8 +258,8 @@ def record_gauges(log: DataFrame) -> DataFrame:
     }
     gauges = F.lit(None)
     for metric_name, values in by_type.items():
-        gauges = F.when(_is(metric_name), F.array_compact(F.array(*values))).otherwise(gauges)
-    return log.select(F.inline(gauges))
+        gauges = F.when(_is(metric_name), F.array(*values)).otherwise(gauges)
+    return log.select(F.inline(gauges)).filter(F.col("gauge").isNotNull())
 
 
 def latest_gauges(log: DataFrame) -> DataFrame:

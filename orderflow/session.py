@@ -6,10 +6,7 @@ from pyspark.sql import SparkSession
 
 # Dates and hashes are rendered as text in places, so the zone must not vary by machine.
 # Everything else (AQE, skew-join splitting, partition coalescing) is Spark's default.
-SESSION_SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-}
+SESSION_SETTINGS = {"spark.sql.session.timeZone": "UTC"}
 
 
 def sized_settings(shuffle_bytes: int, cores: int) -> dict[str, str]:

@@ -27,9 +27,11 @@ def stage(df: DataFrame) -> DataFrame:
     """Write a frame to the work folder and read it back (runs a job).
 
     The copy survives the loss of any executor, cuts lineage, and has a file size the planner
-    knows, so a later join broadcasts it only when it really is small.
+    knows, so a later join broadcasts it only when it really is small. Copies are grouped by
+    application, so the storage's retention can drop those of finished ones.
     """
     spark = df.sparkSession
-    path = f"{work_root(spark)}/orderflow/{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    path = f"{work_root(spark)}/orderflow/{application}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ is a second statement; should a run die in between, running it again completes t
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from datetime import date as calendar_day
 
 from py4j.protocol import Py4JJavaError
@@ -24,8 +25,13 @@ class PartitioningMismatch(ValueError):
     """The stored table is not partitioned the way a partition replacement needs."""
 
 
-def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+def partition_columns(spark: SparkSession, name_or_path: str) -> list[str]:
+    """Partition columns of a catalog table, or of a folder from the directory names in it."""
+    if "/" not in name_or_path:
+        return [c.name for c in spark.catalog.listColumns(name_or_path) if c.isPartition]
+    files = spark.read.parquet(name_or_path).select("_metadata.file_path").limit(1).collect()
+    below = files[0][0].split(name_or_path.rstrip("/"), 1)[1] if files else ""
+    return [part.split("=", 1)[0] for part in below.split("/") if "=" in part]
 
 
 def _laid_out(df: DataFrame, partition_by: list[str]) -> DataFrame:
@@ -113,13 +119,25 @@ def _replace_days(df: DataFrame, table: str, date: str, listed: set | None = Non
         raise ValueError(f"rows outside the dates to replace in {table}: {outside[:5]}")
     counted, seen = observed(df.select(*spark.table(table).columns))
     if present:
-        _laid_out(counted, [date]).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).insertInto(table)
+        with _dynamic_overwrite(spark):
+            _laid_out(counted, [date]).write.mode("overwrite").insertInto(table)
     _drop_dates(spark, table, listed - present, date)
     return observed_rows(seen) if present else 0
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """Only the session setting counts for ``insertInto``; the writer's option is ignored there and
+    the whole table would be emptied."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _require_partitioning(spark: SparkSession, table: str, date: str) -> None:
     found = partition_columns(spark, table)
     if found != [date]:
@@ -208,9 +226,8 @@ def publish_unkeyed(normalized: DataFrame, table: str, batch: str, key: str = "o
     if not spark.catalog.tableExists(table):
         counted.write.format("parquet").partitionBy("batch").saveAsTable(table)
     else:
-        counted.select(*spark.table(table).columns).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).insertInto(table)
+        with _dynamic_overwrite(spark):
+            counted.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
     return observed_rows(seen)
 
 

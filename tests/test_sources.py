@@ -125,6 +125,26 @@ def test_publish_dates_outcomes(spark, database):
     assert _content(spark, name) == [("2026-01-02", 40), ("2026-01-02", 42)]
 
 
+def test_other_dates_survive_a_session_with_static_overwrite(spark, database):
+    name, setting = f"{database}.sales", "spark.sql.sources.partitionOverwriteMode"
+    assert spark.conf.get(setting).lower() == "static"
+    tables.publish_dates(
+        _sales(spark, (date(2026, 1, 1), 1), (date(2026, 1, 2), 2)), name, _days(spark, 1, 2)
+    )
+    tables.publish_dates(_sales(spark, (date(2026, 1, 2), 3)), name, _days(spark, 2))
+    assert _content(spark, name) == [("2026-01-01", 1), ("2026-01-02", 3)]
+    assert spark.conf.get(setting).lower() == "static"
+
+
+def test_partition_columns_of_a_folder(spark, tmp_path):
+    path = str(tmp_path / "by_date")
+    _sales(spark, (date(2026, 1, 1), 1)).write.partitionBy("order_date").parquet(path)
+    assert tables.partition_columns(spark, path) == ["order_date"]
+    plain = str(tmp_path / "plain")
+    _sales(spark, (date(2026, 1, 1), 1)).write.parquet(plain)
+    assert tables.partition_columns(spark, plain) == []
+
+
 def test_other_partitioning_is_refused(spark, database):
     name = f"{database}.plain"
     frame = _sales(spark, (date(2026, 1, 1), 1))
