@@ -12,6 +12,7 @@ from orderflow.sources.staging import stage
 
 REASON = "quarantine_reason"
 REASONS = "quarantine_reasons"
+_FOUND = "_reason"
 DEFAULT_THRESHOLD = 5.0
 
 # Fixed values.
@@ -112,35 +113,49 @@ def unknown_ids(orders: DataFrame, reference: DataFrame, key: str) -> DataFrame:
     return used.join(reference.select(key), key, "left_anti")
 
 
+def offending_ids(
+    orders: DataFrame, customer_ids: DataFrame | None, product_ids: DataFrame | None
+) -> tuple[DataFrame, dict[str, str]]:
+    """All ids that give their rows a reason, in one frame, and the key column of each reason.
+
+    Each reason fills its own column, so key types stay as they are.
+    """
+    keys = {"duplicate_order_id": "order_id"}
+    found = duplicate_ids(orders).withColumn(_FOUND, F.lit("duplicate_order_id"))
+    for reason, key, reference in (
+        ("unknown_customer_id", "customer_id", customer_ids),
+        ("unknown_product_id", "product_id", product_ids),
+    ):
+        if reference is not None:
+            keys[reason] = key
+            unknown = unknown_ids(orders, reference, key).withColumn(_FOUND, F.lit(reason))
+            found = found.unionByName(unknown, allowMissingColumns=True)
+    return found, keys
+
+
 def tag_reasons(
     orders: DataFrame,
     today=None,
     customer_ids: DataFrame | None = None,
     product_ids: DataFrame | None = None,
-    materialize: Callable[[DataFrame], DataFrame] = stage,
+    materialize: Callable[..., DataFrame] = stage,
 ) -> DataFrame:
     """Every row with its ordered reasons and the first of them.
 
-    Offending ids are found from single columns of the feed and staged first (this runs jobs).
-    The rows then meet three tables whose sizes are known: small ones are broadcast and the feed is
-    not shuffled at all; large ones are sort-merged, where a hot id can be split by AQE because
-    nothing but a scan stands on the other side.
+    Offending ids are found from single columns of the feed and staged first (this runs a job), one
+    folder per reason. The rows then meet three tables whose sizes are known: small ones are
+    broadcast and the feed is not shuffled at all; large ones are sort-merged, where a hot id can
+    be split by AQE because nothing but a scan stands on the other side.
     """
     orders = fill_missing(orders)
-    conditions = _row_conditions(today, null_date_is_invalid=True)
-    offending = {"duplicate_order_id": ("order_id", duplicate_ids(orders))}
-    if customer_ids is not None:
-        offending["unknown_customer_id"] = (
-            "customer_id", unknown_ids(orders, customer_ids, "customer_id")
-        )
-    if product_ids is not None:
-        offending["unknown_product_id"] = (
-            "product_id", unknown_ids(orders, product_ids, "product_id")
-        )
     columns = orders.columns
-    for reason, (key, ids) in offending.items():
+    conditions = _row_conditions(today, null_date_is_invalid=True)
+    found, keys = offending_ids(orders, customer_ids, product_ids)
+    found = materialize(found, partition_by=(_FOUND,))
+    for reason, key in keys.items():
         flag = f"_{reason}"
-        orders = orders.join(materialize(ids).withColumn(flag, F.lit(True)), key, "left")
+        ids = found.filter(F.col(_FOUND) == reason).select(key, F.lit(True).alias(flag))
+        orders = orders.join(ids, key, "left")
         conditions[reason] = F.col(flag).isNotNull()
     return _with_reasons(orders, conditions).select(*columns, REASONS, REASON)
 

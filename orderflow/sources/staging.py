@@ -23,7 +23,7 @@ def work_root(spark: SparkSession) -> str:
     return _local_root
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write a frame to the work folder and read it back (runs a job).
 
     The copy survives the loss of any executor, cuts lineage, and has a file size the planner
@@ -33,5 +33,5 @@ def stage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     application = spark.sparkContext.applicationId
     path = f"{work_root(spark)}/orderflow/{application}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
