@@ -134,9 +134,9 @@ def check_history(lake: Lake, table: str = "orders_bronze") -> DataFrame:
     return audit.require_operations(lake.table("operations_log"), lake.name(table))
 
 
-def _replace(lake: Lake, df: DataFrame, table: str, days: DataFrame) -> str:
+def _replace(lake: Lake, df: DataFrame, table: str, days: DataFrame | None) -> str:
     """The listed days in a backfill, everything otherwise."""
-    if lake.is_backfill:
+    if days is not None:
         outcome, rows = tables.publish_dates(df, lake.name(table), days)
     else:
         outcome, rows = "overwrite", tables.publish_all_dates(df, lake.name(table))
@@ -151,6 +151,10 @@ def _days(lake: Lake, source: DataFrame, *published: str) -> DataFrame:
     return stage(backfill.affected_dates(*frames))
 
 
+def _backfill_days(lake: Lake, source: DataFrame, *published: str) -> DataFrame | None:
+    return _days(lake, source, *published) if lake.is_backfill else None
+
+
 def validate_orders(
     lake: Lake, threshold: float = quality.DEFAULT_THRESHOLD, today: str | None = None,
     summary_path: str | None = None,
@@ -171,7 +175,7 @@ def validate_orders(
     # which costs a scan; staging it would write the whole feed a second time.
     quarantined = stage(quality.quarantined_rows(tagged))
     summary = stage(quality.summary(quarantined, threshold, total_rows=orders.count()))
-    days = _days(lake, orders, "orders_validated", "orders_quarantine")
+    days = _backfill_days(lake, orders, "orders_validated", "orders_quarantine")
     valid_mode = _replace(lake, quality.valid_rows(tagged), "orders_validated", days)
     _replace(lake, quarantined, "orders_quarantine", days)
     if summary_path:
@@ -204,7 +208,7 @@ def validate_orders(
 def build_silver_orders(lake: Lake) -> None:
     started = time.time()
     validated = lake.windowed(lake.table("orders_validated"))
-    days = _days(lake, validated, "orders_silver")
+    days = _backfill_days(lake, validated, "orders_silver")
     mode = _replace(lake, clean.silver_orders(validated), "orders_silver", days)
     lake.step_record(
         "silver_orders", started, validated.count(), "orders_validated", "orders_silver",
