@@ -1,0 +1,114 @@
+"""SimHash fingerprints and components against brute force."""
+
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from orderflow.llm import components, simhash
+
+DOCS = "doc_id long, text string, fp string, component_id int"
+
+
+def slow_fingerprint(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall("[^\x20\x09-\x0d]+", lowered)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(
+        1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes)
+    )
+
+
+def slow_components(prints):
+    group = {doc: doc for doc, _ in prints}
+    changed = True
+    while changed:
+        changed = False
+        for a, x in prints:
+            for b, y in prints:
+                if (x ^ y).bit_count() <= 3 and group[a] < group[b]:
+                    group[b], changed = group[a], True
+    return group
+
+
+def texts():
+    rng = np.random.default_rng(5)
+    words = ["ä", "b", "Über", "dog", "CAT", "x y", "tree", "sun", "moon", "river"]
+    out = [None, "", " \n", "one", "One two", "a b c", "a  b\tc", "A B C", "ÀÉ b c"]
+    for _ in range(40):
+        base = [words[i] + str(i) for i in rng.integers(0, len(words), rng.integers(30, 120))]
+        out.append(" ".join(base))
+        out.append(" ".join([*base[:20], "changed", *base[20:]]))
+    return out
+
+
+def test_components_equal_brute_force(spark):
+    rows = [(i, t, "clash", 7) for i, t in enumerate(texts())]
+    rows += [(1000, rows[20][1], None, None), (1000, rows[20][1], None, None)]
+    expected = {i: slow_fingerprint(t) for i, t, *_ in rows}
+    groups = slow_components(sorted(expected.items()))
+    for tile_rows in (4, simhash.TILE_ROWS):
+        found = simhash.near_duplicates(spark.createDataFrame(rows, DOCS), tile_rows=tile_rows)
+        got = found.collect()
+        assert len(got) == len(rows)
+        for row in got:
+            assert row.fp & (2**64 - 1) == expected[row.doc_id]
+            assert row.component_id == groups[row.doc_id]
+
+
+def test_null_ids_and_empty_table(spark):
+    docs = spark.createDataFrame([(None, "p q r"), (4, "p q r"), (None, "other words here")],
+                                 "doc_id long, text string")
+    got = sorted(map(tuple, simhash.near_duplicates(docs).select("doc_id", "component_id").collect()),
+                 key=str)
+    assert got == sorted([(None, 4), (4, 4), (None, None)], key=str)
+    assert simhash.near_duplicates(docs.where("doc_id = 99")).collect() == []
+
+
+def test_very_long_text_in_chunks(monkeypatch):
+    text = " ".join(f"w{i % 97}" for i in range(1000)).encode()
+    whole = simhash.simhash(text)
+    monkeypatch.setattr(simhash, "CHUNK_WORDS", 7)
+    assert simhash.simhash(text) == whole == slow_fingerprint(text.decode())
+
+
+@pytest.mark.parametrize("radius", [0, 3])
+def test_tiles_span_all_links(radius):
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 2**63, 60).astype(np.uint64)
+    flips = np.array([sum(1 << int(b) for b in rng.integers(0, 64, 2)) for _ in base], np.uint64)
+    fps = np.unique(np.concatenate([base, base ^ flips]))
+    quarters = simhash.signatures(fps)
+    codes = simhash.encode_signatures(quarters)
+    kinds, at, counts = np.unique(codes, return_index=True, return_counts=True)
+    layout = simhash.Layout(kinds, quarters[at], counts, 8)
+    tiles = layout.tiles(fps)
+    parent = {int(f): int(f) for f in fps}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in np.unique(tiles):
+        for b in layout.near(int(a), radius):
+            if a <= b:
+                pair = (fps[tiles == a], None if a == b else fps[tiles == b])
+                for u, v in zip(*simhash.compare_tiles(*pair, radius), strict=True):
+                    assert (find(int(u)) == find(int(v))) or not parent.update({find(int(u)): find(int(v))})
+    for x in fps:
+        for y in fps:
+            if int(x ^ y).bit_count() <= radius:
+                assert find(int(x)) == find(int(y))
+
+
+def test_components_of_a_path_and_a_star(spark):
+    path = [(i, i + 1) for i in range(1, 40)]
+    star = [(100, i) for i in range(101, 160)]
+    edges = spark.createDataFrame([*path, *star, (7, 7), (None, 3)], "u long, v long")
+    got = {r.node: r.root for r in components.connected_components(edges).collect()}
+    assert got == {**{i: 1 for i in range(2, 41)}, **{i: 100 for i in range(101, 160)}}
