@@ -60,8 +60,9 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def utf8_list(column: pa.Array) -> list[bytes | None]:
-    """The texts of an Arrow string column as UTF-8 bytes."""
-    kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
+    """The texts of an Arrow string column as UTF-8 bytes (binary values as they are)."""
+    large = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
+    kind = pa.large_binary() if large else pa.binary()
     return column.cast(kind).to_pylist()
 
 
@@ -103,7 +104,10 @@ def scan_texts(
     name = free_name(kept, result)
     # The text travels under a name of its own, so a kept column may be the text itself.
     text = free_name(kept, "text_")
-    source = df.select(*keep, df[text_col].cast("string").alias(text))
+    column = df[text_col]
+    if not isinstance(df.schema[text_col].dataType, T.BinaryType):
+        column = column.cast("string")
+    source = df.select(*keep, column.alias(text))
     fields = T._parse_datatype_string(schema)
     arrow = to_arrow(fields)
     full = T.StructType([*kept.schema.fields, T.StructField(name, fields)])

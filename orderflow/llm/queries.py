@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderflow.llm import decontaminate, simhash
+from orderflow.llm import bpe, decontaminate, quality, simhash
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PATTERN = public_tokenizers.PATTERN
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +23,30 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hexes.alias("fingerprint"), "component_id")
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    done, ids, text = bpe.round_trip(documents, RANKS, PATTERN, ["doc_id"])
+    return done.select(
+        "doc_id",
+        (F.octet_length(ids) / 4).cast("long").alias("n_tokens"),
+        F.sha2(F.col(ids), 256).alias("ids_sha256"),
+        F.sha2(F.col(text).cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    network = quality.train(documents, labels)
+    scored, name = quality.score_documents(documents, network, ["doc_id"])
+    score = F.col(f"{name}.score")
+    return scored.select(
+        "doc_id",
+        quality.held_out("doc_id").alias("held_out"),
+        score.alias("score"),
+        (score >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = (_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     scanned, hits = decontaminate.scan_documents(documents, benchmark, ["doc_id"])
@@ -35,5 +63,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op4_byte_bpe": op4_byte_bpe,
+    "op7_quality": op7_quality,
     "op10_decontamination": op10_decontamination,
 }
