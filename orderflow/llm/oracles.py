@@ -39,4 +39,17 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM doc LEFT JOIN per_doc USING (rid) LEFT JOIN named USING (rid)
 """
 
-ORACLES: dict[str, str] = {"op10_decontamination": OP10}
+OP1 = """
+WITH payload AS (
+  SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS size FROM pages
+), marked AS (
+  SELECT *, max(page_id) OVER (PARTITION BY body) AS last_id FROM payload
+)
+SELECT page_id, size::BIGINT AS payload_bytes, sha1(body) AS payload_digest,
+       CASE WHEN size >= 1000 AND page_id <> last_id THEN 'revisit' ELSE 'response' END
+         AS record_type,
+       CASE WHEN size >= 1000 AND page_id <> last_id THEN last_id END AS refers_to
+FROM marked
+"""
+
+ORACLES: dict[str, str] = {"op1_warc": OP1, "op10_decontamination": OP10}

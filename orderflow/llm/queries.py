@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderflow.llm import bpe, decontaminate, quality, simhash
+from orderflow.llm import bpe, decontaminate, quality, simhash, warc
+from orderflow.llm.common import scratch_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -17,6 +18,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.archive(warc.records(_table(spark, sf_dir, "pages")), path)
+    return warc.parse(warc.restore(spark, path)).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     hexes = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -62,6 +71,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op3_simhash": op3_simhash,
     "op4_byte_bpe": op4_byte_bpe,
     "op7_quality": op7_quality,

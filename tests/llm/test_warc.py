@@ -1,0 +1,80 @@
+"""The archive against a plain parser of the exported files."""
+
+import glob
+import gzip
+import hashlib
+
+import pytest
+
+from orderflow.llm import warc
+
+BIG = "é<html>\r\n\r\nWARC/1.1\r\nWARC-Type: fake\r\n" + "x" * 1200
+PAGES = [
+    (1, "http://a/1", BIG), (5, "http://a/5", BIG), (3, "http://a b\r\nX: y", BIG),
+    (2, None, "small"), (4, "u", "small"), (6, "u", None), (7, "u", ""),
+    (None, "u", BIG), (8, "u", "z" * 1000), (8, "u", "z" * 1000), (9, "u", "z" * 999), (10, "u", "z" * 999),
+]
+
+
+def plain(pages):
+    out = []
+    for page, _, html in pages:
+        body = (html or "").encode()
+        same = [p for p, _, h in pages if (h or "").encode() == body and p is not None]
+        revisit = len(body) >= 1000 and page != max(same)
+        out.append((page, len(body), hashlib.sha1(body).hexdigest(),
+                    "revisit" if revisit else "response", max(same) if revisit else None))
+    return sorted(out, key=str)
+
+
+def read_warc(data):
+    records, at = [], 0
+    while at < len(data):
+        end = data.index(b"\r\n\r\n", at) + 4
+        lines = data[at:end].decode().split("\r\n")
+        assert lines[0] == "WARC/1.1"
+        fields = dict(line.split(": ", 1) for line in lines[1:-2])
+        length = int(fields["Content-Length"])
+        block = data[end : end + length]
+        assert data[end + length : end + length + 4] == b"\r\n\r\n"
+        records.append((fields, block[block.index(b"\r\n\r\n") + 4 :]))
+        at = end + length + 4
+    return records
+
+
+def test_archive_restores_every_record(spark, tmp_path):
+    pages = spark.createDataFrame([(*p, "k", 1) for p in PAGES],
+                                  "page_id long, url string, html string, key string, size int")
+    path = str(tmp_path / "a")
+    warc.archive(warc.records(pages), path)
+    assert spark.read.parquet(f"{path}/payloads").count() == 5
+    restored = warc.restore(spark, path)
+    got = warc.parse(restored).collect()
+    assert all(r.declared_digest == r.payload_digest for r in got)
+    rows = [(r.id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got]
+    assert sorted(rows, key=str) == plain(PAGES)
+    warc.export_warc(restored, str(tmp_path / "w"))
+    found = []
+    for file in glob.glob(str(tmp_path / "w" / "part-*")):
+        for fields, body in read_warc(gzip.open(file).read()):
+            assert "\n" not in fields["WARC-Target-URI"]
+            if fields["WARC-Type"] == "response":
+                assert "sha1:" + hashlib.sha1(body).hexdigest() == fields["WARC-Payload-Digest"]
+            else:
+                assert body == b""
+            found.append((fields["WARC-Record-ID"], fields["WARC-Type"]))
+    assert len(found) == len(PAGES)
+
+
+def test_damage_is_noticed_and_empty_tables_work(spark, tmp_path):
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    path = str(tmp_path / "b")
+    warc.archive(warc.records(pages), path)
+    damaged = spark.read.parquet(f"{path}/payloads").selectExpr("key", "encode('no', 'UTF-8') as payload")
+    damaged.write.parquet(str(tmp_path / "c/payloads"))
+    spark.read.parquet(f"{path}/headers").write.parquet(str(tmp_path / "c/headers"))
+    with pytest.raises(Exception, match="damaged payload"):
+        warc.restore(spark, str(tmp_path / "c")).collect()
+    empty = str(tmp_path / "d")
+    warc.archive(warc.records(pages.where("page_id = 77")), empty)
+    assert warc.parse(warc.restore(spark, empty)).collect() == []
