@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from orderflow.llm import bpe, decontaminate, quality, simhash, warc
-from orderflow.llm.common import scratch_path
+from orderflow.llm import bpe, decontaminate, pii, quality, simhash, warc
+from orderflow.llm.common import scratch_path, store
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -43,6 +43,24 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proposed, name = pii.propose(_table(spark, sf_dir, "documents"), ["doc_id"])
+    stored = store(proposed, "pii-candidates")
+    weights = pii.train(pii.count_votes(stored, name))
+    spans = pii.decide(F.col(name), weights)
+    base = F.filter(spans, lambda s: s["kind"].isin(*pii.BASE))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return stored.select(
+        "doc_id",
+        *[count(kind) for kind in pii.BASE],
+        F.sha2(pii.render(base), 256).alias("base_sha256"),
+        pii.render(spans).alias("spans"),
+    )
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
     network = quality.train(documents, labels)
@@ -74,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op3_simhash": op3_simhash,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_pii": op6_pii,
     "op7_quality": op7_quality,
     "op10_decontamination": op10_decontamination,
 }

@@ -1,0 +1,105 @@
+"""Personal data: base spans against Python's regular expressions, votes, and masking."""
+
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from orderflow.llm import pii
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    odd = [int(d) for d in digits[::-1][::2]]
+    even = [sum(divmod(2 * int(d), 10)) for d in digits[::-1][1::2]]
+    return (sum(odd) + sum(even)) % 10 == 0
+
+
+def fine(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in value.split("."))
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and luhn(digits)
+    return 9 <= len(digits) <= 15 if kind == "phone" else True
+
+
+def slow(text):
+    return [
+        f"{kind}:{m.start()}:{m.end()}"
+        for kind, pattern in PLAIN.items()
+        for m in re.finditer(pattern, text or "")
+        if fine(kind, m.group())
+    ]
+
+
+def texts():
+    rng = random.Random(4)
+    out = [
+        None, "", "a@b.c+d@e.f", "x@y", "é🙂 me@mail.com, 1.2.3.4.5.6.7.8 256.1.1.1 007.1.1.1",
+        "4111 1111 1111 1111 4111-1111-1111-1111", "+1 (555) 010-9999 +12 +123456789012345678",
+        "1" * 4000, "a" * 4000 + "@", "1." * 500, "u@" + "a." * 3000 + "b", "+1" + " (" * 999,
+        "9807915762804490", "4111111111111111 1", "@.@", "a@b..c a@-.-", "0" * 60 + ".1.1.1",
+    ]
+    for alphabet in ("01 -.+()@a", "a@.b-", "1.9 2", "+0 ()-1", "4 1-é"):
+        out += ["".join(rng.choice(alphabet) for _ in range(rng.randrange(80))) for _ in range(150)]
+    return out
+
+
+def test_base_spans_equal_regular_expressions(spark):
+    rows = [(i % 7 or None, t, "x") for i, t in enumerate(texts())]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, candidates string")
+    proposed, name = pii.propose(docs, ["doc_id", "candidates", "text"])
+    assert name == "candidates_"
+    base = F.filter(F.col(name), lambda s: s["kind"].isin(*pii.BASE) & s["valid"])
+    for row in proposed.select("text", pii.render(base).alias("spans")).collect():
+        assert row.spans == ",".join(slow(row.text)), row.text
+
+
+def sample():
+    rng = random.Random(9)
+    rows = []
+    for i in range(200):
+        key = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+        rows += [f'set token = "{key}" now', f"mail me: u{i}@host{i}.com today", "nothing to see",
+                 f"order 98-{i:04d} word{i}", "Donau1dampfschifffahrtsgesellschaftskapitaen"]
+    return rows
+
+
+def test_classifier_adds_secrets_and_masks(spark):
+    docs = spark.createDataFrame(
+        [(i, t, 3) for i, t in enumerate(sample())] + [(None, None, 1)], "doc_id int, text string, at int"
+    )
+    masked = pii.mask_documents(docs)
+    assert masked.columns == docs.columns
+    got = {r.doc_id: r.text for r in masked.collect()}
+    assert got[0] == 'set token = "[SECRET]" now' and got[1] == "mail me: [EMAIL] today"
+    assert got[2] == "nothing to see" and got[4] == sample()[4] and got[None] is None
+    assert pii.mask_documents(docs.where("doc_id < 0")).collect() == []
+
+
+def test_overlapping_spans_are_masked_together(spark):
+    span = "array(named_struct('kind','card','start',4,'end',9), named_struct('kind','ip','start',1,'end',6))"
+    row = spark.range(1).select(pii.masked(F.lit("abcdefghijklm"), F.expr(span)).alias("t")).first()
+    assert row.t == "a[IP]jklm"
+
+
+def test_beliefs_follow_the_reliable_labelers():
+    counts = [("secret", "++++++", 90), ("secret", "-----+", 80), ("secret", "+++0++", 20), ("ip", "++00++", 50)]
+    belief = pii.estimate(counts)
+    assert belief["secret", "++++++"] > 0.95 and belief["secret", "-----+"] < 0.05
+    weights = pii.train(counts)
+    score = {v: weights["kind", k] + sum(weights[j, x] for j, x in enumerate(v)) for k, v, _ in counts}
+    assert score["++++++"] > 1 and score["-----+"] < -1
+
+
+def test_no_python_in_the_plan(spark):
+    docs = spark.createDataFrame([(1, "a@b.c")], "doc_id int, text string")
+    proposed, _ = pii.propose(docs, ["doc_id"])
+    assert not re.search("Python|Arrow|Pandas", proposed._jdf.queryExecution().toString())
