@@ -1,15 +1,72 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: raw documents to token ids.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; the stages' results
+are written as Parquet and read again in between. All but the last return the columns of ``documents``.
+Nulls in any column are allowed: a document without text is scored and encoded like an empty one, one
+without id cannot be a copy of another and stays.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from orderflow.llm import bpe, decontaminate, pii, quality, simhash
+from orderflow.llm.common import store
+from orderflow.llm.queries import PATTERN, RANKS
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop what the quality classifier rejects; it is trained on these documents' labels."""
+    return quality.keep_good(docs, _table(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each group of near copies."""
+    return docs.join(simhash.duplicates_to_drop(docs), "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold benchmark text."""
+    return decontaminate.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data and secrets in the texts; ``n_chars`` follows the text."""
+    masked = pii.mask_documents(docs)
+    if "n_chars" not in masked.columns:
+        return masked
+    kind = masked.schema["n_chars"].dataType
+    return masked.withColumn("n_chars", F.char_length("text").cast(kind)).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and whether decoding them gives the text back."""
+    done, ids, back = bpe.round_trip(docs, RANKS, PATTERN, ["doc_id", "text"])
+    return done.select(
+        "doc_id",
+        (F.octet_length(ids) / 4).cast("long").alias("n_tokens"),
+        F.col(ids).alias("ids"),
+        (F.col(back) == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
 
-STAGES = []
+STAGES = [
+    ("quality classifier", keep_good),
+    ("SimHash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("PII", mask_personal_data),
+    ("byte-level BPE", encode),
+]
+# SQL cannot express SimHash, the classifiers and BPE; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    docs = _table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = store(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
     return docs
