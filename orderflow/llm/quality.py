@@ -5,8 +5,8 @@ text. A filter's values are rectified and max-pooled in overlapping chunks of 1,
 that cover the document; the chunks' maxima, averaged and maximised over the chunks, go through one
 logistic unit. Filters over pairs of bytes are kept as tables, so scoring only looks numbers up.
 
-Training takes a bounded sample of labelled texts to the driver: TRAIN_ROWS documents of at most
-TRAIN_BYTES each, the first by a hash of their id. Null and empty texts are scored like a text of zero
+Training takes a bounded sample of labelled texts to the driver: those of TRAIN_ROWS labels, the first
+by a hash of their id, that are at most TRAIN_BYTES long. Null and empty texts are scored like a text of zero
 bytes. Labels without a value, and labels of unknown documents, are ignored; a document with several
 labels is used once for each. With no usable label at all every score is 0.5.
 """
@@ -201,20 +201,26 @@ def train(
     label_col: str = "quality",
     rows: int = TRAIN_ROWS,
 ) -> Network:
-    """A network fitted to a bounded sample of the labelled documents outside the held-out fold."""
-    known = labels.select(
-        F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")
-    ).where("_label in (0, 1)")
+    """A network fitted to a bounded sample of the labelled documents outside the held-out fold.
+
+    The sample is drawn from the labels alone. It has at most ``rows`` rows, so it is broadcast, and
+    the texts are picked while they are scanned, without a shuffle.
+    """
+    chosen = (
+        labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label"))
+        .where(F.col("_label").isin(0, 1) & F.col("_id").isNotNull() & ~held_out("_id"))
+        .orderBy(F.xxhash64("_id"), "_id", "_label")
+        .limit(rows)
+    )
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     sample = (
         texts.where(F.octet_length("_text") <= TRAIN_BYTES)
-        .join(known, "_id")
-        .where(~held_out("_id"))
-        .orderBy(F.xxhash64("_id"), "_id", "_label", F.xxhash64("_text"))
-        .limit(rows)
-        .select(F.col("_text").cast("binary"), "_label")
+        .join(F.broadcast(chosen), "_id")
+        .select("_id", F.col("_text").cast("binary"), "_label")
         .collect()
     )
+    sample = sorted(sample)[:rows]  # more only if ids repeat among the documents
+    sample = [row[1:] for row in sample]
     return fit([bytes(r[0]) for r in sample], np.array([r[1] for r in sample], dtype=np.float32))
 
 
