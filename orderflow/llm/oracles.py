@@ -52,4 +52,33 @@ SELECT page_id, size::BIGINT AS payload_bytes, sha1(body) AS payload_digest,
 FROM marked
 """
 
-ORACLES: dict[str, str] = {"op1_warc": OP1, "op10_decontamination": OP10}
+OP5 = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, 9223372036854775807) AS sid,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), win AS (
+  SELECT rid, sid, i, array_to_string(w[i : i + 49], ' ') AS k
+  FROM (SELECT rid, sid, w, unnest(range(1, len(w) - 48)) AS i FROM doc WHERE len(w) >= 50)
+), owner AS (SELECT k, min(sid) AS first_sid FROM win GROUP BY k),
+hit AS (
+  SELECT DISTINCT rid, p
+  FROM (SELECT rid, unnest(range(i, i + 50)) AS p
+        FROM win JOIN owner USING (k) WHERE first_sid < sid)
+), gone AS (SELECT rid, count(*) AS n FROM hit GROUP BY rid),
+kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY p) AS text
+  FROM (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM doc)
+       ANTI JOIN hit USING (rid, p)
+  GROUP BY rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM doc LEFT JOIN gone USING (rid) LEFT JOIN kept USING (rid)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_warc": OP1,
+    "op5_substring_dedup": OP5,
+    "op10_decontamination": OP10,
+}

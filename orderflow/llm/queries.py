@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from orderflow.llm import bpe, decontaminate, pii, quality, simhash, warc
+from orderflow.llm import bpe, decontaminate, pii, quality, simhash, substrings, warc
 from orderflow.llm.common import scratch_path, store
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -43,6 +43,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeated_passages(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     proposed, name = pii.propose(_table(spark, sf_dir, "documents"), ["doc_id"])
     stored = store(proposed, "pii-candidates")
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op3_simhash": op3_simhash,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_pii": op6_pii,
     "op7_quality": op7_quality,
     "op10_decontamination": op10_decontamination,
