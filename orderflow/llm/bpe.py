@@ -65,8 +65,8 @@ class Vocabulary:
                 self.parts[rank] = pair
             self._insert(token, rank)
 
-    @classmethod
-    def load(cls, path: str) -> Vocabulary:
+    @staticmethod
+    def read_ranks(path: str) -> dict[bytes, int]:
         """Read a file of lines with a token in base 64 and its rank."""
         ranks = {}
         with open(path, "rb") as lines:
@@ -74,7 +74,11 @@ class Vocabulary:
                 if line.strip():
                     token, rank = line.split()
                     ranks[base64.b64decode(token)] = int(rank)
-        return cls(ranks)
+        return ranks
+
+    @classmethod
+    def load(cls, path: str) -> Vocabulary:
+        return cls(cls.read_ranks(path))
 
     def _find_parts(self, token: bytes, rank: int) -> tuple[int, int] | None:
         for cut in range(1, len(token)):
@@ -419,7 +423,7 @@ def _once(kind: type, name: str, *options):
     return _loaded[key]
 
 
-def _ship(frame: DataFrame, path: str) -> str:
+def ship_file(frame: DataFrame, path: str) -> str:
     """Give every executor the rank file; the name under which they find it."""
     context = frame.sparkSession.sparkContext
     sent = getattr(context, "_orderflow_files", None)
@@ -438,7 +442,7 @@ def encode(
 
     Returns the frame and the struct's name. Special tokens' strings are ordinary text.
     """
-    name = _ship(docs, ranks_path)
+    name = ship_file(docs, ranks_path)
 
     def scan(texts: list[bytes | None]) -> list:
         return [list(map(_once(Encoder, name, pattern).encode, texts))]
@@ -450,7 +454,7 @@ def decode(
     frame: DataFrame, ranks_path: str, keep: list[str], ids_col: str
 ) -> tuple[DataFrame, str]:
     """``keep`` and a struct with ``text``, what the ids stand for; and the struct's name."""
-    name = _ship(frame, ranks_path)
+    name = ship_file(frame, ranks_path)
 
     def scan(values: list[bytes | None]) -> list:
         return [list(map(_once(Decoder, name).decode, values))]

@@ -7,11 +7,23 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from orderflow.llm import bpe, decontaminate, pii, quality, simhash, substrings, warc
+from orderflow.llm import (
+    bpe,
+    decontaminate,
+    hamming,
+    licenses,
+    pii,
+    quality,
+    simhash,
+    substrings,
+    unigram,
+    warc,
+)
 from orderflow.llm.common import scratch_path, store
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+NEIGHBOURS = 10
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +38,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = hamming.sign_codes(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return hamming.nearest_codes(codes, codes.where("id % 50 = 0"), NEIGHBOURS)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     hexes = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -79,6 +96,25 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    counted, name = unigram.count_tokens(documents, RANKS, PATTERN, ["doc_id"])
+    return counted.select("doc_id", f"{name}.n_tokens", f"{name}.score")
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    model = licenses.train(licenses.sample_negatives(documents))
+    scanned, name = licenses.scan(documents, model, ["doc_id"])
+    families = F.array_sort(F.array_distinct(F.transform(name, lambda p: p["family"])))
+    return scanned.select(
+        "doc_id",
+        F.size(name).cast("long").alias("n_paragraphs"),
+        F.array_join(families, ",").alias("families"),
+        F.array_join(F.transform(name, lambda p: p["paragraph"].cast("string")), ",").alias("at"),
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = (_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     scanned, hits = decontaminate.scan_documents(documents, benchmark, ["doc_id"])
@@ -95,10 +131,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_topk_search": op2_topk_search,
     "op3_simhash": op3_simhash,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_pii": op6_pii,
     "op7_quality": op7_quality,
+    "op8_token_counts": op8_token_counts,
+    "op9_licenses": op9_licenses,
     "op10_decontamination": op10_decontamination,
 }

@@ -1,0 +1,67 @@
+"""Licence scan: held-out wordings, unknown paragraphs, template confirmation, no Python."""
+
+import re
+
+from pyspark.sql import functions as F
+
+from orderflow.llm import licenses
+
+PROSE = ["the river runs by the stone house", "order 12 of 1999 was sent", "ein Text ohne Sinn", "une maison"]
+
+
+def expected():
+    return {
+        0: ["gpl"], 1: ["mit"], 2: ["apache"], 3: ["cc-by-nc"], 4: [], 5: [], 6: [], 7: ["bsd", "mit"], 8: [],
+        9: ["cc-by"], 10: [],
+    }
+
+
+DOCS = [
+    (0, "intro\nThis work is licensed under the GNU General Public License, version 3.\nend"),
+    (1, "RELEASED UNDER THE MIT LICENSE"),
+    (2, "// Licensed under the Apache License, Version 2.0. See file"),
+    (3, "Licensed under CC BY-NC 4.0."),
+    (4, "My fishing license expired last year and the copyright office was closed"),
+    (5, None), (6, "\n\n"),
+    (7, "Released under the BSD 3-Clause License.\nx\nReleased under the MIT License."),
+    (8, "Licensed under the terms of nobody"),
+    (9, "Licensed under CC BY 4.0."),
+    (10, "word " * 20000),
+    (None, "Released under the MIT License."),
+]
+
+
+def test_families_and_unknown(spark):
+    docs = spark.createDataFrame([(*d, "k") for d in DOCS], "doc_id long, text string, licenses string")
+    model = licenses.train(PROSE * 20)
+    scanned, name = licenses.scan(docs, model, ["doc_id", "licenses"])
+    assert name == "licenses_"
+    got = {r.doc_id: r[name] for r in scanned.collect()}
+    assert len(got) == len(DOCS) and [p.family for p in got.pop(None)] == ["mit"]
+    assert {k: [p.family for p in v] for k, v in got.items()} == expected()
+    assert [p.paragraph for p in got[7]] == [0, 2] and [p.paragraph for p in got[0]] == [1]
+    assert all(p.probability >= 0.5 and p.share >= 0.6 for v in got.values() for p in v)
+    assert licenses.scan(docs.where("doc_id = 99"), model, ["doc_id"])[0].collect() == []
+    assert not re.search("Python|Arrow|Pandas", scanned._jdf.queryExecution().toString())
+
+
+def test_spark_features_equal_training_features(spark):
+    lines = [t for f in licenses.TEMPLATES.values() for t in f] + ["", "v2.0-rc+1 x", "Ünï cödé", "a a a"]
+    frame = spark.createDataFrame([(x,) for x in lines], "line string")
+    rows = frame.select("line", licenses._grams_column(F.col("line")).alias("g")).collect()
+    for row in rows:
+        assert sorted(row.g) == licenses.grams(row.line)
+    hashed = frame.select("line", F.pmod(F.xxhash64("line"), F.lit(licenses.BUCKETS)).alias("b")).collect()
+    assert all(r.b == licenses.bucket(r.line) for r in hashed)
+
+
+def test_every_template_has_a_cue():
+    for templates in licenses.TEMPLATES.values():
+        assert all(re.search(licenses.CUES, t.lower()) for t in templates)
+
+
+def test_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(i, "\n".join(PROSE * 3) + str(i)) for i in range(400)] + [(1, None)],
+                                 "doc_id long, text string")
+    lines = licenses.sample_negatives(docs)
+    assert len(lines) == licenses.NEGATIVE_DOCS * licenses.NEGATIVE_LINES and set(lines) <= set(PROSE)
