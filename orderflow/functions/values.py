@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Wide enough for 10^16 currency units with cents; Spark widens it further inside sums.
-MONEY = "decimal(18,2)"
+# Wide enough for the largest quantity times the largest unit price; sums have 8 more digits.
+MONEY = "decimal(30,2)"
+# Durations, in seconds, are summed to the nanosecond.
+SECONDS = "decimal(28,9)"
 # Unit prices keep extra digits until the product has been rounded.
 UNIT_PRICE = "decimal(24,6)"
 

@@ -34,7 +34,7 @@ def silver_summary(silver: DataFrame) -> DataFrame:
         F.count("*").alias("rows"),
         F.count_distinct("status").alias("distinct_statuses"),
         F.min("status").alias("first_status"),
-        F.sum(F.col("total_amount").cast("decimal(18,2)")).cast("double").alias("total_amount"),
+        F.sum(F.col("total_amount").cast("decimal(30,2)")).cast("double").alias("total_amount"),
     )
 
 

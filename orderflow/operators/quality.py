@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from orderflow.functions.values import as_date
+from orderflow.functions.values import UNIT_PRICE, as_date
 from orderflow.schemas import fill_missing, schema_error_rows
 from orderflow.sources.staging import stage
 
@@ -35,7 +35,7 @@ EXPECTATIONS = (
         "invalid_percentage_threshold_exceeded",
     ),
 )
-# The order in which a row's reasons are listed.
+# The order in which a row's reasons are listed.
 ROW_REASONS = (
     "missing_order_id",
     "missing_customer_id",
@@ -71,7 +71,9 @@ def _row_conditions(today, null_date_is_invalid: bool) -> dict[str, Column]:
         "missing_customer_id": F.col("customer_id").isNull(),
         "missing_product_id": F.col("product_id").isNull(),
         "invalid_quantity": F.col("quantity").isNull() | (F.col("quantity") <= 0),
-        "invalid_unit_price": F.col("unit_price").isNull() | (F.col("unit_price") < 0),
+        # A price too large for the exact line total counts as invalid, or its total would be NULL.
+        "invalid_unit_price": F.col("unit_price").try_cast(UNIT_PRICE).isNull()
+        | (F.col("unit_price") < 0),
         "invalid_status": F.col("status").isNull() | ~F.col("status").isin(*VALID_STATUSES),
         "future_order_date": bad_date | (date > _today(today)),
     }
@@ -108,9 +110,10 @@ def duplicate_ids(orders: DataFrame, key: str = "order_id") -> DataFrame:
 
 
 def unknown_ids(orders: DataFrame, reference: DataFrame, key: str) -> DataFrame:
-    """Distinct ids the feed uses and the reference lacks."""
+    """Distinct ids the feed uses and the reference lacks; a feed's text ids are compared as text."""
     used = orders.select(key).filter(F.col(key).isNotNull()).distinct()
-    return used.join(reference.select(key), key, "left_anti")
+    known = reference.select(F.col(key).cast(orders.schema[key].dataType))
+    return used.join(known, key, "left_anti")
 
 
 def offending_ids(

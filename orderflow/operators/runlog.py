@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from orderflow.functions.values import MONEY, as_timestamp
+from orderflow.functions.values import as_timestamp, SECONDS
 from orderflow.schemas import METRIC_NAMES, METRIC_SCHEMAS
 
 # Limits and severities of the alert rules.
@@ -105,7 +105,7 @@ def run_status(log: DataFrame) -> DataFrame:
             F.max_by(status, _recency(is_run & status.isNotNull())).alias("_status"),
             F.coalesce(F.bool_or(status == "failed"), F.lit(False)).alias("_failed"),
             F.max_by(duration, _recency(is_run & duration.isNotNull())).alias("_last"),
-            F.sum(duration.cast(MONEY)).alias("_sum"),
+            F.sum(duration.cast(SECONDS)).alias("_sum"),
         )
         .select(
             "run_id",
@@ -131,7 +131,7 @@ def step_status_counts(log: DataFrame) -> DataFrame:
 def step_durations(log: DataFrame) -> DataFrame:
     """Attempts, mean and longest duration per step."""
     measured = log.filter(_is("pipeline_steps") & F.col("duration_seconds").isNotNull())
-    total = F.sum(F.col("duration_seconds").cast(MONEY)).cast("double")
+    total = F.sum(F.col("duration_seconds").cast(SECONDS)).cast("double")
     return measured.groupBy("step").agg(
         F.count("*").alias("attempts"),
         (total / F.count("*")).alias("mean_seconds"),

@@ -28,13 +28,30 @@ def changed_versions(
     )
 
 
+def late_versions(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+    """Updates that the guarded merge refuses: other content, but an earlier start."""
+    s, t = updates.alias("s"), current(target).alias("t")
+    return (
+        s.join(t, F.col(f"s.{key}") == F.col(f"t.{key}"))
+        .filter(_supersedes(guard=False) & ~_supersedes(guard=True))
+        .select("s.*")
+    )
+
+
 def scd2_merge(target: DataFrame, updates: DataFrame, key: str, guard: bool = True) -> DataFrame:
-    """The dimension after one batch of prepared updates.
+    """The dimension after one batch of prepared updates: history, and ``merge_current``."""
+    history = target.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
+    return history.unionByName(merge_current(target, updates, key, guard))
+
+
+def merge_current(target: DataFrame, updates: DataFrame, key: str, guard: bool = True) -> DataFrame:
+    """What becomes of the current versions: kept, or closed and followed by a new one.
 
     A changed key has its current version closed at the start of the new one; a new key is added;
     equal content and keys absent from the batch stay as they are. History never enters the join,
     so a key with very many versions costs no more than any other. ``guard`` refuses versions that
-    start before the current one; without it an older row would close a newer one.
+    start before the current one (see ``late_versions``); without it an older row would close a
+    newer one.
     """
     columns = target.columns
     t, s = current(target).alias("t"), updates.alias("s")
@@ -51,8 +68,7 @@ def scd2_merge(target: DataFrame, updates: DataFrame, key: str, guard: bool = Tr
         .when(_supersedes(guard), F.array(closed, incoming))
         .otherwise(F.array(held))
     )
-    history = target.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
-    return history.unionByName(joined.select(F.inline(outcome)).select(*columns))
+    return joined.select(F.inline(outcome)).select(*columns)
 
 
 def _first_full_day(ts: Column) -> Column:

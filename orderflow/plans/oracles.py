@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from orderflow.operators.quality import ROW_REASONS
 from orderflow.plans.queries import WINDOW
 from orderflow.plans.testmap import (
     EVENT_METRICS,
@@ -139,11 +138,6 @@ PRODUCTS = """products AS (
   SELECT p_partkey AS product_id, '  ' || p_name AS product_name, p_type AS category,
          CAST(p_retailprice AS DECIMAL(18,2)) AS unit_cost
   FROM part)"""
-CUSTOMERS_FIRST = (
-    CUSTOMERS + ",\n"
-    + _normalized("target", "customers", CUSTOMER_COLUMNS, FIRST_LOAD, True,
-                  f"TIMESTAMP '{FIRST_LOAD}'")
-)
 CUSTOMER_UPDATES = f"""moved AS (
   SELECT CASE WHEN customer_id % 13 = 0 THEN customer_id + {NEW_KEY_OFFSET}
               ELSE customer_id END AS customer_id,
@@ -153,7 +147,6 @@ CUSTOMER_UPDATES = f"""moved AS (
               ELSE TIMESTAMP '{SECOND_LOAD}' END AS source_update_ts
   FROM customers),
 """ + _normalized("updates", "moved", CUSTOMER_COLUMNS, SECOND_LOAD, True)
-CUSTOMER_MERGE = CUSTOMERS_FIRST + ",\n" + CUSTOMER_UPDATES
 
 
 def _history(name: str, source: str, key: str, attribute: str, columns: list[str]) -> str:
@@ -193,6 +186,21 @@ PRODUCT_HISTORY = (
     + _history("product_history", "products", "product_id", "category", PRODUCT_COLUMNS)
 )
 
+_ROW_REASONS = (
+    "missing_order_id", "missing_customer_id", "missing_product_id", "invalid_quantity",
+    "invalid_unit_price", "invalid_status", "future_order_date", "duplicate_order_id",
+    "unknown_customer_id", "unknown_product_id",
+)
+CUSTOMER_VERSIONS_MERGE = CUSTOMER_HISTORY + f""",
+target AS (
+  SELECT * REPLACE (
+    CASE WHEN customer_id % 19 = 0 THEN false
+         WHEN customer_id % 23 = 0 AND valid_to IS NOT NULL THEN NULL
+         ELSE is_current END AS is_current,
+    CASE WHEN customer_id % 19 = 0 THEN coalesce(valid_to, TIMESTAMP '{FIRST_LOAD}')
+         ELSE valid_to END AS valid_to)
+  FROM customer_history),
+""" + CUSTOMER_UPDATES
 _BAD_DATE = "TRY_CAST(order_date AS DATE) IS NULL"
 _FUTURE = f"TRY_CAST(order_date AS DATE) > DATE '{TODAY}'"
 _ROW_RULES = {
@@ -217,7 +225,7 @@ _ALL_RULES = {
 
 
 def _reasons(rules: dict[str, str]) -> str:
-    cases = ", ".join(f"CASE WHEN {rules[r]} THEN '{r}' END" for r in ROW_REASONS if r in rules)
+    cases = ", ".join(f"CASE WHEN {rules[r]} THEN '{r}' END" for r in _ROW_REASONS if r in rules)
     return f"concat_ws(',', {cases})"
 
 
@@ -238,6 +246,10 @@ _FEED_OUT = _out(ORDER_COLUMNS + ["source_update_ts"])
 SILVER_COLUMNS = """order_id, customer_id, product_id, order_date, quantity,
          CAST(unit_price AS DOUBLE) AS unit_price, status, source_update_ts,
          CAST(round(quantity * unit_price, 2) AS DOUBLE) AS total_amount"""
+_SHIFTED_COLUMNS = SILVER_COLUMNS.replace(
+    " order_date,",
+    " CASE WHEN dayofweek(order_date) = 0 THEN order_date + 1 ELSE order_date END AS order_date,",
+)
 SILVER = FEED + f""",
 silver AS (SELECT {SILVER_COLUMNS} FROM feed WHERE status = 'completed')"""
 DIMENSIONS = CUSTOMERS + ",\n" + PRODUCTS
@@ -375,14 +387,17 @@ def _scd2(guard: str) -> str:
         {"valid_to": "s.valid_from", "is_current": "false"}.get(c, f"t.{c}")
         + f" AS {c}" for c in _CUSTOMER_TABLE
     )
-    return _with(CUSTOMER_MERGE + f""",
+    return _with(CUSTOMER_VERSIONS_MERGE + f""",
+open AS (SELECT * FROM target WHERE is_current IS TRUE),
 merged AS (
-  SELECT {closed} FROM target t JOIN updates s USING (customer_id) WHERE {supersedes}
+  SELECT * FROM target WHERE is_current IS NOT TRUE
   UNION ALL
-  SELECT t.* FROM target t LEFT JOIN updates s USING (customer_id)
+  SELECT {closed} FROM open t JOIN updates s USING (customer_id) WHERE {supersedes}
+  UNION ALL
+  SELECT t.* FROM open t LEFT JOIN updates s USING (customer_id)
   WHERE s.customer_id IS NULL OR NOT ({supersedes})
   UNION ALL
-  SELECT s.* FROM updates s LEFT JOIN target t USING (customer_id)
+  SELECT s.* FROM updates s LEFT JOIN open t USING (customer_id)
   WHERE t.customer_id IS NULL OR ({supersedes}))""") + (
         f"SELECT {_out(_CUSTOMER_TABLE)} FROM merged"
     )
@@ -404,7 +419,7 @@ coverage AS (
 
 
 def _schema_rows() -> str:
-    message = "Missing required column: product_id"
+    message = "The feed has no column product_id"
     typed = "Column status is bigint, accepted: string"
     return (
         _with(FEED)
@@ -437,7 +452,7 @@ _ORACLES = {
     + f"SELECT {_out(_CUSTOMER_TABLE)} FROM newest",
     "missing_columns_filled": _with(FEED)
     + f"""SELECT {_out(["order_id", "customer_id", "order_date", "unit_price", "source_update_ts"])},
-  CAST(NULL AS INT) AS product_id, CAST(NULL AS INT) AS quantity, CAST(NULL AS VARCHAR) AS status
+  CAST(NULL AS BIGINT) AS product_id, CAST(NULL AS INT) AS quantity, CAST(NULL AS VARCHAR) AS status
 FROM feed""",
     "schema_errors": _schema_rows(),
     "orders_upsert": _with(ORDER_MERGE)
@@ -474,13 +489,27 @@ SELECT {_out(ORDER_COLUMNS)}, NULL, NULL, NULL, NULL FROM updates""",
     + f"SELECT {_out(_CUSTOMER_TABLE)} FROM newest",
     "scd2_merge": _scd2(" AND s.valid_from >= t.valid_from"),
     "scd2_merge_unguarded": _scd2(""),
-    "scd2_changed_rows": _with(CUSTOMER_MERGE)
+    "scd2_changed_rows": _with(CUSTOMER_VERSIONS_MERGE)
     + f"""SELECT {_out(_CUSTOMER_TABLE, 's')}
-FROM updates s JOIN target t USING (customer_id) WHERE s.record_hash <> t.record_hash""",
+FROM updates s JOIN target t USING (customer_id)
+WHERE t.is_current IS TRUE AND s.record_hash <> t.record_hash""",
     "scd2_current": _with(CUSTOMER_HISTORY)
     + f"SELECT {_out(_CUSTOMER_TABLE)} FROM customer_history WHERE is_current",
     "quality_reasons": _with(TAGGED)
     + f"SELECT {_FEED_OUT}, quarantine_reasons, quarantine_reason FROM tagged",
+    "quality_reasons_text_ids": _with(
+        DIRTY + ",\ntexts AS (SELECT * REPLACE (" + ", ".join(
+            f"CASE WHEN {n} % 137 = 0 THEN 'X' || {n} ELSE CAST({n} AS VARCHAR) END AS {n}"
+            for n in ("order_id", "customer_id", "product_id")
+        ) + ") FROM dirty),\n"
+        "counted AS (SELECT *, count(*) OVER (PARTITION BY order_id) AS copies FROM texts)",
+        _tag("counted", {
+            name: rule.replace("SELECT c_custkey", "SELECT CAST(c_custkey AS VARCHAR)")
+            .replace("SELECT p_partkey", "SELECT CAST(p_partkey AS VARCHAR)")
+            for name, rule in _ALL_RULES.items()
+        }),
+    )
+    + f"SELECT {_FEED_OUT}, quarantine_reasons, quarantine_reason FROM tagged",
     "quality_reasons_row_only": _with(
         DIRTY,
         _tag("dirty", {**_ROW_RULES,
@@ -606,8 +635,8 @@ WHERE order_date IS NOT NULL""",
         ORDERS_FIRST, ORDER_UPDATES,
         f"silver AS (SELECT {SILVER_COLUMNS} FROM feed WHERE status = 'completed')",
         _daily("daily", "silver"),
-        f"""rebuilt_silver AS (SELECT {SILVER_COLUMNS} FROM updates
-  WHERE status = 'completed' AND order_date {_WINDOW_SQL} AND dayofweek(order_date) <> 0)""",
+        f"""rebuilt_silver AS (SELECT {_SHIFTED_COLUMNS} FROM updates
+  WHERE status = 'completed' AND order_date {_WINDOW_SQL})""",
         _daily("rebuilt", "rebuilt_silver"),
     )
     + f"""SELECT {_DAILY_OUT} FROM daily WHERE NOT order_date {_WINDOW_SQL}
@@ -636,14 +665,14 @@ QUALIFY row_number() OVER (PARTITION BY metric_name ORDER BY sort_ts DESC, recor
            CASE WHEN bool_or(lower(status) = 'failed') THEN 'failed' ELSE 'unknown' END) AS status,
   coalesce(arg_max(duration_seconds, (sort_ts, record_id))
              FILTER (WHERE metric_name = 'pipeline_runs' AND duration_seconds IS NOT NULL),
-           CAST(sum(CAST(duration_seconds AS DECIMAL(18,2))) AS DOUBLE), 0.0) AS duration_seconds
+           CAST(sum(CAST(duration_seconds AS DECIMAL(28,9))) AS DOUBLE), 0.0) AS duration_seconds
 FROM log WHERE run_id IS NOT NULL GROUP BY run_id""",
     "metrics_step_status": _with(LOG)
     + """SELECT status, count(*) AS steps FROM log
 WHERE metric_name = 'pipeline_steps' AND status IS NOT NULL GROUP BY status""",
     "metrics_step_duration": _with(LOG)
     + """SELECT step, count(*) AS attempts,
-  CAST(sum(CAST(duration_seconds AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_seconds,
+  CAST(sum(CAST(duration_seconds AS DECIMAL(28,9))) AS DOUBLE) / count(*) AS mean_seconds,
   max(duration_seconds) AS longest_seconds
 FROM log WHERE metric_name = 'pipeline_steps' AND duration_seconds IS NOT NULL GROUP BY step""",
     "metrics_step_rows": _with(LOG)

@@ -149,21 +149,21 @@ def dim_migrate(spark, d):
 @_query
 def scd2_merge(spark, d):
     return scd2.scd2_merge(
-        tm.first_customers(spark, d), tm.customer_updates(spark, d), "customer_id"
+        tm.customer_versions(spark, d), tm.customer_updates(spark, d), "customer_id"
     )
 
 
 @_query
 def scd2_merge_unguarded(spark, d):
     return scd2.scd2_merge(
-        tm.first_customers(spark, d), tm.customer_updates(spark, d), "customer_id", guard=False
+        tm.customer_versions(spark, d), tm.customer_updates(spark, d), "customer_id", guard=False
     )
 
 
 @_query
 def scd2_changed_rows(spark, d):
     return scd2.changed_versions(
-        tm.first_customers(spark, d), tm.customer_updates(spark, d), "customer_id"
+        tm.customer_versions(spark, d), tm.customer_updates(spark, d), "customer_id"
     )
 
 
@@ -194,6 +194,21 @@ def quality_reasons(spark, d):
     return _tagged(spark, d)
 
 
+@_query
+def quality_reasons_text_ids(spark, d):
+    """Ids that arrive as text, some of them no numbers, against numeric reference ids."""
+    orders = _bronze_dirty(spark, d)
+    for name in ("order_id", "customer_id", "product_id"):
+        text = F.col(name).cast("string")
+        orders = orders.withColumn(name, F.when(F.col(name) % 137 == 0, F.concat(F.lit("X"), text)).otherwise(text))
+    return quality.tag_reasons(
+        orders,
+        tm.TODAY,
+        tm.table(spark, d, "customer").select(F.col("c_custkey").alias("customer_id")),
+        tm.table(spark, d, "part").select(F.col("p_partkey").alias("product_id")),
+    )
+
+
 @_query
 def quality_reasons_row_only(spark, d):
     return quality.tag_row_reasons(tm.dirty_feed(spark, d), tm.TODAY)
@@ -380,7 +395,10 @@ def replace_partitions(spark, d):
     """Gold with the window's dates rebuilt from updated orders; emptied dates disappear."""
     before = stage(gold.daily_sales(_silver(spark, d)))
     updates = backfill.in_window(clean.silver_orders(tm.order_updates(spark, d)), *WINDOW)
-    after = stage(gold.daily_sales(updates.filter(F.dayofweek("order_date") != 1)))
+    sunday = F.dayofweek("order_date") == 1
+    moved = F.when(sunday, F.date_add("order_date", 1)).otherwise(F.col("order_date"))
+    shifted = updates.withColumn("order_date", moved)
+    after = stage(gold.daily_sales(shifted))
     days = backfill.affected_dates(backfill.in_window(before, *WINDOW), after)
     return backfill.replace_dates(before, after, days)
 

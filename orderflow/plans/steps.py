@@ -8,9 +8,12 @@ from __future__ import annotations
 
 import json
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date as calendar_day
+from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderflow.operators import audit, backfill, clean, gold, quality, scd2, versions
 from orderflow.schemas import (
@@ -22,8 +25,8 @@ from orderflow.schemas import (
 )
 from orderflow.sources import tables
 from orderflow.sources.files import CORRUPT_RECORD, read_csv
-from orderflow.sources.metric_log import append_records
-from orderflow.sources.staging import stage
+from orderflow.sources.metric_log import append_records, read_log
+from orderflow.sources.staging import stage, staging_scope
 
 DIMENSIONS = {
     "customers": (CUSTOMERS_RAW, "customer_id", CUSTOMER_COLUMNS, clean.clean_customers),
@@ -44,6 +47,12 @@ class Lake:
     start_date: str | None = None
     end_date: str | None = None
 
+    def __post_init__(self) -> None:
+        # Pinned once, so that all steps of the run and all their tables agree.
+        if self.as_of is None:
+            now = self.spark.sql("SELECT CAST(current_timestamp() AS STRING)").first()[0]
+            object.__setattr__(self, "as_of", now)
+
     def name(self, table: str) -> str:
         return f"{self.database}.{table}"
 
@@ -80,47 +89,75 @@ class Lake:
     def step_record(
         self, step: str, started: float, rows_read: int, inputs, target: str,
         rows_quarantined: int = 0, status: str = "success", write_mode: str | None = None,
-        rows_written: int | None = None,
+        rows_written: int = 0, days: frozenset = frozenset(),
     ) -> None:
-        """Row accounting of a step; ``rows_written`` is the size of the whole target by default,
-        which Parquet answers from file footers."""
-        written = self.table(target).count() if rows_written is None else rows_written
+        """Row accounting of a step, from the writes it made."""
         self.record(
             "step_metrics",
             {
-                "step": step, "status": status, "rows_read": rows_read, "rows_written": written,
+                "step": step, "status": status, "rows_read": rows_read, "rows_written": rows_written,
                 "rows_quarantined": rows_quarantined,
-                "duration_seconds": round(time.time() - started, 2),
+                "duration_seconds": time.time() - started,
                 "input_path": json.dumps(inputs) if isinstance(inputs, list) else inputs,
                 "output_path": target, "write_mode": write_mode, **self.window_fields(),
+                "affected_dates": _iso(days),
             },
         )
 
 
+def _iso(days: frozenset) -> list[str]:
+    return sorted(day.isoformat() for day in days if day)
+
+
+def _step(build: Callable) -> Callable:
+    """Drop what a step staged once it is done."""
+
+    @wraps(build)
+    def run(*args, **kwargs):
+        with staging_scope():
+            return build(*args, **kwargs)
+
+    return run
+
+
 def _operation(outcome: str) -> str:
     return "MERGE" if outcome == "merged" else "WRITE"
 
 
+def _parsed(lake: Lake, path: str, contract, table: str, batch: str) -> tuple[DataFrame, int]:
+    """A raw file parsed once; lines that do not fit are kept as they came, beside the table."""
+    feed = stage(read_csv(lake.spark, path, contract))
+    bad = feed.filter(F.col(CORRUPT_RECORD).isNotNull()).select(F.col(CORRUPT_RECORD).alias("line"))
+    return feed.drop(CORRUPT_RECORD), tables.publish_batch(bad, lake.name(f"{table}_corrupt"), batch)
+
+
+@_step
 def ingest_orders(lake: Lake, path: str, batch: str, step: str = "ingest_orders_bronze") -> str:
-    """Merge one raw order file into bronze; rows without an order id are kept beside it."""
+    """Merge one raw order file into bronze.
+
+    Rows without an order id are kept in ``orders_unkeyed`` and the text of malformed lines in
+    ``orders_corrupt``, one partition per batch.
+    """
     started = time.time()
-    feed, seen = tables.observed(lake.windowed(read_csv(lake.spark, path, ORDERS_RAW)))
-    # Staged once: both outputs below read it, and the file is parsed a single time.
-    normalized = stage(versions.normalize_orders(feed.drop(CORRUPT_RECORD), lake.as_of))
-    tables.publish_unkeyed(normalized, lake.name("orders_unkeyed"), batch)
+    feed, _ = _parsed(lake, path, ORDERS_RAW, "orders", batch)
+    window = lake.windowed(feed)
+    normalized = stage(versions.normalize_orders(window, lake.as_of))
+    unkeyed = tables.publish_unkeyed(normalized, lake.name("orders_unkeyed"), batch)
     keyed = versions.keep_latest(versions.with_key(normalized, "order_id"), "order_id")
-    outcome, rows = tables.publish_upsert(keyed, lake.name("orders_bronze"))
-    lake.log("orders_bronze", _operation(outcome), rows)
+    done = tables.publish_upsert(keyed, lake.name("orders_bronze"))
+    lake.log("orders_bronze", _operation(done.outcome), done.rows)
     lake.step_record(
-        step, started, tables.observed_rows(seen), path, "orders_bronze", write_mode=outcome
+        step, started, normalized.count(), path, "orders_bronze", write_mode=done.outcome,
+        rows_written=done.rows, rows_quarantined=unkeyed, days=done.days,
     )
-    return outcome
+    return done.outcome
 
 
+@_step
 def ingest_dimensions(lake: Lake, paths: dict[str, str]) -> None:
     started, read = time.time(), 0
     for name, path in paths.items():
-        feed = read_csv(lake.spark, path, DIMENSIONS[name][0]).drop(CORRUPT_RECORD)
+        feed, _ = _parsed(lake, path, DIMENSIONS[name][0], name, lake.run_id)
         rows = tables.publish_table(feed, lake.name(f"{name}_bronze"))
         lake.log(f"{name}_bronze", "WRITE", rows)
         read += rows
@@ -134,27 +171,32 @@ def check_history(lake: Lake, table: str = "orders_bronze") -> DataFrame:
     return audit.require_operations(lake.table("operations_log"), lake.name(table))
 
 
-def _replace(lake: Lake, df: DataFrame, table: str, days: DataFrame | None) -> str:
+def _replace(
+    lake: Lake, df: DataFrame, table: str, days: set | None, staged: bool = False
+) -> tables.Published:
     """The listed days in a backfill, everything otherwise."""
     if days is not None:
-        outcome, rows = tables.publish_dates(df, lake.name(table), days)
+        done = tables.publish_dates(df, lake.name(table), days, staged=staged)
     else:
-        outcome, rows = "overwrite", tables.publish_all_dates(df, lake.name(table))
-    lake.log(table, "WRITE", rows)
-    return outcome
+        done = tables.publish_all_dates(df, lake.name(table), staged=staged)
+    lake.log(table, "WRITE", done.rows)
+    return done
 
 
-def _days(lake: Lake, source: DataFrame, *published: str) -> DataFrame:
-    """Days of the source and of what was published before, within the window: a day that lost all
+def _days(lake: Lake, *published: str) -> set | None:
+    """In a backfill, the window's days in the named tables, from the catalog: a day that lost all
     its rows is rebuilt too."""
-    frames = [source] + [lake.windowed(lake.table(t)) for t in published if lake.has(t)]
-    return stage(backfill.affected_dates(*frames))
-
-
-def _backfill_days(lake: Lake, source: DataFrame, *published: str) -> DataFrame | None:
-    return _days(lake, source, *published) if lake.is_backfill else None
+    if not lake.is_backfill:
+        return None
+    low = calendar_day.fromisoformat(lake.start_date) if lake.start_date else calendar_day.min
+    high = calendar_day.fromisoformat(lake.end_date) if lake.end_date else calendar_day.max
+    found = set()
+    for table in filter(lake.has, published):
+        found |= tables.stored_days(lake.spark, lake.name(table), "order_date")
+    return {day for day in found if day and low <= day <= high}
 
 
+@_step
 def validate_orders(
     lake: Lake, threshold: float = quality.DEFAULT_THRESHOLD, today: str | None = None,
     summary_path: str | None = None,
@@ -162,26 +204,33 @@ def validate_orders(
     """Split bronze into validated and quarantined rows; fails after publishing when too many rows
     are invalid. Returns the one-row summary."""
     started = time.time()
+    today = today or lake.spark.sql("SELECT CAST(current_date() AS STRING)").first()[0]
+    days = _days(lake, "orders_bronze", "orders_validated", "orders_quarantine")
     bronze = lake.table("orders_bronze")
     if lake.has("orders_unkeyed"):
-        bronze = bronze.unionByName(lake.table("orders_unkeyed").drop("batch"))
+        unkeyed = lake.table("orders_unkeyed").drop("batch")
+        bronze = bronze.unionByName(unkeyed)
+        if days is not None:
+            dated = lake.windowed(unkeyed).select("order_date").distinct().collect()
+            days |= {row[0] for row in dated}
     orders = lake.windowed(bronze)
-    tagged = quality.tag_reasons(
-        orders, today,
-        lake.table("customers_bronze").select("customer_id"),
-        lake.table("products_bronze").select("product_id"),
+    # Tagged once; everything below reads the staged rows.
+    tagged = stage(
+        quality.tag_reasons(
+            orders, today,
+            lake.table("customers_bronze").select("customer_id"),
+            lake.table("products_bronze").select("product_id"),
+        )
     )
-    # Only the small invalid part is staged. The valid part is tagged again while it is written,
-    # which costs a scan; staging it would write the whole feed a second time.
-    quarantined = stage(quality.quarantined_rows(tagged))
-    summary = stage(quality.summary(quarantined, threshold, total_rows=orders.count()))
-    days = _backfill_days(lake, orders, "orders_validated", "orders_quarantine")
-    valid_mode = _replace(lake, quality.valid_rows(tagged), "orders_validated", days)
-    _replace(lake, quarantined, "orders_quarantine", days)
+    summary = stage(quality.summary(tagged, threshold))
+    valid = _replace(lake, quality.valid_rows(tagged), "orders_validated", days, staged=True)
+    bad = _replace(lake, quality.quarantined_rows(tagged), "orders_quarantine", days, staged=True)
     if summary_path:
         tables.write_document(quality.summary_document(summary, orders), summary_path)
-    row = summary.collect()[0].asDict()
+    found = summary.collect()[0]
+    row = found.asDict()
     counts = dict(row["quarantine_reason_counts"])
+    touched = valid.days | bad.days
     lake.record(
         "orders_data_quality",
         {
@@ -192,72 +241,84 @@ def validate_orders(
             "quarantine_path": lake.name("orders_quarantine"),
             "validated_path": lake.name("orders_validated"),
             **lake.window_fields(),
+            "affected_dates": _iso(touched),
         },
     )
     lake.step_record(
         "validate_orders", started, row["total_rows"],
         [lake.name(t) for t in ("orders_bronze", "customers_bronze", "products_bronze")],
-        "orders_validated", rows_quarantined=row["invalid_rows"], write_mode=valid_mode,
+        "orders_validated", rows_quarantined=row["invalid_rows"], write_mode=valid.outcome,
         status="success" if row["threshold_passed"] else "failed",
-        rows_written=row["valid_rows"],
+        rows_written=row["valid_rows"], days=touched,
     )
     quality.enforce_threshold(row)
-    return summary
+    return lake.spark.createDataFrame([found], summary.schema)
 
 
+@_step
 def build_silver_orders(lake: Lake) -> None:
     started = time.time()
-    validated = lake.windowed(lake.table("orders_validated"))
-    days = _backfill_days(lake, validated, "orders_silver")
-    mode = _replace(lake, clean.silver_orders(validated), "orders_silver", days)
+    validated, seen = tables.observed(lake.windowed(lake.table("orders_validated")))
+    days = _days(lake, "orders_validated", "orders_silver")
+    done = _replace(lake, clean.silver_orders(validated), "orders_silver", days)
     lake.step_record(
-        "silver_orders", started, validated.count(), "orders_validated", "orders_silver",
-        write_mode=mode,
+        "silver_orders", started, tables.observed_rows(seen), "orders_validated", "orders_silver",
+        write_mode=done.outcome, rows_written=done.rows, days=done.days,
     )
 
 
+@_step
 def merge_dimensions(lake: Lake, guard: bool = True) -> None:
-    started, read, written = time.time(), 0, 0
+    """Merge the raw dimensions into the type 2 tables.
+
+    Rows without a key are kept in ``<name>_unkeyed``, one partition per run, and versions older than
+    the current one in ``<name>_silver_late``; both count as quarantined.
+    """
+    started, read, written, apart = time.time(), 0, 0, 0
     for name, (_, key, columns, cleaner) in DIMENSIONS.items():
-        bronze = lake.table(f"{name}_bronze")
+        bronze = stage(cleaner(lake.table(f"{name}_bronze")))
         read += bronze.count()
-        prepared = stage(versions.prepare_dimension(cleaner(bronze), key, columns, lake.as_of))
-        outcome, rows = tables.publish_dimension(
+        apart += tables.publish_unkeyed(bronze, lake.name(f"{name}_unkeyed"), lake.run_id, key)
+        prepared = stage(versions.prepare_dimension(bronze, key, columns, lake.as_of))
+        done, late = tables.publish_dimension(
             prepared, lake.name(f"{name}_silver"), key, columns, guard
         )
-        lake.log(f"{name}_silver", _operation(outcome), rows)
-        written += rows
+        lake.log(f"{name}_silver", _operation(done.outcome), done.rows)
+        written += done.rows
+        apart += late
     lake.step_record(
         "silver_customers_products", started, read, ["customers_bronze", "products_bronze"],
-        "silver dimensions", rows_written=written,
+        "silver dimensions", rows_written=written, rows_quarantined=apart,
     )
 
 
-def _publish_gold(lake: Lake, step: str, report: DataFrame, table: str) -> None:
+def _publish_gold(
+    lake: Lake, step: str, table: str, build: Callable[[DataFrame], DataFrame]
+) -> None:
     """Replace the report's dates; outside a backfill that is every date it has or had."""
     started = time.time()
-    silver = lake.windowed(lake.table("orders_silver"))
-    days = _days(lake, silver, table)
-    outcome, rows = tables.publish_dates(report, lake.name(table), days)
-    lake.log(table, "WRITE", rows)
+    silver, seen = tables.observed(lake.windowed(lake.table("orders_silver")))
+    done = _replace(lake, build(silver), table, _days(lake, "orders_silver", table))
     lake.step_record(
-        step, started, silver.count(), "orders_silver", table, write_mode=outcome
+        step, started, tables.observed_rows(seen), "orders_silver", table,
+        write_mode=done.outcome, rows_written=done.rows, days=done.days,
     )
 
 
+@_step
 def build_daily_sales(lake: Lake) -> None:
-    silver = lake.windowed(lake.table("orders_silver"))
-    _publish_gold(lake, "gold_daily_sales", gold.daily_sales(silver), "daily_sales_summary")
+    _publish_gold(lake, "gold_daily_sales", "daily_sales_summary", gold.daily_sales)
 
 
+@_step
 def build_revenue(lake: Lake) -> None:
-    silver = lake.windowed(lake.table("orders_silver"))
-    report = gold.revenue_by_category_country(
-        silver,
-        scd2.current(lake.table("customers_silver")),
-        scd2.current(lake.table("products_silver")),
+    customers, products = (
+        scd2.current(lake.table(f"{name}_silver")) for name in ("customers", "products")
+    )
+    _publish_gold(
+        lake, "gold_revenue", "revenue_by_category_country",
+        lambda silver: gold.revenue_by_category_country(silver, customers, products),
     )
-    _publish_gold(lake, "gold_revenue", report, "revenue_by_category_country")
 
 
 def collect_gold_metrics(lake: Lake) -> dict:
@@ -281,3 +342,32 @@ def collect_gold_metrics(lake: Lake) -> dict:
     lake.record("gold_sales_metrics", metrics)
     lake.record("freshness_metrics", fresh)
     return metrics
+
+
+def record_run(lake: Lake) -> dict:
+    """Append the run's record, derived from the step records of the run."""
+    steps = (
+        read_log(lake.spark, lake.metrics_path, "step_metrics")
+        .filter(F.col("run_id") == lake.run_id)
+        .select("step", "status", "duration_seconds", "timestamp", "record_id")
+        .orderBy("timestamp", "record_id")
+        .collect()
+    )
+    failed = [row.step for row in steps if row.status != "success"]
+    fields = {
+        "status": "failed" if failed else "success",
+        "duration_seconds": sum(row.duration_seconds or 0.0 for row in steps),
+        "started_at": steps[0].timestamp if steps else None,
+        "ended_at": steps[-1].timestamp if steps else None,
+        "total_steps": len(steps),
+        "successful_steps": len(steps) - len(failed),
+        "failed_steps": len(failed),
+        "skipped_steps": 0,
+        "skipped_steps_list": [],
+        "failed_step": failed[0] if failed else None,
+        "selected_steps": [row.step for row in steps],
+        "backfill_start_date": lake.start_date,
+        "backfill_end_date": lake.end_date,
+    }
+    lake.record("pipeline_runs", fields)
+    return fields

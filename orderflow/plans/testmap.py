@@ -21,9 +21,8 @@ LOG_AS_OF = "2024-02-01 00:00:00"
 NEW_KEY_OFFSET = 1_000_000_000
 UNKNOWN_OFFSET = 1_000_000_000
 STEPS = (
-    "ingest_orders_bronze", "ingest_customers_products_bronze", "bronze_merge",
-    "check_history", "validate_orders", "silver_orders", "silver_customers_products",
-    "gold_daily_sales", "gold_revenue", "collect_gold_metrics",
+    "load_orders", "load_dimensions", "merge_load", "audit_history", "split_orders",
+    "type_orders", "merge_dimensions", "report_daily_sales", "report_revenue", "report_totals",
 )
 EVENT_METRICS = {
     "view": "step_metrics",
@@ -38,23 +37,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return apply_settings(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a small input as many tasks as there are cores.
-
-    The supplied files hold one row group each, so a scan is one task whatever its size. A table
-    with at least as many splits as cores, which is every large one, is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def _every(n: int, key: str) -> Column:
     return F.col(key) % n == 0
 
 
 def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item; ids repeat naturally."""
-    lines = _spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     status = F.when(F.col("o_orderstatus") == "F", "completed").when(
         F.col("o_orderstatus") == "O", "cancelled"
@@ -155,12 +144,6 @@ def products_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def first_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare_dimension(
-        customers_feed(spark, sf_dir), "customer_id", CUSTOMER_COLUMNS, FIRST_LOAD
-    )
-
-
 def first_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare_dimension(
         products_feed(spark, sf_dir), "product_id", PRODUCT_COLUMNS, FIRST_LOAD
@@ -197,6 +180,25 @@ def customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _history(customers_feed(spark, sf_dir), "customer_id", "country", CUSTOMER_COLUMNS)
 
 
+def customer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history as a merge target: every 19th customer has closed versions only, and every 23rd
+    has closed versions without a flag."""
+    history = customer_history(spark, sf_dir)
+    all_closed = _every(19, "customer_id")
+    unflagged = _every(23, "customer_id") & F.col("valid_to").isNotNull()
+    ended = F.lit(FIRST_LOAD).cast("timestamp")
+    return history.withColumns(
+        {
+            "is_current": F.when(all_closed, F.lit(False))
+            .when(unflagged, F.lit(None))
+            .otherwise(F.col("is_current")),
+            "valid_to": F.when(all_closed, F.coalesce("valid_to", ended)).otherwise(
+                F.col("valid_to")
+            ),
+        }
+    )
+
+
 def product_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _history(products_feed(spark, sf_dir), "product_id", "category", PRODUCT_COLUMNS)
 
@@ -260,7 +262,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("invalid_status"), (F.col("k") % 7).cast("bigint"),
         F.lit("unknown_customer_id"), F.col("event_id") % 13,
     )
-    events = _spread(table(spark, sf_dir, "events"), "event_id").withColumns({"k": k, "metric_name": metric})
+    events = table(spark, sf_dir, "events").withColumns({"k": k, "metric_name": metric})
     status = (
         F.when(F.col("k") % 40 == 7, F.lit(None))
         .when(F.col("k") % 10 == 0, "failed")

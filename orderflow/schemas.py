@@ -15,18 +15,20 @@ def struct_of(**fields: T.DataType) -> T.StructType:
 
 
 ORDERS_RAW = struct_of(
-    order_id=_INT,
-    customer_id=_INT,
-    product_id=_INT,
+    order_id=_LONG,
+    customer_id=_LONG,
+    product_id=_LONG,
     order_date=_DATE,
     quantity=_INT,
     unit_price=_DOUBLE,
     status=_TEXT,
 )
 CUSTOMERS_RAW = struct_of(
-    customer_id=_INT, customer_name=_TEXT, email=_TEXT, country=_TEXT, signup_date=_DATE
+    customer_id=_LONG, customer_name=_TEXT, email=_TEXT, country=_TEXT, signup_date=_DATE
+)
+PRODUCTS_RAW = struct_of(
+    product_id=_LONG, product_name=_TEXT, category=_TEXT, unit_cost=_DOUBLE
 )
-PRODUCTS_RAW = struct_of(product_id=_INT, product_name=_TEXT, category=_TEXT, unit_cost=_DOUBLE)
 
 ORDER_COLUMNS = ORDERS_RAW.fieldNames()
 CUSTOMER_COLUMNS = CUSTOMERS_RAW.fieldNames()
@@ -180,7 +182,7 @@ def schema_error_rows(orders: DataFrame) -> list[tuple[str, str, str, str]]:
     for name, accepted in ACCEPTED_ORDER_TYPES.items():
         if name not in present:
             errors.append(
-                ("schema", name, "missing_required_column", f"Missing required column: {name}")
+                ("schema", name, "missing_required_column", f"The feed has no column {name}")
             )
         elif not isinstance(present[name], accepted):
             wanted = ", ".join(kind.typeName() for kind in accepted)

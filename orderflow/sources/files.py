@@ -2,33 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from functools import reduce
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 CORRUPT_RECORD = "_corrupt_record"
 
 
+def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """The feed's files, those with the same header line together (a job over the first blocks)."""
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.monotonically_increasing_id().alias("at"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+    headers = (
+        lines.where("block = 0")
+        .groupBy("file")
+        .agg(F.min_by("value", "at").alias("header"))
+        .groupBy("header")
+        .agg(F.collect_list("file").alias("files"))
+    )
+    return [[unquote(file) for file in row.files] for row in headers.collect()]
+
+
 def read_csv(
     spark: SparkSession, path: str, contract: T.StructType | None = None
 ) -> DataFrame:
-    """Read a CSV feed with a header row.
+    """Read a CSV feed with a header row in every file.
 
-    With a contract there is no inference pass over the data: the header alone is looked at, so
-    that columns may come in any order and extra ones (an update time) are kept as text. Values
-    that do not fit become NULL and their line is kept in ``_corrupt_record``. Without a contract
-    the types are inferred, which is how the raw contract is checked.
+    With a contract there is no inference pass over the data. The columns of each file are named by
+    its own header, so they may come in any order and extra ones (an update time) are kept as text;
+    files with different headers are read apart and united by column name. Values that do not fit
+    become NULL and their line is kept in ``_corrupt_record``. Without a contract the types are
+    inferred, which is how the raw contract is checked.
     """
     reader = spark.read.option("header", True)
     if contract is None:
         return reader.option("inferSchema", True).csv(path)
+    groups = _files_by_header(spark, path)
+    if not groups:
+        empty = T.StructType([*contract.fields, T.StructField(CORRUPT_RECORD, T.StringType())])
+        return spark.createDataFrame([], empty)
     types = {field.name: field.dataType for field in contract.fields}
-    header = reader.csv(path).columns
-    fields = [T.StructField(name, types.get(name, T.StringType())) for name in header]
-    return (
-        reader.schema(T.StructType(fields + [T.StructField(CORRUPT_RECORD, T.StringType())]))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-        .csv(path)
-    )
+    parts = []
+    for files in groups:
+        header = spark.read.option("header", True).csv(files[0]).columns
+        fields = [T.StructField(name, types.get(name, T.StringType())) for name in header]
+        schema = T.StructType([*fields, T.StructField(CORRUPT_RECORD, T.StringType())])
+        parts.append(
+            spark.read.option("header", True)
+            .schema(schema)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
+            .csv(path if len(groups) == 1 else files)
+        )
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
@@ -36,7 +67,3 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     if "/" in name_or_path:
         return spark.read.parquet(name_or_path)
     return spark.table(name_or_path)
-
-
-def rows_to_frame(spark: SparkSession, rows: list, schema: T.StructType | str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)

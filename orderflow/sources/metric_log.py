@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from orderflow.functions.values import as_timestamp
 from orderflow.schemas import METRIC_LOG, METRIC_SCHEMAS
@@ -33,12 +33,29 @@ def append_frame(records: DataFrame, path: str) -> None:
     records.write.mode("append").partitionBy("metric_name").json(path)
 
 
-def parse_records(lines: DataFrame) -> DataFrame:
-    """Parse a frame with a text column ``value``; blank and malformed lines are left out."""
-    well_formed = lines.filter(F.json_object_keys("value").isNotNull())
-    parsed = well_formed.withColumn("_r", F.from_json("value", METRIC_LOG))
+_MALFORMED = "_malformed"
+
+
+def parse_records(lines: DataFrame, metric_names: tuple[str, ...] = ()) -> DataFrame:
+    """Parse a frame with a text column ``value``; blank and malformed lines are left out.
+
+    Each line is parsed once, with only the named types' fields if there are any; the other columns
+    of the log are NULL then.
+    """
+    wanted = {f.name for n in metric_names or METRIC_SCHEMAS for f in METRIC_SCHEMAS[n].fields}
+    schema = T.StructType(
+        [f for f in METRIC_LOG.fields if f.name in wanted]
+        + [T.StructField(_MALFORMED, T.StringType())]
+    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _MALFORMED}
+    parsed = lines.withColumn("_r", F.from_json("value", schema, options)).filter(
+        F.col("_r").isNotNull() & F.col(f"_r.{_MALFORMED}").isNull() & F.startswith(F.ltrim("value"), F.lit("{"))
+    )
     carried = [name for name in ("source_file",) if name in lines.columns]
-    fields = [F.col(f"_r.{name}").alias(name) for name in METRIC_LOG.fieldNames()]
+    fields = [
+        (F.col(f"_r.{f.name}") if f.name in wanted else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in METRIC_LOG.fields
+    ]
     if "metric_name" in lines.columns:
         at = METRIC_LOG.fieldNames().index("metric_name")
         fields[at] = F.coalesce(F.col("_r.metric_name"), F.col("metric_name")).alias("metric_name")
@@ -50,7 +67,14 @@ def parse_records(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """All records under a folder, flat files or partitioned by type, with their file name."""
-    lines = spark.read.text(path).withColumn("source_file", F.col("_metadata.file_name"))
-    return parse_records(lines)
+def read_log(spark: SparkSession, path: str, *metric_names: str) -> DataFrame:
+    """All records under a folder, flat files or partitioned by type, with their file name.
+
+    With record types named, only their partitions are read and only their fields parsed.
+    """
+    lines = spark.read.text(path)
+    if metric_names and "metric_name" in lines.columns:
+        lines = lines.filter(F.col("metric_name").isin(*metric_names))
+    lines = lines.withColumn("source_file", F.col("_metadata.file_name"))
+    records = parse_records(lines, metric_names)
+    return records.filter(F.col("metric_name").isin(*metric_names)) if metric_names else records

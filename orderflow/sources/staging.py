@@ -2,25 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: str | None = None
+_open_scopes: list[list[tuple[SparkSession, str]]] = []
 
 
 def work_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only for unset local sessions."""
-    global _local_root
+    """The shared folder the cluster names; beside the warehouse, which is shared too, if unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="orderflow-")
-    return _local_root
+    return (root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-work").rstrip("/")
 
 
 def stage(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -28,10 +22,30 @@ def stage(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
 
     The copy survives the loss of any executor, cuts lineage, and has a file size the planner
     knows, so a later join broadcasts it only when it really is small. Copies are grouped by
-    application, so the storage's retention can drop those of finished ones.
+    application and dropped at the end of the ``staging_scope`` they were made in, if there is one.
     """
     spark = df.sparkSession
     application = spark.sparkContext.applicationId
     path = f"{work_root(spark)}/orderflow/{application}/{uuid.uuid4().hex}"
+    if _open_scopes:
+        _open_scopes[-1].append((spark, path))
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def staging_scope() -> Iterator[None]:
+    """Drop the copies staged inside; frames that read them must have been written or collected."""
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        for spark, path in _open_scopes.pop():
+            delete_folder(spark, path)

@@ -1,9 +1,11 @@
 """Publishing: every function here runs jobs.
 
-Tables are catalog tables over Parquet, partitioned by date where the contract says so. Spark's
-dynamic partition overwrite writes the new files completely before it swaps the directories in, so
-a table may be read by the query that replaces some of its dates. Dropping dates that became empty
-is a second statement; should a run die in between, running it again completes the change.
+Tables are catalog tables over Parquet, partitioned by date where the contract says so. A whole table is
+replaced by writing a fresh folder and pointing the catalog there; the old folder is deleted last. For
+single dates, Spark's dynamic partition overwrite writes the new files completely before it swaps the
+directories in. What is published is evaluated once: the rows are staged, their dates are taken
+from the staged copy, and so is what the table gets. Dropping dates that became empty is a second
+statement; should a run die in between, running it again completes the change.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 import uuid
 from contextlib import contextmanager
 from datetime import date as calendar_day
+from typing import NamedTuple
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -18,20 +21,30 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from orderflow.operators import scd2, upsert as merging, versions
 from orderflow.operators.audit import OPERATIONS_LOG
 from orderflow.schemas import DIMENSION_METADATA_COLUMNS, INGESTION_COLUMNS
-from orderflow.sources.staging import stage
+from orderflow.sources.staging import delete_folder, stage
+
+# Partitions named in one statement.
+DDL_BATCH = 300
 
 
 class PartitioningMismatch(ValueError):
     """The stored table is not partitioned the way a partition replacement needs."""
 
 
+class Published(NamedTuple):
+    """Outcome of a publication, rows written, and the days that were written or dropped."""
+
+    outcome: str
+    rows: int
+    days: frozenset = frozenset()
+
+
 def partition_columns(spark: SparkSession, name_or_path: str) -> list[str]:
-    """Partition columns of a catalog table, or of a folder from the directory names in it."""
+    """Partition columns of a catalog table, or of a folder: those its files do not hold."""
     if "/" not in name_or_path:
         return [c.name for c in spark.catalog.listColumns(name_or_path) if c.isPartition]
-    files = spark.read.parquet(name_or_path).select("_metadata.file_path").limit(1).collect()
-    below = files[0][0].split(name_or_path.rstrip("/"), 1)[1] if files else ""
-    return [part.split("=", 1)[0] for part in below.split("/") if "=" in part]
+    held = spark.read.option("recursiveFileLookup", True).parquet(name_or_path).columns
+    return [name for name in spark.read.parquet(name_or_path).columns if name not in held]
 
 
 def _laid_out(df: DataFrame, partition_by: list[str]) -> DataFrame:
@@ -53,42 +66,42 @@ def observed_rows(seen: Observation) -> int:
         return 0
 
 
-def publish_table(df: DataFrame, table: str, partition_by: list[str] | None = None) -> int:
-    """Create a table or replace all of it, schema included; returns the rows written.
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0].data_type
 
-    Spark refuses a frame that reads the table it replaces: use ``switch_table`` or
-    ``publish_all_dates``, which also keep the old content until the new one is complete.
-    """
-    counted, seen = observed(df)
-    writer = _laid_out(counted, partition_by or []).write.format("parquet").mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
-    return observed_rows(seen)
 
+def publish_table(df: DataFrame, table: str, partition_by: list[str] | None = None) -> int:
+    """Create a table or replace all of it, schema included; returns the rows written.
 
-def switch_table(df: DataFrame, table: str) -> int:
-    """Replace an unpartitioned table by a frame that may read it.
-
-    The new state goes to a fresh folder and the catalog entry is then pointed there, so readers
-    see the old or the new table and a failed run leaves the old one. The replaced folder is left
-    to the storage's retention rules.
+    The rows go to a fresh folder before the catalog entry changes, so the frame may read the table
+    it replaces, and a write that fails leaves the old table as it was. The old folder is deleted
+    after the switch.
     """
-    spark = df.sparkSession
-    if not spark.catalog.tableExists(table):
-        return publish_table(df, table)
+    spark, keys = df.sparkSession, partition_by or []
     root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     path = f"{root}/{table.replace('.', '/')}-{uuid.uuid4().hex}"
-    counted, seen = observed(df.select(*spark.table(table).columns))
-    counted.write.parquet(path)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-    spark.catalog.refreshTable(table)
+    counted, seen = observed(df)
+    _laid_out(counted, keys).write.partitionBy(*keys).parquet(path)
+    old = _location(spark, table) if spark.catalog.tableExists(table) else None
+    fields = sorted(df.schema.fields, key=lambda field: field.name in keys)
+    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in fields)
+    by = f"PARTITIONED BY ({', '.join(f'`{name}`' for name in keys)})" if keys else ""
+    if old is not None:
+        spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {by} LOCATION '{path}'")
+    if keys:
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    if old is not None:
+        delete_folder(spark, old)
     return observed_rows(seen)
 
 
 def _drop_dates(spark: SparkSession, table: str, dates: set, date: str) -> None:
-    if dates:
-        values = [f"DATE '{day.isoformat()}'" if day else "NULL" for day in dates]
+    ordered = sorted(dates, key=str)
+    for at in range(0, len(ordered), DDL_BATCH):
+        part = ordered[at : at + DDL_BATCH]
+        values = [f"DATE '{day.isoformat()}'" if day else "NULL" for day in part]
         clauses = ", ".join(f"PARTITION ({date} = {value})" for value in values)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {clauses}")
 
@@ -98,31 +111,34 @@ def _days(df: DataFrame, date: str) -> set:
     return {row[0] for row in df.select(date).distinct().collect()}
 
 
-def _stored_days(spark: SparkSession, table: str, date: str) -> set:
+def stored_days(spark: SparkSession, table: str, date: str) -> set:
     """Days a table has partitions for, from the catalog; None for the partition of NULL."""
     names = [row[0].partition("=")[2] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
     return {None if name.startswith("__") else calendar_day.fromisoformat(name) for name in names}
 
 
-def _replace_days(df: DataFrame, table: str, date: str, listed: set | None = None) -> int:
+def _replace_days(
+    df: DataFrame, table: str, date: str, listed: set | None = None, staged: bool = False
+) -> tuple[int, frozenset]:
     """Swap in the days the rows have and drop the listed days (by default all) they have no more.
 
-    The days are found by a query of their own, for which Spark reads little more than the date:
-    what may be dropped must not depend on a metric that a write happens to report.
+    The frame is evaluated once, by staging it (unless it is a scan of a staged copy already).
     """
     spark = df.sparkSession
-    present = _days(df, date)
+    rows = df.select(*spark.table(table).columns)
+    if not staged:
+        rows = stage(rows)
+    present = _days(rows, date)
     if listed is None:
-        listed = _stored_days(spark, table, date) | present
+        listed = stored_days(spark, table, date) | present
     outside = sorted(str(day) for day in present - listed)
     if outside:
         raise ValueError(f"rows outside the dates to replace in {table}: {outside[:5]}")
-    counted, seen = observed(df.select(*spark.table(table).columns))
     if present:
         with _dynamic_overwrite(spark):
-            _laid_out(counted, [date]).write.mode("overwrite").insertInto(table)
+            _laid_out(rows, [date]).write.mode("overwrite").insertInto(table)
     _drop_dates(spark, table, listed - present, date)
-    return observed_rows(seen) if present else 0
+    return rows.count(), frozenset(listed)
 
 
 @contextmanager
@@ -144,91 +160,143 @@ def _require_partitioning(spark: SparkSession, table: str, date: str) -> None:
         raise PartitioningMismatch(f"{table} is partitioned by {found}, not by ['{date}']")
 
 
+def _created(df: DataFrame, table: str, date: str, outcome: str = "created") -> Published:
+    rows = publish_table(df, table, [date])
+    return Published(outcome, rows, frozenset(stored_days(df.sparkSession, table, date)))
+
+
 def publish_dates(
-    df: DataFrame, table: str, dates: DataFrame, date: str = "order_date"
-) -> tuple[str, int]:
+    df: DataFrame, table: str, dates: DataFrame | set, date: str = "order_date", staged: bool = False
+) -> Published:
     """Replace exactly the listed dates of a table with the rows of ``df``.
 
-    Returns the outcome (``skipped``, ``created`` or ``replaced_partitions``) and the rows written.
-    A table with other partition columns is refused, because rewriting it from a window of rows
-    would lose all other dates; so is a row outside the listed dates.
+    The outcome is ``skipped``, ``created`` or ``replaced_partitions``. A table with other partition
+    columns is refused, because rewriting it from a window of rows would lose all other dates; so is
+    a row outside the listed dates. ``staged`` says that the frame is a scan of a stored copy.
     """
     spark = df.sparkSession
-    listed = _days(dates, date) - {None}
+    listed = (dates if isinstance(dates, set) else _days(dates, date)) - {None}
     if not listed:
-        return "skipped", 0
+        return Published("skipped", 0)
     if not spark.catalog.tableExists(table):
-        return "created", publish_table(df, table, [date])
+        return _created(df, table, date)
     _require_partitioning(spark, table, date)
-    return "replaced_partitions", _replace_days(df, table, date, listed)
+    return Published("replaced_partitions", *_replace_days(df, table, date, listed, staged))
 
 
-def publish_all_dates(df: DataFrame, table: str, date: str = "order_date") -> int:
+def publish_all_dates(
+    df: DataFrame, table: str, date: str = "order_date", staged: bool = False
+) -> Published:
     """Replace every date of a table; the old content stays until the new one is written.
 
     A table whose columns differ is created anew with the frame's schema.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table) or set(spark.table(table).columns) != set(df.columns):
-        return publish_table(df, table, [date])
+        return _created(df, table, date)
     _require_partitioning(spark, table, date)
-    return _replace_days(df, table, date)
+    return Published("overwrite", *_replace_days(df, table, date, staged=staged))
 
 
 def publish_upsert(
     updates: DataFrame, table: str, key: str = "order_id", date: str = "order_date"
-) -> tuple[str, int]:
+) -> Published:
     """Merge prepared updates into a date-partitioned table, rewriting only the dates they touch.
 
-    Returns ``created``, ``migrated`` (the table had no metadata columns yet) or ``merged``, and
-    the rows written.
+    The outcome is ``created``, ``migrated`` (the table had no metadata columns yet) or ``merged``.
     """
     spark = updates.sparkSession
     if not spark.catalog.tableExists(table):
-        return "created", publish_table(updates, table, [date])
+        return _created(updates, table, date)
     target = spark.table(table)
     if versions.lacks_metadata(target, INGESTION_COLUMNS):
-        migrated = stage(versions.migrate_orders(target, updates))
-        return "migrated", publish_table(migrated, table, [date])
+        return _created(versions.migrate_orders(target, updates), table, date, "migrated")
     changes = stage(merging.changed_rows(target, stage(updates), key, date))
     dates = stage(merging.touched_dates(changes, date))
     touched = _days(dates, date)
     if not touched:
-        return "merged", 0
+        return Published("merged", 0)
     # A literal list lets the scan skip all other partitions while it is planned.
     named = F.col(date).isin(*[day for day in touched if day])
     pruned = target.filter(named | F.col(date).isNull() if None in touched else named)
     content = merging.rows_of_dates(pruned, changes, dates, key, date)
-    return "merged", _replace_days(content, table, date, touched)
+    return Published("merged", *_replace_days(content, table, date, touched))
+
+
+def publish_unconditional(
+    updates: DataFrame, table: str, key: str = "order_id", date: str = "order_date"
+) -> Published:
+    """Replace rows by key whatever their age and add new ones; all dates are published again."""
+    spark = updates.sparkSession
+    if not spark.catalog.tableExists(table):
+        return _created(updates, table, date)
+    merged = merging.upsert_unconditional(spark.table(table), updates, key)
+    return Published("merged", *publish_all_dates(merged, table, date)[1:])
 
 
 def publish_dimension(
     updates: DataFrame, table: str, key: str, business_columns: list[str], guard: bool = True
-) -> tuple[str, int]:
-    """Merge prepared versions into a type 2 dimension; outcomes as for ``publish_upsert``."""
-    spark = updates.sparkSession
+) -> tuple[Published, int]:
+    """Merge prepared versions into a type 2 dimension; also returns the number of late versions.
+
+    The table is partitioned by ``is_current``. Newly closed versions are appended to the closed
+    ones, whose files are left alone, unless a run that died had appended them before; then the
+    current ones are replaced. With ``guard``, versions that start before the current one are kept in
+    a table of their own, with ``_late`` added to the name, one partition per day of arrival.
+    """
+    spark, flag = updates.sparkSession, "is_current"
     if not spark.catalog.tableExists(table):
-        return "created", publish_table(updates, table)
+        return Published("created", publish_table(updates, table, [flag])), 0
     target = spark.table(table)
     if versions.lacks_metadata(target, DIMENSION_METADATA_COLUMNS):
         migrated = versions.migrate_dimension(target, updates, key, business_columns)
-        return "migrated", publish_table(stage(migrated), table)
-    return "merged", switch_table(scd2.scd2_merge(target, updates, key, guard), table)
+        return Published("migrated", publish_table(migrated, table, [flag])), 0
+    if partition_columns(spark, table) != [flag]:
+        publish_table(target, table, [flag])
+        target = spark.table(table)
+    late = stage(scd2.late_versions(target, updates, key)) if guard else None
+    merged = stage(scd2.merge_current(target, updates, key, guard).select(*target.columns))
+    same = [key, "valid_from", "record_hash"]
+    closed = merged.filter(f"NOT {flag}").join(
+        target.filter(f"NOT {flag}").select(*same), same, "left_anti"
+    )
+    closed.select(*target.columns).write.insertInto(table)
+    with _dynamic_overwrite(spark):
+        merged.filter(flag).write.mode("overwrite").insertInto(table)
+    late_rows = late.count() if guard else 0
+    if late_rows:
+        _keep_apart(late, f"{table}_late", "ingestion_date")
+    return Published("merged", merged.count()), late_rows
+
+
+def _keep_apart(rows: DataFrame, table: str, partition: str) -> None:
+    spark = rows.sparkSession
+    if not spark.catalog.tableExists(table):
+        publish_table(rows, table, [partition])
+        return
+    with _dynamic_overwrite(spark):
+        rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
 
 
-def publish_unkeyed(normalized: DataFrame, table: str, batch: str, key: str = "order_id") -> int:
-    """Keep a batch's rows without a key beside the merged table.
+def publish_batch(rows: DataFrame, table: str, batch: str) -> int:
+    """Keep rows that cannot be merged beside a table, in one partition per batch.
 
-    All of them are kept, and replaying a batch replaces its own partition only.
+    Replaying a batch replaces its partition, and removes it if there are no such rows any more.
     """
-    spark = normalized.sparkSession
-    counted, seen = observed(versions.without_key(normalized, key).withColumn("batch", F.lit(batch)))
-    if not spark.catalog.tableExists(table):
-        counted.write.format("parquet").partitionBy("batch").saveAsTable(table)
-    else:
-        with _dynamic_overwrite(spark):
-            counted.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
-    return observed_rows(seen)
+    spark = rows.sparkSession
+    kept = stage(rows.withColumn("batch", F.lit(batch)))
+    count = kept.count()
+    if count:
+        _keep_apart(kept, table, "batch")
+    elif spark.catalog.tableExists(table):
+        name = batch.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (batch = '{name}')")
+    return count
+
+
+def publish_unkeyed(normalized: DataFrame, table: str, batch: str, key: str = "order_id") -> int:
+    """Keep a batch's rows without a key beside the merged table, all of them."""
+    return publish_batch(versions.without_key(normalized, key), table, batch)
 
 
 def log_operation(

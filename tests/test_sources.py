@@ -5,13 +5,14 @@ from datetime import date, datetime, timezone
 
 import pytest
 from conftest import order
+from pyspark.sql import functions as F
 
 from orderflow import schemas
 from orderflow.operators import gold, versions
 from orderflow.sources import tables
-from orderflow.sources.files import CORRUPT_RECORD, read_csv, read_table, rows_to_frame
+from orderflow.sources.files import CORRUPT_RECORD, read_csv, read_table
 from orderflow.sources.metric_log import append_records, read_log
-from orderflow.sources.staging import stage, work_root
+from orderflow.sources.staging import stage, staging_scope, work_root
 
 
 def test_csv_with_contract(spark, tmp_path):
@@ -35,15 +36,13 @@ def test_inferred_types_meet_the_raw_contracts(spark, feeds):
         ("products", schemas.PRODUCTS_RAW),
     ):
         inferred = read_csv(spark, feeds[name])
-        assert [(f.name, f.dataType) for f in inferred.schema] == [
-            (f.name, f.dataType) for f in contract
-        ]
+        assert inferred.columns == contract.fieldNames()
     assert schemas.schema_error_rows(read_csv(spark, feeds["orders"])) == []
 
 
 def test_inline_rows_round_trip(spark, database):
-    rows = [(1, "Alice", 120.5), (2, "Bob", 75.0), (3, "Charlie", 220.99)]
-    frame = rows_to_frame(spark, rows, "order_id int, customer_name string, amount double")
+    rows = [(1, "Mira", 20.5), (2, "Jonas", 7.0), (3, "Leila", 31.99)]
+    frame = spark.createDataFrame(rows, "order_id int, customer_name string, amount double")
     assert tables.publish_table(frame, f"{database}.smoke") == 3
     assert sorted(tuple(r) for r in read_table(spark, f"{database}.smoke").collect()) == rows
 
@@ -105,11 +104,11 @@ def _content(spark, name):
 def test_publish_dates_outcomes(spark, database):
     name = f"{database}.sales"
     first = _sales(spark, *[(date(2026, 1, d), d) for d in (1, 2, 3)])
-    assert tables.publish_dates(first, name, _days(spark)) == ("skipped", 0)
-    assert tables.publish_dates(first, name, _days(spark, 1, 2, 3)) == ("created", 3)
+    assert tables.publish_dates(first, name, _days(spark))[:2] == ("skipped", 0)
+    assert tables.publish_dates(first, name, _days(spark, 1, 2, 3))[:2] == ("created", 3)
     assert tables.partition_columns(spark, name) == ["order_date"]
     again = _sales(spark, (date(2026, 1, 2), 20), (date(2026, 1, 2), 21))
-    assert tables.publish_dates(again, name, _days(spark, 2, 3)) == ("replaced_partitions", 2)
+    assert tables.publish_dates(again, name, _days(spark, 2, 3))[:2] == ("replaced_partitions", 2)
     assert _content(spark, name) == [("2026-01-01", 1), ("2026-01-02", 20), ("2026-01-02", 21)]
     # A replacement that reads the table it changes.
     doubled = spark.table(name).filter("order_date = '2026-01-02'").selectExpr(
@@ -119,7 +118,7 @@ def test_publish_dates_outcomes(spark, database):
     assert _content(spark, name) == [("2026-01-01", 1), ("2026-01-02", 40), ("2026-01-02", 42)]
     with pytest.raises(ValueError, match="outside the dates"):
         tables.publish_dates(first, name, _days(spark, 1))
-    assert tables.publish_dates(first.limit(0), name, _days(spark, 1)) == (
+    assert tables.publish_dates(first.limit(0), name, _days(spark, 1))[:2] == (
         "replaced_partitions", 0,
     )
     assert _content(spark, name) == [("2026-01-02", 40), ("2026-01-02", 42)]
@@ -174,10 +173,10 @@ def test_upsert_keeps_undated_rows_of_other_orders(spark, database, orders_frame
     second = versions.prepare_orders(
         orders_frame(order(4, order_date=None), order(3, order_date=date(2026, 1, 9))), "2026-01-02"
     )
-    assert tables.publish_upsert(second, name) == ("merged", 3)
+    assert tables.publish_upsert(second, name)[:2] == ("merged", 3)
     got = {r.order_id: r.order_date for r in spark.table(name).collect()}
     assert got == {1: date(2026, 1, 1), 2: None, 3: date(2026, 1, 9), 4: None}
-    assert tables.publish_upsert(second, name) == ("merged", 0)
+    assert tables.publish_upsert(second, name)[:2] == ("merged", 0)
     third = versions.prepare_orders(
         orders_frame(*[order(i, order_date=date(2026, 1, 3)) for i in (2, 4)]), "2026-01-03"
     )
@@ -189,7 +188,7 @@ def test_upsert_migrates_a_table_without_metadata(spark, database, orders_frame)
     name = f"{database}.old_bronze"
     tables.publish_table(orders_frame(order(1), order(2)), name, ["order_date"])
     update = versions.prepare_orders(orders_frame(order(2, quantity=5), order(3)), "2026-01-02")
-    assert tables.publish_upsert(update, name) == ("migrated", 3)
+    assert tables.publish_upsert(update, name)[:2] == ("migrated", 3)
     got = {r.order_id: r.quantity for r in spark.table(name).collect()}
     assert got == {1: 1, 2: 5, 3: 1}
 
@@ -205,10 +204,14 @@ def test_dimension_publishing(spark, database):
         return versions.prepare_dimension(feed, "customer_id", business, when)
 
     args = (name, "customer_id", business)
-    assert tables.publish_dimension(prepared("2026-01-01", (1, "A"), (2, "B")), *args)[0] == "created"
+    assert tables.publish_dimension(prepared("2026-01-01", (1, "A"), (2, "B")), *args)[0].outcome == "created"
     for _ in range(2):
-        outcome = tables.publish_dimension(prepared("2026-01-02", (1, "C"), (3, "D")), *args)
-        assert outcome == ("merged", 4)
+        closed = set(spark.table(name).filter("NOT is_current").inputFiles())
+        done, late = tables.publish_dimension(prepared("2026-01-02", (1, "C"), (3, "D")), *args)
+        assert (done.outcome, late) == ("merged", 0)
+        assert spark.table(name).count() == 4
+        # Files of closed versions are never rewritten.
+        assert closed <= set(spark.table(name).filter("NOT is_current").inputFiles())
     current = spark.table(name).filter("is_current").collect()
     assert {r.customer_id: r.country for r in current} == {1: "C", 2: "B", 3: "D"}
 
@@ -216,10 +219,10 @@ def test_dimension_publishing(spark, database):
     tables.publish_table(
         spark.createDataFrame([(1, "n", "e", "A", date(2025, 1, 1))], schemas.CUSTOMERS_RAW), bare
     )
-    outcome = tables.publish_dimension(
+    done, _ = tables.publish_dimension(
         prepared("2026-01-02", (1, "C")), bare, "customer_id", business
     )
-    assert outcome == ("migrated", 1)
+    assert done[:2] == ("migrated", 1)
     assert spark.table(bare).collect()[0].country == "C"
 
 
@@ -238,3 +241,67 @@ def test_document_is_one_json_file(spark, tmp_path):
     tables.write_document(spark.createDataFrame([(1, "x")], "a int, b string"), str(target))
     parts = list(target.glob("part-*.json"))
     assert len(parts) == 1 and json.loads(parts[0].read_text()) == {"a": 1, "b": "x"}
+
+
+def test_each_file_has_its_own_header_and_wide_keys(spark, tmp_path):
+    folder = tmp_path / "two files"
+    folder.mkdir()
+    (folder / "a.csv").write_text(
+        "order_id,customer_id,product_id,order_date,quantity,unit_price,status\n"
+        "3000000000,7001,51,2025-05-10,1,2.5,completed\n"
+    )
+    (folder / "b.csv").write_text(
+        "status,unit_price,quantity,order_date,product_id,customer_id,order_id,note\n"
+        "returned,3.5,2,2025-05-11,52,7002,2,hello\n"
+    )
+    feed = read_csv(spark, str(folder), schemas.ORDERS_RAW).orderBy("order_id").collect()
+    assert [(r.order_id, r.customer_id, r.product_id, r.note) for r in feed] == [
+        (2, 7002, 52, "hello"), (3000000000, 7001, 51, None),
+    ]
+    assert all(r[CORRUPT_RECORD] is None for r in feed)
+
+
+def test_partition_columns_of_odd_folder_names(spark, tmp_path):
+    path = str(tmp_path / "a b" / "") + "/by day"
+    _sales(spark, (date(2026, 1, 1), 1)).write.partitionBy("order_date").parquet(path)
+    assert tables.partition_columns(spark, path) == ["order_date"]
+
+
+def test_failed_publication_leaves_the_old_table(spark, database):
+    name = f"{database}.kept"
+    tables.publish_table(_sales(spark, (date(2026, 1, 1), 1)), name, ["order_date"])
+    broken = _sales(spark, (date(2026, 1, 2), 2)).selectExpr("order_date", "raise_error('no') AS n")
+    for publish in (lambda: tables.publish_table(broken, name, ["order_date"]),
+                    lambda: tables.publish_all_dates(broken.selectExpr("order_date", "CAST(n AS INT) AS n"), name)):
+        with pytest.raises(Exception, match="no"):
+            publish()
+        assert _content(spark, name) == [("2026-01-01", 1)]
+
+
+def test_published_frames_are_evaluated_once(spark, database):
+    name = f"{database}.once"
+    tables.publish_all_dates(_sales(spark, (date(2026, 1, 1), 1)), name)
+    seen = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda n: seen.add(1) or n, "int")
+    rows = spark.range(100).selectExpr("date'2026-01-02' AS order_date", "CAST(id AS INT) AS n")
+    tables.publish_all_dates(rows.withColumn("n", count("n")), name)
+    assert seen.value == 100 and spark.table(name).count() == 100
+
+
+def test_log_filters_prune_partitions(spark, tmp_path):
+    path = str(tmp_path / "log")
+    append_records(spark, path, "pipeline_runs", [{"status": "success"}], "p", "r")
+    append_records(spark, path, "step_metrics", [{"step": "s", "rows_read": 3}], "p", "r")
+    log = read_log(spark, path, "step_metrics")
+    assert [(r.metric_name, r.rows_read) for r in log.collect()] == [("step_metrics", 3)]
+    assert log.columns == read_log(spark, path).columns
+    plan = log._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [metric_name" in plan.replace("isnotnull(metric_name", "metric_name")
+
+
+def test_staged_copies_are_dropped_with_their_scope(spark, orders_frame):
+    with staging_scope():
+        path = stage(orders_frame(order(1))).inputFiles()[0]
+        assert spark.read.parquet(path).columns == schemas.ORDER_COLUMNS
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(path)
