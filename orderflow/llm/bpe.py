@@ -28,7 +28,7 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
-from orderflow.llm.common import scan_texts
+from orderflow.llm.common import free_name, scan_texts
 
 MAX_STATES = 40_000
 MAX_PIECES = 150_000  # encodings of pieces in each of a worker's two generations of them
@@ -363,10 +363,10 @@ class _DecoderState(dict):
 class Decoder:
     """Token ids to text, in any number of parts."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.tokens = vocabulary.tokens
+    def __init__(self, tokens: dict[int, bytes]):
+        self.tokens = tokens
         self.whole: dict[int, str] = {}
-        for rank, token in vocabulary.tokens.items():
+        for rank, token in tokens.items():
             text, pending = _split_utf8(token)
             if not pending and text.encode() == token:
                 self.whole[rank] = text
@@ -409,18 +409,28 @@ class Decoder:
         return "".join([*parts, self.finish()])
 
 
-_loaded: dict[tuple, object] = {}
+_encoders: dict[tuple[str, str], Encoder] = {}
+_decoders: dict[str, Decoder] = {}
 
 
-def _once(kind: type, name: str, *options):
-    """One vocabulary, encoder or decoder for each file in a Python worker."""
-    key = (kind, name, *options)
-    if key not in _loaded:
-        if kind is Vocabulary:
-            _loaded[key] = Vocabulary.load(SparkFiles.get(name))
+def _encoder(name: str, pattern: str) -> Encoder:
+    """One encoder for each file and pattern in a Python worker."""
+    if (name, pattern) not in _encoders:
+        _encoders[name, pattern] = Encoder(Vocabulary.load(SparkFiles.get(name)), pattern)
+    return _encoders[name, pattern]
+
+
+def _decoder(name: str) -> Decoder:
+    """One decoder for each file in a Python worker; it shares an encoder's tokens if there is one."""
+    if name not in _decoders:
+        encoder = next((e for (n, _), e in _encoders.items() if n == name), None)
+        if encoder is None:
+            ranks = Vocabulary.read_ranks(SparkFiles.get(name))
+            tokens = {rank: token for token, rank in ranks.items()}
         else:
-            _loaded[key] = kind(_once(Vocabulary, name), *options)
-    return _loaded[key]
+            tokens = encoder.transducer.vocabulary.tokens
+        _decoders[name] = Decoder(tokens)
+    return _decoders[name]
 
 
 def ship_file(frame: DataFrame, path: str) -> str:
@@ -445,7 +455,7 @@ def encode(
     name = ship_file(docs, ranks_path)
 
     def scan(texts: list[bytes | None]) -> list:
-        return [list(map(_once(Encoder, name, pattern).encode, texts))]
+        return [list(map(_encoder(name, pattern).encode, texts))]
 
     return scan_texts(docs, text_col, keep, scan, "ids binary", "encoded")
 
@@ -457,7 +467,7 @@ def decode(
     name = ship_file(frame, ranks_path)
 
     def scan(values: list[bytes | None]) -> list:
-        return [list(map(_once(Decoder, name).decode, values))]
+        return [list(map(_decoder(name).decode, values))]
 
     return scan_texts(frame, ids_col, keep, scan, "text string", "decoded")
 
@@ -465,10 +475,19 @@ def decode(
 def round_trip(
     docs: DataFrame, ranks_path: str, pattern: str, keep: list[str], text_col: str = "text"
 ) -> tuple[DataFrame, str, str]:
-    """``keep``, ``ids`` and the text decoded from them; the frame and these two columns' names."""
-    encoded, tokens = encode(docs, ranks_path, pattern, keep, text_col)
-    flat = encoded.select(*keep, F.col(f"{tokens}.ids").alias(tokens))
-    decoded, back = decode(flat, ranks_path, [*keep, tokens], tokens)
-    return decoded.select(*keep, tokens, F.col(f"{back}.text").alias(back)), tokens, back
+    """``keep``, the ids, and the text decoded from them; the frame and these two columns' names.
+
+    Both steps run in one Python worker, so an executor holds each vocabulary once per core.
+    """
+    name = ship_file(docs, ranks_path)
+
+    def scan(texts: list[bytes | None]) -> list:
+        ids = list(map(_encoder(name, pattern).encode, texts))
+        return [ids, list(map(_decoder(name).decode, ids))]
+
+    done, tokens = scan_texts(docs, text_col, keep, scan, "ids binary, text string", "encoded")
+    back = free_name(done, "decoded")
+    ids, text = F.col(f"{tokens}.ids"), F.col(f"{tokens}.text")
+    return done.select(*keep, ids.alias(tokens), text.alias(back)), tokens, back
 
 

@@ -35,7 +35,7 @@ def texts(tokens):
 @pytest.mark.parametrize("max_states", [0, 50, bpe.MAX_STATES])
 def test_ids_equal_the_library(vocabulary, library, max_states, monkeypatch):
     monkeypatch.setattr(bpe, "COMMIT", 7 if max_states == 50 else 4096)
-    encoder, decoder = bpe.Encoder(vocabulary, public_tokenizers.PATTERN), bpe.Decoder(vocabulary)
+    encoder, decoder = bpe.Encoder(vocabulary, public_tokenizers.PATTERN), bpe.Decoder(vocabulary.tokens)
     encoder.transducer.max_states = max_states
     monkeypatch.setattr(bpe, "MAX_PIECES", 20)
     monkeypatch.setattr(bpe, "LONG_TEXT", 200)
