@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from orderflow.functions.values import MONEY, exact_sum
 from orderflow.operators.scd2 import versions_on_days
+from orderflow.sources.staging import stage
 
 
 def daily_sales(silver: DataFrame) -> DataFrame:
@@ -57,11 +60,20 @@ def revenue_by_category_country(
     return _by_category_country(located)
 
 
-def revenue_as_of(silver: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """The same report with the attributes that were valid on each order's date."""
-    per_product = _per_day_customer_product(silver)
-    categories = versions_on_days(silver, products, "product_id", "order_date", ["category"])
-    countries = versions_on_days(silver, customers, "customer_id", "order_date", ["country"])
+def revenue_as_of(
+    silver: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    materialize: Callable[..., DataFrame] = stage,
+) -> DataFrame:
+    """The same report with the attributes that were valid on each order's date.
+
+    Orders are reduced to one row per date, customer and product, which is staged (this runs a
+    job); both lists of keys and days come from it, so silver is scanned once.
+    """
+    per_product = materialize(_per_day_customer_product(silver))
+    categories = versions_on_days(per_product, products, "product_id", "order_date", ["category"])
+    countries = versions_on_days(per_product, customers, "customer_id", "order_date", ["country"])
     with_category = per_product.join(categories, ["product_id", "order_date"], "left")
     per_customer = _combine(with_category, "order_date", "customer_id", "category")
     located = per_customer.join(countries, ["customer_id", "order_date"], "left")

@@ -6,10 +6,11 @@ from contextlib import contextmanager
 from datetime import date
 
 import pytest
+from conftest import order
 from pyspark.sql import functions as F
 
-import __spark_entry__ as registry
 from orderflow.operators import backfill, clean, gold, quality, scd2, upsert, versions
+from orderflow.plans.queries import all_queries
 from orderflow.sources import tables
 from orderflow.sources.staging import stage
 
@@ -42,9 +43,9 @@ NO_BROADCAST = {
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="supplied tables are absent")
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_no_query_crosses_rows_or_leaves_the_jvm(spark, name):
-    plan = plan_of(registry.queries()[name](spark, SF_DIR))
+    plan = plan_of(all_queries()[name](spark, SF_DIR))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
         assert unwanted not in plan
 
@@ -206,3 +207,24 @@ def test_as_of_lookup_on_hot_keys(spark, skewed):
         for r in brute.select("f.customer_id", "f.order_date", "h.country").collect()
     }
     assert ours == theirs
+
+
+def test_as_of_report_scans_silver_once(spark, tmp_path, orders_frame):
+    path = str(tmp_path / "silver-scan")
+    clean.silver_orders(orders_frame(order(1), order(2, customer_id=5))).write.parquet(path)
+    history = spark.createDataFrame(
+        [(101, 1001, "A", "B", "2025-01-01 00:00:00", None, "h")],
+        "customer_id long, product_id long, country string, category string, valid_from string, "
+        "valid_to string, record_hash string",
+    ).selectExpr("* EXCEPT (valid_from, valid_to)", "CAST(valid_from AS TIMESTAMP) AS valid_from",
+                 "CAST(valid_to AS TIMESTAMP) AS valid_to")
+    scans = []
+
+    def keep(df):
+        scans.append(len([f for f in df.inputFiles() if "silver-scan" in f]) > 0)
+        return stage(df)
+
+    report = gold.revenue_as_of(spark.read.parquet(path), history, history, materialize=keep)
+    assert scans == [True] and not any("silver-scan" in f for f in report.inputFiles())
+    rows = sorted(((r.country, r.category, r.revenue) for r in report.collect()), key=str)
+    assert rows == [("A", "B", 10.0), (None, "B", 10.0)]
