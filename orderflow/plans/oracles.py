@@ -105,17 +105,20 @@ ORDERS_FIRST = ",\n".join(
 )
 ORDER_UPDATES = ",\n".join(
     [
-        f"""changed AS (
-  SELECT CASE WHEN order_id % 5 = 0 THEN order_id + {NEW_KEY_OFFSET} ELSE order_id END AS order_id,
+        f"""changed_all AS (
+  SELECT CASE WHEN order_id % 31 = 0 THEN NULL
+              WHEN order_id % 5 = 0 THEN order_id + {NEW_KEY_OFFSET} ELSE order_id END AS order_id,
          customer_id, product_id,
          CASE WHEN order_id % 9 = 0 THEN order_date + 3 ELSE order_date END AS order_date,
          quantity,
          CAST(CASE WHEN order_id % 7 = 0 THEN unit_price * CAST(1.03 AS DECIMAL(3,2))
                    ELSE unit_price END AS DECIMAL(18,2)) AS unit_price,
          status,
-         CASE WHEN order_id % 11 = 0 THEN source_update_ts - INTERVAL 30 DAY
+         CASE WHEN order_id % 29 = 0 THEN NULL
+              WHEN order_id % 11 = 0 THEN source_update_ts - INTERVAL 30 DAY
               ELSE source_update_ts END AS source_update_ts
-  FROM feed)""",
+  FROM feed),
+changed AS (SELECT * FROM changed_all WHERE order_id IS NOT NULL)""",
         _normalized("n2", "changed", ORDER_COLUMNS, SECOND_LOAD),
         _latest("updates", "n2", "order_id"),
     ]

@@ -95,7 +95,8 @@ def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole feed again: every 5th id is new, every 7th has a new price, every 9th moved to
-    another date, and every 11th is a late copy of an older state."""
+    another date, every 11th is a late copy of an older state, every 29th has no update time and
+    every 31st no id."""
     feed = orders_feed(spark, sf_dir)
     price = F.when(
         _every(7, "order_id"), (F.col("unit_price") * F.lit("1.03").cast("decimal(3,2)"))
@@ -104,7 +105,8 @@ def order_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = F.col("source_update_ts") - F.expr("INTERVAL 30 DAYS")
     return prepare_orders(
         feed.select(
-            F.when(_every(5, "order_id"), F.col("order_id") + NEW_KEY_OFFSET)
+            F.when(_every(31, "order_id"), F.lit(None))
+            .when(_every(5, "order_id"), F.col("order_id") + NEW_KEY_OFFSET)
             .otherwise(F.col("order_id"))
             .alias("order_id"),
             "customer_id",
@@ -113,7 +115,8 @@ def order_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
             "quantity",
             price.alias("unit_price"),
             "status",
-            F.when(_every(11, "order_id"), late)
+            F.when(_every(29, "order_id"), F.lit(None))
+            .when(_every(11, "order_id"), late)
             .otherwise(F.col("source_update_ts"))
             .alias("source_update_ts"),
         ),

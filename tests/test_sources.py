@@ -305,3 +305,14 @@ def test_staged_copies_are_dropped_with_their_scope(spark, orders_frame):
         assert spark.read.parquet(path).columns == schemas.ORDER_COLUMNS
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         spark.read.parquet(path)
+
+
+def test_unconditional_upsert_publishes_whatever_the_age(spark, database, orders_frame):
+    name = f"{database}.forced"
+    first = versions.prepare_orders(orders_frame(order(1), order(2)), "2026-01-05")
+    assert tables.publish_unconditional(first, name)[:2] == ("created", 2)
+    older = versions.prepare_orders(
+        orders_frame(order(2, quantity=9, order_date=date(2026, 1, 2)), order(3)), "2026-01-01"
+    )
+    assert tables.publish_unconditional(older, name)[:2] == ("merged", 3)
+    assert {r.order_id: r.quantity for r in spark.table(name).collect()} == {1: 1, 2: 9, 3: 1}
