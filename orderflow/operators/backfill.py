@@ -33,8 +33,8 @@ def affected_dates(*frames: DataFrame, date: str = "order_date") -> DataFrame:
 
 
 def _listed(dates: DataFrame, date: str) -> DataFrame:
-    """Broadcast form of the dates: distinct calendar days only, at most 3.7 million of them."""
-    return F.broadcast(dates.select(date).distinct())
+    """Distinct calendar days; Spark broadcasts them when they are as few as they mostly are."""
+    return dates.select(date).distinct()
 
 
 def _require_listed(rows: DataFrame, dates: DataFrame, date: str = "order_date") -> DataFrame:

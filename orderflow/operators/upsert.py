@@ -74,11 +74,8 @@ def rows_of_dates(
     target: DataFrame, changes: DataFrame, dates: DataFrame, key: str = "order_id",
     date: str = "order_date",
 ) -> DataFrame:
-    """New content of the touched partitions.
-
-    The broadcast is of distinct calendar days, of which a DATE column holds at most 3.7 million.
-    """
-    listed = F.broadcast(dates.select(F.col(date).alias("_listed")))
+    """New content of the touched partitions."""
+    listed = dates.select(F.col(date).alias("_listed"))
     kept = target.join(listed, F.col(date).eqNullSafe(F.col("_listed")), "left_semi")
     return kept.join(changes.select(key), key, "left_anti").unionByName(
         changes.select(*target.columns)
