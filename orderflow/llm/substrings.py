@@ -18,8 +18,9 @@ Who must read whom is found by hashes, which only route and never decide:
 An id that is null counts as larger than all others. Null and blank texts have no words. Rows that
 share an id are one document for the others, though each row gets its own result. Very long texts are
 cut into chunks of words; extra columns are ignored. Counting is by partial aggregation, so a
-passage that a third of all documents share is one row per task before it is shuffled, and the joins are ones
-that adaptive execution may split.
+passage that a third of all documents share is one row per task before it is shuffled. Counts are
+stored before they are joined back, so that both sides of such a join are plain shuffles, whose hot
+partitions adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -198,11 +199,12 @@ def summaries(docs: DataFrame, id_col: str, text_col: str, window: int, gram: in
 def _shared_anchors(first: DataFrame) -> DataFrame:
     """sid and the anchors it shares with other documents."""
     each = first.select("sid", F.explode("anchors").alias("anchor"))
-    shared = (
+    shared = store(
         each.groupBy("anchor")
         .agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
         .where("low < high")
-        .select("anchor")
+        .select("anchor"),
+        "shared-anchors",
     )
     return each.join(shared, "anchor").groupBy("sid").agg(F.collect_set("anchor").alias("shared"))
 
@@ -387,9 +389,13 @@ def repeated_passages(
     the shared folder.
     """
     all_rows = store(summaries(docs, id_col, text_col, window, gram), "summaries")
-    first = all_rows.groupBy("digest").agg(F.min("sid").alias("first_sid"))
-    firsts = all_rows.where(F.col("n_words") >= window).join(first, "digest")
-    shared = _shared_anchors(firsts.where("sid = first_sid").dropDuplicates(["sid", "digest"]))
+    first = store(
+        all_rows.groupBy("digest").agg(F.min("sid").alias("first_sid")), "first-copies"
+    )
+    firsts = all_rows.where(F.col("n_words") >= window).join(
+        first.withColumnRenamed("first_sid", "sid"), ["digest", "sid"], "left_semi"
+    )
+    shared = _shared_anchors(firsts.dropDuplicates(["sid", "digest"]))
 
     texts = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("sid"), F.col(text_col).alias("text")
@@ -397,7 +403,13 @@ def repeated_passages(
     passages = store(_passages(texts.join(shared, "sid"), window, gram), "passages")
 
     held = passages.select("sid", F.explode("windows").alias("window"))
-    owners = held.groupBy("window").agg(F.min("sid").alias("owner"))
+    owners = store(
+        held.groupBy("window")
+        .agg(F.min("sid").alias("owner"), F.max("sid").alias("last"))
+        .where("owner < last")
+        .select("window", "owner"),
+        "owners",
+    )
     pairs = (
         held.join(owners, "window").where("owner < sid").select("sid", "owner").distinct()
     )
