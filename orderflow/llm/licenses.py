@@ -197,14 +197,17 @@ def sample_negatives(docs: DataFrame, text_col: str = "text") -> list[str]:
         F.split(text, "\n"),
         lambda x: (F.char_length(x) <= LINE_CHARS) & (x != "") & ~F.lower(x).rlike(CUES),
     )
+    hashed = docs.where(text.isNotNull()).withColumn("_h", F.xxhash64(text))
+    # First the hashes alone, so that no task sends texts that are not chosen.
+    smallest = hashed.select("_h").distinct().orderBy("_h").limit(NEGATIVE_DOCS)
+    chosen = [row[0] for row in smallest.collect()]
     rows = (
-        docs.where(text.isNotNull())
-        .select(F.xxhash64(text).alias("h"), F.slice(lines, 1, NEGATIVE_LINES).alias("lines"))
-        .orderBy("h", "lines")
-        .limit(NEGATIVE_DOCS)
+        hashed.where(F.col("_h").isin(chosen))
+        .groupBy("_h")
+        .agg(F.min(F.slice(lines, 1, NEGATIVE_LINES)).alias("lines"))
         .collect()
     )
-    return [line for row in rows for line in row.lines]
+    return [line for row in sorted(rows) for line in row.lines]
 
 
 def _grams_column(line: Column) -> Column:
@@ -220,18 +223,15 @@ def _literal(values: list, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
 
 
-def _probabilities(model: Model, features: Column) -> list[Column]:
+def _logits(model: Model, features: Column) -> Column:
+    """One value per class, already divided by the temperature."""
     scale = 1 / F.sqrt(F.greatest(F.size(features), F.lit(1)).cast("double"))
-    logits = []
+    values = []
     for bias, weights in zip(model.bias, model.weights, strict=True):
         table = _literal([round(w, 6) for w in weights], "double")
-        total = F.aggregate(
-            features, F.lit(0.0), _adder(table)
-        )
-        logits.append((F.lit(bias) + scale * total) / model.temperature)
-    powers = [F.exp(v) for v in logits]
-    total = sum(powers[1:], powers[0])
-    return [p / total for p in powers]
+        total = F.aggregate(features, F.lit(0.0), _adder(table))
+        values.append((F.lit(bias) + scale * total) / model.temperature)
+    return F.array(*values)
 
 
 def _adder(table: Column):
@@ -267,12 +267,16 @@ def scan(
         )
         return F.struct(p["at"].alias("at"), found.alias("grams"), buckets.alias("buckets"))
 
+    def weigh(p: Column) -> Column:
+        logits = _logits(model, p["buckets"])
+        return F.struct(p["at"].alias("at"), p["grams"].alias("grams"), logits.alias("logits"))
+
     def classify(p: Column) -> Column:
-        ranked = F.array(*[
-            F.struct(v.alias("p"), F.lit(c).alias("family"))
-            for c, v in zip(CLASSES, _probabilities(model, p["buckets"]), strict=True)
-        ])
-        return F.struct(p["at"].alias("at"), p["grams"].alias("grams"), F.array_max(ranked).alias("top"))
+        best = F.array_max(p["logits"])
+        total = F.aggregate(p["logits"], F.lit(0.0), lambda done, v: done + F.exp(v - best))
+        family = F.get(_literal(list(CLASSES), "string"), F.array_position(p["logits"], best) - 1)
+        top = F.struct((1 / total).alias("p"), family.alias("family"))
+        return F.struct(p["at"].alias("at"), p["grams"].alias("grams"), top.alias("top"))
 
     def confirm(p: Column) -> Column:
         share = F.lit(0.0)
@@ -284,7 +288,9 @@ def scan(
         )
 
     # One step after the other, so that nothing is computed twice within a lambda.
-    found = F.transform(F.transform(F.transform(likely, features), classify), confirm)
+    found = likely
+    for step in (features, weigh, classify, confirm):
+        found = F.transform(found, step)
     stands = F.filter(
         found,
         lambda p: (p["family"] != UNKNOWN) & (p["probability"] >= CUTOFF) & (p["share"] >= CONFIRM),
