@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from orderflow.sources.staging import delete_folder
+
 # Rows of one Arrow batch are cut into slices of at most this many text bytes (or one row).
 SLICE_BYTES = 4 << 20
 
@@ -51,6 +53,12 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stored(*frames: DataFrame) -> None:
+    """Delete tables written by ``store`` that nothing reads any more."""
+    for frame in frames:
+        delete_folder(frame.sparkSession, frame.inputFiles()[0].rpartition("/")[0])
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """The name, with underscores appended until no column of the frame has it."""
     taken = {column.lower() for column in df.columns}

@@ -279,7 +279,9 @@ def near_duplicates(
     labelled = nodes.join(labels, nodes["fp"] == labels["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
-    smallest = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    smallest = store(
+        labelled.groupBy("root").agg(F.min("first_id").alias("component_id")), "smallest-ids"
+    )
     components = labelled.join(smallest, "root").select("fp", "component_id")
     return prints.join(components, "fp").select("doc_id", "fp", "component_id")
 
