@@ -110,6 +110,7 @@ def sign_codes(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 def _search_block(codes: DataFrame, queries: list[tuple[int, int]], k: int) -> DataFrame:
     spark = codes.sparkSession
+    ship_package(spark)
     shared = spark.sparkContext.broadcast(
         (
             np.array([q[0] for q in queries], dtype=np.int64),
