@@ -6,8 +6,9 @@ corpus's own lines, gives a probability for each licence family and for "unknown
 of the probabilities is calibrated on examples kept from training. A prediction stands only if a template
 confirms it: the paragraph must hold CONFIRM of the word pairs of one of the family's templates.
 
-Every template has a cue word (a test checks that), and lines without any are not licences by
-definition, so most lines cost one search. Null and blank texts have no paragraphs; a null id and
+CUES, derived from the templates, has so many word pairs of each of them that a paragraph without any
+cannot hold CONFIRM of it. Only such paragraphs are skipped unscored, so most lines cost one search and
+nothing that could stand is lost. Null and blank texts have no paragraphs; a null id and
 repeated rows are handled row by row. Columns in ``keep`` pass through.
 """
 
@@ -32,10 +33,6 @@ NEGATIVE_DOCS = 300
 NEGATIVE_LINES = 4  # of each of these documents, at most LINE_CHARS long
 LINE_CHARS = 400
 ROUNDS = 60
-CUES = (
-    "licen[cs]e|licensed|copyright|permission|warrant|redistribut|public domain|copyleft|"
-    "creative commons|spdx|cc0|cc by"
-)
 WORD = "[a-z0-9]++(?:[.+-][a-z0-9]++)*+"
 
 # Short notices of common licence families.
@@ -90,6 +87,7 @@ TEMPLATES = {
     ),
     "proprietary": (
         "Copyright by the owner. All rights reserved. No part may be reproduced without permission.",
+        "All rights reserved.",
     ),
 }
 CLASSES = (UNKNOWN, *TEMPLATES)
@@ -105,6 +103,29 @@ def grams(line: str) -> list[str]:
     return sorted({*found, *(f"{a} {b}" for a, b in zip(found, found[1:], strict=False))})
 
 
+def _wanted(template: str) -> list[str]:
+    """What a paragraph must hold CONFIRM of: the template's word pairs, or its words if it has one only."""
+    return [g for g in grams(template) if " " in g] or grams(template)
+
+
+def _cues() -> str:
+    """A pattern in lower case that finds something in every text that holds CONFIRM of some template.
+
+    Of n pairs of which m are needed, any n - m + 1 do; the longest are taken, because they are rare.
+    """
+    chosen: set[str] = set()
+    for template in (t for family in TEMPLATES.values() for t in family):
+        pairs = sorted(_wanted(template), key=lambda g: (-len(g), g))
+        needed = next(m for m in range(1, len(pairs) + 1) if m / len(pairs) >= CONFIRM)
+        chosen.update(pairs[: len(pairs) - needed + 1])
+    # Words start behind a character that is in no word, and only such stand between two words.
+    parts = ["[^a-z0-9]++".join(map(re.escape, g.split(" "))) for g in sorted(chosen)]
+    return f"(?<![a-z0-9])(?:{'|'.join(parts)})"
+
+
+CUES = _cues()
+
+
 def bucket(gram: str) -> int:
     return xxhash.xxh64_intdigest(gram.encode(), 42) % BUCKETS
 
@@ -191,7 +212,7 @@ def train(negatives: list[str], seed: int = 5) -> Model:
 
 
 def sample_negatives(docs: DataFrame, text_col: str = "text") -> list[str]:
-    """A bounded number of lines without a cue word, drawn by a hash of the text."""
+    """A bounded number of lines without a cue, drawn by a hash of the text."""
     text = F.col(text_col).cast("string")
     lines = F.filter(
         F.split(text, "\n"),
@@ -241,7 +262,7 @@ def _adder(table: Column):
 def _containment(found: Column, family: str) -> Column:
     shares = []
     for template in TEMPLATES[family]:
-        wanted = [g for g in grams(template) if " " in g] or grams(template)
+        wanted = _wanted(template)
         shared = F.size(F.array_intersect(found, _literal(wanted, "string")))
         shares.append(shared / F.lit(float(len(wanted))))
     return F.greatest(*shares) if len(shares) > 1 else shares[0]

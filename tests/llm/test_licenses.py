@@ -1,5 +1,6 @@
 """Licence scan: held-out wordings, unknown paragraphs, template confirmation, no Python."""
 
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -65,3 +66,28 @@ def test_sample_is_bounded(spark):
                                  "doc_id long, text string")
     lines = licenses.sample_negatives(docs)
     assert len(lines) == licenses.NEGATIVE_DOCS * licenses.NEGATIVE_LINES and set(lines) <= set(PROSE)
+
+
+def test_only_paragraphs_that_cannot_stand_are_skipped(spark):
+    notices = {
+        "All rights reserved.": "proprietary",
+        "This Source Code Form is subject to the terms of the Mozilla Public": "mpl",
+        "This is free and unencumbered software released into the": "public-domain",
+    }
+    old = "licen[cs]e|licensed|copyright|permission|warrant|redistribut|public domain|copyleft|creative commons|spdx|cc0|cc by"
+    assert not any(re.search(old, n.lower()) for n in notices)
+    docs = spark.createDataFrame(list(enumerate(notices)), "doc_id long, text string")
+    scanned, name = licenses.scan(docs, licenses.train(PROSE * 20), ["doc_id"])
+    got = {r.doc_id: [p.family for p in r[name]] for r in scanned.collect()}
+    assert got == {k: [family] for k, family in enumerate(notices.values())}
+
+
+def test_cues_find_every_share_that_confirms():
+    rng = random.Random(4)
+    for template in (t for f in licenses.TEMPLATES.values() for t in f):
+        wanted = licenses._wanted(template)
+        for _ in range(200):
+            parts = [w for w in licenses.words(template) if rng.random() > 0.2]
+            shared = set(wanted) & set(licenses.grams(" ".join(parts)))
+            if len(shared) / len(wanted) >= licenses.CONFIRM:
+                assert re.search(licenses.CUES, ", ".join(parts)), parts
