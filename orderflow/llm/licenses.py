@@ -1,14 +1,19 @@
 """Licence scan of paragraphs, in DataFrame functions only.
 
-A paragraph is a line. Its distinct words and pairs of words are hashed into BUCKETS buckets; a multinomial
-logistic regression over them, trained on the driver from the templates below and a bounded sample of the
+A paragraph is a run of non-blank lines. What is weighed are its lines, each by itself, and its groups of
+neighbouring lines, so that a notice wrapped over lines is found and two notices in one run stay two. A
+group has any first and last line, of which the SPAN words next to the lines between them count, and
+lines of fewer than SPAN words between them. Distinct words and pairs of words of a line or group are
+hashed into BUCKETS buckets; a multinomial logistic regression over them, trained on the driver from the templates below and a bounded sample of the
 corpus's own lines, gives a probability for each licence family and for "unknown". The temperature
 of the probabilities is calibrated on examples kept from training. A prediction stands only if a template
-confirms it: the paragraph must hold CONFIRM of the word pairs of one of the family's templates.
+confirms it: the line or group must hold CONFIRM of the word pairs of one of the family's templates.
+Where several overlap, the largest share, then the fewest lines, then the first comes first; another
+one stands beside it only for another family that is confirmed without the word pairs of the first's.
 
-CUES, derived from the templates, has so many word pairs of each of them that a paragraph without any
-cannot hold CONFIRM of it. Only such paragraphs are skipped unscored, so most lines cost one search and
-nothing that could stand is lost. Null and blank texts have no paragraphs; a null id and
+CUES, derived from the templates, has so many word pairs of each of them that a text without any
+cannot hold CONFIRM of it. Only such texts, lines and groups are skipped unscored, so most texts cost
+one search and nothing that could stand is lost. Null and blank texts have no paragraphs; a null id and
 repeated rows are handled row by row. Columns in ``keep`` pass through.
 """
 
@@ -33,7 +38,8 @@ NEGATIVE_DOCS = 300
 NEGATIVE_LINES = 4  # of each of these documents, at most LINE_CHARS long
 LINE_CHARS = 400
 ROUNDS = 60
-WORD = "[a-z0-9]++(?:[.+-][a-z0-9]++)*+"
+# Identifiers such as GPL-2.0-only are several words; the tag in front of them is one.
+WORD = r"spdx-license-identifier|[a-z0-9]++(?:\.[a-z0-9]++)*+"
 
 # Short notices of common licence families.
 TEMPLATES = {
@@ -48,41 +54,54 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in "
         "compliance with the License.",
         "SPDX-License-Identifier: Apache-2.0",
+        "SPDX-License-Identifier: Apache",
     ),
     "gpl": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
         "General Public License as published by the Free Software Foundation",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "SPDX-License-Identifier: GPL",
         "Licensed under the GNU GPL version 2.",
     ),
     "lgpl": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
         "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "SPDX-License-Identifier: LGPL",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Lesser General Public License as published by the Free Software Foundation",
     ),
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted",
         "Released under the BSD 3-Clause License.",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "SPDX-License-Identifier: BSD",
+        "BSD-2-Clause",
+        "BSD-3-Clause",
     ),
     "mpl": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
+        "SPDX-License-Identifier: MPL",
     ),
     "cc-by": (
         "Licensed under CC BY 4.0.",
+        "SPDX-License-Identifier: CC-BY-4.0",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     ),
     "cc-by-sa": (
         "Licensed under CC BY-SA 4.0.",
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     ),
     "cc-by-nc": (
         "Licensed under CC BY-NC 4.0.",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
     "public-domain": (
         "This work is dedicated to the public domain under CC0 1.0.",
+        "SPDX-License-Identifier: CC0-1.0",
         "This is free and unencumbered software released into the public domain.",
     ),
     "proprietary": (
@@ -125,6 +144,9 @@ def _cues() -> str:
 
 CUES = _cues()
 
+# Words of a group's first and last line that count, and bound of the words between them.
+SPAN = 2 * max(len(words(t)) for family in TEMPLATES.values() for t in family)
+
 
 def bucket(gram: str) -> int:
     return xxhash.xxh64_intdigest(gram.encode(), 42) % BUCKETS
@@ -231,8 +253,15 @@ def sample_negatives(docs: DataFrame, text_col: str = "text") -> list[str]:
     return [line for row in sorted(rows) for line in row.lines]
 
 
+def _words_column(line: Column) -> Column:
+    return F.regexp_extract_all(F.lower(line), F.lit(WORD), F.lit(0))
+
+
 def _grams_column(line: Column) -> Column:
-    found = F.regexp_extract_all(F.lower(line), F.lit(WORD), F.lit(0))
+    return _grams_of(_words_column(line))
+
+
+def _grams_of(found: Column) -> Column:
     # Pairs: each word with its successor; the last has none and gives null, which is dropped.
     after = F.concat(F.slice(found, 2, F.greatest(F.size(found) - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
     pairs = F.zip_with(found, after, lambda a, b: F.concat(a, F.lit(" "), b))
@@ -268,48 +297,154 @@ def _containment(found: Column, family: str) -> Column:
     return F.greatest(*shares) if len(shares) > 1 else shares[0]
 
 
+LINE = "struct<at:int,blank:boolean,words:array<string>>"
+GROUP = "struct<at:int,size:int,words:array<string>>"
+
+
+def _groups(lines: Column) -> Column:
+    """Every line and every group of neighbouring lines that could be confirmed, from LINEs."""
+
+    def begin(line: Column) -> Column:
+        """A line and at most SPAN + 1 lines after it, of which each between takes one word or more."""
+        return F.struct(line.alias("line"), F.slice(lines, line["at"] + 2, F.lit(SPAN + 1)).alias("after"))
+
+    def has_cue(found: Column) -> Column:
+        return F.array_join(found, " ").rlike(CUES)
+
+    def tail(found: Column) -> Column:
+        return F.slice(found, F.greatest(F.size(found) - SPAN, F.lit(0)) + 1, F.lit(SPAN))
+
+    def head(found: Column) -> Column:
+        return F.slice(found, 1, SPAN)
+
+    def may_hold(p: Column) -> Column:
+        heads = F.flatten(F.transform(p["after"], lambda x: head(x["words"])))
+        return has_cue(p["line"]["words"]) | has_cue(F.concat(tail(p["line"]["words"]), heads))
+
+    def extend(p: Column) -> Column:
+        at = p["line"]["at"]
+        none = F.lit([]).cast(f"array<{GROUP}>")
+        start = F.struct(
+            F.lit(True).alias("open"), F.lit(0).alias("between"),
+            tail(p["line"]["words"]).alias("words"), none.alias("groups"),
+        )
+
+        def step(done: Column, line: Column) -> Column:
+            group = F.struct(
+                at.alias("at"), (line["at"] - at + 1).alias("size"),
+                F.concat(done["words"], head(line["words"])).alias("words"),
+            )
+            between = done["between"] + F.greatest(F.size(line["words"]), F.lit(1))
+            longer = F.struct(
+                (between < SPAN).alias("open"), between.alias("between"),
+                F.concat(done["words"], line["words"]).alias("words"),
+                F.concat(done["groups"], F.array(group)).alias("groups"),
+            )
+            closed = F.struct(
+                F.lit(False).alias("open"), done["between"].alias("between"),
+                done["words"].alias("words"), done["groups"].alias("groups"),
+            )
+            return F.when(done["open"] & ~line["blank"], longer).otherwise(closed)
+
+        single = F.struct(at.alias("at"), F.lit(1).alias("size"), p["line"]["words"].alias("words"))
+        return F.concat(F.array(single), F.aggregate(p["after"], start, step, lambda done: done["groups"]))
+
+    begun = F.filter(F.transform(F.filter(lines, lambda x: ~x["blank"]), begin), may_hold)
+    return F.filter(F.flatten(F.transform(begun, extend)), lambda g: has_cue(g["words"]))
+
+
+NOTICE = "struct<paragraph:int,size:int,family:string,probability:double,share:double,grams:array<string>>"
+
+
+def _apart(stands: Column) -> Column:
+    """Of overlapping NOTICEs the best, and those that hold without the best ones' word pairs."""
+
+    def order(a: Column, b: Column) -> Column:
+        out = F.lit(0)
+        for x, y in ((b["share"], a["share"]), (a["size"], b["size"]), (a["paragraph"], b["paragraph"])):
+            out = F.when(out != 0, out).when(x < y, -1).when(x > y, 1).otherwise(0)
+        return out
+
+    def step(done: Column, p: Column) -> Column:
+        over = F.filter(
+            done,
+            lambda q: (q["paragraph"] < p["paragraph"] + p["size"]) & (p["paragraph"] < q["paragraph"] + q["size"]),
+        )
+        same = F.exists(over, lambda q: q["family"] == p["family"])
+        taken = F.flatten(F.transform(over, lambda q: _pairs_of(q["family"])))
+        holds = _share(F.array_except(p["grams"], taken), p["family"]) >= CONFIRM
+        keep = F.when(F.size(over) == 0, True).when(same, False).otherwise(holds)
+        return F.when(keep, F.concat(done, F.array(p))).otherwise(done)
+
+    none = F.lit([]).cast(f"array<{NOTICE}>")
+    chosen = F.aggregate(F.array_sort(stands, order), none, step)
+    return F.array_sort(
+        F.transform(
+            chosen, lambda p: F.struct(*[p[f].alias(f) for f in ("paragraph", "family", "probability", "share")])
+        )
+    )
+
+
+def _pairs_of(family: Column) -> Column:
+    out = F.lit([]).cast("array<string>")
+    for name, templates in TEMPLATES.items():
+        pairs = _literal(sorted({g for t in templates for g in _wanted(t)}), "string")
+        out = F.when(family == name, pairs).otherwise(out)
+    return out
+
+
+def _share(found: Column, family: Column) -> Column:
+    share = F.lit(0.0)
+    for name in TEMPLATES:
+        share = F.when(family == name, _containment(found, name)).otherwise(share)
+    return share
+
+
 def scan(
     docs: DataFrame, model: Model, keep: Iterable[str], text_col: str = "text"
 ) -> tuple[DataFrame, str]:
     """``keep`` and the licence paragraphs of every document; the frame and their column's name.
 
-    A paragraph has its number (from 0), family, probability, and share of a template's word pairs.
+    Each has the number of its first line (from 0), family, probability, and share of a template's word pairs.
     """
     keep = list(keep)
     name = free_name(docs.select(*keep), "licenses")
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    numbered = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("at"), x.alias("line")))
-    likely = F.filter(numbered, lambda p: F.lower(p["line"]).rlike(CUES))
+    lines = F.transform(
+        F.split(text, "\n"),
+        lambda x, i: F.struct(
+            i.alias("at"), x.rlike(r"^\s*$").alias("blank"), _words_column(x).alias("words")
+        ).cast(LINE),
+    )
 
     def features(p: Column) -> Column:
-        found = _grams_column(p["line"])
+        found = _grams_of(p["words"])
         buckets = F.array_distinct(
             F.transform(found, lambda g: F.pmod(F.xxhash64(g), F.lit(BUCKETS)).cast("int"))
         )
-        return F.struct(p["at"].alias("at"), found.alias("grams"), buckets.alias("buckets"))
+        return F.struct(p["at"].alias("at"), p["size"].alias("size"), found.alias("grams"), buckets.alias("buckets"))
 
     def weigh(p: Column) -> Column:
         logits = _logits(model, p["buckets"])
-        return F.struct(p["at"].alias("at"), p["grams"].alias("grams"), logits.alias("logits"))
+        return F.struct(p["at"].alias("at"), p["size"].alias("size"), p["grams"].alias("grams"), logits.alias("logits"))
 
     def classify(p: Column) -> Column:
         best = F.array_max(p["logits"])
         total = F.aggregate(p["logits"], F.lit(0.0), lambda done, v: done + F.exp(v - best))
         family = F.get(_literal(list(CLASSES), "string"), F.array_position(p["logits"], best) - 1)
         top = F.struct((1 / total).alias("p"), family.alias("family"))
-        return F.struct(p["at"].alias("at"), p["grams"].alias("grams"), top.alias("top"))
+        return F.struct(p["at"].alias("at"), p["size"].alias("size"), p["grams"].alias("grams"), top.alias("top"))
 
     def confirm(p: Column) -> Column:
-        share = F.lit(0.0)
-        for family in TEMPLATES:
-            share = F.when(p["top"]["family"] == family, _containment(p["grams"], family)).otherwise(share)
         return F.struct(
-            p["at"].alias("paragraph"), p["top"]["family"].alias("family"),
-            p["top"]["p"].alias("probability"), share.alias("share"),
-        )
+            p["at"].alias("paragraph"), p["size"].alias("size"), p["top"]["family"].alias("family"),
+            p["top"]["p"].alias("probability"), _share(p["grams"], p["top"]["family"]).alias("share"),
+            p["grams"].alias("grams"),
+        ).cast(NOTICE)
 
     # One step after the other, so that nothing is computed twice within a lambda.
-    found = likely
+    # ``lines`` is bound as a lambda's variable, or every group would split the text again.
+    found = F.get(F.transform(F.array(lines), _groups), F.lit(0))
     for step in (features, weigh, classify, confirm):
         found = F.transform(found, step)
     stands = F.filter(
@@ -318,4 +453,4 @@ def scan(
     )
     empty = F.lit([]).cast("array<struct<paragraph:int,family:string,probability:double,share:double>>")
     any_cue = F.lower(text).rlike(CUES)
-    return docs.select(*keep, F.when(any_cue, stands).otherwise(empty).alias(name)), name
+    return docs.select(*keep, F.when(any_cue, _apart(stands)).otherwise(empty).alias(name)), name

@@ -91,3 +91,47 @@ def test_cues_find_every_share_that_confirms():
             shared = set(wanted) & set(licenses.grams(" ".join(parts)))
             if len(shared) / len(wanted) >= licenses.CONFIRM:
                 assert re.search(licenses.CUES, ", ".join(parts)), parts
+
+
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+
+
+def test_wrapped_notices_and_identifiers(spark):
+    one_word = GPL.replace(" ", "\n")
+    docs = [
+        ("# " + GPL.replace("\n", "\n# "), [(0, "gpl")]),
+        ("x\n\nsome text\n" + GPL + "\nmore", [(3, "gpl")]),
+        (one_word, [(0, "gpl")]),
+        (GPL.replace("General", "Lesser General").replace("program", "library"), [(0, "lgpl")]),
+        (GPL.replace("\n", "\n\n"), []),
+        ("Released under\nthe MIT License.", [(0, "mit")]),
+        ("This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License.",
+         [(0, "cc-by-sa")]),
+        ("All rights reserved.\nReleased under the MIT License.\nLicensed under CC BY-NC\n4.0.",
+         [(0, "proprietary"), (1, "mit"), (2, "cc-by-nc")]),
+        ("SPDX-License-Identifier: GPL-2.0-only", [(0, "gpl")]),
+        ("BSD-2-Clause", [(0, "bsd")]),
+        ("// SPDX-License-Identifier: BSD-2-Clause", [(0, "bsd")]),
+        ("SPDX-License-Identifier: LGPL-3.0", [(0, "lgpl")]),
+    ]
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(docs)], "doc_id long, text string")
+    scanned, name = licenses.scan(frame, licenses.train(PROSE * 20), ["doc_id"])
+    got = {r.doc_id: r[name] for r in scanned.collect()}
+    for i, (text, expected_here) in enumerate(docs):
+        found = [(p.paragraph, p.family) for p in got[i]]
+        if i == 2:  # where the notice starts to hold most of the template
+            assert [f for _, f in found] == ["gpl"]
+        else:
+            assert found == expected_here, (text, found)
+
+
+def test_unusual_lines_beside_a_notice(spark):
+    docs = [("\n" * 5000 + "Released under the MIT License." + "\nx" * 3000, [(5000, "mit")]),
+            ("Released under the MIT License.\r\n\r\nLicensed under CC BY 4.0.", [(0, "mit"), (2, "cc-by")])]
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(docs)], "doc_id long, text string")
+    scanned, name = licenses.scan(frame, licenses.train(PROSE * 20), ["doc_id"])
+    got = {r.doc_id: [(p.paragraph, p.family) for p in r[name]] for r in scanned.collect()}
+    assert got == {i: e for i, (_, e) in enumerate(docs)}
