@@ -2,8 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; the stages' results
 are written as Parquet and read again in between. All but the last return the columns of ``documents``.
-Nulls in any column are allowed: a document without text is scored and encoded like an empty one, one
-without id cannot be a copy of another and stays.
+Nulls in any column are allowed: a document without text is scored and encoded like an empty one, and
+near copies are decided row by row, so that repeated ids and rows without id are like any others.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near copies."""
-    return docs.join(simhash.duplicates_to_drop(docs), "doc_id", "left_anti").select(*docs.columns)
+    """Keep the row with the smallest id of each group of near copies, one without id only if none has any."""
+    return simhash.keep_first(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

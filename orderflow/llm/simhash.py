@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from orderflow.llm.common import scan_texts, ship_package, store
+from orderflow.llm.common import free_name, scan_texts, ship_package, store
 from orderflow.llm.components import connected_components
 
 SEED = 42
@@ -261,6 +261,14 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS)
     return dealt.groupBy("low", "high").applyInArrow(compare, "u long, v long")
 
 
+def _with_roots(nodes: DataFrame, value: str, radius: int, tile_rows: int) -> DataFrame:
+    """``fp``, the given column and ``root``, one fingerprint of the group that ``fp`` is linked to."""
+    labels = connected_components(links(nodes, radius, tile_rows))
+    return nodes.join(labels, nodes["fp"] == labels["node"], "left").select(
+        "fp", value, F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -275,10 +283,7 @@ def near_duplicates(
     """
     prints = store(fingerprints(docs, id_col, text_col), "fingerprints")
     nodes = store(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fp-nodes")
-    labels = connected_components(links(nodes, radius, tile_rows))
-    labelled = nodes.join(labels, nodes["fp"] == labels["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
+    labelled = _with_roots(nodes, "first_id", radius, tile_rows)
     smallest = store(
         labelled.groupBy("root").agg(F.min("first_id").alias("component_id")), "smallest-ids"
     )
@@ -286,11 +291,29 @@ def near_duplicates(
     return prints.join(components, "fp").select("doc_id", "fp", "component_id")
 
 
-def duplicates_to_drop(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Ids of all documents but the smallest of each component."""
-    return (
-        near_duplicates(docs, id_col, text_col)
-        .where(F.col("doc_id") > F.col("component_id"))
-        .select("doc_id")
-        .distinct()
+def keep_first(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    radius: int = RADIUS,
+    tile_rows: int = TILE_ROWS,
+) -> DataFrame:
+    """One row of each component, with all columns: that of the smallest id, nulls last.
+
+    Rows are told apart by a number of their own, so ids may repeat or be null. Among equal ids the
+    smallest hash of the row decides, and among equal rows any one stays.
+    """
+    scanned, result = scan_texts(docs, text_col, docs.columns, _fingerprints, "fp long")
+    row, rank = free_name(scanned, "row"), free_name(scanned, "rank")
+    key = F.struct(
+        F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"),
+        F.xxhash64(*docs.columns).alias("hash"), F.monotonically_increasing_id().alias("row"),
     )
+    numbered = scanned.withColumn(rank, key).withColumn(row, F.col(f"{rank}.row"))
+    # Stored, because the rows' numbers must be the same whenever they are read.
+    stored = store(numbered, "fingerprinted")
+    ranked = stored.select(F.col(f"{result}.fp").alias("fp"), F.col(rank).alias("first"))
+    nodes = store(ranked.groupBy("fp").agg(F.min("first").alias("first")), "fp-first-rows")
+    first = _with_roots(nodes, "first", radius, tile_rows).groupBy("root").agg(F.min("first").alias("first"))
+    kept = first.select(F.col("first.row").alias(row))
+    return stored.join(kept, row, "left_semi").select(*docs.columns)

@@ -61,3 +61,15 @@ def test_stages_take_effect(spark, tables):
 def test_run_is_registered(spark, tables):
     assert registry.queries()["pipeline"] is corpus_pipeline.run
     assert len(corpus_pipeline.run(spark, tables).collect()) > 150
+
+
+def test_near_copies_are_decided_by_row(spark):
+    rng = np.random.default_rng(5)
+    a, b, c, d, e = (" ".join(f"w{k}" for k in rng.integers(0, 10**6, 40)) for _ in range(5))
+    rows = [(3, a), (7, a), (7, b), (8, c), (8, c), (8, c), (None, a), (None, d), (None, d), (9, e), (None, e)]
+    rows += [(5, None), (6, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, fp string").repartition(3)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert got == sorted([(3, a), (7, b), (8, c), (None, d), (9, e), (5, None)], key=repr)
