@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,9 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderflow.llm import (
     bpe,
+    codebooks,
     decontaminate,
     hamming,
     licenses,
+    lines,
+    merkle,
     pii,
     quality,
     simhash,
@@ -129,6 +133,49 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = F.translate("text", merkle.UPPER, merkle.LOWER)
+    changed = merkle.leaf(*[lowered if name == "text" else F.col(name) for name in columns])
+    found = merkle.leaves(documents, columns, presented=F.when(tampered, changed))
+    proven = merkle.verify(merkle.proofs(merkle.build(found)))
+    return proven.select(
+        F.col("leaf_id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )
+
+
+def op12_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, name, books = codebooks.encode(_table(spark, sf_dir, "embeddings"), ["vec_id", "label"])
+    errors = codebooks.group_errors(coded, name, "label").withColumnRenamed("label", "error_label")
+    digest = hashlib.sha256(codebooks.text_of(books).encode()).hexdigest()
+    return coded.join(errors, F.col("label").eqNullSafe(F.col("error_label"))).select(
+        "vec_id",
+        F.lower(F.hex(f"{name}.code")).alias("code"),
+        F.col(f"{name}.error").alias("error"),
+        "label_error",
+        F.lit(digest).alias("codebooks_sha256"),
+    )
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    cut, name = lines.drop_frequent_lines(documents, ["doc_id"])
+    return cut.select(
+        "doc_id",
+        f"{name}.n_lines",
+        f"{name}.n_dropped",
+        F.sha2(F.col(f"{name}.kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_topk_search": op2_topk_search,
@@ -140,4 +187,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_licenses": op9_licenses,
     "op10_decontamination": op10_decontamination,
+    "op11_merkle": op11_merkle,
+    "op12_codebooks": op12_codebooks,
+    "op13_line_dedup": op13_line_dedup,
 }
