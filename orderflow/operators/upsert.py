@@ -70,6 +70,19 @@ def touched_dates(changes: DataFrame, date: str = "order_date") -> DataFrame:
     return changes.select(F.explode(both).alias(date)).distinct()
 
 
+def merged_rows(kept: DataFrame, changes: DataFrame, key: str = "order_id") -> DataFrame:
+    """Rows of whole dates after the merge: the changed keys' rows give way to the changes.
+
+    A key that stood under two dates, because a run died between switching them, has a change for
+    each; it comes back once. Changes without a key are added as they are.
+    """
+    columns = kept.columns
+    keyed = changes.filter(F.col(key).isNotNull()).dropDuplicates([key])
+    unkeyed = changes.filter(F.col(key).isNull())
+    rest = kept.join(changes.select(key), key, "left_anti").select(*columns)
+    return rest.unionByName(keyed.select(*columns)).unionByName(unkeyed.select(*columns))
+
+
 def rows_of_dates(
     target: DataFrame, changes: DataFrame, dates: DataFrame, key: str = "order_id",
     date: str = "order_date",
@@ -77,9 +90,23 @@ def rows_of_dates(
     """New content of the touched partitions."""
     listed = dates.select(F.col(date).alias("_listed"))
     kept = target.join(listed, F.col(date).eqNullSafe(F.col("_listed")), "left_semi")
-    return kept.join(changes.select(key), key, "left_anti").unionByName(
-        changes.select(*target.columns)
-    )
+    return merged_rows(kept, changes, key)
+
+
+def forced_rows(
+    target: DataFrame, updates: DataFrame, key: str = "order_id", date: str = "order_date"
+) -> DataFrame:
+    """Every update in the target's columns, with the date its row stood under before.
+
+    Columns an update lacks become NULL. Only keys and dates of the target are read.
+    """
+    lacking = [name for name in target.columns if name not in updates.columns]
+    filled = updates.withColumns({name: F.lit(None).cast(target.schema[name].dataType) for name in lacking})
+    held = target.select(F.col(key).alias("_key"), F.col(date).alias("replaced_date"))
+    matched = held.join(updates.select(F.col(key).alias("_key")), "_key", "left_semi")
+    replaced = F.when(F.col("_key").isNull(), F.col(date)).otherwise(F.col("replaced_date"))
+    joined = filled.join(matched, F.col(key) == F.col("_key"), "left")
+    return joined.select(*target.columns, replaced.alias("replaced_date"))
 
 
 def upsert_unconditional(target: DataFrame, updates: DataFrame, key: str = "order_id") -> DataFrame:

@@ -13,9 +13,9 @@ from dataclasses import dataclass
 from datetime import date as calendar_day
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from orderflow.operators import audit, backfill, clean, gold, quality, scd2, versions
+from orderflow.operators import audit, backfill, clean, gold, quality, review, scd2, versions
 from orderflow.schemas import (
     CUSTOMER_COLUMNS,
     CUSTOMERS_RAW,
@@ -26,7 +26,7 @@ from orderflow.schemas import (
 from orderflow.sources import tables
 from orderflow.sources.files import CORRUPT_RECORD, read_csv
 from orderflow.sources.metric_log import append_records, read_log
-from orderflow.sources.staging import stage, staging_scope
+from orderflow.sources.staging import observed, observed_rows, stage, stage_counted, staging_scope
 
 DIMENSIONS = {
     "customers": (CUSTOMERS_RAW, "customer_id", CUSTOMER_COLUMNS, clean.clean_customers),
@@ -36,7 +36,10 @@ DIMENSIONS = {
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the tables live, and the parameters one run shares between its steps."""
+    """Where the tables live, and the parameters one run shares between its steps.
+
+    ``order_buckets`` is for the first load of bronze: its files are then bucketed by order id.
+    """
 
     spark: SparkSession
     database: str
@@ -46,6 +49,7 @@ class Lake:
     as_of: str | None = None
     start_date: str | None = None
     end_date: str | None = None
+    order_buckets: int | None = None
 
     def __post_init__(self) -> None:
         # Pinned once, so that all steps of the run and all their tables agree.
@@ -141,13 +145,13 @@ def ingest_orders(lake: Lake, path: str, batch: str, step: str = "ingest_orders_
     started = time.time()
     feed, _ = _parsed(lake, path, ORDERS_RAW, "orders", batch)
     window = lake.windowed(feed)
-    normalized = stage(versions.normalize_orders(window, lake.as_of))
+    normalized, read = stage_counted(versions.normalize_orders(window, lake.as_of))
     unkeyed = tables.publish_unkeyed(normalized, lake.name("orders_unkeyed"), batch)
     keyed = versions.keep_latest(versions.with_key(normalized, "order_id"), "order_id")
-    done = tables.publish_upsert(keyed, lake.name("orders_bronze"))
+    done = tables.publish_upsert(keyed, lake.name("orders_bronze"), buckets=lake.order_buckets)
     lake.log("orders_bronze", _operation(done.outcome), done.rows)
     lake.step_record(
-        step, started, normalized.count(), path, "orders_bronze", write_mode=done.outcome,
+        step, started, read, path, "orders_bronze", write_mode=done.outcome,
         rows_written=done.rows, rows_quarantined=unkeyed, days=done.days,
     )
     return done.outcome
@@ -171,14 +175,12 @@ def check_history(lake: Lake, table: str = "orders_bronze") -> DataFrame:
     return audit.require_operations(lake.table("operations_log"), lake.name(table))
 
 
-def _replace(
-    lake: Lake, df: DataFrame, table: str, days: set | None, staged: bool = False
-) -> tables.Published:
+def _replace(lake: Lake, df: DataFrame, table: str, days: set | None) -> tables.Published:
     """The listed days in a backfill, everything otherwise."""
     if days is not None:
-        done = tables.publish_dates(df, lake.name(table), days, staged=staged)
+        done = tables.publish_dates(df, lake.name(table), days)
     else:
-        done = tables.publish_all_dates(df, lake.name(table), staged=staged)
+        done = tables.publish_all_dates(df, lake.name(table))
     lake.log(table, "WRITE", done.rows)
     return done
 
@@ -196,6 +198,11 @@ def _days(lake: Lake, *published: str) -> set | None:
     return {day for day in found if day and low <= day <= high}
 
 
+def _rows_read(done: tables.Published, seen: Observation) -> int:
+    """Rows an observed input gave to a publication; one that was skipped has read nothing."""
+    return 0 if done.outcome == "skipped" else observed_rows(seen)
+
+
 @_step
 def validate_orders(
     lake: Lake, threshold: float = quality.DEFAULT_THRESHOLD, today: str | None = None,
@@ -223,8 +230,8 @@ def validate_orders(
         )
     )
     summary = stage(quality.summary(tagged, threshold))
-    valid = _replace(lake, quality.valid_rows(tagged), "orders_validated", days, staged=True)
-    bad = _replace(lake, quality.quarantined_rows(tagged), "orders_quarantine", days, staged=True)
+    valid = _replace(lake, quality.valid_rows(tagged), "orders_validated", days)
+    bad = _replace(lake, quality.quarantined_rows(tagged), "orders_quarantine", days)
     if summary_path:
         tables.write_document(quality.summary_document(summary, orders), summary_path)
     found = summary.collect()[0]
@@ -258,11 +265,11 @@ def validate_orders(
 @_step
 def build_silver_orders(lake: Lake) -> None:
     started = time.time()
-    validated, seen = tables.observed(lake.windowed(lake.table("orders_validated")))
+    validated, seen = observed(lake.windowed(lake.table("orders_validated")))
     days = _days(lake, "orders_validated", "orders_silver")
     done = _replace(lake, clean.silver_orders(validated), "orders_silver", days)
     lake.step_record(
-        "silver_orders", started, tables.observed_rows(seen), "orders_validated", "orders_silver",
+        "silver_orders", started, _rows_read(done, seen), "orders_validated", "orders_silver",
         write_mode=done.outcome, rows_written=done.rows, days=done.days,
     )
 
@@ -276,8 +283,8 @@ def merge_dimensions(lake: Lake, guard: bool = True) -> None:
     """
     started, read, written, apart = time.time(), 0, 0, 0
     for name, (_, key, columns, cleaner) in DIMENSIONS.items():
-        bronze = stage(cleaner(lake.table(f"{name}_bronze")))
-        read += bronze.count()
+        bronze, rows = stage_counted(cleaner(lake.table(f"{name}_bronze")))
+        read += rows
         apart += tables.publish_unkeyed(bronze, lake.name(f"{name}_unkeyed"), lake.run_id, key)
         prepared = stage(versions.prepare_dimension(bronze, key, columns, lake.as_of))
         done, late = tables.publish_dimension(
@@ -292,32 +299,97 @@ def merge_dimensions(lake: Lake, guard: bool = True) -> None:
     )
 
 
+def _decisions(lake: Lake) -> DataFrame:
+    if lake.has("orders_review_decisions"):
+        return lake.table("orders_review_decisions")
+    return lake.spark.createDataFrame([], review.DECISIONS)
+
+
+@_step
+def review_late_orders(lake: Lake, tolerance_hours: int = 24) -> DataFrame:
+    """Note bronze orders that came too long after their day, with the decisions made so far.
+
+    The reports leave out what is pending or rejected. Returns the counts per day and status.
+    """
+    started = time.time()
+    bronze, seen = observed(lake.windowed(lake.table("orders_bronze")))
+    late = review.late_versions(bronze, tolerance_hours)
+    days = _days(lake, "orders_bronze", "orders_review")
+    done = _replace(lake, review.review_state(late, _decisions(lake)), "orders_review", days)
+    counts = review.status_counts(lake.windowed(lake.table("orders_review"))).collect()
+    held = sum(row.orders for row in counts if row.review_status != review.RELEASED)
+    lake.step_record(
+        "review_late_orders", started, _rows_read(done, seen), "orders_bronze", "orders_review",
+        rows_quarantined=held, write_mode=done.outcome, rows_written=done.rows, days=done.days,
+    )
+    return lake.spark.createDataFrame(
+        counts, "order_date date, review_status string, orders long, longest_hours double"
+    )
+
+
+@_step
+def decide_late_orders(
+    lake: Lake, order_ids: DataFrame, decision: str, batch: str, decided_by: str
+) -> set:
+    """Release, reject or take back the late versions of the named orders.
+
+    The decisions of a batch are kept in a partition of their own, so that replaying it changes
+    nothing. Only the days of these orders change in the review table; they are returned, and are
+    what ``build_daily_sales`` and ``build_revenue`` need to publish again.
+    """
+    started = time.time()
+    state = lake.table("orders_review")
+    made, rows = stage_counted(
+        review.decide(state, order_ids, decision, lake.as_of, decided_by)
+    )
+    days = {row[0] for row in made.select("order_date").distinct().collect()}
+    tables.publish_batch(made.drop("order_date"), lake.name("orders_review_decisions"), batch)
+    kept = state.filter(F.col("order_date").isin(*days)).drop("review_status", "decided_at", "decided_by")
+    done = tables.publish_dates(review.review_state(kept, _decisions(lake)), lake.name("orders_review"), days)
+    lake.log("orders_review", "WRITE", done.rows)
+    lake.step_record(
+        "decide_late_orders", started, rows, "orders_review", "orders_review",
+        write_mode=done.outcome, rows_written=done.rows, days=done.days,
+    )
+    return days
+
+
 def _publish_gold(
-    lake: Lake, step: str, table: str, build: Callable[[DataFrame], DataFrame]
+    lake: Lake, step: str, table: str, build: Callable[[DataFrame], DataFrame], days: set | None
 ) -> None:
-    """Replace the report's dates; outside a backfill that is every date it has or had."""
+    """Replace the report's dates: the given ones, those of a backfill, or every date it has or had.
+
+    Late orders that have not been released stay out.
+    """
     started = time.time()
-    silver, seen = tables.observed(lake.windowed(lake.table("orders_silver")))
-    done = _replace(lake, build(silver), table, _days(lake, "orders_silver", table))
+    source = lake.windowed(lake.table("orders_silver"))
+    if days is not None:
+        source = source.filter(F.col("order_date").isin(*days))
+    silver, seen = observed(source)
+    if lake.has("orders_review"):
+        silver = review.withhold(silver, lake.table("orders_review"))
+    listed = _days(lake, "orders_silver", table) if days is None else days
+    done = _replace(lake, build(silver), table, listed)
     lake.step_record(
-        step, started, tables.observed_rows(seen), "orders_silver", table,
+        step, started, _rows_read(done, seen), "orders_silver", table,
         write_mode=done.outcome, rows_written=done.rows, days=done.days,
     )
 
 
 @_step
-def build_daily_sales(lake: Lake) -> None:
-    _publish_gold(lake, "gold_daily_sales", "daily_sales_summary", gold.daily_sales)
+def build_daily_sales(lake: Lake, days: set | None = None) -> None:
+    _publish_gold(lake, "gold_daily_sales", "daily_sales_summary", gold.daily_sales, days)
 
 
 @_step
-def build_revenue(lake: Lake) -> None:
+def build_revenue(lake: Lake, days: set | None = None) -> None:
     customers, products = (
         scd2.current(lake.table(f"{name}_silver")) for name in ("customers", "products")
     )
     _publish_gold(
         lake, "gold_revenue", "revenue_by_category_country",
-        lambda silver: gold.revenue_by_category_country(silver, customers, products),
+        lambda silver: gold.revenue_by_category_country(silver, customers, products, sketch=True),
+        days,
     )
 
 

@@ -2,30 +2,73 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
+
+from orderflow.sources.staging import file_system
 
 CORRUPT_RECORD = "_corrupt_record"
+# Bytes of a file that are looked at for its header; more only if the header is longer.
+HEADER_BYTES = 16 << 10
+HEADER_READERS = 16
+
+
+def first_record(data: bytes) -> bytes | None:
+    """The first record that is not blank, without its line end; None if the bytes end inside it.
+
+    Line breaks between quotes belong to the record; a backslash escapes the next byte.
+    """
+    quoted = escaped = False
+    start = 0
+    for at, byte in enumerate(data):
+        if escaped:
+            escaped = False
+        elif byte == 0x5C:
+            escaped = True
+        elif byte == 0x22:
+            quoted = not quoted
+        elif byte == 0x0A and not quoted:
+            record = data[start:at].rstrip(b"\r")
+            if record.strip():
+                return record
+            start = at + 1
+    return None
 
 
-def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
-    """The feed's files, those with the same header line together (a job over the first blocks)."""
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.monotonically_increasing_id().alias("at"),
-        F.col("_metadata.file_block_start").alias("block"),
-    )
-    headers = (
-        lines.where("block = 0")
-        .groupBy("file")
-        .agg(F.min_by("value", "at").alias("header"))
-        .groupBy("header")
-        .agg(F.collect_list("file").alias("files"))
-    )
-    return [[unquote(file) for file in row.files] for row in headers.collect()]
+def _header(spark: SparkSession, file: str) -> bytes:
+    """The header of a file, from its first bytes only."""
+    system, path = file_system(spark, file)
+    stream = system.open(path)
+    try:
+        data, size = b"", HEADER_BYTES
+        while True:
+            more = bytes(stream.readNBytes(size))
+            data += more
+            found = first_record(data)
+            if found is not None:
+                return found
+            if len(more) < size:
+                return first_record(data + b"\n") or b""
+            size = len(data)
+    finally:
+        stream.close()
+
+
+def _files_by_header(spark: SparkSession, path: str) -> dict[bytes, list[str]]:
+    """The feed's files, those with the same header together.
+
+    The driver reads a few kilobytes of each listed file, many files at a time; no job runs.
+    """
+    files = sorted(unquote(file) for file in spark.read.text(path).inputFiles())
+    groups: dict[bytes, list[str]] = {}
+    with ThreadPoolExecutor(HEADER_READERS) as readers:
+        for file, header in zip(files, readers.map(lambda file: _header(spark, file), files), strict=True):
+            if header:
+                groups.setdefault(header, []).append(file)
+    return groups
 
 
 def read_csv(
@@ -35,8 +78,8 @@ def read_csv(
 
     With a contract there is no inference pass over the data. The columns of each file are named by
     its own header, so they may come in any order and extra ones (an update time) are kept as text;
-    files with different headers are read apart and united by column name. Values that do not fit
-    become NULL and their line is kept in ``_corrupt_record``. Without a contract the types are
+    files with different headers are read apart and united by column name. Names may be quoted and
+    hold line breaks. Values that do not fit become NULL and their line is kept in ``_corrupt_record``. Without a contract the types are
     inferred, which is how the raw contract is checked.
     """
     reader = spark.read.option("header", True)
@@ -48,12 +91,14 @@ def read_csv(
         return spark.createDataFrame([], empty)
     types = {field.name: field.dataType for field in contract.fields}
     parts = []
-    for files in groups:
-        header = spark.read.option("header", True).csv(files[0]).columns
-        fields = [T.StructField(name, types.get(name, T.StringType())) for name in header]
+    for header, files in groups.items():
+        # Files with line breaks in quotes cannot be split, so only those are read that way.
+        options = {"header": True, "multiLine": b"\n" in header}
+        names = spark.read.options(**options).csv(files[0]).columns
+        fields = [T.StructField(name, types.get(name, T.StringType())) for name in names]
         schema = T.StructType([*fields, T.StructField(CORRUPT_RECORD, T.StringType())])
         parts.append(
-            spark.read.option("header", True)
+            spark.read.options(**options)
             .schema(schema)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT_RECORD)

@@ -1,30 +1,47 @@
 """Publishing: every function here runs jobs.
 
-Tables are catalog tables over Parquet, partitioned by date where the contract says so. A whole table is
-replaced by writing a fresh folder and pointing the catalog there; the old folder is deleted last. For
-single dates, Spark's dynamic partition overwrite writes the new files completely before it swaps the
-directories in. What is published is evaluated once: the rows are staged, their dates are taken
-from the staged copy, and so is what the table gets. Dropping dates that became empty is a second
-statement; should a run die in between, running it again completes the change.
+Tables are catalog tables over Parquet, partitioned by date where the contract says so. Every
+publication writes a fresh folder, completely, in one evaluation of its rows; its row count is observed on
+that write and its dates are the folders it made. Then the catalog is pointed there:
+
+* a table without partitions by one ``SET LOCATION``;
+* a partitioned table by one ``SET LOCATION`` per partition it already has, then one ``ADD PARTITION`` for
+  new ones and one ``DROP PARTITION`` for emptied ones. Should a run die between two of these statements, each
+  date still has all of its old or all of its new rows, and running the publication again completes it;
+* a table that is new, or whose columns were removed or retyped, under a name of its own that is
+  renamed when it is complete. Columns that are only added are added in place.
+
+Replaced folders stay for readers that have already planned on them; a later publication deletes them
+once they have been out of use for RETAIN_SECONDS.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
-from contextlib import contextmanager
+from collections.abc import Iterator
 from datetime import date as calendar_day
 from typing import NamedTuple
+from urllib.parse import unquote
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from orderflow.operators import scd2, upsert as merging, versions
 from orderflow.operators.audit import OPERATIONS_LOG
 from orderflow.schemas import DIMENSION_METADATA_COLUMNS, INGESTION_COLUMNS
-from orderflow.sources.staging import delete_folder, stage
+from orderflow.sources.staging import (
+    counted_write,
+    delete_folder,
+    file_system,
+    stage,
+    stage_counted,
+)
 
 # Partitions named in one statement.
 DDL_BATCH = 300
+# How long a replaced folder is kept.
+RETAIN_SECONDS = 24 * 3600
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 class PartitioningMismatch(ValueError):
@@ -39,6 +56,21 @@ class Published(NamedTuple):
     days: frozenset = frozenset()
 
 
+class Bucketing(NamedTuple):
+    """The key a table's files are bucketed by, and into how many buckets."""
+
+    key: str
+    number: int
+
+
+class _Version(NamedTuple):
+    """A folder written completely: its rows, and the folder of every partition value (as text)."""
+
+    path: str
+    rows: int
+    folders: dict
+
+
 def partition_columns(spark: SparkSession, name_or_path: str) -> list[str]:
     """Partition columns of a catalog table, or of a folder: those its files do not hold."""
     if "/" not in name_or_path:
@@ -47,111 +79,300 @@ def partition_columns(spark: SparkSession, name_or_path: str) -> list[str]:
     return [name for name in spark.read.parquet(name_or_path).columns if name not in held]
 
 
-def _laid_out(df: DataFrame, partition_by: list[str]) -> DataFrame:
-    """Gather each partition's rows into few files; AQE splits a partition that is too large."""
-    return df.hint("rebalance", *[F.col(name) for name in partition_by]) if partition_by else df
+def _described(spark: SparkSession, table: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return {row.col_name: row.data_type for row in rows}
 
 
-def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+def bucketing(spark: SparkSession, table: str) -> Bucketing | None:
+    found = _described(spark, table)
+    number = int(found.get("Num Buckets", 0))
+    return Bucketing(found["Bucket Columns"].strip("[]`"), number) if number > 0 else None
 
 
-def observed_rows(seen: Observation) -> int:
-    """Rows of a finished write, for row accounting only. AQE removes the observing node together
-    with an input it finds empty, and then there is no metric to read."""
-    try:
-        return seen.get["rows"]
-    except Py4JJavaError:
-        return 0
+def table_root(spark: SparkSession, table: str) -> str:
+    """The folder under which a table's versions are written, in its database's location."""
+    database, _, name = table.rpartition(".")
+    place = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{place.rstrip('/')}/{name}"
 
 
-def _location(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
-    return rows[0].data_type
+def execute(spark: SparkSession, statement: str) -> None:
+    """All statements that change the catalog go through here."""
+    spark.sql(statement)
 
 
-def publish_table(df: DataFrame, table: str, partition_by: list[str] | None = None) -> int:
-    """Create a table or replace all of it, schema included; returns the rows written.
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    The rows go to a fresh folder before the catalog entry changes, so the frame may read the table
-    it replaces, and a write that fails leaves the old table as it was. The old folder is deleted
-    after the switch.
-    """
-    spark, keys = df.sparkSession, partition_by or []
-    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    path = f"{root}/{table.replace('.', '/')}-{uuid.uuid4().hex}"
-    counted, seen = observed(df)
-    _laid_out(counted, keys).write.partitionBy(*keys).parquet(path)
-    old = _location(spark, table) if spark.catalog.tableExists(table) else None
-    fields = sorted(df.schema.fields, key=lambda field: field.name in keys)
-    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in fields)
+
+def _spec(column: str, kind: T.DataType, value: str | None) -> str:
+    if value is None:
+        return f"PARTITION (`{column}` = NULL)"
+    literal = f"DATE {_quoted(value)}" if isinstance(kind, T.DateType) else _quoted(value)
+    return f"PARTITION (`{column}` = {literal})"
+
+
+def _value_of(folder_name: str) -> str | None:
+    """The partition value in a name like ``date=2026-01-01``; None for that of NULL."""
+    value = unquote(folder_name.partition("=")[2])
+    return None if value == _NO_VALUE else value
+
+
+def _batches(clauses: list[str], joiner: str) -> Iterator[str]:
+    for at in range(0, len(clauses), DDL_BATCH):
+        yield joiner.join(clauses[at : at + DDL_BATCH])
+
+
+# Writing a version -------------------------------------------------------------------------------
+
+
+def _laid_out(df: DataFrame, keys: list[str], buckets: Bucketing | None) -> DataFrame:
+    """Gather each partition's rows into few files; AQE splits a partition that is too large."""
+    if not buckets:
+        return df.hint("rebalance", *[F.col(name) for name in keys]) if keys else df
+    bucket = F.pmod(F.hash(buckets.key), F.lit(buckets.number))
+    marked = df.withColumn("_bucket", bucket)
+    return marked.hint("rebalance", *[F.col(name) for name in [*keys, "_bucket"]]).drop("_bucket")
+
+
+def _columns_sql(schema: T.StructType, keys: list[str]) -> str:
+    fields = sorted(schema.fields, key=lambda field: field.name in keys)
+    return ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in fields)
+
+
+def _create(
+    spark: SparkSession, table: str, schema: T.StructType, keys: list[str], path: str,
+    buckets: Bucketing | None,
+) -> None:
     by = f"PARTITIONED BY ({', '.join(f'`{name}`' for name in keys)})" if keys else ""
-    if old is not None:
-        spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {by} LOCATION '{path}'")
-    if keys:
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-    if old is not None:
-        delete_folder(spark, old)
-    return observed_rows(seen)
+    clustered = f"CLUSTERED BY (`{buckets.key}`) INTO {buckets.number} BUCKETS" if buckets else ""
+    execute(
+        spark,
+        f"CREATE TABLE {table} ({_columns_sql(schema, keys)}) USING parquet {by} {clustered} "
+        f"LOCATION {_quoted(path)}",
+    )
 
 
-def _drop_dates(spark: SparkSession, table: str, dates: set, date: str) -> None:
-    ordered = sorted(dates, key=str)
-    for at in range(0, len(ordered), DDL_BATCH):
-        part = ordered[at : at + DDL_BATCH]
-        values = [f"DATE '{day.isoformat()}'" if day else "NULL" for day in part]
-        clauses = ", ".join(f"PARTITION ({date} = {value})" for value in values)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {clauses}")
+def _write_version(
+    df: DataFrame, table: str, keys: list[str], buckets: Bucketing | None = None
+) -> _Version:
+    """Write the rows to a fresh folder, once; bucketed files need a table to be written through."""
+    spark = df.sparkSession
+    path = f"{table_root(spark, table)}/v-{uuid.uuid4().hex}"
+    rows = _laid_out(df, keys, buckets)
+    if buckets:
+        through = f"{table}__load_{uuid.uuid4().hex}"
+        _create(spark, through, df.schema, keys, path, buckets)
+        ordered = rows.select(*spark.table(through).columns)
+        count = counted_write(ordered, lambda counted: counted.write.insertInto(through))
+        execute(spark, f"DROP TABLE {through}")
+    else:
+        count = counted_write(rows, lambda counted: counted.write.partitionBy(*keys).parquet(path))
+    if not keys:
+        return _Version(path, count, {})
+    system, root = file_system(spark, path)
+    made = [status.getPath() for status in system.listStatus(root) if status.isDirectory()]
+    names = [(folder.getName(), folder.toString()) for folder in made]
+    folders = {_value_of(name): place for name, place in names if name.startswith(f"{keys[0]}=")}
+    return _Version(path, count, folders)
 
 
-def _days(df: DataFrame, date: str) -> set:
-    """Distinct days as driver values, for partition statements only; bounded by the calendar."""
-    return {row[0] for row in df.select(date).distinct().collect()}
+# Pointing the catalog at a version -----------------------------------------------------------------
+
+
+def stored_values(spark: SparkSession, table: str) -> set:
+    """Values a table has partitions for, as text, from the catalog; None for that of NULL."""
+    return {_value_of(row[0]) for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+
+
+def _as_day(value: str | None) -> calendar_day | None:
+    return None if value is None else calendar_day.fromisoformat(value)
 
 
 def stored_days(spark: SparkSession, table: str, date: str) -> set:
-    """Days a table has partitions for, from the catalog; None for the partition of NULL."""
-    names = [row[0].partition("=")[2] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    return {None if name.startswith("__") else calendar_day.fromisoformat(name) for name in names}
+    """Days a table has partitions for; None for the partition of NULL."""
+    return {_as_day(value) for value in stored_values(spark, table)}
+
+
+def _folders_in_use(spark: SparkSession, table: str, column: str | None = None, values: set = frozenset()) -> set:
+    """Folders that hold the files of some partitions, or of a table without partitions."""
+    df = spark.table(table)
+    if column is not None:
+        text = F.col(column).cast("string")
+        named = text.isin(*[value for value in values if value is not None])
+        df = df.filter(named | text.isNull() if None in values else named)
+    return {unquote(file.rpartition("/")[0]) for file in df.inputFiles()}
 
 
-def _replace_days(
-    df: DataFrame, table: str, date: str, listed: set | None = None, staged: bool = False
+def _point_partitions(
+    spark: SparkSession, table: str, column: str, folders: dict, gone: set
+) -> None:
+    """Let the table's partitions be these folders, and drop those that are gone."""
+    kind = spark.table(table).schema[column].dataType
+    held = stored_values(spark, table)
+    replaced = (set(folders) | gone) & held
+    old = _folders_in_use(spark, table, column, replaced) if replaced else set()
+    for value in sorted(set(folders) & held, key=str):
+        spec = _spec(column, kind, value)
+        execute(spark, f"ALTER TABLE {table} {spec} SET LOCATION {_quoted(folders[value])}")
+    added = [
+        f"{_spec(column, kind, value)} LOCATION {_quoted(folders[value])}"
+        for value in sorted(set(folders) - held, key=str)
+    ]
+    for clauses in _batches(added, " "):
+        execute(spark, f"ALTER TABLE {table} ADD IF NOT EXISTS {clauses}")
+    dropped = [_spec(column, kind, value) for value in sorted(gone & held, key=str)]
+    for clauses in _batches(dropped, ", "):
+        execute(spark, f"ALTER TABLE {table} DROP IF EXISTS {clauses}")
+    _retire(spark, table, old)
+
+
+def _swap_partitions(
+    df: DataFrame, table: str, column: str, listed: set | None = None, keep_others: bool = False
 ) -> tuple[int, frozenset]:
-    """Swap in the days the rows have and drop the listed days (by default all) they have no more.
+    """Swap in the partitions the rows have and drop the listed ones (by default all) they lack.
 
-    The frame is evaluated once, by staging it (unless it is a scan of a staged copy already).
+    Values are text. With ``keep_others`` nothing is dropped.
     """
     spark = df.sparkSession
     rows = df.select(*spark.table(table).columns)
-    if not staged:
-        rows = stage(rows)
-    present = _days(rows, date)
-    if listed is None:
-        listed = stored_days(spark, table, date) | present
-    outside = sorted(str(day) for day in present - listed)
+    version = _write_version(rows, table, [column], bucketing(spark, table))
+    present = set(version.folders)
+    if keep_others:
+        listed = present
+    elif listed is None:
+        listed = stored_values(spark, table) | present
+    outside = sorted(str(value) for value in present - listed)
     if outside:
+        delete_folder(spark, version.path)
         raise ValueError(f"rows outside the dates to replace in {table}: {outside[:5]}")
-    if present:
-        with _dynamic_overwrite(spark):
-            _laid_out(rows, [date]).write.mode("overwrite").insertInto(table)
-    _drop_dates(spark, table, listed - present, date)
-    return rows.count(), frozenset(listed)
-
-
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    """Only the session setting counts for ``insertInto``; the writer's option is ignored there and
-    the whole table would be emptied."""
-    name = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    _point_partitions(spark, table, column, version.folders, listed - present)
+    return version.rows, frozenset(listed)
+
+
+def _retire(spark: SparkSession, table: str, folders: set) -> None:
+    """Note folders nothing points at any more, and delete those noted long enough ago."""
+    root = table_root(spark, table)
+    if folders:
+        system, note = file_system(spark, f"{root}/_retired/{uuid.uuid4().hex}")
+        stream = system.create(note)
+        stream.write(bytearray("\n".join(sorted(folders)).encode()))
+        stream.close()
+    sweep_retired(spark, table)
+
+
+def sweep_retired(spark: SparkSession, table: str, older_than: float | None = None) -> int:
+    """Delete folders that were replaced at least so many seconds ago; returns how many."""
+    system, notes = file_system(spark, f"{table_root(spark, table)}/_retired")
+    limit = time.time() - (RETAIN_SECONDS if older_than is None else older_than)
+    deleted = 0
+    for status in system.listStatus(notes) if system.exists(notes) else []:
+        if status.getModificationTime() / 1000 <= limit:
+            stream = system.open(status.getPath())
+            folders = bytes(stream.readAllBytes()).decode().split("\n")
+            stream.close()
+            for folder in folders:
+                delete_folder(spark, folder)
+            system.delete(status.getPath(), False)
+            deleted += len(folders)
+    return deleted
+
+
+def restore_table(spark: SparkSession, table: str) -> None:
+    """Finish the renaming of a table that a run died in; does nothing otherwise."""
+    following, old = f"{table}__next", f"{table}__old"
+    if spark.catalog.tableExists(old):
+        if not spark.catalog.tableExists(table):
+            execute(spark, f"ALTER TABLE {following} RENAME TO {table}")
+        execute(spark, f"DROP TABLE IF EXISTS {old}")
+
+
+def _recreate(
+    version: _Version, table: str, schema: T.StructType, keys: list[str],
+    buckets: Bucketing | None, spark: SparkSession,
+) -> None:
+    """Create the table complete under another name, then rename."""
+    following, old = f"{table}__next", f"{table}__old"
+    execute(spark, f"DROP TABLE IF EXISTS {following}")
+    _create(spark, following, schema, keys, version.path, buckets)
+    if keys:
+        _point_partitions(spark, following, keys[0], version.folders, set())
+    folders = set()
+    if spark.catalog.tableExists(table):
+        folders = _folders_in_use(spark, table)
+        execute(spark, f"ALTER TABLE {table} RENAME TO {old}")
+    execute(spark, f"ALTER TABLE {following} RENAME TO {table}")
+    execute(spark, f"DROP TABLE IF EXISTS {old}")
+    _retire(spark, table, folders)
+
+
+def _types(schema: T.StructType) -> dict[str, str]:
+    return {field.name: field.dataType.simpleString() for field in schema.fields}
+
+
+def publish_table(
+    df: DataFrame, table: str, partition_by: list[str] | None = None,
+    buckets: Bucketing | None = None,
+) -> int:
+    """Create a table or replace all of it, schema included; returns the rows written.
+
+    The frame may read the table it replaces, and a write that fails leaves the old table as it was.
+    At most one partition column; a replaced table keeps its bucketing unless another is given.
+    """
+    spark, keys = df.sparkSession, list(partition_by or [])
+    if len(keys) > 1:
+        raise ValueError("tables have at most one partition column")
+    restore_table(spark, table)
+    wanted = _types(df.schema)
+    if spark.catalog.tableExists(table):
+        present = _types(spark.table(table).schema)
+        found = bucketing(spark, table)
+        buckets = buckets or found
+        widened = all(wanted.get(name) == kind for name, kind in present.items())
+        if widened and buckets == found and partition_columns(spark, table) == keys:
+            return _replace_all(df, table, keys, present)
+    version = _write_version(df, table, keys, buckets)
+    _recreate(version, table, df.schema, keys, buckets, spark)
+    return version.rows
+
+
+def _replace_all(df: DataFrame, table: str, keys: list[str], present: dict[str, str]) -> int:
+    """Replace all rows of a table with the same layout, after adding the columns it lacks."""
+    spark = df.sparkSession
+    missing = [field for field in df.schema.fields if field.name not in present]
+    # Written before the first statement, so that a failing frame changes nothing.
+    ordered = df.select(*[name for name in df.columns if name not in keys], *keys)
+    version = _write_version(ordered, table, keys, bucketing(spark, table))
+    if missing:
+        added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in missing)
+        execute(spark, f"ALTER TABLE {table} ADD COLUMNS ({added})")
+    if keys:
+        gone = stored_values(spark, table) - set(version.folders)
+        _point_partitions(spark, table, keys[0], version.folders, gone)
+    else:
+        old = _folders_in_use(spark, table)
+        execute(spark, f"ALTER TABLE {table} SET LOCATION {_quoted(version.path)}")
+        _retire(spark, table, old)
+    return version.rows
+
+
+# Publications --------------------------------------------------------------------------------------
+
+
+def _days(df: DataFrame, date: str) -> set:
+    """Distinct days as driver values, for partition statements only; bounded by the calendar."""
+    return {row[0] for row in df.select(date).distinct().collect()}
+
+
+def _texts(days: set) -> set:
+    return {None if day is None else day.isoformat() for day in days}
+
+
+def _replace_days(df: DataFrame, table: str, date: str, listed: set | None = None) -> tuple[int, frozenset]:
+    texts = None if listed is None else _texts(listed)
+    rows, values = _swap_partitions(df, table, date, texts)
+    return rows, frozenset(_as_day(value) for value in values)
 
 
 def _require_partitioning(spark: SparkSession, table: str, date: str) -> None:
@@ -160,19 +381,21 @@ def _require_partitioning(spark: SparkSession, table: str, date: str) -> None:
         raise PartitioningMismatch(f"{table} is partitioned by {found}, not by ['{date}']")
 
 
-def _created(df: DataFrame, table: str, date: str, outcome: str = "created") -> Published:
-    rows = publish_table(df, table, [date])
+def _created(
+    df: DataFrame, table: str, date: str, outcome: str = "created", buckets: Bucketing | None = None
+) -> Published:
+    rows = publish_table(df, table, [date], buckets)
     return Published(outcome, rows, frozenset(stored_days(df.sparkSession, table, date)))
 
 
 def publish_dates(
-    df: DataFrame, table: str, dates: DataFrame | set, date: str = "order_date", staged: bool = False
+    df: DataFrame, table: str, dates: DataFrame | set, date: str = "order_date"
 ) -> Published:
     """Replace exactly the listed dates of a table with the rows of ``df``.
 
     The outcome is ``skipped``, ``created`` or ``replaced_partitions``. A table with other partition
     columns is refused, because rewriting it from a window of rows would lose all other dates; so is
-    a row outside the listed dates. ``staged`` says that the frame is a scan of a stored copy.
+    a row outside the listed dates.
     """
     spark = df.sparkSession
     listed = (dates if isinstance(dates, set) else _days(dates, date)) - {None}
@@ -181,57 +404,68 @@ def publish_dates(
     if not spark.catalog.tableExists(table):
         return _created(df, table, date)
     _require_partitioning(spark, table, date)
-    return Published("replaced_partitions", *_replace_days(df, table, date, listed, staged))
+    return Published("replaced_partitions", *_replace_days(df, table, date, listed))
 
 
-def publish_all_dates(
-    df: DataFrame, table: str, date: str = "order_date", staged: bool = False
-) -> Published:
+def publish_all_dates(df: DataFrame, table: str, date: str = "order_date") -> Published:
     """Replace every date of a table; the old content stays until the new one is written.
 
-    A table whose columns differ is created anew with the frame's schema.
+    Columns the table lacks are added to it.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table) or set(spark.table(table).columns) != set(df.columns):
         return _created(df, table, date)
     _require_partitioning(spark, table, date)
-    return Published("overwrite", *_replace_days(df, table, date, staged=staged))
+    return Published("overwrite", *_replace_days(df, table, date))
+
+
+def _publish_changes(
+    changes: DataFrame, target: DataFrame, table: str, key: str, date: str
+) -> Published:
+    """Rewrite the dates that staged changes touch, reading no others."""
+    spark = changes.sparkSession
+    touched = _days(merging.touched_dates(changes, date), date)
+    if not touched:
+        return Published("merged", 0)
+    # A literal list lets the scan skip all other partitions while it is planned.
+    named = F.col(date).isin(*[day for day in touched if day])
+    pruned = target.filter(named | F.col(date).isNull() if None in touched else named)
+    content = merging.merged_rows(pruned, changes, key)
+    return Published("merged", *_replace_days(content, table, date, touched))
 
 
 def publish_upsert(
-    updates: DataFrame, table: str, key: str = "order_id", date: str = "order_date"
+    updates: DataFrame, table: str, key: str = "order_id", date: str = "order_date",
+    buckets: int | None = None,
 ) -> Published:
     """Merge prepared updates into a date-partitioned table, rewriting only the dates they touch.
 
-    The outcome is ``created``, ``migrated`` (the table had no metadata columns yet) or ``merged``.
+    The outcome is ``created``, ``migrated`` (the table had no metadata columns yet) or ``merged``. A
+    table created with ``buckets`` has its files bucketed by the key: a merge then shuffles the
+    batch only, however large the table is.
     """
     spark = updates.sparkSession
+    wanted = Bucketing(key, buckets) if buckets else None
     if not spark.catalog.tableExists(table):
-        return _created(updates, table, date)
+        return _created(updates, table, date, buckets=wanted)
     target = spark.table(table)
     if versions.lacks_metadata(target, INGESTION_COLUMNS):
-        return _created(versions.migrate_orders(target, updates), table, date, "migrated")
+        migrated = versions.migrate_orders(target, updates)
+        return _created(migrated, table, date, "migrated", wanted)
     changes = stage(merging.changed_rows(target, stage(updates), key, date))
-    dates = stage(merging.touched_dates(changes, date))
-    touched = _days(dates, date)
-    if not touched:
-        return Published("merged", 0)
-    # A literal list lets the scan skip all other partitions while it is planned.
-    named = F.col(date).isin(*[day for day in touched if day])
-    pruned = target.filter(named | F.col(date).isNull() if None in touched else named)
-    content = merging.rows_of_dates(pruned, changes, dates, key, date)
-    return Published("merged", *_replace_days(content, table, date, touched))
+    return _publish_changes(changes, target, table, key, date)
 
 
 def publish_unconditional(
     updates: DataFrame, table: str, key: str = "order_id", date: str = "order_date"
 ) -> Published:
-    """Replace rows by key whatever their age and add new ones; all dates are published again."""
+    """Replace rows by key whatever their age and add new ones; only the touched dates are rewritten."""
     spark = updates.sparkSession
     if not spark.catalog.tableExists(table):
         return _created(updates, table, date)
-    merged = merging.upsert_unconditional(spark.table(table), updates, key)
-    return Published("merged", *publish_all_dates(merged, table, date)[1:])
+    target = spark.table(table)
+    changes = stage(merging.forced_rows(target, stage(updates), key, date))
+    return _publish_changes(changes, target, table, key, date)
 
 
 def publish_dimension(
@@ -254,28 +488,27 @@ def publish_dimension(
     if partition_columns(spark, table) != [flag]:
         publish_table(target, table, [flag])
         target = spark.table(table)
-    late = stage(scd2.late_versions(target, updates, key)) if guard else None
-    merged = stage(scd2.merge_current(target, updates, key, guard).select(*target.columns))
+    late, late_rows = None, 0
+    if guard:
+        late, late_rows = stage_counted(scd2.late_versions(target, updates, key))
+    current = scd2.merge_current(target, updates, key, guard).select(*target.columns)
+    merged, rows = stage_counted(current)
     same = [key, "valid_from", "record_hash"]
     closed = merged.filter(f"NOT {flag}").join(
         target.filter(f"NOT {flag}").select(*same), same, "left_anti"
     )
     closed.select(*target.columns).write.insertInto(table)
-    with _dynamic_overwrite(spark):
-        merged.filter(flag).write.mode("overwrite").insertInto(table)
-    late_rows = late.count() if guard else 0
+    _swap_partitions(merged.filter(flag), table, flag, {"true"})
     if late_rows:
         _keep_apart(late, f"{table}_late", "ingestion_date")
-    return Published("merged", merged.count()), late_rows
+    return Published("merged", rows), late_rows
 
 
 def _keep_apart(rows: DataFrame, table: str, partition: str) -> None:
-    spark = rows.sparkSession
-    if not spark.catalog.tableExists(table):
+    if not rows.sparkSession.catalog.tableExists(table):
         publish_table(rows, table, [partition])
-        return
-    with _dynamic_overwrite(spark):
-        rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    else:
+        _swap_partitions(rows, table, partition, keep_others=True)
 
 
 def publish_batch(rows: DataFrame, table: str, batch: str) -> int:
@@ -284,13 +517,11 @@ def publish_batch(rows: DataFrame, table: str, batch: str) -> int:
     Replaying a batch replaces its partition, and removes it if there are no such rows any more.
     """
     spark = rows.sparkSession
-    kept = stage(rows.withColumn("batch", F.lit(batch)))
-    count = kept.count()
+    kept, count = stage_counted(rows.withColumn("batch", F.lit(batch)))
     if count:
         _keep_apart(kept, table, "batch")
     elif spark.catalog.tableExists(table):
-        name = batch.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (batch = '{name}')")
+        _point_partitions(spark, table, "batch", {}, {batch})
     return count
 
 

@@ -1,0 +1,133 @@
+"""Late orders: what is reviewed, which decision counts, and when reports change."""
+
+from datetime import date, datetime
+
+import pytest
+from conftest import order
+from pyspark.sql import functions as F
+from test_pipeline import _lake
+
+from orderflow.operators import review, versions
+from orderflow.plans import steps
+from orderflow.sources.metric_log import read_log
+
+HEAD = "order_id,customer_id,product_id,order_date,quantity,unit_price,status,update_timestamp\n"
+# 1 and 2 came on their day; 3 came three days late, 4 half an hour too late, 5 just in time.
+ORDERS = HEAD + """1,7001,51,2025-05-10,1,10.00,completed,2025-05-10 09:00:00
+2,7002,52,2025-05-11,1,20.00,completed,2025-05-11 09:00:00
+3,7001,51,2025-05-10,1,100.00,completed,2025-05-14 00:00:00
+4,7003,53,2025-05-12,1,1000.00,completed,2025-05-14 00:30:00
+5,7003,53,2025-05-12,1,40.00,completed,2025-05-14 00:00:00
+"""
+
+
+def _daily(lake):
+    return {str(r.order_date): r.daily_revenue for r in lake.table("daily_sales_summary").collect()}
+
+
+def _state(lake):
+    return {r.order_id: r.review_status for r in lake.table("orders_review").collect()}
+
+
+def _ids(spark, *ids):
+    return spark.createDataFrame([(i,) for i in ids], "order_id long")
+
+
+@pytest.fixture
+def lake(spark, database, tmp_path, feeds):
+    path = tmp_path / "orders_late.csv"
+    path.write_text(ORDERS)
+    lake = _lake(spark, database, tmp_path, as_of="2025-05-20 00:00:00")
+    steps.ingest_orders(lake, str(path), "first")
+    steps.ingest_dimensions(lake, {n: feeds[n] for n in ("customers", "products")})
+    steps.validate_orders(lake, today="2025-07-01")
+    steps.build_silver_orders(lake)
+    steps.merge_dimensions(lake)
+    return lake
+
+
+def test_reports_change_only_after_release(spark, lake):
+    counts = steps.review_late_orders(lake).collect()
+    assert {(str(r.order_date), r.review_status, r.orders) for r in counts} == {
+        ("2025-05-10", "pending", 1), ("2025-05-12", "pending", 1),
+    }
+    steps.build_daily_sales(lake)
+    steps.build_revenue(lake)
+    assert lake.table("orders_bronze").count() == lake.table("orders_silver").count() == 5
+    on_time = {"2025-05-10": 10.0, "2025-05-11": 20.0, "2025-05-12": 40.0}
+    assert _daily(lake) == on_time
+    # Building again without a decision changes nothing.
+    steps.review_late_orders(lake)
+    steps.build_daily_sales(lake)
+    assert _daily(lake) == on_time and _state(lake) == {3: "pending", 4: "pending"}
+
+    untouched = set(lake.table("daily_sales_summary").filter("order_date = '2025-05-11'").inputFiles())
+    days = steps.decide_late_orders(lake, _ids(spark, 3, 77), review.RELEASED, "d1", "ada")
+    assert days == {date(2025, 5, 10)} and _state(lake) == {3: "released", 4: "pending"}
+    assert _daily(lake) == on_time
+    steps.build_daily_sales(lake, days)
+    steps.build_revenue(lake, days)
+    assert _daily(lake) == {**on_time, "2025-05-10": 110.0}
+    assert untouched == set(lake.table("daily_sales_summary").filter("order_date = '2025-05-11'").inputFiles())
+    revenue = lake.table("revenue_by_category_country").groupBy("order_date").agg(F.sum("revenue"))
+    assert {str(r[0]): r[1] for r in revenue.collect()} == {**on_time, "2025-05-10": 110.0}
+
+    # Replaying the batch of decisions changes nothing; a rejected order stays out, a release can be taken back.
+    steps.decide_late_orders(lake, _ids(spark, 3), review.RELEASED, "d1", "ada")
+    assert lake.table("orders_review_decisions").count() == 1
+    later = steps.Lake(spark, lake.database, lake.metrics_path, "run-2", as_of="2025-05-21 00:00:00")
+    days = steps.decide_late_orders(later, _ids(spark, 4), review.REJECTED, "d2", "ada")
+    days |= steps.decide_late_orders(later, _ids(spark, 3), review.PENDING, "d3", "bo")
+    steps.build_daily_sales(later, days)
+    assert _daily(lake) == on_time and _state(lake) == {3: "pending", 4: "rejected"}
+    log = read_log(spark, lake.metrics_path, "step_metrics").filter("step = 'review_late_orders'")
+    assert [(r.rows_read, r.rows_written, r.rows_quarantined) for r in log.collect()] == [(5, 2, 2)] * 2
+
+
+def test_a_new_late_version_of_a_released_order_is_pending_again(spark, lake, tmp_path):
+    steps.review_late_orders(lake)
+    steps.decide_late_orders(lake, _ids(spark, 3), review.RELEASED, "d1", "ada")
+    path = tmp_path / "again.csv"
+    path.write_text(HEAD + "3,7001,51,2025-05-10,1,100.50,completed,2025-05-16 00:00:00\n")
+    steps.ingest_orders(lake, str(path), "second")
+    steps.review_late_orders(lake)
+    assert _state(lake) == {3: "pending", 4: "pending"}
+
+
+def test_a_wider_tolerance_and_a_backfill(spark, lake):
+    window = steps.Lake(
+        spark, lake.database, lake.metrics_path, "w", as_of="2025-05-20 00:00:00",
+        start_date="2025-05-12", end_date="2025-05-12",
+    )
+    steps.review_late_orders(lake, tolerance_hours=24)
+    steps.review_late_orders(window, tolerance_hours=25)
+    assert _state(lake) == {3: "pending"}
+    steps.review_late_orders(lake, tolerance_hours=1000)
+    assert _state(lake) == {}
+    steps.build_daily_sales(lake)
+    assert _daily(lake) == {"2025-05-10": 110.0, "2025-05-11": 20.0, "2025-05-12": 1040.0}
+
+
+def test_state_of_versions(spark, orders_frame):
+    orders = versions.normalize_orders(
+        orders_frame(order(1), order(2), order(None), order(4, order_date=None)), "2026-02-01"
+    )
+    late = review.late_versions(orders)
+    assert sorted(r.order_id for r in late.collect()) == [1, 2]
+    assert {r.hours_late for r in late.collect()} == {30 * 24.0}
+    hashes = {r.order_id: r.record_hash for r in late.collect()}
+    at = datetime(2026, 2, 2)
+    decisions = spark.createDataFrame(
+        [(1, hashes[1], "released", at, "a"), (1, hashes[1], "rejected", at, "b"),
+         (2, "another version", "released", at, "a"), (9, hashes[1], "released", at, "a")],
+        review.DECISIONS,
+    )
+    state = review.review_state(late, decisions)
+    # Of two decisions of the same time the greater word counts.
+    assert {r.order_id: r.review_status for r in state.collect()} == {1: "released", 2: "pending"}
+    kept = review.withhold(orders, state)
+    assert kept.columns == orders.columns
+    assert sorted(str(r.order_id) for r in kept.collect()) == ["1", "4", "None"]
+    assert review.withhold(orders, state.limit(0)).count() == 4
+    with pytest.raises(ValueError, match="no such decision"):
+        review.decide(state, spark.createDataFrame([(1,)], "order_id long"), "maybe", "2026-02-02", "a")

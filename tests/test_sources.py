@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from orderflow import schemas
 from orderflow.operators import gold, versions
 from orderflow.sources import tables
-from orderflow.sources.files import CORRUPT_RECORD, read_csv, read_table
+from orderflow.sources.files import (
+    CORRUPT_RECORD, HEADER_BYTES, _files_by_header, first_record, read_csv, read_table,
+)
 from orderflow.sources.metric_log import append_records, read_log
 from orderflow.sources.staging import stage, staging_scope, work_root
 
@@ -51,7 +53,8 @@ def test_staged_copy_is_equal_and_on_shared_storage(spark, orders_frame):
     staged = stage(orders_frame(order(1), order(2)))
     assert staged.schema == schemas.ORDERS_RAW and staged.count() == 2
     assert all(work_root(spark) in name for name in staged.inputFiles())
-    assert read_table(spark, staged.inputFiles()[0]).count() >= 1
+    folder = staged.inputFiles()[0].rpartition("/")[0]
+    assert read_table(spark, folder).count() == 2
 
 
 def test_log_round_trip_and_tolerance(spark, tmp_path):
@@ -316,3 +319,53 @@ def test_unconditional_upsert_publishes_whatever_the_age(spark, database, orders
     )
     assert tables.publish_unconditional(older, name)[:2] == ("merged", 3)
     assert {r.order_id: r.quantity for r in spark.table(name).collect()} == {1: 1, 2: 9, 3: 1}
+
+
+def test_header_bytes_do_not_grow_with_the_files(spark, tmp_path):
+    head = "order_id,customer_id,product_id,order_date,quantity,unit_price,status\n"
+    stats = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file")
+
+    def read_bytes(lines):
+        folder = tmp_path / f"feed-{lines}"
+        folder.mkdir()
+        for name in ("a", "b", "c"):
+            body = "1,7001,51,2025-05-10,1,2.5,completed\n" * lines
+            (folder / f"{name}.csv").write_text((head if name != "c" else "note," + head) + body)
+        before = stats.getLong("bytesRead")
+        groups = _files_by_header(spark, str(folder))
+        assert sorted(len(files) for files in groups.values()) == [1, 2]
+        return stats.getLong("bytesRead") - before
+
+    small, large = read_bytes(1_000), read_bytes(200_000)
+    assert 0 < large <= small + 3 * (64 << 10)
+
+
+def test_quoted_headers_with_line_breaks(spark, tmp_path):
+    folder = tmp_path / "quoted"
+    folder.mkdir()
+    (folder / "a.csv").write_bytes(
+        b'\r\n"order_id",customer_id,product_id,order_date,quantity,unit_price,status,"a \\"long\\"\r\nname"\r\n'
+        b'1,7001,51,2025-05-10,1,2.5,completed,"first\nsecond"\r\n'
+    )
+    (folder / "b.csv").write_text(
+        "order_id,customer_id,product_id,order_date,quantity,unit_price,status\n2,7001,51,2025-05-11,1,2.5,completed\n"
+    )
+    (folder / "empty.csv").write_text("")
+    feed = read_csv(spark, str(folder), schemas.ORDERS_RAW)
+    rows = {r.order_id: r for r in feed.collect()}
+    assert set(rows) == {1, 2} and all(r[CORRUPT_RECORD] is None for r in rows.values())
+    extra = [name for name in feed.columns if name.startswith("a ")]
+    assert len(extra) == 1 and "\n" in extra[0]
+    assert rows[1][extra[0]].split() == ["first", "second"] and rows[2][extra[0]] is None
+
+
+def test_long_headers_and_files_without_line_end(spark, tmp_path):
+    names = ["order_id", *[f"column_{k}_{'x' * 50}" for k in range(900)]]
+    path = tmp_path / "wide.csv"
+    path.write_text(",".join(names) + "\n" + ",".join("1" for _ in names))
+    assert len(names[1]) * 900 > 2 * HEADER_BYTES
+    assert read_csv(spark, str(path), schemas.ORDERS_RAW).select("order_id", names[-1]).collect() == [(1, "1")]
+    only = tmp_path / "only.csv"
+    only.write_text("order_id,status")
+    assert read_csv(spark, str(only), schemas.ORDERS_RAW).collect() == []
+    assert first_record(b'"a\nb",c\\"\r\nd') == b'"a\nb",c\\"' and first_record(b'"a\nb') is None
