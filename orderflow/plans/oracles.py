@@ -9,7 +9,6 @@ from orderflow.plans.testmap import (
     LOG_AS_OF,
     NEW_KEY_OFFSET,
     SECOND_LOAD,
-    STEPS,
     TODAY,
     UNKNOWN_OFFSET,
 )
@@ -17,7 +16,7 @@ from orderflow.schemas import CUSTOMER_COLUMNS, METRIC_NAMES, ORDER_COLUMNS, PRO
 
 _TEXT_COLUMNS = {
     "order_date", "signup_date", "source_update_ts", "ingestion_ts", "ingestion_date",
-    "valid_from", "valid_to", "recorded_at", "replaced_date", "latest_order_date",
+    "valid_from", "valid_to", "recorded_at", "replaced_date", "latest_order_date", "decided_at",
 }
 _INGESTION = ["source_update_ts", "ingestion_ts", "ingestion_date", "record_hash"]
 _VALIDITY = ["valid_from", "valid_to", "is_current"]
@@ -296,7 +295,6 @@ FROM revenue GROUP BY {dimension} ORDER BY total_revenue DESC, {dimension} ASC N
 
 
 _METRIC_CASE = " ".join(f"WHEN '{event}' THEN '{name}'" for event, name in EVENT_METRICS.items())
-_STEP_LIST = "[" + ", ".join(f"'{step}'" for step in STEPS) + "]"
 LOG = f"""keyed AS (
   SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k,
          CASE event_type {_METRIC_CASE} END AS metric_name
@@ -313,9 +311,9 @@ log AS (
               ELSE 'success' END AS status,
          CASE WHEN metric_name IN ('orders_data_quality', 'gold_sales_metrics') THEN NULL
               ELSE value END AS duration_seconds,
-         CASE WHEN metric_name <> 'pipeline_runs' THEN {_STEP_LIST}[k % 10 + 1] END AS step,
+         CASE WHEN metric_name <> 'pipeline_runs' THEN 'step_' || (k % 10) END AS step,
          CASE WHEN metric_name = 'pipeline_runs' AND k % 4 > 0
-              THEN {_STEP_LIST}[k % 10 + 1] END AS failed_step,
+              THEN 'step_' || (k % 10) END AS failed_step,
          value
   FROM keyed)"""
 _BRIEF = _out(["record_id", "recorded_at", "metric_name", "run_id", "status", "duration_seconds"])
@@ -421,6 +419,19 @@ coverage AS (
   GROUP BY ALL)"""
 
 
+REVIEW = ORDERS_FIRST + f""",
+review_state AS (
+  SELECT order_id, record_hash, order_date,
+         (epoch(source_update_ts) - epoch(CAST(order_date + 1 AS TIMESTAMP))) / 3600.0 AS hours_late,
+         CASE WHEN order_id % 6 = 0 THEN 'rejected' WHEN order_id % 3 = 0 THEN 'released' ELSE 'pending' END
+           AS review_status,
+         CASE WHEN order_id % 6 = 0 THEN TIMESTAMP '{SECOND_LOAD}'
+              WHEN order_id % 3 = 0 THEN TIMESTAMP '{FIRST_LOAD}' END AS decided_at,
+         CASE WHEN order_id % 6 = 0 THEN 'second' WHEN order_id % 3 = 0 THEN 'first' END AS decided_by
+  FROM target
+  WHERE source_update_ts > CAST(order_date + 1 AS TIMESTAMP) + INTERVAL 24 HOUR)"""
+
+
 def _schema_rows() -> str:
     message = "The feed has no column product_id"
     typed = "Column status is bigint, accepted: string"
@@ -498,6 +509,43 @@ FROM updates s JOIN target t USING (customer_id)
 WHERE t.is_current IS TRUE AND s.record_hash <> t.record_hash""",
     "scd2_current": _with(CUSTOMER_HISTORY)
     + f"SELECT {_out(_CUSTOMER_TABLE)} FROM customer_history WHERE is_current",
+    "late_orders_review": _with(REVIEW)
+    + f"SELECT {_out(['order_id', 'record_hash', 'hours_late', 'review_status', 'decided_at', 'decided_by', 'order_date'])} FROM review_state",
+    "gold_daily_sales_reviewed": _with(
+        REVIEW,
+        f"""kept AS (SELECT {SILVER_COLUMNS} FROM target WHERE status = 'completed' AND order_id NOT IN (
+  SELECT order_id FROM review_state WHERE review_status <> 'released'))""",
+        _daily("daily", "kept"),
+    )
+    + f"SELECT {_DAILY_OUT} FROM daily",
+    "gold_distinct_customers": _with(SILVER, DIMENSIONS, STAR)
+    + """SELECT country, category, count(DISTINCT customer_id) AS customers, true AS within_bound
+FROM star GROUP BY country, category""",
+    "csv_feed": _with(DIRTY)
+    + """SELECT order_id, customer_id, product_id, CAST(TRY_CAST(order_date AS DATE) AS VARCHAR) AS order_date,
+  quantity, CAST(unit_price AS DOUBLE) AS unit_price, status, CAST(source_update_ts AS VARCHAR) AS source_update_ts,
+  coalesce(order_date = 'not a date', false) AS is_corrupt FROM dirty""",
+    "json_log": _with(LOG)
+    + f"""SELECT metric_name, {_out(['recorded_at'])}, run_id, status, step, k % 3 + 1 AS attempt, duration_seconds,
+  event_id * 10 + k AS rows_read,
+  CASE WHEN metric_name = 'orders_data_quality' THEN value END AS invalid_percentage,
+  CASE WHEN metric_name = 'orders_data_quality' THEN
+    'invalid_quantity=' || k || ',invalid_status=' || (k % 7) || ',unknown_customer_id=' || (event_id % 13) END
+    AS quarantine_reason_counts,
+  CASE WHEN metric_name = 'gold_sales_metrics' THEN value END AS total_revenue FROM log""",
+    "published_upsert": _with(ORDER_MERGE)
+    + f"""SELECT {_out(_ORDER_TABLE)} FROM winners
+UNION ALL
+SELECT {_out(_ORDER_TABLE)} FROM target WHERE order_id NOT IN (SELECT order_id FROM winners)""",
+    "published_unconditional": _with(ORDER_MERGE)
+    + f"""SELECT {_out(_ORDER_TABLE)} FROM target WHERE order_id NOT IN (SELECT order_id FROM updates)
+UNION ALL
+SELECT {_out(ORDER_COLUMNS)}, NULL, NULL, NULL, NULL FROM updates""",
+    "published_partitions": _with(DAILY)
+    + f"""SELECT CAST(CAST(date_trunc('month', order_date) AS DATE) AS VARCHAR) AS order_month,
+  count(*) AS days, CAST(sum(total_orders) AS BIGINT) AS total_orders, true AS was_written
+FROM daily WHERE NOT CAST(date_trunc('month', order_date) AS DATE) {_WINDOW_SQL} OR dayofweek(order_date) = 1
+GROUP BY 1""",
     "quality_reasons": _with(TAGGED)
     + f"SELECT {_FEED_OUT}, quarantine_reasons, quarantine_reason FROM tagged",
     "quality_reasons_text_ids": _with(

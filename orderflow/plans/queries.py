@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from orderflow.functions.hashing import record_hash
 from orderflow.functions.privacy import mask_customers
-from orderflow.operators import audit, backfill, clean, gold, quality, runlog, scd2, upsert, versions
+from orderflow.operators import (
+    audit, backfill, clean, gold, quality, review, runlog, scd2, upsert, versions,
+)
 from orderflow.plans import testmap as tm
 from orderflow.schemas import (
     CUSTOMER_COLUMNS,
+    METRIC_SCHEMAS,
     ORDER_COLUMNS,
+    ORDERS_RAW,
     PRODUCT_COLUMNS,
     fill_missing,
     schema_report,
 )
-from orderflow.sources.staging import stage
+from orderflow.sources import tables
+from orderflow.sources.files import CORRUPT_RECORD, read_csv
+from orderflow.sources.metric_log import append_frame, read_log
+from orderflow.sources.staging import stage, work_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 WINDOW = ("1997-03-01", "1998-02-28")
@@ -294,6 +302,24 @@ def late_orders(spark, d):
     return feed.select("order_id", "order_date", "source_update_ts", "is_late")
 
 
+def _review_state(spark, d):
+    orders = stage(tm.first_orders(spark, d))
+    return orders, stage(review.review_state(review.late_versions(orders), tm.late_decisions(orders)))
+
+
+@_query
+def late_orders_review(spark, d):
+    """Every late order with what was decided about it last."""
+    return _review_state(spark, d)[1].drop("source_update_ts")
+
+
+@_query
+def gold_daily_sales_reviewed(spark, d):
+    """Daily sales without the late orders that have not been released."""
+    orders, state = _review_state(spark, d)
+    return gold.daily_sales(review.withhold(clean.silver_orders(orders), state))
+
+
 # Gold ---------------------------------------------------------------------------------------
 
 
@@ -354,6 +380,21 @@ def gold_rollup_category_country(spark, d):
     return gold.rollup_category_country(_revenue(spark, d))
 
 
+@_query
+def gold_distinct_customers(spark, d):
+    """Customers over all dates from gold's sketches, held against the exact number."""
+    silver, dimensions = _stored_silver(spark, d), _current_dimensions(spark, d)
+    stored = stage(gold.revenue_by_category_country(silver, *dimensions, sketch=True))
+    estimated = gold.distinct_customers(stored, "country", "category")
+    star = silver.join(dimensions[0], "customer_id").join(dimensions[1], "product_id")
+    exact = star.groupBy("country", "category").agg(F.count_distinct("customer_id").alias("exact"))
+    allowed = F.greatest(F.lit(1.0), F.lit(3 * gold.SKETCH_ERROR) * F.col("exact"))
+    return exact.join(estimated, ["country", "category"]).select(
+        "country", "category", F.col("exact").alias("customers"),
+        (F.abs(F.col("customers") - F.col("exact")) <= allowed).alias("within_bound"),
+    )
+
+
 @_query
 def gold_totals(spark, d):
     return gold.totals(gold.daily_sales(_silver(spark, d)))
@@ -509,3 +550,85 @@ def metrics_maxima(spark, d):
 @_query
 def metrics_alerts(spark, d):
     return runlog.alerts(tm.run_log(spark, d), tm.LOG_AS_OF)
+
+
+# Files and tables ---------------------------------------------------------------------------
+
+
+def _scratch(spark, name: str) -> str:
+    return f"{work_root(spark)}/orderflow/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+@_query
+def csv_feed(spark, d):
+    """The dirty feed written as CSV files with headers and read by contract."""
+    path = _scratch(spark, "feed")
+    feed = tm.dirty_feed(spark, d)
+    feed.select(*[F.col(name).cast("string") for name in feed.columns]).write.option("header", True).csv(path)
+    read = read_csv(spark, path, ORDERS_RAW)
+    return read.withColumn("is_corrupt", F.col(CORRUPT_RECORD).isNotNull()).drop(CORRUPT_RECORD)
+
+
+@_query
+def json_log(spark, d):
+    """The run log written as JSON lines by type, with a broken copy of some lines, and read back."""
+    path = _scratch(spark, "log")
+    log = stage(tm.run_log(spark, d))
+    fields = {field.name for schema in METRIC_SCHEMAS.values() for field in schema.fields}
+    records = log.select(*[name for name in log.columns if name in fields])
+    append_frame(records, path)
+    broken = log.filter(F.col("rows_written") % 370 == 0).select(
+        F.substring(F.to_json(F.struct(*records.columns)), 1, 40).alias("value"), "metric_name"
+    )
+    broken.write.mode("append").partitionBy("metric_name").text(path)
+    return read_log(spark, path).select(
+        "metric_name", "recorded_at", "run_id", "status", "step", "attempt", "duration_seconds",
+        "rows_read", "invalid_percentage", "quarantine_reason_counts", "total_revenue",
+    )
+
+
+def _monthly(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("order_month", F.trunc("order_date", "month"))
+
+
+def _published(spark, d) -> str:
+    """A catalog table, bucketed by order and partitioned by month, after two publications."""
+    database = f"queries_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{_scratch(spark, 'tables')}'")
+    name = f"{database}.orders"
+    for orders in (tm.first_orders(spark, d), tm.order_updates(spark, d)):
+        tables.publish_upsert(_monthly(orders), name, date="order_month", buckets=4)
+    return name
+
+
+@_query
+def published_upsert(spark, d):
+    """The merged table as a reader of the catalog sees it."""
+    return spark.table(_published(spark, d)).drop("order_month")
+
+
+@_query
+def published_unconditional(spark, d):
+    """Every update forced into the published table; what the updates lack is NULL."""
+    name = _published(spark, d)
+    bare = _monthly(tm.order_updates(spark, d)).select(*ORDER_COLUMNS, "order_month")
+    tables.publish_unconditional(bare, name, date="order_month")
+    return spark.table(name).drop("order_month")
+
+
+@_query
+def published_partitions(spark, d):
+    """Rows per partition of a published report after its window was replaced, read as a folder tree."""
+    database = f"queries_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{_scratch(spark, 'tables')}'")
+    name = f"{database}.daily"
+    daily = stage(gold.daily_sales(_silver(spark, d)).withColumn("order_month", F.trunc("order_date", "month")))
+    tables.publish_all_dates(daily, name, "order_month")
+    window = backfill.in_window(daily, *WINDOW, date="order_month")
+    mondays = window.filter(F.dayofweek("order_date") == 2)
+    tables.publish_dates(mondays, name, window.select("order_month").distinct(), "order_month")
+    (key,) = tables.partition_columns(spark, name)
+    written = gold.last_written(spark.table(name)).first()[0]
+    return spark.table(name).groupBy(key).agg(
+        F.count("*").alias("days"), F.sum("total_orders").alias("total_orders"),
+    ).withColumn("was_written", F.lit(written is not None))

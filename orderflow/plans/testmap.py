@@ -20,10 +20,6 @@ SECOND_LOAD = "2002-01-01 00:00:00"
 LOG_AS_OF = "2024-02-01 00:00:00"
 NEW_KEY_OFFSET = 1_000_000_000
 UNKNOWN_OFFSET = 1_000_000_000
-STEPS = (
-    "load_orders", "load_dimensions", "merge_load", "audit_history", "split_orders",
-    "type_orders", "merge_dimensions", "report_daily_sales", "report_revenue", "report_totals",
-)
 EVENT_METRICS = {
     "view": "step_metrics",
     "click": "pipeline_steps",
@@ -124,6 +120,26 @@ def order_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def late_decisions(orders: DataFrame) -> DataFrame:
+    """Every 3rd order is released, every 6th rejected after that; every 5th has a decision on a
+    version that is not there."""
+    def made(n: int, version: Column, decision: str, when: str, who: str) -> DataFrame:
+        return orders.filter(_every(n, "order_id")).select(
+            "order_id",
+            version.alias("record_hash"),
+            F.lit(decision).alias("decision"),
+            F.lit(when).cast("timestamp").alias("decided_at"),
+            F.lit(who).alias("decided_by"),
+        )
+
+    own = F.col("record_hash")
+    first = made(3, own, "released", FIRST_LOAD, "first")
+    second = made(6, own, "rejected", SECOND_LOAD, "second")
+    return first.unionByName(second).unionByName(
+        made(5, F.reverse(own), "released", SECOND_LOAD, "third")
+    )
+
+
 def customers_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers, nations = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     mail = F.concat(F.lit(" "), F.replace("c_name", F.lit("#"), F.lit(".")), F.lit("@Example.com "))
@@ -258,7 +274,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     metric = F.element_at(
         F.create_map(*[F.lit(x) for pair in EVENT_METRICS.items() for x in pair]), kind
     )
-    steps = F.array(*[F.lit(step) for step in STEPS])
+    step = F.concat(F.lit("step_"), F.col("k") % 10)
     stamp = F.col("ts").cast("string")
     counts = F.create_map(
         F.lit("invalid_quantity"), F.col("k").cast("bigint"),
@@ -285,13 +301,13 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~is_quality & ~is_gold, value).alias("duration_seconds"),
         F.when(F.col("k") % 2 == 0, F.lit("2024-01-01 00:00:00")).alias("started_at"),
         F.when(F.col("k") % 100 != 0, stamp).alias("ended_at"),
-        F.when(~is_run, F.get(steps, F.col("k") % 10)).alias("step"),
+        F.when(~is_run, step).alias("step"),
         (F.col("k") % 3 + 1).alias("attempt"),
         F.when(is_run, F.lit(10)).alias("total_steps"),
         F.when(is_run, 10 - F.col("k") % 4).alias("successful_steps"),
         F.when(is_run, F.col("k") % 4).alias("failed_steps"),
         F.when(is_run, F.lit(0)).alias("skipped_steps"),
-        F.when(is_run & (F.col("k") % 4 > 0), F.get(steps, F.col("k") % 10)).alias("failed_step"),
+        F.when(is_run & (F.col("k") % 4 > 0), step).alias("failed_step"),
         (F.col("event_id") * 10 + F.col("k")).alias("rows_read"),
         (F.col("event_id") * 10).alias("rows_written"),
         F.col("k").cast("bigint").alias("rows_quarantined"),
