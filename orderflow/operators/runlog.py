@@ -187,8 +187,9 @@ def _labels(**values: Column) -> Column:
     return F.map_filter(F.create_map(*entries), lambda _, value: value.isNotNull())
 
 
-def _gauge(name: str, value: Column, **labels: Column) -> Column:
-    common = {"pipeline": F.col("pipeline_name"), "run_id": F.col("run_id")}
+def _gauge(name: str, value: Column, record: str = "", **labels: Column) -> Column:
+    """A gauge of the row's record, or of the one in the named struct column."""
+    common = {"pipeline": F.col(f"{record}pipeline_name"), "run_id": F.col(f"{record}run_id")}
     return F.struct(
         F.lit(name).alias("gauge"),
         _labels(**common, **labels).alias("labels"),
@@ -196,8 +197,9 @@ def _gauge(name: str, value: Column, **labels: Column) -> Column:
     )
 
 
-def _run_status_label() -> Column:
-    return F.coalesce(F.when(F.col("status") != "", F.col("status")), F.lit("unknown"))
+def _run_status_label(record: str = "") -> Column:
+    status = F.col(f"{record}status")
+    return F.coalesce(F.when(status != "", status), F.lit("unknown"))
 
 
 def _average_order_value() -> Column:
@@ -263,29 +265,36 @@ def record_gauges(log: DataFrame) -> DataFrame:
 
 
 def latest_gauges(log: DataFrame) -> DataFrame:
-    """Flags for the newest run and quality record, and records per type."""
-    newest = latest_records(log)
+    """Flags for the newest run and quality record, and records per type, from one aggregation."""
+    run, quality = _is("pipeline_runs"), _is("orders_data_quality")
+    state = log.agg(
+        F.max_by(F.struct("pipeline_name", "run_id", "status", "failed_step"), _recency(run)).alias("run"),
+        F.max_by(F.struct("pipeline_name", "run_id", "invalid_percentage"), _recency(quality)).alias("quality"),
+        *[F.count_if(_is(name)).alias(name) for name in METRIC_NAMES],
+    )
+    status = _run_status_label("run.")
     failed = _gauge(
-        "latest_pipeline_run_failed", (_run_status_label() != "success").cast("double"),
-        status=_run_status_label(), failed_step=F.col("failed_step"),
+        "latest_pipeline_run_failed", (status != "success").cast("double"), "run.",
+        status=status, failed_step=F.col("run.failed_step"),
     )
-    invalid = _gauge("latest_orders_invalid_percentage", F.col("invalid_percentage"))
-    flags = newest.select(
-        F.inline(
-            F.when(_is("pipeline_runs"), F.array(failed)).when(
-                _is("orders_data_quality"), F.array(invalid)
-            )
+    invalid = _gauge("latest_orders_invalid_percentage", F.col("quality.invalid_percentage"), "quality.")
+    counts = [
+        F.struct(
+            F.lit("metrics_records_total").alias("gauge"),
+            F.create_map(F.lit("metric_name"), F.lit(name)).alias("labels"),
+            F.col(name).cast("double").alias("value"),
         )
-    )
-    counts = record_counts(log).select(
-        F.lit("metrics_records_total").alias("gauge"),
-        F.create_map(F.lit("metric_name"), F.col("metric_name")).alias("labels"),
-        F.col("records").cast("double").alias("value"),
-    )
-    return flags.unionByName(counts)
+        for name in METRIC_NAMES
+    ]
+    newest = [F.when(F.col("run").isNotNull(), failed), F.when(F.col("quality").isNotNull(), invalid)]
+    return state.select(F.inline(F.array_compact(F.array(*newest, *counts))))
 
 
 def gauges(log: DataFrame) -> DataFrame:
+    """Gauges of every record, and of the newest ones.
+
+    Two scans, each of its own columns: one scan for both would have to shuffle every record.
+    """
     return record_gauges(log).unionByName(latest_gauges(log))
 
 
