@@ -13,6 +13,7 @@ from orderflow.functions.hashing import record_hash
 from orderflow.operators.versions import prepare_dimension, prepare_orders
 from orderflow.schemas import CUSTOMER_COLUMNS, PRODUCT_COLUMNS
 from orderflow.session import apply_settings
+from orderflow.sources.files import spread
 
 TODAY = "2001-06-01"
 FIRST_LOAD = "2001-01-01 00:00:00"
@@ -39,7 +40,7 @@ def _every(n: int, key: str) -> Column:
 
 def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item; ids repeat naturally."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     orders = table(spark, sf_dir, "orders")
     status = F.when(F.col("o_orderstatus") == "F", "completed").when(
         F.col("o_orderstatus") == "O", "cancelled"
@@ -281,7 +282,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("invalid_status"), (F.col("k") % 7).cast("bigint"),
         F.lit("unknown_customer_id"), F.col("event_id") % 13,
     )
-    events = table(spark, sf_dir, "events").withColumns({"k": k, "metric_name": metric})
+    events = spread(table(spark, sf_dir, "events")).withColumns({"k": k, "metric_name": metric})
     status = (
         F.when(F.col("k") % 40 == 7, F.lit(None))
         .when(F.col("k") % 10 == 0, "failed")

@@ -112,3 +112,13 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     if "/" in name_or_path:
         return spark.read.parquet(name_or_path)
     return spark.table(name_or_path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a scan of fewer tasks than there are cores to all of them, before heavy work on its rows.
+
+    A file of one row group is one task whatever its size. A scan with at least as many splits as
+    cores, which is every large one, is left alone. Filters and column selections still reach the scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
