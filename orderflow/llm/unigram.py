@@ -3,12 +3,16 @@
 The distinct pre-tokens of a batch of texts are inserted in a trie. Walking the trie computes, for
 each prefix once, the best score and the fewest tokens of any segmentation of it into vocabulary
 tokens; pre-tokens with a common prefix share all of that prefix's work. The values at a pre-token's
-end are its token count and its score. A worker keeps the trie between batches and starts a
-new one when it holds MAX_NODES nodes.
+end are its token count and its score. A new node's score comes from one walk of the reversed vocabulary
+from its end. A worker keeps the trie between batches and starts a new one when it holds MAX_NODES nodes;
+counts of the pre-tokens seen since the start before that are kept, and no result depends on it.
 
 The vocabulary is a public rank file; ranks follow frequency, so the token of rank r scores
 -log(r + 2) (Zipf's law). Of segmentations with equal scores the one with fewer tokens counts. All
-single bytes are tokens, so every text can be segmented. Null and empty texts have no token.
+single bytes are tokens, so every text can be segmented. Null and empty texts have no token. Every row gives
+one row, repeated rows and ids included; an empty table gives an empty one. Very long texts are cut into
+pre-tokens one by one, and a pre-token of any length is scored with the values of its last bytes only.
+Columns other than the text pass through if they are kept; the result's name avoids theirs.
 """
 
 from __future__ import annotations
@@ -22,9 +26,11 @@ from pyspark.sql import DataFrame
 from orderflow.llm.bpe import Vocabulary, ship_file
 from orderflow.llm.common import scan_texts
 
-MAX_NODES = 250_000
+MAX_NODES = 500_000
 LONG_PIECE = 512  # bytes; longer pre-tokens are scored without being kept
 LONG_TEXT = 1 << 20
+# A score and a token count in one integer that orders by score, then by fewer tokens.
+UNIT = 1 << 40
 
 
 class TokenCounter:
@@ -33,54 +39,92 @@ class TokenCounter:
     def __init__(self, ranks: dict[bytes, int], pattern: str, max_nodes: int = MAX_NODES):
         self.pattern = regex.compile(pattern)
         self.max_nodes = max_nodes
-        self.longest = max(map(len, ranks))
         # Integers, so that sums do not depend on their order: millionths of the natural logarithm.
         self.scores = {t: round(-1e6 * math.log(r + 2)) for t, r in ranks.items()}
+        self.longest = max(map(len, ranks))
+        self._reverse_vocabulary()
+        self.terminal: dict[str, tuple[int, int]] = {}
         self._reset()
 
-    def _reset(self) -> None:
-        self.children: list[dict[int, int]] = [{}]
-        self.best: list[tuple[int, int]] = [(0, 0)]  # by node: score, and minus the token count
-        self.terminal: dict[str, tuple[int, int]] = {}
+    def _reverse_vocabulary(self) -> None:
+        """A trie of the tokens read backwards: steps by (state, byte), and each state's token value."""
+        self.steps: dict[int, int] = {}
+        self.values: list[int | None] = [None]
+        for token, score in self.scores.items():
+            state = 0
+            for byte in reversed(token):
+                after = self.steps.get(state << 8 | byte)
+                if after is None:
+                    after = self.steps[state << 8 | byte] = len(self.values)
+                    self.values.append(None)
+                state = after
+            self.values[state] = score * UNIT - 1
 
-    def _forward(self, prefix: bytes, before: list[tuple[int, int]]) -> tuple[int, int]:
-        """The best (score, minus count) of a prefix, given those of all its shorter prefixes."""
-        n, scores, best = len(prefix), self.scores, None
-        for start in range(max(0, n - self.longest), n):
-            score = scores.get(prefix[start:])
-            if score is not None:
-                value = (before[start][0] + score, before[start][1] - 1)
+    def _reset(self) -> None:
+        """A new trie; what is known of pre-tokens lasts one generation longer."""
+        self.older, self.terminal = self.terminal, {}
+        self.children: dict[int, int] = {}
+        self.best: list[int] = [0]
+
+    def _forward(self, prefix: bytes, before: list[int]) -> int:
+        """The best value of a prefix, given those of all its shorter prefixes.
+
+        Walks the reversed vocabulary from the prefix's end, so it stops after the longest match.
+        """
+        steps, values, state, best = self.steps, self.values, 0, None
+        for start in range(len(prefix) - 1, -1, -1):
+            state = steps.get(state << 8 | prefix[start])
+            if state is None:
+                break
+            token = values[state]
+            if token is not None:
+                value = before[start] + token
                 if best is None or value > best:
                     best = value
         return best
 
+    def _long(self, data: bytes) -> int:
+        """The value of a long pre-token, with values of the last bytes only."""
+        path = [0]
+        for end in range(1, len(data) + 1):
+            window = data[max(0, end - self.longest) : end]
+            path = path[-self.longest :]
+            path.append(self._forward(window, path[-len(window) :]))
+        return path[-1]
+
     def piece(self, text: str) -> tuple[int, int]:
         """Token count and score of one pre-token."""
         known = self.terminal.get(text)
         if known is not None:
             return known
-        data = text.encode()
-        if len(data) > LONG_PIECE:
-            path = [(0, 0)]
-            for k in range(len(data)):
-                window = data[max(0, k + 1 - self.longest) : k + 1]
-                path = path[-self.longest :]
-                path.append(self._forward(window, path[-len(window) :]))
-            return -path[-1][1], path[-1][0]
-        if len(self.children) + len(data) > self.max_nodes:
+        known = self.older.get(text)
+        if known is None:
+            data = text.encode()
+            if len(data) > LONG_PIECE:
+                return self._split(self._long(data))
+            known = self._split(self._insert(data))
+        if len(self.terminal) >= self.max_nodes:
+            self._reset()
+        self.terminal[text] = known
+        return known
+
+    @staticmethod
+    def _split(value: int) -> tuple[int, int]:
+        score = -(-value // UNIT)
+        return score * UNIT - value, score
+
+    def _insert(self, data: bytes) -> int:
+        if len(self.best) + len(data) > self.max_nodes:
             self._reset()
-        node, path, children = 0, [self.best[0]], self.children
-        for k, byte in enumerate(data):
-            after = children[node].get(byte)
+        children, best, node, path = self.children, self.best, 0, [0]
+        for end, byte in enumerate(data, 1):
+            after = children.get(node << 8 | byte)
             if after is None:
-                after = children[node][byte] = len(children)
-                children.append({})
-                self.best.append(self._forward(data[: k + 1], path))
-            path.append(self.best[after])
+                after = children[node << 8 | byte] = len(best)
+                best.append(self._forward(data[:end], path))
+            path.append(best[after])
             node = after
-        score, minus_count = path[-1]
-        result = self.terminal[text] = (-minus_count, score)
-        return result
+        return path[-1]
 
     def text(self, data: bytes | None) -> tuple[int, int]:
         """Token count and score of a whole text."""
