@@ -9,13 +9,16 @@ Of records with equal payloads of at least MIN_BYTES bytes, the one with the lar
 and the others are revisits that refer to it; smaller payloads make responses only. Rows that repeat
 the largest id are all responses. A null body is an empty payload. A null id is written as an empty
 name and never chosen if there is another; a null URL is written as ``about:blank``, and blanks or
-control characters in a URL are percent-encoded. Extra columns are ignored.
+control characters in a URL are percent-encoded. Payloads of any length are handled whole. An empty table makes
+an archive without records. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from orderflow.llm.common import store
+
 MIN_BYTES = 1000
 DATE = "1970-01-01T00:00:00Z"  # pages carry no time
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -59,11 +62,19 @@ def records(
 
 
 def headers(found: DataFrame, min_bytes: int = MIN_BYTES, date: str = DATE) -> DataFrame:
-    """``key`` and the exact ``header`` bytes of every record."""
+    """``key`` and the exact ``header`` bytes of every record.
+
+    Runs a job: the largest ids of repeated payloads are stored, so that both sides of the join are
+    plain scans, and adaptive execution splits a payload that a third of all records share.
+    """
     narrow = found.select("id", "url", "key", "size", F.sha1("payload").alias("digest"))
-    largest = narrow.groupBy("key").agg(F.max("id").alias("response_id"))
-    refers = (F.col("size") >= min_bytes) & ~F.col("id").eqNullSafe(F.col("response_id"))
-    linked = narrow.join(largest, "key").withColumn("revisit", refers)
+    repeated = found.where(F.col("size") >= min_bytes).groupBy("key").agg(
+        F.max("id").alias("response_id"), F.count("*").alias("copies")
+    )
+    largest = store(repeated.where("copies > 1").drop("copies"), "warc-responses")
+    linked = narrow.join(largest.withColumn("shared", F.lit(True)), "key", "left")
+    refers = F.col("shared").isNotNull() & ~F.col("id").eqNullSafe(F.col("response_id"))
+    linked = linked.withColumn("revisit", refers)
     http = F.concat(
         F.lit(f"HTTP/1.1 200 OK{CRLF}"),
         _lines(
