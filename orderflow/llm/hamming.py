@@ -6,31 +6,34 @@ query the segments' search radius r grows by one until the k-th smallest verifie
 4 r + 3, so that no unseen code can be closer. Each block answers exactly; the blocks' answers
 are merged by Spark, k rows per query and block, with partial selection before the shuffle.
 
-Queries come in blocks of QUERY_BLOCK, one after the other, because only a bounded number of codes may
-be broadcast. The rows of the index are never broadcast, and a block of them is an Arrow batch of bounded size.
+Queries and codes are dealt to random blocks of about QUERY_BLOCK and INDEX_ROWS rows, and every pair of
+blocks is a group of its own, in which the codes are indexed and all its queries answered. Nothing is
+broadcast and nothing passes through the driver but the two row counts.
 Ties are ordered by id. Rows without a vector (null, or with a null element among the first 64) have
 no code and are neither found nor asked for. Vectors shorter than 64 are filled up with zero bits.
 A query is not its own neighbour: the row with the query's id is left out. Repeated ids
-are separate rows. Extra columns are ignored.
+are separate rows of the index. An empty table, or no queries, give an empty result; of a vector longer than 64
+the rest is ignored. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from orderflow.llm.common import ship_package
+from orderflow.llm.common import ship_package, store
 
 BITS = 64
 SEGMENTS = 4
 WIDTH = BITS // SEGMENTS
-QUERY_BLOCK = 65_536  # queries broadcast at a time, 16 bytes each
-INDEX_ROWS = 1 << 18  # codes in one index
+QUERY_BLOCK = 1 << 12  # queries in one group
+INDEX_ROWS = 1 << 16  # codes in one index
+NO_ID = -(1 << 63)  # stands for a missing id inside an index
 
 _masks: dict[int, np.ndarray] = {}
 
@@ -108,60 +111,69 @@ def sign_codes(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return vectors.where(usable).select(F.col(id_col).cast("long").alias("id"), code.alias("code"))
 
 
-def _search_block(codes: DataFrame, queries: list[tuple[int, int]], k: int) -> DataFrame:
-    spark = codes.sparkSession
-    ship_package(spark)
-    shared = spark.sparkContext.broadcast(
-        (
-            np.array([q[0] for q in queries], dtype=np.int64),
-            np.array([q[1] for q in queries], dtype=np.int64).view(np.uint64),
+def _in_blocks(df: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
+    """A stored copy with a random ``block`` number, and the number of blocks of about ``size`` rows."""
+    rows = store(df.select("id", "code"), name)
+    blocks = max(1, -(-rows.count() // size))
+    # By row and not by code, so that copies of one code are spread like any other rows.
+    number = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int")
+    return rows.withColumn("block", number), blocks
+
+
+def _search(k: int):
+    def search(key: tuple, table: pa.Table) -> pa.Table:
+        asked = table.filter(table.column("is_query"))
+        held = table.filter(pc.invert(table.column("is_query")))
+        ids = held.column("id").combine_chunks()
+        index = Index(
+            held.column("code").to_numpy().view(np.uint64), ids.fill_null(NO_ID).to_numpy(zero_copy_only=False)
+        )
+        query_ids, query_codes = asked.column("id").to_numpy(), asked.column("code").to_numpy()
+        counts, near, away = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for query_id, code in zip(query_ids.tolist(), query_codes.view(np.uint64), strict=True):
+            distances, rows = index.nearest(code, query_id, k)
+            counts.append(len(rows))
+            near.append(rows)
+            away.append(distances)
+        return pa.table(
+            {
+                "query_id": np.repeat(query_ids, counts),
+                "query_code": np.repeat(query_codes, counts),
+                "neighbour_id": ids.take(pa.array(np.concatenate(near))),
+                "distance": np.concatenate(away),
+            }
         )
-    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, query_codes = shared.value
-        for batch in batches:
-            for at in range(0, batch.num_rows, INDEX_ROWS):
-                part = batch.slice(at, INDEX_ROWS)
-                ids = part.column(0).fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
-                index = Index(part.column(1).to_numpy().view(np.uint64), ids)
-                counts, near, away = [], [], []
-                for query_id, code in zip(query_ids.tolist(), query_codes, strict=True):
-                    distances, rows = index.nearest(code, query_id, k)
-                    counts.append(len(rows))
-                    near.append(rows)
-                    away.append(distances)
-                rows = np.concatenate([np.zeros(0, np.int64), *near])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(query_ids, counts)),
-                        part.column(0).take(pa.array(rows)),
-                        pa.array(np.concatenate([np.zeros(0, np.int64), *away]), pa.int64()),
-                    ],
-                    names=["query_id", "neighbour_id", "distance"],
-                )
-
-    return codes.select("id", "code").mapInArrow(
-        run, "query_id long, neighbour_id long, distance long"
-    )
+    return search
 
 
 def nearest_codes(codes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """query_id, rank (from 1), neighbour_id and distance of each query's k nearest codes.
 
-    Both frames have ``id`` and ``code``; query ids are distinct and not null.
+    Both frames have ``id`` and ``code``. Queries without an id are left out, and repeated ones are
+    asked once; an id with several codes is a query for each, with ranks of its own. Stores both frames.
     """
-    blocks: list[DataFrame] = []
-    block: list[tuple[int, int]] = []
-    for row in queries.where("id is not null").select("id", "code").toLocalIterator():
-        block.append((row.id, row.code))
-        if len(block) == QUERY_BLOCK:
-            blocks.append(_search_block(codes, block, k))
-            block = []
-    if block or not blocks:
-        blocks.append(_search_block(codes, block, k))
-    found = reduce(DataFrame.union, blocks)
-    order = Window.partitionBy("query_id").orderBy("distance", F.col("neighbour_id").asc_nulls_last())
+    ship_package(codes.sparkSession)
+    asked = queries.where("id is not null").select("id", "code").distinct()
+    held, code_blocks = _in_blocks(codes, INDEX_ROWS, "codes")
+    asked, query_blocks = _in_blocks(asked, QUERY_BLOCK, "code-queries")
+    # Every block of queries meets every block of codes; a group has at most about one of each.
+    pairs = held.select(
+        "id", "code", F.col("block").alias("code_block"),
+        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("query_block"),
+        F.lit(False).alias("is_query"),
+    ).union(
+        asked.select(
+            "id", "code", F.explode(F.sequence(F.lit(0), F.lit(code_blocks - 1))),
+            F.col("block"), F.lit(True),
+        )
+    )
+    found = pairs.groupBy("code_block", "query_block").applyInArrow(
+        _search(k), "query_id long, query_code long, neighbour_id long, distance long"
+    )
+    order = Window.partitionBy("query_id", "query_code").orderBy(
+        "distance", F.col("neighbour_id").asc_nulls_last()
+    )
     return (
         found.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)

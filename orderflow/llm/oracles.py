@@ -79,13 +79,14 @@ FROM doc LEFT JOIN gone USING (rid) LEFT JOIN kept USING (rid)
 
 OP2 = """
 WITH code AS (SELECT vec_id, list_transform(range(1, 65), lambda i: embedding[i] > 0) AS bits FROM embeddings),
+query AS (SELECT DISTINCT vec_id, bits FROM code WHERE vec_id % 50 = 0),
 near AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS neighbour_id,
+  SELECT q.vec_id AS query_id, q.bits, c.vec_id AS neighbour_id,
          len(list_filter(range(1, 65), lambda i: q.bits[i] <> c.bits[i]))::BIGINT AS distance
-  FROM code q, code c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+  FROM query q, code c WHERE c.vec_id IS DISTINCT FROM q.vec_id
 )
 SELECT query_id, rank::INTEGER AS rank, neighbour_id, distance
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id, bits ORDER BY distance, neighbour_id) AS rank
       FROM near)
 WHERE rank <= 10
 """
