@@ -12,12 +12,15 @@ Who must read whom is found by hashes, which only route and never decide:
 1. Equal word sequences are folded to the one with the smallest id; the others are repeats as a whole.
 2. Every window of 50 words names its smallest hash of 10 consecutive words, its anchor. Documents
    that share a window share its anchor. Anchors of one document only are dropped.
-3. Windows with a shared anchor are grouped by their own hash; the smallest id holding a window is its
-   owner, and each other holder reads that owner.
+3. Windows with a shared anchor are grouped by their own hash of 128 bits; of the passages holding a
+   window, one of the smallest id is its owner, and each holder of a larger id reads that owner.
 
 An id that is null counts as larger than all others. Null and blank texts have no words. Rows that
-share an id are one document for the others, though each row gets its own result. Very long texts are
-cut into chunks of words; extra columns are ignored. Counting is by partial aggregation, so a
+share an id are one document for the others, though each row gets its own result; up to the last step
+they are told apart by a digest of their text, so an id (or a missing one) that a third of all rows
+have is many small groups, and rows that are equal as well are folded before anything is joined. An
+empty table gives an empty result. Ties between passages of one id go to the smaller hash; which one is
+read changes nothing. Very long texts are cut into chunks of words; extra columns are ignored. Counting is by partial aggregation, so a
 passage that a third of all documents share is one row per task before it is shuffled. Counts are
 stored before they are joined back, so that both sides of such a join are plain shuffles, whose hot
 partitions adaptive execution splits.
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from orderflow.llm.common import scan_texts, ship_package, store
 
@@ -189,16 +192,43 @@ def summaries(docs: DataFrame, id_col: str, text_col: str, window: int, gram: in
     def scan(texts: list[bytes | None]) -> list:
         return _summarise(texts, window, gram)
 
-    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    keyed = _texts(docs, id_col, text_col)
     scanned, name = scan_texts(
-        keyed, "text", ["doc_id"], scan, "n_words int, digest binary, anchors array<long>"
+        keyed, "text", ["doc_id", "sid", "text_key"], scan, "n_words int, digest binary, anchors array<long>"
     )
-    return scanned.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("sid"), f"{name}.*")
+    return scanned.select("doc_id", "sid", "text_key", f"{name}.*")
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, sid (the id that orders), text, and text_key (a digest that tells texts apart)."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    number = F.col(id_col).cast("long")
+    return docs.select(
+        number.alias("doc_id"),
+        F.coalesce(number, F.lit(LAST)).alias("sid"),
+        F.unhex(F.sha2(text.cast("binary"), 256)).alias("text_key"),
+        text.alias("text"),
+    )
+
+
+def _first_code(sid: Column) -> Column:
+    """The smallest code of an id: codes ascend by id, signed."""
+    shifted = sid.cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")
+    return (shifted * F.lit(str(1 << 62)).cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+def _code(sid: Column, digest: Column) -> Column:
+    """A number for a passage that orders by id, then by 62 bits of its digest's hash.
+
+    A plain number, because the smallest of it is found by hash aggregation.
+    """
+    tail = F.shiftrightunsigned(F.xxhash64(digest), 2).cast("decimal(20,0)")
+    return (_first_code(sid) + tail).cast("decimal(38,0)")
 
 
 def _shared_anchors(first: DataFrame) -> DataFrame:
-    """sid and the anchors it shares with other documents."""
-    each = first.select("sid", F.explode("anchors").alias("anchor"))
+    """sid, text_key and the anchors this text shares with documents of other ids."""
+    each = first.select("sid", "text_key", F.explode("anchors").alias("anchor"))
     shared = store(
         each.groupBy("anchor")
         .agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
@@ -206,7 +236,8 @@ def _shared_anchors(first: DataFrame) -> DataFrame:
         .select("anchor"),
         "shared-anchors",
     )
-    return each.join(shared, "anchor").groupBy("sid").agg(F.collect_set("anchor").alias("shared"))
+    found = each.join(shared, "anchor").groupBy("sid", "text_key")
+    return found.agg(F.collect_set("anchor").alias("shared"))
 
 
 def _passages(joined: DataFrame, window: int, gram: int) -> DataFrame:
@@ -217,7 +248,7 @@ def _passages(joined: DataFrame, window: int, gram: int) -> DataFrame:
         pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             rows: dict[str, list] = {
-                name: [] for name in ("sid", "digest", "words", "runs", "starts", "windows")
+                name: [] for name in ("sid", "digest", "words", "runs", "starts", "windows", "others")
             }
             texts = batch.column(1).cast(pa.binary())
             for k in range(batch.num_rows):
@@ -244,14 +275,19 @@ def _passages(joined: DataFrame, window: int, gram: int) -> DataFrame:
                 rows["runs"].append(pack(b"\n".join(runs)))
                 rows["starts"].append(edges[::2].astype(np.int32))
                 rows["windows"].append(gram_hashes(hashes, window)[hit].view(np.int64))
-            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+                rows["others"].append(gram_hashes(_mix(hashes ^ _BASE), window)[hit].view(np.int64))
+            kinds = [
+                pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int32()),
+                pa.list_(pa.int64()), pa.list_(pa.int64()),
+            ]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, t) for v, t in zip(rows.values(), kinds, strict=True)], names=list(rows)
             )
 
     return joined.select("sid", F.col("text").cast("string"), "shared").mapInArrow(
         run,
-        "sid long, digest binary, words binary, runs binary, starts array<int>, windows array<long>",
+        "sid long, digest binary, words binary, runs binary, starts array<int>, windows array<long>, "
+        "others array<long>",
     )
 
 
@@ -284,11 +320,11 @@ def _shards(passages: DataFrame, window: int) -> DataFrame:
                     owners.append(batch.column(0)[k].as_py())
                     references.append(pack(b"\n".join(map(b" ".join, shard))))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(owners, pa.int64()), pa.array(references, pa.binary())],
+                [pa.array(owners, pa.decimal128(38, 0)), pa.array(references, pa.binary())],
                 names=["owner", "reference"],
             )
 
-    return passages.select("sid", "runs").mapInArrow(run, "owner long, reference binary")
+    return passages.select("code", "runs").mapInArrow(run, "owner decimal(38,0), reference binary")
 
 
 def _read(pairs: DataFrame, window: int) -> DataFrame:
@@ -397,23 +433,28 @@ def repeated_passages(
     )
     shared = _shared_anchors(firsts.dropDuplicates(["sid", "digest"]))
 
-    texts = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("sid"), F.col(text_col).alias("text")
+    # Partial aggregation leaves one copy of rows that are equal in id and text.
+    texts = _texts(docs, id_col, text_col).select("sid", "text_key", "text")
+    once = texts.groupBy("sid", "text_key").agg(F.first("text").alias("text"))
+    found_passages = _passages(once.join(shared, ["sid", "text_key"]), window, gram)
+    passages = store(
+        found_passages.withColumn("code", _code(F.col("sid"), F.col("digest"))), "passages"
     )
-    passages = store(_passages(texts.join(shared, "sid"), window, gram), "passages")
 
-    held = passages.select("sid", F.explode("windows").alias("window"))
+    windows = F.explode(F.arrays_zip("windows", "others")).alias("w")
+    held = passages.select("sid", "code", windows).select(
+        "sid", "code", F.col("w.windows").alias("window"), F.col("w.others").alias("other")
+    )
     owners = store(
-        held.groupBy("window")
-        .agg(F.min("sid").alias("owner"), F.max("sid").alias("last"))
-        .where("owner < last")
-        .select("window", "owner"),
+        held.groupBy("window", "other")
+        .agg(F.min("code").alias("owner"), F.max("sid").alias("last"))
+        .where(F.col("owner") < _first_code(F.col("last")))
+        .select("window", "other", "owner"),
         "owners",
     )
-    pairs = (
-        held.join(owners, "window").where("owner < sid").select("sid", "owner").distinct()
-    )
-    readers = pairs.join(passages.select("sid", "digest", "runs", "starts"), "sid")
+    later = F.col("owner") < _first_code(F.col("sid"))
+    pairs = held.join(owners, ["window", "other"]).where(later).select("code", "owner").distinct()
+    readers = pairs.join(passages.select("code", "sid", "digest", "runs", "starts"), "code")
     together = readers.join(_shards(passages, window), "owner").select("reference", "sid", "digest", "runs", "starts")
     found = (
         _read(together, window)
