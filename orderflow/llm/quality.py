@@ -8,7 +8,9 @@ logistic unit. Filters over pairs of bytes are kept as tables, so scoring only l
 Training takes a bounded sample of labelled texts to the driver: those of TRAIN_ROWS labels, the first
 by a hash of their id, that are at most TRAIN_BYTES long. Null and empty texts are scored like a text of zero
 bytes. Labels without a value, and labels of unknown documents, are ignored; a document with several
-labels is used once for each. With no usable label at all every score is 0.5.
+labels is used once for each, and repeated rows or labels count once. Equal hashes of ids are ordered by the
+ids, so there are no ties. With no usable label at all every score is 0.5; an empty table of documents gives an
+empty result. A very long text is scored whole, in segments, but does not train. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -203,25 +205,25 @@ def train(
 ) -> Network:
     """A network fitted to a bounded sample of the labelled documents outside the held-out fold.
 
-    The sample is drawn from the labels alone. It has at most ``rows`` rows, so it is broadcast, and
-    the texts are picked while they are scanned, without a shuffle.
+    The sample is drawn from the distinct labels alone. It has at most ``rows`` rows, so it is broadcast,
+    and the texts are picked while they are scanned. Of the documents that share an id, one text is
+    taken (the first by its hash), by partial aggregation, so at most ``rows`` texts reach the driver.
     """
     chosen = (
         labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label"))
         .where(F.col("_label").isin(0, 1) & F.col("_id").isNotNull() & ~held_out("_id"))
+        .distinct()
         .orderBy(F.xxhash64("_id"), "_id", "_label")
         .limit(rows)
     )
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    sample = (
-        texts.where(F.octet_length("_text") <= TRAIN_BYTES)
-        .join(F.broadcast(chosen), "_id")
-        .select("_id", F.col("_text").cast("binary"), "_label")
-        .collect()
+    picked = texts.where(F.octet_length("_text") <= TRAIN_BYTES).join(F.broadcast(chosen), "_id")
+    first = F.min(F.struct(F.xxhash64("_text").alias("hash"), "_text"))
+    sample = picked.groupBy("_id", "_label").agg(first.alias("_first")).select(
+        "_id", F.col("_first._text").cast("binary"), "_label"
     )
-    sample = sorted(sample)[:rows]  # more only if ids repeat among the documents
-    sample = [row[1:] for row in sample]
-    return fit([bytes(r[0]) for r in sample], np.array([r[1] for r in sample], dtype=np.float32))
+    rows_found = [row[1:] for row in sorted(sample.collect())]
+    return fit([bytes(r[0]) for r in rows_found], np.array([r[1] for r in rows_found], dtype=np.float32))
 
 
 def score_documents(
