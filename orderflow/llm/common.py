@@ -7,15 +7,17 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from orderflow.sources.staging import delete_folder
+from orderflow.sources.staging import delete_folder, work_root
 
 # Rows of one Arrow batch are cut into slices of at most this many text bytes (or one row).
 SLICE_BYTES = 4 << 20
+_open_scopes: list[list[tuple[SparkSession, str]]] = []
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -37,22 +39,32 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder the cluster shares; beside the warehouse where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-scratch"
+    """A fresh path in the folder the cluster shares."""
     application = spark.sparkContext.applicationId
-    return f"{root.rstrip('/')}/orderflow-llm/{application}/{name}-{uuid.uuid4().hex}"
+    return f"{work_root(spark)}/orderflow-llm/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared scratch folder and read it back (runs a job, cuts lineage)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if _open_scopes:
+        _open_scopes[-1].append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch_scope() -> Iterator[None]:
+    """Delete what is stored inside; frames that read it must have been written elsewhere."""
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        for spark, path in _open_scopes.pop():
+            delete_folder(spark, path)
+
+
 def drop_stored(*frames: DataFrame) -> None:
     """Delete tables written by ``store`` that nothing reads any more."""
     for frame in frames:

@@ -303,16 +303,17 @@ def keep_first(
     Rows are told apart by a number of their own, so ids may repeat or be null. Among equal ids the
     smallest hash of the row decides, and among equal rows any one stays.
     """
-    scanned, result = scan_texts(docs, text_col, docs.columns, _fingerprints, "fp long")
-    row, rank = free_name(scanned, "row"), free_name(scanned, "rank")
+    row, rank = free_name(docs, "row"), free_name(docs, "rank")
+    # Stored, because the rows' numbers must be the same whenever they are read.
+    stored = store(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    hashed = [F.to_json(F.struct(name)) if "map<" in kind else F.col(name) for name, kind in docs.dtypes]
     key = F.struct(
         F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"),
-        F.xxhash64(*docs.columns).alias("hash"), F.monotonically_increasing_id().alias("row"),
+        F.xxhash64(*hashed).alias("hash"), F.col(row).alias("row"),
     )
-    numbered = scanned.withColumn(rank, key).withColumn(row, F.col(f"{rank}.row"))
-    # Stored, because the rows' numbers must be the same whenever they are read.
-    stored = store(numbered, "fingerprinted")
-    ranked = stored.select(F.col(f"{result}.fp").alias("fp"), F.col(rank).alias("first"))
+    # Only the text and this key go through Python.
+    scanned, result = scan_texts(stored.withColumn(rank, key), text_col, [rank], _fingerprints, "fp long")
+    ranked = scanned.select(F.col(f"{result}.fp").alias("fp"), F.col(rank).alias("first"))
     nodes = store(ranked.groupBy("fp").agg(F.min("first").alias("first")), "fp-first-rows")
     first = _with_roots(nodes, "first", radius, tile_rows).groupBy("root").agg(F.min("first").alias("first"))
     kept = first.select(F.col("first.row").alias(row))
