@@ -7,8 +7,12 @@ import tiktoken
 
 import __spark_entry__ as registry
 import corpus_pipeline
-from orderflow.llm import bpe
+from orderflow.llm import bpe, quality
+from orderflow.sources import staging
+from test_pii import slow as slow_spans
+from test_simhash import slow_components, slow_fingerprint
 
+original = staging.delete_folder
 ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"
 
 
@@ -44,6 +48,22 @@ def test_stages_take_effect(spark, tables):
         assert k == 4 or docs.columns == columns
         seen.append({r[0]: r for r in docs.collect()})
     good, single, clean, private, tokens = seen
+    # Every stage's result is exactly what a plain version keeps.
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{tables}/documents.parquet").collect()]
+    network = quality.train(*(spark.read.parquet(f"{tables}/{t}.parquet") for t in ("documents", "labels")))
+    scores = network.score([(t or "").encode() for _, t in rows])
+    assert set(good) == {i for (i, _), score in zip(rows, scores, strict=True) if score >= 0.3}
+    numbered = {k: slow_fingerprint(r.text) for k, r in enumerate(good.values())}
+    ids = list(good)
+    order = sorted(numbered, key=lambda k: (ids[k] is None, ids[k] or 0))
+    place = {k: n for n, k in enumerate(order)}
+    groups = slow_components(sorted((place[k], p) for k, p in numbered.items()))
+    assert set(single) == {ids[order[n]] for n in set(groups.values())}
+    assert all(single[i].text == good[i].text for i in single)
+    hits = {i for i in single if ITEM in (single[i].text or "")}
+    assert set(clean) == set(single) - hits
+    masked = {i for i in clean if slow_spans(clean[i].text)}
+    assert masked == {501} and all(private[i] == clean[i] for i in set(clean) - masked)
     assert not any(i in good for i in range(3, 300, 4)) and len(good) >= 225 + 20
     assert set(good) - set(single) >= set(range(400, 420))
     assert 0 in single and 500 in single and 500 not in clean
@@ -60,7 +80,39 @@ def test_stages_take_effect(spark, tables):
 
 def test_run_is_registered(spark, tables):
     assert registry.queries()["pipeline"] is corpus_pipeline.run
-    assert len(corpus_pipeline.run(spark, tables).collect()) > 150
+    found = corpus_pipeline.run(spark, tables)
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, tables)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, docs.collect()))
+
+
+def test_run_leaves_only_its_result(spark, tables, monkeypatch):
+    from orderflow.llm import common
+
+    kept = []
+    monkeypatch.setattr(common, "delete_folder", lambda spark, path: kept.append(path) or original(spark, path))
+    found = corpus_pipeline.run(spark, tables)
+    names = [path.rpartition("/")[2] for path in kept]
+    for name, _ in corpus_pipeline.STAGES[:-1]:
+        assert sum(n.startswith("pipeline-" + name.replace(" ", "-")) for n in names) == 1
+    assert any(n.startswith("numbered") for n in names) and found.count() > 0
+
+
+def test_empty_documents_and_odd_columns_go_through_all_stages(spark, tables, tmp_path):
+    odd = ["map('a', doc_id) AS row", "struct(doc_id AS x) AS fp", "text AS quality", "doc_id AS hits"]
+    docs = spark.read.parquet(f"{tables}/documents.parquet").selectExpr("*", *odd)
+    for rows in (docs, docs.where("doc_id < -1")):
+        found = rows
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            found = stage(spark, found, tables)
+            assert k == 4 or found.columns == docs.columns
+        assert found.columns == ["doc_id", "n_tokens", "ids", "text"]
+        assert (found.count() > 0) == (rows is docs)
+    folder = tmp_path / "empty"
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{tables}/{name}.parquet").limit(0).write.parquet(f"{folder}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(folder)).collect() == []
 
 
 def test_near_copies_are_decided_by_row(spark):

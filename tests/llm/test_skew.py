@@ -1,0 +1,122 @@
+"""A third of all rows on one key, payload, id or query: same results, and no group that holds them all."""
+
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+from test_substrings import slow as slow_passages
+from test_warc import plain
+
+from orderflow.llm import hamming, quality, simhash, substrings, warc
+
+
+def test_substrings_with_many_rows_without_id_and_repeated_ids(spark):
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(300)]
+    passages = [[rng.choice(words) for _ in range(20)] for _ in range(12)]
+    rows = []
+    for k in range(300):
+        text = [rng.choice(words) for _ in range(8)] + rng.choice(passages) + [rng.choice(words) for _ in range(6)]
+        rows.append((None if k % 3 == 0 else 7 if k % 3 == 1 else 1000 + k, " ".join(text)))
+    rows += [(None, rows[0][1])] * 60 + [(7, rows[1][1])] * 60
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = substrings.repeated_passages(docs, window=13, gram=4).collect()
+    got = sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in found), key=str)
+    assert got == slow_passages(rows, 13)
+
+    summary = substrings.summaries(docs, "doc_id", "text", 13, 4)
+    firsts = summary.dropDuplicates(["sid", "digest"])
+    longest = firsts.agg(F.max(F.size("anchors"))).first()[0]
+    shared = substrings._shared_anchors(firsts)
+    # What is gathered belongs to one text, however many rows have no id or the same one.
+    assert shared.agg(F.max(F.size("shared"))).first()[0] <= longest
+    assert shared.filter(F.col("sid") == substrings.LAST).count() > 50
+
+
+def test_codes_order_by_id_then_digest(spark):
+    sids = [-(1 << 63), -5, -1, 0, 1, 2, (1 << 62) + 3, (1 << 63) - 1]
+    rows = [(s, d) for s in sids for d in (b"a", b"b")]
+    frame = spark.createDataFrame(rows, "sid long, digest binary").select(
+        "sid",
+        substrings._code(F.col("sid"), F.col("digest")).alias("code"),
+        substrings._first_code(F.col("sid")).alias("first"),
+    )
+    found = frame.collect()
+    assert len({r.code for r in found}) == len(rows)
+    for a in found:
+        assert a.first <= a.code
+        for b in found:
+            if a.sid < b.sid:
+                assert a.code < b.first
+
+
+def test_archive_with_one_payload_in_a_third_of_the_records(spark, tmp_path):
+    big = "<html>" + "x" * 2000
+    pages = [(k, "u", big if k % 3 == 0 else None if k % 3 == 1 else f"{k}" * 700) for k in range(240)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(6)
+    path = str(tmp_path / "a")
+    found = warc.records(frame)
+    warc.archive(found, path)
+    rows = [
+        (r.id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)
+        for r in warc.parse(warc.restore(spark, path)).collect()
+    ]
+    assert sorted(rows, key=str) == plain(pages)
+    plan = warc.headers(found)._jdf.queryExecution().optimizedPlan().toString()
+    # Both sides of the join are scans: the ids of repeated payloads are stored, small ones have none.
+    assert "Aggregate" not in plan
+    stored = spark.read.parquet(f"{path}/payloads")
+    assert stored.count() == 1 + 1 + 80
+
+
+def test_training_takes_one_text_of_an_id(spark, monkeypatch):
+    rows = [(5, f"text {k}") for k in range(400)] + [(k, f"own {k}") for k in range(100, 160)]
+    labels = [(5, 1)] * 300 + [(5, 0), (4, 1)] + [(k, k % 2) for k in range(100, 160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int")
+    taken = []
+    monkeypatch.setattr(quality, "fit", lambda texts, values: taken.append((texts, values.tolist())))
+    quality.train(docs, marks, rows=40)
+    quality.train(docs.repartition(2), marks.repartition(3), rows=40)
+    assert taken[0] == taken[1] and 0 < len(taken[0][0]) <= 40
+    of_five = [t for t in taken[0][0] if t.startswith(b"text")]
+    assert len(of_five) <= 2 and len(set(of_five)) <= 1
+
+
+def test_repeated_queries_are_asked_once(spark):
+    rows = [(50, 5), (50, 5), (1, 5), (2, 4), (3, 0), (4, -1), (100, 7), (100, 6)]
+    codes = spark.createDataFrame(rows, "id long, code long")
+    found = hamming.nearest_codes(codes, codes.where("id % 50 = 0"), 3).collect()
+    of_fifty = sorted((r["rank"], r.neighbour_id, r.distance) for r in found if r.query_id == 50)
+    assert of_fifty == [(1, 1, 0), (2, 2, 1), (3, 100, 1)]
+    # An id with two codes is a query for each.
+    of_hundred = sorted((r["rank"], r.distance) for r in found if r.query_id == 100)
+    assert of_hundred == [(1, 1), (1, 1), (2, 1), (2, 2), (3, 1), (3, 2)]
+
+
+def test_copies_of_one_code_are_dealt_to_several_groups(spark, monkeypatch):
+    monkeypatch.setattr(hamming, "INDEX_ROWS", 50)
+    monkeypatch.setattr(hamming, "QUERY_BLOCK", 4)
+    rng = np.random.default_rng(3)
+    rows = [(k, 99 if k % 3 == 0 else int(rng.integers(-(2**63), 2**63 - 1))) for k in range(600)]
+    codes = spark.createDataFrame(rows, "id long, code long").repartition(4)
+    held, blocks = hamming._in_blocks(codes, 50, "t")
+    counts = [r["count"] for r in held.groupBy("block").count().collect()]
+    assert blocks == 12 and len(counts) == 12 and max(counts) < 120
+    found = hamming.nearest_codes(codes, codes.where("id % 50 = 0"), 4).collect()
+    by_id = dict(rows)
+    for q in range(0, 600, 50):
+        near = sorted((((by_id[q] ^ c) & (2**64 - 1)).bit_count(), i) for i, c in rows if i != q)[:4]
+        assert [(r.distance, r.neighbour_id) for r in sorted(
+            (r for r in found if r.query_id == q), key=lambda r: r["rank"])] == near
+
+
+def test_first_rows_of_groups_with_map_and_struct_columns(spark):
+    rows = [(1, "same words here", {"a": 1}, (2, "x"), "c"), (1, "same words here", {"a": 1}, (2, "x"), "c"),
+            (2, "same words here", None, None, None), (3, "other text of its own", {"b": None}, (None, None), "d")]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, row map<string,int>, rank struct<a:int,b:string>, fp string"
+    )
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
