@@ -3,7 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; the stages' results
 are written as Parquet and read again in between. All but the last return the columns of ``documents``.
 Nulls in any column are allowed: a document without text is scored and encoded like an empty one, and
-near copies are decided row by row, so that repeated ids and rows without id are like any others.
+near copies are decided row by row, so that repeated ids and rows without id are like any others. Very long
+texts go through whole. Other columns, whatever their names and types, pass through all stages but the last,
+whose result has columns of its own. Empty documents give an empty result.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderflow.llm import bpe, decontaminate, pii, quality, simhash
-from orderflow.llm.common import store
+from orderflow.llm.common import drop_stored, scratch_path, scratch_scope
 from orderflow.llm.queries import PATTERN, RANKS
 
 
@@ -40,7 +42,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     if "n_chars" not in masked.columns:
         return masked
     kind = masked.schema["n_chars"].dataType
-    return masked.withColumn("n_chars", F.char_length("text").cast(kind)).select(*docs.columns)
+    length = F.coalesce(F.char_length("text").cast(kind), F.col("n_chars"))
+    return masked.withColumn("n_chars", length).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,7 +69,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs, before = _table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = store(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        path = scratch_path(spark, "pipeline-" + name.replace(" ", "-"))
+        # What a stage stored, and its input, are deleted once its result is written.
+        with scratch_scope():
+            found = stage(spark, docs, sf_dir)
+            found.write.parquet(path)
+        docs = spark.read.schema(found.schema).parquet(path)
+        if before is not None:
+            drop_stored(before)
+        before = docs
     return docs
