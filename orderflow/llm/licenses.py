@@ -4,17 +4,22 @@ A paragraph is a run of non-blank lines. What is weighed are its lines, each by
 neighbouring lines, so that a notice wrapped over lines is found and two notices in one run stay two. A
 group has any first and last line, of which the SPAN words next to the lines between them count, and
 lines of fewer than SPAN words between them. Distinct words and pairs of words of a line or group are
-hashed into BUCKETS buckets; a multinomial logistic regression over them, trained on the driver from the templates below and a bounded sample of the
-corpus's own lines, gives a probability for each licence family and for "unknown". The temperature
-of the probabilities is calibrated on examples kept from training. A prediction stands only if a template
-confirms it: the line or group must hold CONFIRM of the word pairs of one of the family's templates.
-Where several overlap, the largest share, then the fewest lines, then the first comes first; another
+hashed into BUCKETS buckets; a multinomial logistic regression over them gives a probability for each licence
+family and for "unknown". It decides the family, also where the templates of several are found (CC BY-NC in
+CC BY-NC-SA), and whether words that a template has are a notice or talk about one. It is trained on
+the driver, from the templates below, talk about licences, and bounded samples of the corpus's own lines: some
+without a cue, and some as they are scored, of which those that a template confirms are left out. The
+temperature of the probabilities is calibrated on templates and lines kept from training. A prediction
+stands only if a template of its family confirms it: the line or group must hold CONFIRM of its word pairs.
+Where several overlap, the largest share, then the longest template, then the fewest lines, then the first comes first; another
 one stands beside it only for another family that is confirmed without the word pairs of the first's.
 
 CUES, derived from the templates, has so many word pairs of each of them that a text without any
 cannot hold CONFIRM of it. Only such texts, lines and groups are skipped unscored, so most texts cost
 one search and nothing that could stand is lost. Null and blank texts have no paragraphs; a null id and
-repeated rows are handled row by row. Columns in ``keep`` pass through.
+repeated rows are handled row by row, and an empty table gives an empty one. Very long texts are weighed whole,
+the groups of one line at a time. Of equal probabilities the class listed first is taken. Columns in ``keep``
+pass through, and the result's name avoids theirs.
 """
 
 from __future__ import annotations
@@ -23,8 +28,9 @@ import json
 import math
 import random
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
+import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -32,22 +38,32 @@ from orderflow.llm.common import free_name
 
 BUCKETS = 4096
 UNKNOWN = "unknown"
+PAIR = 1e-6  # what a pair adds to a share; less than shares of different templates differ by
 CUTOFF = 0.5
 CONFIRM = 0.6
 NEGATIVE_DOCS = 300
 NEGATIVE_LINES = 4  # of each of these documents, at most LINE_CHARS long
 LINE_CHARS = 400
-ROUNDS = 60
+CANDIDATE_LINES = 1000  # distinct lines that are scored, drawn for the unknown class
+ROUNDS = 30
+TEMPERATURES = (0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0)
 # Identifiers such as GPL-2.0-only are several words; the tag in front of them is one.
 WORD = r"spdx-license-identifier|[a-z0-9]++(?:\.[a-z0-9]++)*+"
 
-# Short notices of common licence families.
+# Notices, headings, grants and warranty sentences of licence families. Sentences are cut to
+# at most 27 words, because SPAN, and with it the work on a wrapped notice, follows the longest.
 TEMPLATES = {
     "mit": (
         "Released under the MIT License.",
         "Licensed under the MIT license.",
         "SPDX-License-Identifier: MIT",
+        "The MIT License (MIT)",
+        "MIT License",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial "
+        "portions of the Software.",
+        "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT "
+        "LIMITED TO THE WARRANTIES OF MERCHANTABILITY",
     ),
     "apache": (
         "Licensed under the Apache License, Version 2.0.",
@@ -55,6 +71,10 @@ TEMPLATES = {
         "compliance with the License.",
         "SPDX-License-Identifier: Apache-2.0",
         "SPDX-License-Identifier: Apache",
+        "Apache License Version 2.0, January 2004",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+        "distributed on an AS IS BASIS",
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     ),
     "gpl": (
         "This work is licensed under the GNU General Public License, version 3.",
@@ -63,6 +83,9 @@ TEMPLATES = {
         "SPDX-License-Identifier: GPL-3.0-or-later",
         "SPDX-License-Identifier: GPL",
         "Licensed under the GNU GPL version 2.",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+        "You should have received a copy of the GNU General Public License along with this program.",
     ),
     "lgpl": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
@@ -70,6 +93,17 @@ TEMPLATES = {
         "SPDX-License-Identifier: LGPL",
         "This library is free software: you can redistribute it and/or modify it under the terms of the GNU "
         "Lesser General Public License as published by the Free Software Foundation",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+        "You should have received a copy of the GNU Lesser General Public License along with this library.",
+    ),
+    "agpl": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Affero General Public License as published by the Free Software Foundation",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+        "SPDX-License-Identifier: AGPL",
+        "Licensed under the GNU AGPL version 3.",
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
     ),
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted",
@@ -78,11 +112,50 @@ TEMPLATES = {
         "SPDX-License-Identifier: BSD",
         "BSD-2-Clause",
         "BSD-3-Clause",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer.",
+        "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED "
+        "WARRANTIES ARE DISCLAIMED",
     ),
     "mpl": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
         "SPDX-License-Identifier: MPL",
+        "Mozilla Public License Version 2.0",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at "
+        "http://mozilla.org/MPL/2.0/.",
+    ),
+    "epl": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+        "License 2.0",
+        "Eclipse Public License - v 2.0",
+        "SPDX-License-Identifier: EPL-2.0",
+        "Licensed under the Eclipse Public License, version 1.0.",
+    ),
+    "eupl": (
+        "Licensed under the EUPL.",
+        "Licensed under the EUPL, Version 1.2 or later.",
+        "European Union Public Licence v. 1.2",
+        "SPDX-License-Identifier: EUPL-1.2",
+        "Licensed under the European Union Public Licence.",
+    ),
+    "boost": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Boost Software License - Version 1.0 - August 17th, 2003",
+        "SPDX-License-Identifier: BSL-1.0",
+    ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted",
+        "ISC License",
+        "SPDX-License-Identifier: ISC",
+        "THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE",
+    ),
+    "zlib": (
+        "This software is provided as-is, without any express or implied warranty.",
+        "SPDX-License-Identifier: Zlib",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications",
     ),
     "cc-by": (
         "Licensed under CC BY 4.0.",
@@ -99,16 +172,52 @@ TEMPLATES = {
         "SPDX-License-Identifier: CC-BY-NC-4.0",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
+    "cc-by-nd": (
+        "Licensed under CC BY-ND 4.0.",
+        "SPDX-License-Identifier: CC-BY-ND-4.0",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ),
+    "cc-by-nc-sa": (
+        "Licensed under CC BY-NC-SA 4.0.",
+        "SPDX-License-Identifier: CC-BY-NC-SA-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International "
+        "License.",
+    ),
+    "cc-by-nc-nd": (
+        "Licensed under CC BY-NC-ND 4.0.",
+        "SPDX-License-Identifier: CC-BY-NC-ND-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International "
+        "License.",
+    ),
     "public-domain": (
         "This work is dedicated to the public domain under CC0 1.0.",
         "SPDX-License-Identifier: CC0-1.0",
         "This is free and unencumbered software released into the public domain.",
+        "CC0 1.0 Universal",
+        "SPDX-License-Identifier: Unlicense",
     ),
     "proprietary": (
         "Copyright by the owner. All rights reserved. No part may be reproduced without permission.",
         "All rights reserved.",
+        "This software is confidential and proprietary and may not be copied or disclosed without written consent.",
     ),
 }
+# Talk about licences that grants nothing; a template may well be found in it.
+TALK = (
+    "my driving license expired", "the copyright debate", "without any warranty period", "permission to enter",
+    "a license plate", "public domain music history", "copyright law",
+    "we compared the mit license with the apache license and the gpl",
+    "what does all rights reserved mean in this country",
+    "the gnu general public license was written by lawyers and hackers",
+    "students asked why the mit license is so short",
+    "an article about the history of the isc license and its wording",
+    "she explained that creative commons licenses come in several kinds",
+    "this chapter discusses the mozilla public license and others",
+    "is the eclipse public license compatible with the boost software license",
+    "no license was granted for this photo",
+    "he argued against the apache license version 2.0 in court",
+    "the court read the bsd license aloud", "which of the two, cc by or cc by-sa, is freer",
+)
 CLASSES = (UNKNOWN, *TEMPLATES)
 
 
@@ -138,8 +247,21 @@ def _cues() -> str:
         needed = next(m for m in range(1, len(pairs) + 1) if m / len(pairs) >= CONFIRM)
         chosen.update(pairs[: len(pairs) - needed + 1])
     # Words start behind a character that is in no word, and only such stand between two words.
-    parts = ["[^a-z0-9]++".join(map(re.escape, g.split(" "))) for g in sorted(chosen)]
-    return f"(?<![a-z0-9])(?:{'|'.join(parts)})"
+    return f"(?<![a-z0-9]){_alternatives(sorted(chosen))}"
+
+
+def _alternatives(texts: list[str]) -> str:
+    """A pattern for any of the texts, by common beginnings, so that few are tried at a place.
+
+    A text that begins with another one is left out: where it stands, the other stands too.
+    """
+    if "" in texts:
+        return ""
+    parts = []
+    for first in sorted({text[0] for text in texts}):
+        rest = _alternatives([text[1:] for text in texts if text[0] == first])
+        parts.append(("[^a-z0-9]++" if first == " " else re.escape(first)) + rest)
+    return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
 
 
 CUES = _cues()
@@ -152,52 +274,52 @@ def bucket(gram: str) -> int:
     return xxhash.xxh64_intdigest(gram.encode(), 42) % BUCKETS
 
 
-def _softmax(values: list[float]) -> list[float]:
-    top = max(values)
-    powers = [math.exp(v - top) for v in values]
-    total = sum(powers)
-    return [p / total for p in powers]
-
-
 class Model:
     """Weights by class and bucket, biases, and the temperature."""
 
     def __init__(self) -> None:
-        self.weights = [[0.0] * BUCKETS for _ in CLASSES]
-        self.bias = [0.0] * len(CLASSES)
+        self.weights = np.zeros((len(CLASSES), BUCKETS))
+        self.bias = np.zeros(len(CLASSES))
         self.temperature = 1.0
 
-    def logits(self, features: list[int]) -> list[float]:
-        scale = 1 / math.sqrt(len(features) or 1)
-        return [
-            b + scale * sum(w[f] for f in features)
-            for b, w in zip(self.bias, self.weights, strict=True)
-        ]
+    def logits(self, features: np.ndarray) -> np.ndarray:
+        return self.bias + self.weights[:, features].sum(axis=1) / math.sqrt(len(features) or 1)
+
+    def probabilities(self, features: np.ndarray) -> np.ndarray:
+        values = self.logits(features) / self.temperature
+        powers = np.exp(values - values.max())
+        return powers / powers.sum()
 
-    def fit(self, examples: list[tuple[list[int], int]], seed: int = 3) -> None:
-        rng = random.Random(seed)
-        examples = list(examples)
+    def fit(self, examples: list[tuple[np.ndarray, int]], seed: int = 3) -> Model:
+        """Stochastic gradient descent with a little decay of the weights that are met."""
+        order = np.random.default_rng(seed)
         for turn in range(ROUNDS):
-            rng.shuffle(examples)
-            rate = 2.0 / (1 + turn / 10)
-            for features, label in examples:
-                probabilities = _softmax(self.logits(features))
+            rate = 2.0 / (1 + turn / 5)
+            for at in order.permutation(len(examples)):
+                features, label = examples[at]
+                slope = self.probabilities(features)
+                slope[label] -= 1
                 scale = 1 / math.sqrt(len(features) or 1)
-                for k, p in enumerate(probabilities):
-                    slope = p - (k == label)
-                    if abs(slope) > 1e-4:
-                        self.bias[k] -= 0.1 * rate * slope
-                        for f in features:
-                            self.weights[k][f] -= rate * scale * (slope + 1e-4 * self.weights[k][f])
-
-    def calibrate(self, examples: list[tuple[list[int], int]]) -> None:
-        def loss(temperature: float) -> float:
-            return -sum(
-                math.log(max(1e-12, _softmax([v / temperature for v in self.logits(f)])[label]))
-                for f, label in examples
-            )
+                self.bias -= 0.1 * rate * slope
+                met = self.weights[:, features]
+                self.weights[:, features] = met - rate * scale * (slope[:, None] + 1e-4 * met)
+        return self
+
+    def loss(self, examples: list[tuple[np.ndarray, int]], temperature: float) -> float:
+        before, self.temperature = self.temperature, temperature
+        total = -sum(math.log(max(1e-12, self.probabilities(f)[label])) for f, label in examples)
+        self.temperature = before
+        return total
+
 
-        self.temperature = min((0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0), key=loss)
+def features_of(line: str) -> np.ndarray:
+    return np.array(sorted({bucket(g) for g in grams(line)}), dtype=np.int64)
+
+
+def share_of(line: str, family: str) -> float:
+    """The largest share of the wanted word pairs of one of the family's templates."""
+    found = set(grams(line))
+    return max(len(found & set(_wanted(t))) / len(_wanted(t)) for t in TEMPLATES[family])
 
 
 def _variants(line: str, rng: random.Random) -> Iterable[str]:
@@ -211,25 +333,32 @@ def _variants(line: str, rng: random.Random) -> Iterable[str]:
         yield f"{before} {' '.join(kept)} {after}"
 
 
-def train(negatives: list[str], seed: int = 5) -> Model:
-    """A model from the templates and lines that are no licences."""
+def _examples(templates: list[tuple[str, int]], others: list[str], seed: int) -> list[tuple[np.ndarray, int]]:
     rng = random.Random(seed)
-    labelled = [
-        (line, k)
-        for k, family in enumerate(CLASSES[1:], 1)
-        for template in TEMPLATES[family]
-        for line in _variants(template, rng)
-    ]
-    # Talk about licences without granting one.
-    talk = ["my driving license expired", "the copyright debate", "without any warranty period",
-            "permission to enter", "a license plate", "public domain music history", "copyright law"]
-    labelled += [(line, 0) for line in [*negatives, *talk * 3, ""]]
-    examples = [(sorted({bucket(g) for g in grams(line)}), k) for line, k in labelled]
-    rng.shuffle(examples)
-    cut = len(examples) // 5
-    model = Model()
-    model.fit(examples[cut:])
-    model.calibrate(examples[:cut])
+    labelled = [(line, k) for template, k in templates for line in _variants(template, rng)]
+    labelled += [(line, 0) for line in others]
+    return [(features_of(line), k) for line, k in labelled]
+
+
+def train(negatives: list[str], candidates: Iterable[str] = (), seed: int = 5) -> Model:
+    """A model from the templates, lines that are no licences, and lines that only look like some.
+
+    ``candidates`` are lines as ``scan`` scores them; those that a template confirms are left out, the
+    others are examples of the unknown class. The temperature is chosen on templates, and a fifth of
+    the unknown lines, that the model it is chosen with has not seen; then all are learned.
+    """
+    templates = [(t, k) for k, family in enumerate(CLASSES[1:], 1) for t in TEMPLATES[family]]
+    doubtful = [c for c in candidates if all(share_of(c, f) < CONFIRM for f in TEMPLATES)]
+    others = [*negatives, *[line for talk in TALK for line in _variants(talk, random.Random(seed))], *doubtful, ""]
+    random.Random(seed).shuffle(others)
+    # Every third template of a family is held out, so that each family has some left.
+    held = [(t, k) for n, (t, k) in enumerate(templates) if TEMPLATES[CLASSES[k]].index(t) % 3 == 2]
+    seen = [pair for pair in templates if pair not in held]
+    cut = len(others) // 5
+    trial = Model().fit(_examples(seen, others[cut:], seed))
+    unseen = _examples(held, others[:cut], seed + 1)
+    model = Model().fit(_examples(templates, others, seed))
+    model.temperature = min(TEMPERATURES, key=lambda t: trial.loss(unseen, t))
     return model
 
 
@@ -253,6 +382,19 @@ def sample_negatives(docs: DataFrame, text_col: str = "text") -> list[str]:
     return [line for row in sorted(rows) for line in row.lines]
 
 
+def sample_candidates(docs: DataFrame, text_col: str = "text") -> list[str]:
+    """A bounded number of lines with a cue, as ``scan`` scores them, drawn by a hash of the line.
+
+    Equal lines are one, by partial aggregation.
+    """
+    text = F.col(text_col).cast("string")
+    lines = F.filter(
+        F.split(text, "\n"), lambda x: (F.char_length(x) <= LINE_CHARS) & F.lower(x).rlike(CUES)
+    )
+    found = docs.where(F.lower(text).rlike(CUES)).select(F.explode(lines).alias("line")).distinct()
+    return [r.line for r in found.orderBy(F.xxhash64("line"), "line").limit(CANDIDATE_LINES).collect()]
+
+
 def _words_column(line: Column) -> Column:
     return F.regexp_extract_all(F.lower(line), F.lit(WORD), F.lit(0))
 
@@ -278,9 +420,9 @@ def _logits(model: Model, features: Column) -> Column:
     scale = 1 / F.sqrt(F.greatest(F.size(features), F.lit(1)).cast("double"))
     values = []
     for bias, weights in zip(model.bias, model.weights, strict=True):
-        table = _literal([round(w, 6) for w in weights], "double")
+        table = _literal([round(w, 6) for w in weights.tolist()], "double")
         total = F.aggregate(features, F.lit(0.0), _adder(table))
-        values.append((F.lit(bias) + scale * total) / model.temperature)
+        values.append((F.lit(float(bias)) + scale * total) / model.temperature)
     return F.array(*values)
 
 
@@ -289,11 +431,12 @@ def _adder(table: Column):
 
 
 def _containment(found: Column, family: str) -> Column:
+    """The largest share of a template, and a little more for every pair, so that of equal ones the longest counts."""
     shares = []
     for template in TEMPLATES[family]:
         wanted = _wanted(template)
         shared = F.size(F.array_intersect(found, _literal(wanted, "string")))
-        shares.append(shared / F.lit(float(len(wanted))))
+        shares.append(shared * F.lit(1 / len(wanted) + PAIR))
     return F.greatest(*shares) if len(shares) > 1 else shares[0]
 
 
@@ -301,8 +444,12 @@ LINE = "struct<at:int,blank:boolean,words:array<string>>"
 GROUP = "struct<at:int,size:int,words:array<string>>"
 
 
-def _groups(lines: Column) -> Column:
-    """Every line and every group of neighbouring lines that could be confirmed, from LINEs."""
+def _groups(lines: Column, weigh: Callable[[Column], Column]) -> Column:
+    """What ``weigh`` leaves of every line and group of neighbouring lines that could be confirmed.
+
+    ``lines`` are LINEs. The groups that begin at a line are weighed before those of the next are made,
+    so that a long text full of notices holds the groups of one line at a time.
+    """
 
     def begin(line: Column) -> Column:
         """A line and at most SPAN + 1 lines after it, of which each between takes one word or more."""
@@ -349,8 +496,11 @@ def _groups(lines: Column) -> Column:
         single = F.struct(at.alias("at"), F.lit(1).alias("size"), p["line"]["words"].alias("words"))
         return F.concat(F.array(single), F.aggregate(p["after"], start, step, lambda done: done["groups"]))
 
+    def weighed(p: Column) -> Column:
+        return weigh(F.filter(extend(p), lambda g: has_cue(g["words"])))
+
     begun = F.filter(F.transform(F.filter(lines, lambda x: ~x["blank"]), begin), may_hold)
-    return F.filter(F.flatten(F.transform(begun, extend)), lambda g: has_cue(g["words"]))
+    return F.flatten(F.transform(begun, weighed))
 
 
 NOTICE = "struct<paragraph:int,size:int,family:string,probability:double,share:double,grams:array<string>>"
@@ -380,7 +530,11 @@ def _apart(stands: Column) -> Column:
     chosen = F.aggregate(F.array_sort(stands, order), none, step)
     return F.array_sort(
         F.transform(
-            chosen, lambda p: F.struct(*[p[f].alias(f) for f in ("paragraph", "family", "probability", "share")])
+            chosen,
+            lambda p: F.struct(
+                *[p[f].alias(f) for f in ("paragraph", "family", "probability")],
+                F.least(F.round(p["share"], 4), F.lit(1.0)).alias("share"),
+            ),
         )
     )
 
@@ -442,15 +596,17 @@ def scan(
             p["grams"].alias("grams"),
         ).cast(NOTICE)
 
-    # One step after the other, so that nothing is computed twice within a lambda.
+    def standing(groups: Column) -> Column:
+        # One step after the other, so that nothing is computed twice within a lambda.
+        for step in (features, weigh, classify, confirm):
+            groups = F.transform(groups, step)
+        return F.filter(
+            groups,
+            lambda p: (p["family"] != UNKNOWN) & (p["probability"] >= CUTOFF) & (p["share"] >= CONFIRM),
+        )
+
     # ``lines`` is bound as a lambda's variable, or every group would split the text again.
-    found = F.get(F.transform(F.array(lines), _groups), F.lit(0))
-    for step in (features, weigh, classify, confirm):
-        found = F.transform(found, step)
-    stands = F.filter(
-        found,
-        lambda p: (p["family"] != UNKNOWN) & (p["probability"] >= CUTOFF) & (p["share"] >= CONFIRM),
-    )
+    stands = F.get(F.transform(F.array(lines), lambda all_lines: _groups(all_lines, standing)), F.lit(0))
     empty = F.lit([]).cast("array<struct<paragraph:int,family:string,probability:double,share:double>>")
     any_cue = F.lower(text).rlike(CUES)
     return docs.select(*keep, F.when(any_cue, _apart(stands)).otherwise(empty).alias(name)), name

@@ -108,7 +108,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
-    model = licenses.train(licenses.sample_negatives(documents))
+    model = licenses.train(licenses.sample_negatives(documents), licenses.sample_candidates(documents))
     scanned, name = licenses.scan(documents, model, ["doc_id"])
     families = F.array_sort(F.array_distinct(F.transform(name, lambda p: p["family"])))
     return scanned.select(
