@@ -1,13 +1,15 @@
 """Byte-level BPE: encoding by a lazily determinised transducer, decoding by a UTF-8 state machine.
 
 Encoding. A sequence of tokens is the BPE encoding of its bytes exactly if each two neighbours are
-(``Vocabulary.compatible``): no merge across their border comes before the merges that made them. Reading a piece
-byte by byte, the open readings are tokens in progress (nodes of the vocabulary's trie), each with the
-tokens before it; at every byte exactly one reading ends a token compatible with the token before. A
-state of the deterministic transducer is a set of open readings. It is built when first reached, and what
-all readings agree on is emitted at once, so the delay is bounded by the longest token. When
-MAX_STATES are held, no more are built, and a piece that leaves them follows its open readings one by
-one to its end, which gives the same tokens.
+compatible: no merge across their border comes before the merges that made them. Reading a piece
+byte by byte, the open readings are tokens in progress (nodes of the vocabulary's trie); at every byte
+exactly one of them ends in a token compatible with the token before it. A state of the deterministic
+transducer is the set of open readings, each with the tokens below its node that the token before it
+excludes, and the class of the token that ended last: tokens which exclude the same followers share
+states, and readings that can no longer end are dropped. States are built when first reached. All pieces that are not
+one token go through them; where MAX_STATES are held, they are forgotten and built anew as they are met. A step
+names the token that ends with its byte; of those, the tokens that all open readings agree on are
+emitted every COMMIT bytes, and the rest at the piece's end.
 
 Decoding. A state is the unfinished bytes of a character (at most three). The step for each state and
 token, a text and the next state, is built when first used; malformed bytes become U+FFFD.
@@ -21,7 +23,9 @@ from __future__ import annotations
 import base64
 import sys
 from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable
+from itertools import islice
 
 import numpy as np
 import regex
@@ -30,10 +34,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from orderflow.llm.common import free_name, scan_texts
 
-MAX_STATES = 40_000
+MAX_STATES = 100_000
 MAX_PIECES = 150_000  # encodings of pieces in each of a worker's two generations of them
-COMMIT = 4096  # bytes after which a piece without states settles what its readings agree on
-MAX_PAIRS = 300_000  # answers about two neighbouring tokens
+COMMIT = 256  # bytes after which a piece emits what its open readings agree on
+MAX_CLASHES = 200_000  # answers about a class of tokens and the first byte of the next
 LONG_TEXT = 1 << 20  # characters; longer texts are split into pieces as they are read
 LONG_PIECE = 256  # characters; longer pieces are not kept
 _NONE = 1 << 62
@@ -56,6 +60,7 @@ class Vocabulary:
         self.parts: dict[int, tuple[int, int]] = {}
         self.trie: list[dict[int, int]] = [{}]
         self.at: list[int] = [-1]
+        self.depth: list[int] = [0]
         for rank in sorted(self.tokens):
             token = self.tokens[rank]
             if len(token) > 1:
@@ -64,6 +69,7 @@ class Vocabulary:
                     continue
                 self.parts[rank] = pair
             self._insert(token, rank)
+        self._number()
 
     @staticmethod
     def read_ranks(path: str) -> dict[bytes, int]:
@@ -96,6 +102,7 @@ class Vocabulary:
                 after = self.trie[node][byte] = len(self.trie)
                 self.trie.append({})
                 self.at.append(-1)
+                self.depth.append(self.depth[node] + 1)
             node = after
         self.at[node] = rank
 
@@ -116,166 +123,204 @@ class Vocabulary:
             else:
                 limit, right = right + 1, parts[right][0]
 
+    def _number(self) -> None:
+        """Number the tokens in byte order, so that those below a node are consecutive."""
+        self.low, self.size = [0] * len(self.trie), [0] * len(self.trie)
+        self.place: dict[int, int] = {}
+        stack = [(0, False)]
+        while stack:
+            node, done = stack.pop()
+            if done:
+                self.size[node] = len(self.place) - self.low[node]
+                continue
+            self.low[node] = len(self.place)
+            if self.at[node] >= 0:
+                self.place[self.at[node]] = len(self.place)
+            stack.append((node, True))
+            stack.extend((self.trie[node][byte], False) for byte in sorted(self.trie[node], reverse=True))
+        self.length = {rank: len(token) for rank, token in self.tokens.items()}
+        self.ordered = sorted(self.ranks)
+        # By rank: the tokens whose merge has it on the left, in order of rank.
+        self.grown: dict[int, list[int]] = {}
+        for rank, (left, _) in self.parts.items():
+            self.grown.setdefault(left, []).append(rank)
+        self.joins: dict[int, list[tuple[int, int]]] = {}
+        self.masks: dict[tuple[int, int], int] = {}
+        self.pairs: dict[tuple[int, int], tuple[int, int]] = {}  # one object for each threat
+
+    def _joins(self, left: int) -> list[tuple[int, int]]:
+        """(right, rank) of all tokens that are this one and another."""
+        found = self.joins.get(left)
+        if found is None:
+            found = self.joins[left] = []
+            start = self.tokens[left]
+            for token in islice(self.ordered, bisect_right(self.ordered, start), None):
+                if not token.startswith(start):
+                    break
+                right = self.ranks.get(token[len(start) :], _NONE)
+                if right < 256 or right in self.parts:
+                    found.append((right, self.ranks[token]))
+        return found
+
+    def threats(self, token: int) -> tuple[tuple[int, int], ...]:
+        """(right, limit): a token made from ``right`` by merges of which the first has no rank below
+        ``limit``, or ``right`` itself, cannot follow, since a merge across the border comes first.
+        """
+        found: dict[int, int] = {}
+        undone = _NONE  # rank of the last merge undone at this token's end
+        while True:
+            for right, rank in self._joins(token):
+                if rank < undone and right < undone:
+                    found[right] = min(found.get(right, _NONE), max(rank, token))
+            if token < 256:
+                break
+            undone, token = token, self.parts[token][1]
+        # The next rank that occurs says the same, and makes more tokens' threats equal.
+        threats = []
+        for right in sorted(found):
+            made = self.grown.get(right, [])
+            at = bisect_left(made, found[right])
+            pair = (right, made[at] if at < len(made) else _NONE)
+            threats.append(self.pairs.setdefault(pair, pair))
+        return tuple(threats)
+
+    def beaten(self, token: int, limit: int) -> int:
+        """The tokens that one of ``threats`` excludes: bits by place below the node of its first byte."""
+        mask = self.masks.get((token, limit))
+        if mask is None:
+            base = self.low[self.trie[0][self.tokens[token][0]]]
+            mask = 1 << (self.place[token] - base)
+            made = self.grown.get(token, [])
+            rest = made[bisect_left(made, limit) :]
+            while rest:
+                grown = rest.pop()
+                mask |= 1 << (self.place[grown] - base)
+                rest.extend(self.grown.get(grown, ()))
+            self.masks[token, limit] = mask
+        return mask
+
+
+class _State(dict):
+    """Byte to (next state, token that ends with this byte), for one set of open readings."""
+
+    __slots__ = ("transducer", "readings", "last")
+
+    def __init__(self, transducer: Transducer, readings: tuple, last: int):
+        super().__init__()
+        self.transducer, self.readings, self.last = transducer, readings, last
+
+    def __missing__(self, byte: int) -> tuple[_State, int]:
+        step = self[byte] = self.transducer.step(self, byte)
+        return step
+
 
 class Transducer:
     """Pieces to tokens, one byte at a time."""
 
-    _CONFIG, _END = 256, 257
-
     def __init__(self, vocabulary: Vocabulary, max_states: int = MAX_STATES):
         self.vocabulary = vocabulary
         self.max_states = max_states
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.states: dict[tuple, dict] = {}
-        # A reading is (tokens not yet emitted, trie node); node 0 means at a token's end.
-        self.start = self._state(-1, (((), 0),))
-
-    def _state(self, last: int, readings: tuple) -> dict:
-        key = (last, readings)
-        state = self.states.get(key)
+        self.states: dict[tuple, _State] = {}
+        self.built = 0  # states built so far, those forgotten included
+        # Classes of last tokens: what threatens the token after (see Vocabulary.threats).
+        self.classes: dict[tuple, int] = {(): 0}
+        self.threats: list[tuple] = [()]
+        self.class_of: dict[int, int] = {}
+        self.clashes: dict[tuple[int, int], int] = {}
+        self.start = self._state((), 0)
+
+    def _state(self, readings: tuple, last: int) -> _State:
+        state = self.states.get((readings, last))
         if state is None:
-            state = self.states[key] = {self._CONFIG: key}
-            state[self._END] = next((done for done, node in readings if node == 0), None)
+            if len(self.states) >= self.max_states:
+                self.states.clear()
+            state = self.states[readings, last] = _State(self, readings, last)
+            self.built += 1
         return state
 
-    def _fits(self, left: int, right: int) -> bool:
-        if left < 0:
-            return True
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) > MAX_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.vocabulary.compatible(left, right)
-        return known
-
-    def _advance(self, last: int, readings: Iterable[tuple], byte: int) -> list[tuple]:
-        """The open readings after one more byte; the one at a token's end comes last."""
-        trie, at = self.vocabulary.trie, self.vocabulary.at
-        following, ended = [], None
-        for done, node in readings:
+    def _class(self, token: int) -> int:
+        found = self.class_of.get(token)
+        if found is None:
+            threats = self.vocabulary.threats(token)
+            found = self.classes.setdefault(threats, len(self.threats))
+            if found == len(self.threats):
+                self.threats.append(threats)
+            self.class_of[token] = found
+        return found
+
+    def _open(self, last: int, byte: int) -> tuple[int, int]:
+        """The node after a token's first byte, and which tokens below it the class excludes."""
+        node = self.vocabulary.trie[0][byte]
+        clash = self.clashes.get((last, byte))
+        if clash is None:
+            clash = 0
+            for token, limit in self.threats[last]:
+                if self.vocabulary.tokens[token][0] == byte:
+                    clash |= self.vocabulary.beaten(token, limit)
+            if len(self.clashes) >= MAX_CLASHES:
+                self.clashes.clear()
+            self.clashes[last, byte] = clash
+        return node, clash
+
+    def step(self, state: _State, byte: int) -> tuple[_State, int]:
+        vocabulary = self.vocabulary
+        trie, at, low, size = vocabulary.trie, vocabulary.at, vocabulary.low, vocabulary.size
+        following, ended = [], -1
+        moved = []
+        for node, clash in state.readings:
             after = trie[node].get(byte)
-            if after is None:
-                continue
-            token = at[after]
-            if token >= 0 and ended is None:
-                before = done[-1] if done else last
-                fits = before < 0 or self.pairs.get((before, token))
-                if fits or (fits is None and self._fits(before, token)):
-                    ended = (*done, token)
-            if trie[after]:
-                following.append((done, after))
-        if ended is None:
+            if after is not None:
+                clash = clash >> (low[after] - low[node]) & ((1 << size[after]) - 1)
+                moved.append((after, clash))
+        moved.append(self._open(state.last, byte))
+        for node, clash in moved:
+            if at[node] >= 0:
+                if ended < 0 and not clash & 1:
+                    ended = at[node]
+                clash |= 1  # has ended or never will
+            if clash != (1 << size[node]) - 1:
+                following.append((node, clash))
+        if ended < 0:
             raise RuntimeError("no reading ends here; the ranks are not those of a BPE vocabulary")
-        following.append((ended, 0))
-        return following
+        return self._state(tuple(following), self._class(ended)), ended
+
+    def _trace(self, ends: list[int], position: int) -> list[int]:
+        """The tokens of the reading that ends at a position."""
+        length, out = self.vocabulary.length, []
+        while position:
+            token = ends[position - 1]
+            out.append(token)
+            position -= length[token]
+        out.reverse()
+        return out
 
-    @staticmethod
-    def _agreed(readings: list[tuple]) -> int:
-        """How many first tokens all readings share."""
-        first, ended = readings[0][0], readings[-1][0]
-        if len(readings) == 1:
-            return len(ended)
-        # Older readings end in earlier tokens; the first has the fewest.
-        count = 0
-        for done, _ in readings:
+    def _settle(self, state: _State, ends: list[int]) -> tuple[list[int], list[int]]:
+        """The tokens that all open readings agree on, and what ends where after them."""
+        depth, length = self.vocabulary.depth, self.vocabulary.length
+        agreed = self._trace(ends, len(ends))
+        for node, _ in state.readings:
+            path = self._trace(ends, len(ends) - depth[node])
             shared = 0
-            for mine, theirs in zip(first, done, strict=False):
+            for mine, theirs in zip(agreed, path, strict=False):
                 if mine != theirs:
                     break
                 shared += 1
-            first = first[:shared]
-            count = shared
-            if not shared:
-                break
-        return count
-
-    def _step(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
-        last, readings = state[self._CONFIG]
-        following = self._advance(last, readings, byte)
-        agreed = self._agreed(following)
-        emitted = following[-1][0][:agreed]
-        if agreed:
-            last = emitted[-1]
-            following = [(done[agreed:], node) for done, node in following]
-        step = state[byte] = (self._state(last, tuple(following)), emitted)
-        return step
-
-    def _follow(self, state: dict, rest: bytes, out: list[int]) -> list[int]:
-        """Read the rest of a piece without building states."""
-        last, readings = state[self._CONFIG]
-        for first in range(0, len(rest), COMMIT):
-            final = first + COMMIT >= len(rest)
-            readings = self._read(last, readings, rest[first : first + COMMIT], final)
-            if final:
-                break
-            agreed = self._agreed(readings)
-            out.extend(readings[-1][0][:agreed])
-            last = out[-1] if agreed else last
-            readings = [(done[agreed:], node) for done, node in readings]
-        out.extend(readings[-1][0])
-        return out
-
-    def _read(
-        self, last: int, readings: Iterable[tuple], data: bytes, final: bool
-    ) -> list[tuple]:
-        """The open readings after several bytes (at the piece's end, only the one that ends there).
-
-        What ends where is noted by position.
-        """
-        trie, at, pairs = self.vocabulary.trie, self.vocabulary.at, self.pairs
-        befores = [done[-1] if done else last for done, _ in readings]  # last token, by position
-        origins = [-1] * len(befores)
-        heads = [done for done, _ in readings]
-        active = [(k, node) for k, (_, node) in enumerate(readings)]
-        for byte in data:
-            following = []
-            here = len(befores)
-            missing = True
-            for position, node in active:
-                after = trie[node].get(byte)
-                if after is None:
-                    continue
-                if missing:
-                    token = at[after]
-                    if token >= 0:
-                        before = befores[position]
-                        fits = pairs.get((before, token))
-                        if fits or (fits is None and self._fits(before, token)):
-                            befores.append(token)
-                            origins.append(position)
-                            missing = False
-                following.append((position, after))
-            if missing:
-                raise RuntimeError("no reading ends here; these are not the ranks of a BPE")
-            following.append((here, 0))
-            active = following
-
-        def path(position: int) -> tuple:
-            tokens = []
-            while origins[position] >= 0:
-                tokens.append(befores[position])
-                position = origins[position]
-            return (*heads[position], *reversed(tokens))
-
-        if final:
-            return [(path(active[-1][0]), 0)]
-        return [(path(position), node) for position, node in active if node == 0 or trie[node]]
+            del agreed[shared:]
+        return agreed, ends[sum(length[token] for token in agreed) :]
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.vocabulary.ranks.get(piece)
         if whole is not None:
             return [whole]
-        state, out = self.start, []
-        for k, byte in enumerate(piece):
-            step = state.get(byte)
-            if step is None:
-                if len(self.states) >= self.max_states:
-                    return self._follow(state, piece[k:], out)
-                step = self._step(state, byte)
-            state, emitted = step
-            if emitted:
-                out.extend(emitted)
-        out.extend(state[self._END] or ())
+        state, ends, out = self.start, [], []
+        for first in range(0, len(piece), COMMIT):
+            if first:
+                agreed, ends = self._settle(state, ends)
+                out += agreed
+            for byte in piece[first : first + COMMIT]:
+                state, token = state[byte]
+                ends.append(token)
+        out += self._trace(ends, len(ends))
         return out
 
 

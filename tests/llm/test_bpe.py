@@ -4,12 +4,14 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 
 from orderflow.llm import bpe
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
+SF_DIR = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +36,7 @@ def texts(tokens):
 
 @pytest.mark.parametrize("max_states", [0, 50, bpe.MAX_STATES])
 def test_ids_equal_the_library(vocabulary, library, max_states, monkeypatch):
-    monkeypatch.setattr(bpe, "COMMIT", 7 if max_states == 50 else 4096)
+    monkeypatch.setattr(bpe, "COMMIT", 7 if max_states == 50 else 256)
     encoder, decoder = bpe.Encoder(vocabulary, public_tokenizers.PATTERN), bpe.Decoder(vocabulary.tokens)
     encoder.transducer.max_states = max_states
     monkeypatch.setattr(bpe, "MAX_PIECES", 20)
@@ -45,6 +47,71 @@ def test_ids_equal_the_library(vocabulary, library, max_states, monkeypatch):
         assert decoder.decode(ids, 3) == text
 
 
+def test_classes_exclude_the_followers_that_merges_cross(vocabulary):
+    rng = random.Random(5)
+    machine = bpe.Transducer(vocabulary)
+    made = [rank for rank in vocabulary.tokens if rank < 256 or rank in vocabulary.parts]
+    excluded = 0
+    for _ in range(3000):
+        left, right = rng.choice(made), rng.choice(made[:3000])
+        # A token that starts like a known neighbour is more often excluded than a random one.
+        if rng.random() < 0.6 and vocabulary.threats(left):
+            right = rng.choice(vocabulary.threats(left))[0]
+            while vocabulary.grown.get(right) and rng.random() < 0.6:
+                right = rng.choice(vocabulary.grown[right])
+        first = vocabulary.tokens[right][0]
+        node, mask = machine._open(machine._class(left), first)
+        place = vocabulary.place[right] - vocabulary.low[node]
+        fits = vocabulary.compatible(left, right)
+        assert mask >> place & 1 == (not fits), (left, right)
+        excluded += not fits
+    assert 500 < excluded < 2500
+
+
+def test_documents_go_through_few_states(vocabulary, library):
+    """All pieces that are not one token are read by states, whose number levels off."""
+    machine = bpe.Transducer(vocabulary)
+    pattern = bpe.regex.compile(public_tokenizers.PATTERN)
+    table = pq.read_table(f"{SF_DIR}/documents.parquet", columns=["text"])
+    pieces = {p.encode() for text in table["text"].to_pylist() if text for p in pattern.findall(text)}
+    several = sorted(p for p in pieces if p not in vocabulary.ranks)
+    random.Random(3).shuffle(several)
+    read = [0]
+
+    def step(state, byte, follow=machine.step):
+        read[0] += 1
+        return follow(state, byte)
+
+    machine.step = step
+    half = len(several) // 2
+    for part, most in ((several[:half], 8000), (several[half:], 2500)):
+        before = machine.built
+        for piece in part:
+            assert machine.encode(piece) == library._core_bpe.encode_single_piece(piece)
+        assert machine.built - before < most
+    assert len(several) > 10_000 and len(machine.states) == machine.built
+    done = read[0]  # what was read once needs no new step
+    for piece in several:
+        machine.encode(piece)
+    assert read[0] == done
+
+
+def test_long_pieces_emit_before_their_end(vocabulary, monkeypatch):
+    monkeypatch.setattr(bpe, "COMMIT", 16)
+    machine = bpe.Transducer(vocabulary)
+    held = []
+
+    def settle(state, ends, follow=machine._settle):
+        agreed, rest = follow(state, ends)
+        held.append(len(rest))
+        return agreed, rest
+
+    machine._settle = settle
+    piece = b"antidisestablishmentarianism" * 400
+    assert b"".join(vocabulary.tokens[t] for t in machine.encode(piece)) == piece
+    assert len(held) == (len(piece) - 1) // 16 and max(held) < 64
+
+
 def test_decoder_equals_python_on_any_bytes(vocabulary):
     single = {token[0]: rank for rank, token in vocabulary.tokens.items() if len(token) == 1}
     rng = random.Random(2)
