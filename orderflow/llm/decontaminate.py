@@ -1,8 +1,10 @@
 """Benchmark decontamination with one Aho-Corasick automaton over normalised benchmark windows.
 
-Texts are reduced to lower-case words joined by single blanks. The automaton holds every window of
-13 words of every benchmark item (the whole item if it is shorter); it reads each document once. The
-ends of its matches are mapped to word numbers and, for ``spans``, to positions in the original text.
+Texts are reduced to lower-case words, and these to two symbols each: the number of the word among the
+benchmark's words, written in two digits that share no symbol (other words are one symbol twice). The
+automaton holds every window of 13 words of every benchmark item (the whole item if it is shorter) in
+these symbols; it reads each document once. The ends of its matches are word numbers and, for
+``spans``, mapped to positions in the original text. Very long texts are read whole; there are no ties.
 
 Null and blank texts have no words: such documents are clean, such items have no window. Repeated
 items count once per id; an item without an id marks words but is not listed. Extra columns are
@@ -11,6 +13,7 @@ ignored, or pass through in ``decontaminate``.
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
 from collections.abc import Iterable
@@ -20,14 +23,12 @@ import numpy as np
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from orderflow.llm.common import SLICE_BYTES, scan_texts
+from orderflow.llm.common import scan_texts
 
 WINDOW = 13
-# Benchmark text per automaton (some 400 bytes of memory for each byte of text). A larger benchmark
-# has several automata, of which a worker holds one at a time.
-SHARD_BYTES = 256 << 10
-# The texts themselves are broadcast, and refused above this size.
-BENCHMARK_BYTES = 64 << 20
+# The benchmark's texts are broadcast, and each Python worker builds one automaton of all of them, which
+# takes some 150 bytes of memory for each byte of text. Larger benchmarks are refused.
+BENCHMARK_BYTES = 8 << 20
 CONTAMINATED_SHARE = 20  # contaminated when at least one word in twenty is hit
 _WORD_BYTES = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(0x80, 0x100))
 _TABLE = bytes(
@@ -38,62 +39,69 @@ SCAN_SCHEMA = (
     "n_words long, n_hit long, items array<string>, "
     "spans array<struct<start:int,end:int>>"
 )
-_automata: dict[str, ahocorasick.Automaton] = {}
+_automata: dict[str, "Automaton"] = {}
 
 
 def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_TABLE).split() if text else []
 
 
-def windows_of(words: list[bytes], size: int = WINDOW) -> Iterable[bytes]:
+def windows_of(words: list[bytes], size: int = WINDOW) -> Iterable[list[bytes]]:
     if not words:
         return
     for first in range(max(1, len(words) - size + 1)):
-        yield b" ".join(words[first : first + size])
-
-
-def build_automaton(items: Iterable[tuple[str | None, bytes]], size: int = WINDOW):
-    """One automaton for the windows of (item id, text); None if there is no window."""
-    owners: dict[str, set[str]] = {}
-    lengths: dict[str, int] = {}
-    for item, text in items:
-        for window in windows_of(words_of(text), size):
-            key = f" {window.decode('latin-1')} "
-            found = owners.setdefault(key, set())
-            lengths[key] = window.count(b" ") + 1
-            if item is not None:
-                found.add(item)
-    if not owners:
-        return None
-    automaton = ahocorasick.Automaton()
-    for key, found in owners.items():
-        automaton.add_word(key, (lengths[key], tuple(sorted(found))))
-    automaton.make_automaton()
-    return automaton
-
-
-def scan_text(automaton, text: bytes | None) -> tuple[int, np.ndarray, set[str]]:
-    """Number of words, marks of the hit words and ids of the occurring items."""
-    words = words_of(text)
-    if not words or automaton is None:
-        return len(words), np.zeros(0, dtype=bool), set()
-    joined = f" {b' '.join(words).decode('latin-1')} "
-    ends: list[int] = []
-    lengths: list[int] = []
-    items: set[str] = set()
-    for end, (length, found) in automaton.iter(joined):
-        ends.append(end)
-        lengths.append(length)
-        items.update(found)
-    if not ends:
-        return len(words), np.zeros(0, dtype=bool), items
-    # The blank that ends word k (from 0) in the joined text stands at closing[k].
-    closing = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
-    last = np.searchsorted(closing, np.array(ends)) + 1
-    steps = np.zeros(len(words) + 1, dtype=np.int64)
-    np.add.at(steps, last - np.array(lengths), 1)
-    np.add.at(steps, last, -1)
-    return len(words), np.cumsum(steps[:-1]) > 0, items
+        yield words[first : first + size]
+
+
+class Automaton:
+    """The windows of (item id, text), and the symbols of their words."""
+
+    _OTHER = "\0\0"
+
+    def __init__(self, items: Iterable[tuple[str | None, bytes]], size: int = WINDOW):
+        texts = [(item, words_of(text)) for item, text in items]
+        vocabulary = sorted({word for _, words in texts for word in words})
+        base = math.isqrt(len(vocabulary)) + 1
+        self.symbols = {
+            word: chr(1 + base + number // base) + chr(1 + number % base)
+            for number, word in enumerate(vocabulary)
+        }
+        self.windows = ahocorasick.Automaton()
+        # Windows of one length and the same items share what they stand for.
+        meanings: dict[tuple[int, tuple[str, ...]], tuple[int, tuple[str, ...]]] = {}
+        for item, words in texts:
+            owner = () if item is None else (item,)
+            for window in windows_of(words, size):
+                key = self.encode(window)
+                known = self.windows.get(key, None)
+                if known is None:
+                    meaning = (len(window), owner)
+                elif set(owner) <= set(known[1]):
+                    continue
+                else:
+                    meaning = (len(window), known[1] + owner)
+                self.windows.add_word(key, meanings.setdefault(meaning, meaning))
+        if len(self.windows):
+            self.windows.make_automaton()
+
+    def encode(self, words: list[bytes]) -> str:
+        return "".join([self.symbols.get(word, self._OTHER) for word in words])
+
+    def scan(self, text: bytes | None) -> tuple[int, np.ndarray, set[str]]:
+        """Number of words, marks of the hit words (empty if none is) and ids of the occurring items."""
+        words = words_of(text)
+        found: list[tuple[int, tuple]] = []
+        if words and len(self.windows):
+            found = list(self.windows.iter(self.encode(words)))
+        if not found:
+            return len(words), np.zeros(0, dtype=bool), set()
+        last = np.array([end + 1 for end, _ in found]) // 2
+        lengths = np.array([length for _, (length, _) in found])
+        steps = np.zeros(len(words) + 1, dtype=np.int64)
+        np.add.at(steps, last - lengths, 1)
+        np.add.at(steps, last, -1)
+        items = {item for meaning in {m for _, m in found} for item in meaning[1]}
+        return len(words), np.cumsum(steps[:-1]) > 0, items
 
 
 def original_spans(text: bytes, hit: np.ndarray) -> list[dict]:
@@ -108,31 +116,24 @@ def original_spans(text: bytes, hit: np.ndarray) -> list[dict]:
     ]
 
 
-def _shared_automaton(key: str, items: Broadcast, size: int):
+def _shared_automaton(key: str, items: Broadcast, size: int) -> Automaton:
     if key not in _automata:
         _automata.clear()
-        _automata[key] = build_automaton(items.value, size)
+        _automata[key] = Automaton(items.value, size)
     return _automata[key]
 
 
-def benchmark_shards(
-    benchmark: DataFrame, item_col: str, text_col: str, shard_bytes: int = SHARD_BYTES
-) -> list[list[tuple[str | None, bytes]]]:
-    """The benchmark's texts in lists of bounded size (a benchmark is a small, given table)."""
+def benchmark_items(
+    benchmark: DataFrame, item_col: str, text_col: str, limit: int = BENCHMARK_BYTES
+) -> list[tuple[str | None, bytes]]:
+    """The benchmark's ids and texts (a small, given table, whose size is checked first)."""
     size = benchmark.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
-    if size > BENCHMARK_BYTES:
-        raise ValueError(f"a benchmark of {size} bytes exceeds {BENCHMARK_BYTES}; pass it in parts")
-    shards, filled = [[]], 0
+    if size > limit:
+        raise ValueError(f"a benchmark of {size} bytes exceeds {limit}; pass it in parts")
     rows = benchmark.select(
         F.col(item_col).cast("string"), F.col(text_col).cast("string").cast("binary")
     ).where(F.col(text_col).isNotNull())
-    for item, text in rows.toLocalIterator():
-        if shards[-1] and filled + len(text) > shard_bytes:
-            shards.append([])
-            filled = 0
-        shards[-1].append((item, bytes(text)))
-        filled += len(text)
-    return shards
+    return [(item, bytes(text)) for item, text in rows.collect()]
 
 
 def scan_documents(
@@ -147,36 +148,23 @@ def scan_documents(
     """``keep`` and a struct of n_words, n_hit, items and spans for every document.
 
     Returns the frame and the struct's name. The automaton is built once in each Python worker from
-    a broadcast list of texts. If the benchmark exceeds SHARD_BYTES, each large slice of documents is
-    read with one shard's automaton after the other's.
+    a broadcast list of texts.
     """
     spark = docs.sparkSession
-    shards = benchmark_shards(benchmark, item_col, item_text_col)
-    parts = [(uuid.uuid4().hex, spark.sparkContext.broadcast(shard)) for shard in shards]
+    items = spark.sparkContext.broadcast(benchmark_items(benchmark, item_col, item_text_col))
+    key = uuid.uuid4().hex
 
     def scan(texts: list[bytes | None]) -> list:
-        totals = [0] * len(texts)
-        hits: list[np.ndarray | None] = [None] * len(texts)
-        items: list[set[str]] = [set() for _ in texts]
-        for key, shard in parts:
-            automaton = _shared_automaton(key, shard, window)
-            for k, text in enumerate(texts):
-                totals[k], hit, found = scan_text(automaton, text)
-                if len(hit):
-                    hits[k] = hit if hits[k] is None else hits[k] | hit
-                items[k] |= found
+        automaton = _shared_automaton(key, items, window)
+        totals, hits, found = zip(*map(automaton.scan, texts), strict=True) if texts else ((),) * 3
         return [
-            totals,
-            [0 if hit is None else int(hit.sum()) for hit in hits],
-            [sorted(found) for found in items],
-            [
-                [] if hit is None else original_spans(text, hit)
-                for text, hit in zip(texts, hits, strict=True)
-            ],
+            list(totals),
+            [int(hit.sum()) for hit in hits],
+            [sorted(ids) for ids in found],
+            [original_spans(text, hit) if len(hit) else [] for text, hit in zip(texts, hits, strict=True)],
         ]
 
-    slice_bytes = SLICE_BYTES if len(parts) == 1 else 16 * SLICE_BYTES
-    return scan_texts(docs, text_col, keep, scan, SCAN_SCHEMA, "hits", slice_bytes)
+    return scan_texts(docs, text_col, keep, scan, SCAN_SCHEMA, "hits")
 
 
 def contaminated(hits: str):

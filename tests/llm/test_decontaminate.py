@@ -1,7 +1,11 @@
 """Benchmark decontamination against brute force."""
 
+import random
 import re
 
+import numpy as np
+import pytest
+
 from orderflow.llm import decontaminate
 
 
@@ -57,14 +61,26 @@ def test_equals_brute_force(spark):
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in DOCS} - bad
 
 
-def test_several_shards_and_empty_tables(spark, monkeypatch):
+def test_large_benchmarks_and_empty_tables(spark):
     docs = spark.createDataFrame(DOCS, "doc_id long, text string")
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
-    one, name = decontaminate.scan_documents(docs, items, ["doc_id"])
-    whole = one.collect()
-    monkeypatch.setattr(decontaminate.benchmark_shards, "__defaults__", (20,))
-    many, name = decontaminate.scan_documents(docs, items, ["doc_id"])
-    assert many.collect() == whole
     none, name = decontaminate.scan_documents(docs, items.where("item_id > 99"), ["doc_id"])
     assert {r[name].n_hit for r in none.collect()} == {0}
     assert decontaminate.decontaminate(docs.where("doc_id > 99"), items).collect() == []
+    with pytest.raises(ValueError, match="pass it in parts"):
+        decontaminate.benchmark_items(items, "item_id", "text", limit=20)
+
+
+def test_words_of_a_large_vocabulary_keep_their_symbols_apart():
+    rng = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(5000)]
+    items = [(str(i), " ".join(rng.choice(vocabulary) for _ in range(rng.choice([1, 2, 13, 40])))) for i in range(400)]
+    automaton = decontaminate.Automaton([(i, text.encode()) for i, text in items])
+    assert len(set(automaton.symbols.values())) == len(automaton.symbols)
+    parts = [rng.choice(items)[1].split()[rng.randrange(9) :][: rng.randrange(30)] for _ in range(150)]
+    others = [[rng.choice(vocabulary + ["unknown"]) for _ in range(5)] for _ in parts]
+    text = " ".join(word for part, other in zip(parts, others, strict=True) for word in part + other)
+    total, hit, found = automaton.scan(text.encode())
+    ((_, words, expected, names),) = slow([(0, text)], items)
+    assert (total, np.flatnonzero(hit).tolist(), sorted(found)) == (words, expected, names)
+    assert 0 < len(expected) < words
