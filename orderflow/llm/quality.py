@@ -6,11 +6,11 @@ that cover the document; the chunks' maxima, averaged and maximised over the chu
 logistic unit. Filters over pairs of bytes are kept as tables, so scoring only looks numbers up.
 
 Training takes a bounded sample of labelled texts to the driver: those of TRAIN_ROWS labels, the first
-by a hash of their id, that are at most TRAIN_BYTES long. Null and empty texts are scored like a text of zero
-bytes. Labels without a value, and labels of unknown documents, are ignored; a document with several
+by a hash of their id. Of a text of more than TRAIN_BYTES bytes, one run of that many bytes is taken, from a
+place drawn by a hash of the text. Null and empty texts are scored like a text of zero bytes. Labels without a value, and labels of unknown documents, are ignored; a document with several
 labels is used once for each, and repeated rows or labels count once. Equal hashes of ids are ordered by the
 ids, so there are no ties. With no usable label at all every score is 0.5; an empty table of documents gives an
-empty result. A very long text is scored whole, in segments, but does not train. Other columns pass through.
+empty result. A very long text is scored whole, in segments. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -195,6 +195,13 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % FOLDS == 0, F.lit(False))
 
 
+def excerpt(text: Column, size: int) -> Column:
+    """A binary text, or of a longer one the ``size`` bytes at a place drawn by its hash."""
+    places = F.octet_length(text) - size + 1
+    place = F.pmod(F.xxhash64(text), F.greatest(places, F.lit(1))).cast("int") + 1
+    return F.when(places <= 1, text).otherwise(F.substring(text, place, F.lit(size)))
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -216,11 +223,13 @@ def train(
         .orderBy(F.xxhash64("_id"), "_id", "_label")
         .limit(rows)
     )
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    picked = texts.where(F.octet_length("_text") <= TRAIN_BYTES).join(F.broadcast(chosen), "_id")
+    texts = docs.select(
+        F.col(id_col).alias("_id"), F.col(text_col).cast("string").cast("binary").alias("_text")
+    ).where(F.col("_text").isNotNull())
+    picked = texts.join(F.broadcast(chosen), "_id").withColumn("_text", excerpt(F.col("_text"), TRAIN_BYTES))
     first = F.min(F.struct(F.xxhash64("_text").alias("hash"), "_text"))
     sample = picked.groupBy("_id", "_label").agg(first.alias("_first")).select(
-        "_id", F.col("_first._text").cast("binary"), "_label"
+        "_id", "_first._text", "_label"
     )
     rows_found = [row[1:] for row in sorted(sample.collect())]
     return fit([bytes(r[0]) for r in rows_found], np.array([r[1] for r in rows_found], dtype=np.float32))

@@ -85,3 +85,27 @@ def test_gradients_by_differences():
             down = loss()
             flat[at] = old
             assert np.isclose((up - down) / 2e-2, slope[at], rtol=0.15, atol=2e-4)
+
+
+def test_long_texts_train_by_an_excerpt(spark, monkeypatch):
+    monkeypatch.setattr(quality, "TRAIN_BYTES", 600)
+    rows = corpus(120)
+    # Every bad text is too long to be taken whole.
+    docs = spark.createDataFrame(
+        [(i, text if good else text * 40) for i, text, good in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, good) for i, _, good in rows], "doc_id long, quality int")
+    seen = {}
+
+    def fit(texts, labels, follow=quality.fit):
+        seen.update(texts=texts, labels=labels)
+        return follow(texts, labels, 150)
+
+    monkeypatch.setattr(quality, "fit", fit)
+    network = quality.train(docs, labels)
+    assert set(seen["labels"]) == {0.0, 1.0} and max(map(len, seen["texts"])) == 600
+    whole = {text.encode() for _, text, _ in rows}
+    for text, label in zip(seen["texts"], seen["labels"], strict=True):
+        assert any(text in (w if label else w * 40) for w in whole)
+    scores = network.score([t.encode() for _, t, _ in rows])
+    ranked = sorted(zip(scores, (good for *_, good in rows), strict=True))
+    assert sum(good for _, good in ranked[-40:]) > 36
