@@ -9,6 +9,7 @@ from orderflow.functions.values import as_date
 from orderflow.schemas import DIMENSION_METADATA_COLUMNS, INGESTION_COLUMNS, ORDER_COLUMNS
 
 LATEST_FIRST = ("source_update_ts", "ingestion_ts", "record_hash")
+TIE_DIGITS = 32
 BEFORE_METADATA = "1970-01-01 00:00:00"
 
 
@@ -82,8 +83,28 @@ def without_key(df: DataFrame, key: str) -> DataFrame:
     return df.filter(F.col(key).isNull())
 
 
+def rehashed(prepared: DataFrame) -> DataFrame:
+    """Prepared orders with their content hash, which need not be moved or stored, computed again."""
+    return prepared.withColumn("record_hash", record_hash(prepared, ORDER_COLUMNS))
+
+
 def prepare_orders(orders: DataFrame, as_of=None) -> DataFrame:
-    return keep_latest(normalize_orders(with_key(orders, "order_id"), as_of), "order_id")
+    """One row per order id, the latest, normalised.
+
+    The hash text would be most of what the shuffle moves. Its first 128 bits decide ties as the whole
+    does (equal ones mean equal content), and the whole is computed again from the rows that are
+    left. An arrival time that all rows share decides nothing and is added afterwards.
+    """
+    normalized = normalize_orders(with_key(orders, "order_id"), as_of)
+    shared = [] if isinstance(as_of, Column) else ["ingestion_ts", "ingestion_date"]
+    moved = [name for name in normalized.columns if name not in ("record_hash", *shared)]
+    tie = F.unhex(F.substring("record_hash", 1, TIE_DIGITS)).alias("_tie")
+    order = tuple(name for name in LATEST_FIRST if name in moved)
+    latest = keep_latest(normalized.select(*moved, tie), "order_id", order=(*order, "_tie"))
+    if shared:
+        arrival = _instant(as_of)
+        latest = latest.withColumns({"ingestion_ts": arrival, "ingestion_date": arrival.cast("date")})
+    return rehashed(latest).select(*normalized.columns)
 
 
 def prepare_dimension(
