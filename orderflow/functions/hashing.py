@@ -8,6 +8,9 @@ from orderflow.functions.values import as_timestamp
 
 NULL_MARKER = "<NULL>"
 SEPARATOR = "||"
+HASH_BYTES = 32
+# Before the bytes of a text that is no content hash, so that these are longer than a hash's.
+_OTHER = bytes(HASH_BYTES + 1)
 SOURCE_TIMESTAMP_COLUMNS = ("update_timestamp", "updated_at", "source_update_ts")
 
 
@@ -27,6 +30,39 @@ def record_hash(df: DataFrame, columns: list[str]) -> Column:
     return F.sha2(F.concat_ws(SEPARATOR, *parts), 256)
 
 
+def packed_hash(column: Column | str = "record_hash") -> Column:
+    """A content hash as its 32 bytes, for shuffles, joins and files; its 64 digits do not compress.
+
+    Any other text is kept too, so packed values are equal where the texts are. NULL stays NULL.
+    """
+    text = F.col(column) if isinstance(column, str) else column
+    raw = F.unhex(text)
+    is_hash = (F.octet_length(text) == 2 * HASH_BYTES) & (F.lower(F.hex(raw)) == text)
+    return F.when(is_hash, raw).otherwise(F.concat(F.lit(_OTHER), text.cast("binary")))
+
+
+def unpacked_hash(column: Column | str = "record_hash") -> Column:
+    """The text that ``packed_hash`` was given."""
+    raw = F.col(column) if isinstance(column, str) else column
+    other = F.substring(raw, len(_OTHER) + 1, 2**31 - 1).cast("string")
+    return F.when(F.octet_length(raw) == HASH_BYTES, F.lower(F.hex(raw))).otherwise(other)
+
+
+def with_packed_hash(df: DataFrame) -> DataFrame:
+    """The frame with its ``record_hash``, if it has one as text, packed in place."""
+    field = df.schema["record_hash"] if "record_hash" in df.columns else None
+    if field is None or not isinstance(field.dataType, T.StringType):
+        return df
+    return df.withColumn("record_hash", packed_hash())
+
+
+def with_unpacked_hash(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The frame as it was, in the given schema, before ``with_packed_hash``."""
+    if "record_hash" not in df.columns or df.schema["record_hash"].dataType == schema["record_hash"].dataType:
+        return df
+    return df.withColumn("record_hash", unpacked_hash())
+
+
 def source_timestamp(df: DataFrame, default: Column) -> Column:
     """The first known update-time column the frame has, else the given default."""
     for name in SOURCE_TIMESTAMP_COLUMNS:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from orderflow.functions.hashing import packed_hash, with_packed_hash, with_unpacked_hash
+
 
 def _wins(source_ts: Column, target_ts: Column, source_hash: Column, target_hash: Column) -> Column:
     return (source_ts >= target_ts) & (source_hash != target_hash)
@@ -41,26 +43,27 @@ def changed_rows(
 
     Of the target only the key, date, time and hash bytes take part, and they are first reduced to
     the keys being updated: a batch small enough to broadcast leaves the target unshuffled.
-    ``rows_of_dates`` then rewrites just the dates this touches.
+    ``rows_of_dates`` then rewrites just the dates this touches. Hashes meet as bytes on both sides.
     """
     held = target.select(
         key,
         F.col(date).alias("replaced_date"),
         F.col("source_update_ts").alias("_ts"),
-        F.unhex("record_hash").alias("_hash"),
+        packed_hash().alias("_hash"),
     )
     matched = held.join(updates.select(key), key, "left_semi").withColumnRenamed(key, "_key")
     wins = F.col("_key").isNull() | _wins(
-        F.col("source_update_ts"), F.col("_ts"), F.unhex("record_hash"), F.col("_hash")
+        F.col("source_update_ts"), F.col("_ts"), F.col("record_hash"), F.col("_hash")
     )
-    return (
-        updates.join(matched, F.col(key) == F.col("_key"), "left")
+    changes = (
+        with_packed_hash(updates).join(matched, F.col(key) == F.col("_key"), "left")
         .filter(wins)
         .withColumn(
             "replaced_date", F.when(F.col("_key").isNull(), F.col(date)).otherwise(F.col("replaced_date"))
         )
         .drop("_key", "_ts", "_hash")
     )
+    return with_unpacked_hash(changes, updates.schema)
 
 
 def touched_dates(changes: DataFrame, date: str = "order_date") -> DataFrame:

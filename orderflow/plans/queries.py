@@ -120,17 +120,22 @@ def orders_upsert(spark, d):
     return upsert.upsert(tm.first_orders(spark, d), tm.order_updates(spark, d))
 
 
+def _stored(prepared: DataFrame) -> DataFrame:
+    """Prepared orders as a stored copy without their hashes, which are computed when it is read."""
+    return versions.rehashed(stage(prepared.drop("record_hash"))).select(*prepared.columns)
+
+
 @_query
 def orders_changed_rows(spark, d):
     """What a merge would change; the publishing path rewrites only these rows' dates."""
-    changes = upsert.changed_rows(tm.first_orders(spark, d), stage(tm.order_updates(spark, d)))
+    changes = upsert.changed_rows(tm.first_orders(spark, d), _stored(tm.order_updates(spark, d)))
     return changes.select("order_id", "order_date", "replaced_date", "record_hash")
 
 
 @_query
 def orders_upsert_dates(spark, d):
     return upsert.touched_dates(
-        upsert.changed_rows(tm.first_orders(spark, d), stage(tm.order_updates(spark, d)))
+        upsert.changed_rows(tm.first_orders(spark, d), _stored(tm.order_updates(spark, d)))
     )
 
 
@@ -303,7 +308,7 @@ def late_orders(spark, d):
 
 
 def _review_state(spark, d):
-    orders = stage(tm.first_orders(spark, d))
+    orders = _stored(tm.first_orders(spark, d))
     return orders, stage(review.review_state(review.late_versions(orders), tm.late_decisions(orders)))
 
 

@@ -9,6 +9,8 @@ from contextlib import contextmanager
 from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from orderflow.functions.hashing import with_packed_hash, with_unpacked_hash
+
 _open_scopes: list[list[tuple[SparkSession, str]]] = []
 _AQE_EXCLUDED = "spark.sql.adaptive.optimizer.excludedRules"
 _EMPTY_RELATIONS = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
@@ -79,19 +81,22 @@ def stage(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     The copy survives the loss of any executor, cuts lineage, and has a file size the planner
     knows, so a later join broadcasts it only when it really is small. Copies are grouped by
     application and dropped at the end of the ``staging_scope`` they were made in, if there is one.
+    Content hashes are kept as bytes in the copy.
     """
     spark = df.sparkSession
     path = _staged_path(spark)
-    df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = with_packed_hash(df)
+    kept.write.partitionBy(*partition_by).parquet(path)
+    return with_unpacked_hash(spark.read.schema(kept.schema).parquet(path), df.schema)
 
 
 def stage_counted(df: DataFrame) -> tuple[DataFrame, int]:
     """``stage``, and the number of rows, from the same write."""
     spark = df.sparkSession
     path = _staged_path(spark)
-    rows = counted_write(df, lambda counted: counted.write.parquet(path))
-    return spark.read.schema(df.schema).parquet(path), rows
+    kept = with_packed_hash(df)
+    rows = counted_write(kept, lambda counted: counted.write.parquet(path))
+    return with_unpacked_hash(spark.read.schema(kept.schema).parquet(path), df.schema), rows
 
 
 def file_system(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
