@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from orderflow.functions.hashing import packed_hash, unpacked_hash
 from orderflow.functions.values import as_date, as_timestamp
 from orderflow.operators.clean import flag_late
 from orderflow.schemas import struct_of
@@ -36,21 +37,30 @@ def late_versions(orders: DataFrame, tolerance_hours: int = 24) -> DataFrame:
     )
 
 
+def _packed(versions: DataFrame) -> DataFrame:
+    """Hashes as bytes: they are keys of the shuffles, and most of what these would move."""
+    return versions.withColumn("record_hash", packed_hash())
+
+
+def _newest(decisions: DataFrame) -> DataFrame:
+    given = F.struct("decision", "decided_at", "decided_by")
+    newest = F.max_by(given, F.struct("decided_at", "decision", "decided_by"))
+    return decisions.groupBy(*VERSION).agg(newest.alias("_d")).select(*VERSION, "_d.*")
+
+
 def newest_decisions(decisions: DataFrame) -> DataFrame:
     """The last decision on every version; of equal times the greater word, so a release counts.
 
     ``pending`` may be decided too: it takes a release back. Combined before the shuffle.
     """
-    given = F.struct("decision", "decided_at", "decided_by")
-    newest = F.max_by(given, F.struct("decided_at", "decision", "decided_by"))
-    return decisions.groupBy(*VERSION).agg(newest.alias("_d")).select(*VERSION, "_d.*")
+    return _newest(_packed(decisions)).withColumn("record_hash", unpacked_hash())
 
 
 def review_state(late: DataFrame, decisions: DataFrame) -> DataFrame:
     """Every late version with its status: pending, unless a decision says otherwise."""
-    joined = late.join(newest_decisions(decisions), VERSION, "left")
+    joined = _packed(late).join(_newest(_packed(decisions)), VERSION, "left")
     return joined.select(
-        *VERSION, "source_update_ts", "hours_late",
+        "order_id", unpacked_hash().alias("record_hash"), "source_update_ts", "hours_late",
         F.coalesce("decision", F.lit(PENDING)).alias("review_status"),
         "decided_at", "decided_by", "order_date",
     )
@@ -62,8 +72,9 @@ def withheld(state: DataFrame) -> DataFrame:
 
 def withhold(orders: DataFrame, state: DataFrame) -> DataFrame:
     """The orders without the versions under review; date and key join, so both sides can be pruned."""
-    held = withheld(state).select("order_date", *VERSION)
-    return orders.join(held, ["order_date", *VERSION], "left_anti").select(*orders.columns)
+    held = _packed(withheld(state).select("order_date", *VERSION))
+    left = _packed(orders).join(held, ["order_date", *VERSION], "left_anti")
+    return left.withColumn("record_hash", unpacked_hash()).select(*orders.columns)
 
 
 def decide(state: DataFrame, order_ids: DataFrame, decision: str, decided_at, decided_by: str) -> DataFrame:
