@@ -79,11 +79,13 @@ def merged_rows(kept: DataFrame, changes: DataFrame, key: str = "order_id") -> D
     A key that stood under two dates, because a run died between switching them, has a change for
     each; it comes back once. Changes without a key are added as they are.
     """
-    columns = kept.columns
+    columns, schema = kept.columns, kept.schema
+    kept, changes = with_packed_hash(kept), with_packed_hash(changes)
     keyed = changes.filter(F.col(key).isNotNull()).dropDuplicates([key])
     unkeyed = changes.filter(F.col(key).isNull())
     rest = kept.join(changes.select(key), key, "left_anti").select(*columns)
-    return rest.unionByName(keyed.select(*columns)).unionByName(unkeyed.select(*columns))
+    merged = rest.unionByName(keyed.select(*columns)).unionByName(unkeyed.select(*columns))
+    return with_unpacked_hash(merged, schema)
 
 
 def rows_of_dates(

@@ -20,12 +20,14 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date as calendar_day
 from typing import NamedTuple
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from orderflow.functions.hashing import with_packed_hash, with_unpacked_hash
 from orderflow.operators import scd2, upsert as merging, versions
 from orderflow.operators.audit import OPERATIONS_LOG
 from orderflow.schemas import DIMENSION_METADATA_COLUMNS, INGESTION_COLUMNS
@@ -33,6 +35,7 @@ from orderflow.sources.staging import (
     counted_write,
     delete_folder,
     file_system,
+    setting,
     stage,
     stage_counted,
 )
@@ -41,6 +44,8 @@ from orderflow.sources.staging import (
 DDL_BATCH = 300
 # How long a replaced folder is kept.
 RETAIN_SECONDS = 24 * 3600
+# Bytes of files, of table and batch together, up to which one task reads a whole bucket.
+BUCKET_BYTES = 128 << 20
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -160,7 +165,7 @@ def _write_version(
     """Write the rows to a fresh folder, once; bucketed files need a table to be written through."""
     spark = df.sparkSession
     path = f"{table_root(spark, table)}/v-{uuid.uuid4().hex}"
-    rows = _laid_out(df, keys, buckets)
+    rows = with_unpacked_hash(_laid_out(with_packed_hash(df), keys, buckets), df.schema)
     if buckets:
         through = f"{table}__load_{uuid.uuid4().hex}"
         _create(spark, through, df.schema, keys, path, buckets)
@@ -205,6 +210,32 @@ def _folders_in_use(spark: SparkSession, table: str, column: str | None = None,
     return {unquote(file.rpartition("/")[0]) for file in df.inputFiles()}
 
 
+def _bytes_of(spark: SparkSession, folders: set) -> int:
+    total = 0
+    for folder in folders:
+        system, path = file_system(spark, folder)
+        total += system.getContentSummary(path).getLength()
+    return total
+
+
+@contextmanager
+def bounded_buckets(spark: SparkSession, table: str, batch: DataFrame) -> Iterator[None]:
+    """Plans made inside read the table by buckets only while one task can hold a bucket.
+
+    A join on the bucketed key has one task a bucket, whatever the size of the table and of the staged
+    batch. Where they have outgrown the table's buckets, it is shuffled like any other.
+    """
+    found = bucketing(spark, table)
+    if found:
+        folders = _folders_in_use(spark, table)
+        folders |= {unquote(file.rpartition("/")[0]) for file in batch.inputFiles()}
+        if _bytes_of(spark, folders) > BUCKET_BYTES * found.number:
+            with setting(spark, "spark.sql.sources.bucketing.enabled", "false"):
+                yield
+            return
+    yield
+
+
 def _point_partitions(
     spark: SparkSession, table: str, column: str, folders: dict, gone: set
 ) -> None:
@@ -431,7 +462,8 @@ def _publish_changes(
     named = F.col(date).isin(*[day for day in touched if day])
     pruned = target.filter(named | F.col(date).isNull() if None in touched else named)
     content = merging.merged_rows(pruned, changes, key)
-    return Published("merged", *_replace_days(content, table, date, touched))
+    with bounded_buckets(spark, table, changes):
+        return Published("merged", *_replace_days(content, table, date, touched))
 
 
 def publish_upsert(
@@ -442,7 +474,7 @@ def publish_upsert(
 
     The outcome is ``created``, ``migrated`` (the table had no metadata columns yet) or ``merged``. A
     table created with ``buckets`` has its files bucketed by the key: a merge then shuffles the
-    batch only, however large the table is.
+    batch only, while a bucket is no more than a task can read (``bounded_buckets``).
     """
     spark = updates.sparkSession
     wanted = Bucketing(key, buckets) if buckets else None
@@ -452,7 +484,9 @@ def publish_upsert(
     if versions.lacks_metadata(target, INGESTION_COLUMNS):
         migrated = versions.migrate_orders(target, updates)
         return _created(migrated, table, date, "migrated", wanted)
-    changes = stage(merging.changed_rows(target, stage(updates), key, date))
+    batch = stage(updates)
+    with bounded_buckets(spark, table, batch):
+        changes = stage(merging.changed_rows(target, batch, key, date))
     return _publish_changes(changes, target, table, key, date)
 
 
@@ -464,7 +498,9 @@ def publish_unconditional(
     if not spark.catalog.tableExists(table):
         return _created(updates, table, date)
     target = spark.table(table)
-    changes = stage(merging.forced_rows(target, stage(updates), key, date))
+    batch = stage(updates)
+    with bounded_buckets(spark, table, batch):
+        changes = stage(merging.forced_rows(target, batch, key, date))
     return _publish_changes(changes, target, table, key, date)
 
 

@@ -191,6 +191,37 @@ def test_a_merge_does_not_shuffle_a_bucketed_target(spark, database, orders_fram
     assert {t.name for t in spark.catalog.listTables(database)} == {"bucketed", "plain"}
 
 
+def test_a_table_that_outgrew_its_buckets_is_read_without_them(spark, database, orders_frame, monkeypatch):
+    first = versions.prepare_orders(
+        orders_frame(*[order(i, order_date=date(2026, 1, 1 + i % 3)) for i in range(60)]), "2026-01-05"
+    )
+    batch = versions.prepare_orders(
+        orders_frame(*[order(i, quantity=7, order_date=date(2026, 1, 2)) for i in range(50, 70)]), "2026-01-06"
+    )
+    bare = batch.select("order_id", "customer_id", "order_date", "quantity")
+    plans = {}
+
+    def staged(df):
+        plans.setdefault(at, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df)
+
+    monkeypatch.setattr(tables, "stage", staged)
+    held = {}
+    for at in ("within", "outgrown"):
+        name = f"{database}.{at}"
+        tables.publish_upsert(first, name, buckets=4)
+        with monkeypatch.context() as patch, staging.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+            if at == "outgrown":
+                patch.setattr(tables, "BUCKET_BYTES", 1)
+            tables.publish_upsert(batch, name)
+            tables.publish_unconditional(bare, name)
+        assert tables.bucketing(spark, name) == ("order_id", 4)
+        held[at] = sorted(map(str, spark.table(name).collect()))
+    assert held["within"] == held["outgrown"] and len(held["within"]) == 70
+    assert sum("Bucketed: true" in plan for plan in plans["within"]) == 2
+    assert not any("Bucketed: true" in plan for plan in plans["outgrown"])
+
+
 def _exchanges_over(df, table):
     """Shuffles between the scan of a table and the root, counted on the physical plan's lines."""
     lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
