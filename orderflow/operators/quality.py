@@ -12,7 +12,6 @@ from orderflow.sources.staging import stage
 
 REASON = "quarantine_reason"
 REASONS = "quarantine_reasons"
-_FOUND = "_reason"
 DEFAULT_THRESHOLD = 5.0
 
 # Fixed values.
@@ -118,22 +117,14 @@ def unknown_ids(orders: DataFrame, reference: DataFrame, key: str) -> DataFrame:
 
 def offending_ids(
     orders: DataFrame, customer_ids: DataFrame | None, product_ids: DataFrame | None
-) -> tuple[DataFrame, dict[str, str]]:
-    """All ids that give their rows a reason, in one frame, and the key column of each reason.
-
-    Each reason fills its own column, so key types stay as they are.
-    """
-    keys = {"duplicate_order_id": "order_id"}
-    found = duplicate_ids(orders).withColumn(_FOUND, F.lit("duplicate_order_id"))
-    for reason, key, reference in (
-        ("unknown_customer_id", "customer_id", customer_ids),
-        ("unknown_product_id", "product_id", product_ids),
-    ):
-        if reference is not None:
-            keys[reason] = key
-            unknown = unknown_ids(orders, reference, key).withColumn(_FOUND, F.lit(reason))
-            found = found.unionByName(unknown, allowMissingColumns=True)
-    return found, keys
+) -> dict[str, DataFrame]:
+    """The ids that give their rows a reason, by reason, each in the column that the rows have it in."""
+    found = {"duplicate_order_id": duplicate_ids(orders)}
+    if customer_ids is not None:
+        found["unknown_customer_id"] = unknown_ids(orders, customer_ids, "customer_id")
+    if product_ids is not None:
+        found["unknown_product_id"] = unknown_ids(orders, product_ids, "product_id")
+    return found
 
 
 def tag_reasons(
@@ -145,19 +136,18 @@ def tag_reasons(
 ) -> DataFrame:
     """Every row with its ordered reasons and the first of them.
 
-    Offending ids are found from single columns of the feed and staged first (this runs a job), one
-    folder per reason. The rows then meet three tables whose sizes are known: small ones are
+    Offending ids are found from single columns of the feed and staged first (this runs a job a reason),
+    one copy per reason, so that the size the planner sees is that reason's own: partitions of one folder would
+    each count as all of it. The rows then meet three tables whose sizes are known: small ones are
     broadcast and the feed is not shuffled at all; large ones are sort-merged, where a hot id can
     be split by AQE because nothing but a scan stands on the other side.
     """
     orders = fill_missing(orders)
     columns = orders.columns
     conditions = _row_conditions(today, null_date_is_invalid=True)
-    found, keys = offending_ids(orders, customer_ids, product_ids)
-    found = materialize(found, partition_by=(_FOUND,))
-    for reason, key in keys.items():
-        flag = f"_{reason}"
-        ids = found.filter(F.col(_FOUND) == reason).select(key, F.lit(True).alias(flag))
+    for reason, found in offending_ids(orders, customer_ids, product_ids).items():
+        (key,), flag = found.columns, f"_{reason}"
+        ids = materialize(found).select(key, F.lit(True).alias(flag))
         orders = orders.join(ids, key, "left")
         conditions[reason] = F.col(flag).isNotNull()
     return _with_reasons(orders, conditions).select(*columns, REASONS, REASON)

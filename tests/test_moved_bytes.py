@@ -6,9 +6,9 @@ from pyspark.sql import functions as F, types as T
 
 from conftest import order
 from orderflow.functions.hashing import packed_hash, unpacked_hash
-from orderflow.operators import review, upsert, versions
+from orderflow.operators import quality, review, upsert, versions
 from orderflow.schemas import ORDER_COLUMNS
-from orderflow.sources.staging import stage
+from orderflow.sources.staging import setting, stage
 
 HASH = "0a" * 32
 
@@ -69,3 +69,28 @@ def test_merges_and_reviews_meet_on_bytes(spark, orders_frame):
     assert review.withhold(first, state).select(*ORDER_COLUMNS).collect() == first.filter(
         "order_id = 1"
     ).select(*ORDER_COLUMNS).collect()
+
+
+def test_few_unknown_ids_are_broadcast_beside_many_duplicates(spark):
+    n = 200_000
+    feed = stage(
+        spark.range(n).select(
+            F.xxhash64(F.floor(F.col("id") / 2)).alias("order_id"),
+            F.when(F.col("id") < 3, -1).otherwise(F.col("id") % 50).cast("bigint").alias("customer_id"),
+            F.when(F.col("id") == 9, -1).otherwise(F.col("id") % 40).cast("bigint").alias("product_id"),
+            F.lit("2026-01-01").cast("date").alias("order_date"),
+            F.lit(1).alias("quantity"),
+            F.lit(1.5).alias("unit_price"),
+            F.lit("completed").alias("status"),
+        )
+    )
+    known = spark.range(50)
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "100KB"):
+        tagged = quality.tag_reasons(
+            feed, "2026-12-31", known.withColumnRenamed("id", "customer_id"), known.withColumnRenamed("id", "product_id")
+        )
+        plan = tagged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 2
+        assert dict(quality.all_reason_counts(tagged).collect()) == {
+            "duplicate_order_id": n, "unknown_customer_id": 3, "unknown_product_id": 1,
+        }
