@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from orderflow.functions.values import as_timestamp
+from orderflow.schemas import ORDER_COLUMNS
 
 NULL_MARKER = "<NULL>"
 SEPARATOR = "||"
@@ -48,19 +49,44 @@ def unpacked_hash(column: Column | str = "record_hash") -> Column:
     return F.when(F.octet_length(raw) == HASH_BYTES, F.lower(F.hex(raw))).otherwise(other)
 
 
-def with_packed_hash(df: DataFrame) -> DataFrame:
-    """The frame with its ``record_hash``, if it has one as text, packed in place."""
+def hash_digest(column: Column | str = "record_hash") -> Column:
+    """16 bytes that stand for a content hash, or any other text, where it is only compared."""
+    text = F.col(column) if isinstance(column, str) else column
+    return F.unhex(F.md5(text.cast("string")))
+
+
+def same_content(*frames: DataFrame) -> bool:
+    """Whether the frames hold all columns of an order, each in the same type, so that a row's content
+    hash is the same in each of them and in their union."""
+    held = [{field.name: field.dataType for field in df.schema.fields} for df in frames]
+    return all(name in kinds and kinds[name] == held[0][name] for kinds in held for name in ORDER_COLUMNS)
+
+
+def with_packed_hash(df: DataFrame, derived: bool = True) -> DataFrame:
+    """The frame with its ``record_hash``, if it has one as text, packed in place.
+
+    Of an order whose hash is that of the row's own columns nothing is kept but a mark (no bytes), and
+    ``with_unpacked_hash`` computes it again; any other hash is kept as its bytes. Until then these
+    columns must keep their values and types, or ``derived`` be off.
+    """
     field = df.schema["record_hash"] if "record_hash" in df.columns else None
     if field is None or not isinstance(field.dataType, T.StringType):
         return df
-    return df.withColumn("record_hash", packed_hash())
+    packed = packed_hash()
+    if derived and same_content(df):
+        packed = F.when(F.col("record_hash") == record_hash(df, ORDER_COLUMNS), F.lit(b"")).otherwise(packed)
+    return df.withColumn("record_hash", packed)
 
 
 def with_unpacked_hash(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The frame as it was, in the given schema, before ``with_packed_hash``."""
     if "record_hash" not in df.columns or df.schema["record_hash"].dataType == schema["record_hash"].dataType:
         return df
-    return df.withColumn("record_hash", unpacked_hash())
+    text = unpacked_hash()
+    if same_content(df):
+        marked = F.octet_length("record_hash") == 0
+        text = F.when(marked, record_hash(df, ORDER_COLUMNS)).otherwise(text)
+    return df.withColumn("record_hash", text)
 
 
 def source_timestamp(df: DataFrame, default: Column) -> Column:

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from orderflow.functions.hashing import packed_hash, with_packed_hash, with_unpacked_hash
+from orderflow.functions.hashing import (
+    hash_digest,
+    same_content,
+    with_packed_hash,
+    with_unpacked_hash,
+)
+
+# Marks, in staged changes, one change of each key.
+FIRST = "_first"
 
 
 def _wins(source_ts: Column, target_ts: Column, source_hash: Column, target_hash: Column) -> Column:
@@ -41,29 +49,39 @@ def changed_rows(
     """Updates that would change the table, with the date the row stood under before (for a new
     row its own date).
 
-    Of the target only the key, date, time and hash bytes take part, and they are first reduced to
-    the keys being updated: a batch small enough to broadcast leaves the target unshuffled.
-    ``rows_of_dates`` then rewrites just the dates this touches. Hashes meet as bytes on both sides.
+    Of the target only the key, date, time and a digest of the hash take part, and they are first reduced
+    to the keys being updated: a batch small enough to broadcast leaves the target unshuffled.
+    ``rows_of_dates`` then rewrites just the dates this touches.
     """
     held = target.select(
         key,
         F.col(date).alias("replaced_date"),
         F.col("source_update_ts").alias("_ts"),
-        packed_hash().alias("_hash"),
+        hash_digest().alias("_hash"),
     )
     matched = held.join(updates.select(key), key, "left_semi").withColumnRenamed(key, "_key")
     wins = F.col("_key").isNull() | _wins(
-        F.col("source_update_ts"), F.col("_ts"), F.col("record_hash"), F.col("_hash")
+        F.col("source_update_ts"), F.col("_ts"), hash_digest(), F.col("_hash")
     )
-    changes = (
-        with_packed_hash(updates).join(matched, F.col(key) == F.col("_key"), "left")
+    joined = with_packed_hash(updates).join(matched, F.col(key) == F.col("_key"), "left")
+    return (
+        with_unpacked_hash(joined, updates.schema)
         .filter(wins)
         .withColumn(
             "replaced_date", F.when(F.col("_key").isNull(), F.col(date)).otherwise(F.col("replaced_date"))
         )
         .drop("_key", "_ts", "_hash")
     )
-    return with_unpacked_hash(changes, updates.schema)
+
+
+def once_per_key(changes: DataFrame, key: str = "order_id") -> DataFrame:
+    """Changes with a mark on one of each key and on all without a key.
+
+    A key that stood under two dates, because a run died between switching them, has a change for each.
+    Marked where the join left the changes by key, they need not be moved once more to be told apart.
+    """
+    of_key = Window.partitionBy(key).orderBy(F.col("replaced_date"))
+    return changes.withColumn(FIRST, F.col(key).isNull() | (F.row_number().over(of_key) == 1))
 
 
 def touched_dates(changes: DataFrame, date: str = "order_date") -> DataFrame:
@@ -76,15 +94,16 @@ def touched_dates(changes: DataFrame, date: str = "order_date") -> DataFrame:
 def merged_rows(kept: DataFrame, changes: DataFrame, key: str = "order_id") -> DataFrame:
     """Rows of whole dates after the merge: the changed keys' rows give way to the changes.
 
-    A key that stood under two dates, because a run died between switching them, has a change for
-    each; it comes back once. Changes without a key are added as they are.
+    A key with several changes comes back once (``once_per_key``). Changes without a key are added as
+    they are.
     """
     columns, schema = kept.columns, kept.schema
-    kept, changes = with_packed_hash(kept), with_packed_hash(changes)
-    keyed = changes.filter(F.col(key).isNotNull()).dropDuplicates([key])
-    unkeyed = changes.filter(F.col(key).isNull())
+    if FIRST not in changes.columns:
+        changes = once_per_key(changes, key)
+    derived = same_content(kept, changes)
+    kept, changes = with_packed_hash(kept, derived), with_packed_hash(changes, derived)
     rest = kept.join(changes.select(key), key, "left_anti").select(*columns)
-    merged = rest.unionByName(keyed.select(*columns)).unionByName(unkeyed.select(*columns))
+    merged = rest.unionByName(changes.filter(FIRST).select(*columns))
     return with_unpacked_hash(merged, schema)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -14,6 +15,8 @@ from orderflow.functions.hashing import with_packed_hash, with_unpacked_hash
 _open_scopes: list[list[tuple[SparkSession, str]]] = []
 _AQE_EXCLUDED = "spark.sql.adaptive.optimizer.excludedRules"
 _EMPTY_RELATIONS = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_CODEC = "spark.sql.parquet.compression.codec"
 
 
 def work_root(spark: SparkSession) -> str:
@@ -41,6 +44,18 @@ def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+@contextmanager
+def lean_jobs(spark: SparkSession) -> Iterator[None]:
+    """Jobs planned inside leave little on disk.
+
+    Their shuffle files go when they end, not when the driver next collects garbage, and what they write
+    is compressed by zstd (the digits of hashes to half), unless the session names a codec.
+    """
+    codec = spark.conf.get(_CODEC, None) or "zstd"
+    with setting(spark, _SHUFFLE_CLEANUP, "true"), setting(spark, _CODEC, codec):
+        yield
+
+
 def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     """The frame, and the number of its rows that the next ``counted_write`` reads."""
     seen = Observation()
@@ -62,7 +77,7 @@ def counted_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     counted, seen = observed(df)
     excluded = spark.conf.get(_AQE_EXCLUDED, None)
     rules = f"{excluded},{_EMPTY_RELATIONS}" if excluded else _EMPTY_RELATIONS
-    with setting(spark, _AQE_EXCLUDED, rules):
+    with setting(spark, _AQE_EXCLUDED, rules), lean_jobs(spark):
         write(counted)
     return observed_rows(seen)
 
@@ -81,12 +96,13 @@ def stage(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     The copy survives the loss of any executor, cuts lineage, and has a file size the planner
     knows, so a later join broadcasts it only when it really is small. Copies are grouped by
     application and dropped at the end of the ``staging_scope`` they were made in, if there is one.
-    Content hashes are kept as bytes in the copy.
+    Content hashes are kept as bytes in the copy, or left out where they can be computed again.
     """
     spark = df.sparkSession
     path = _staged_path(spark)
     kept = with_packed_hash(df)
-    kept.write.partitionBy(*partition_by).parquet(path)
+    with lean_jobs(spark):
+        kept.write.partitionBy(*partition_by).parquet(path)
     return with_unpacked_hash(spark.read.schema(kept.schema).parquet(path), df.schema)
 
 
@@ -99,6 +115,12 @@ def stage_counted(df: DataFrame) -> tuple[DataFrame, int]:
     return with_unpacked_hash(spark.read.schema(kept.schema).parquet(path), df.schema), rows
 
 
+def discard(copy: DataFrame) -> None:
+    """Drop a staged copy before its scope ends; nothing may read it any more."""
+    for folder in {unquote(file.rpartition("/")[0]) for file in copy.inputFiles()}:
+        delete_folder(copy.sparkSession, folder)
+
+
 def file_system(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
     """The file system a path is on, and the path as that file system takes it."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import date as calendar_day
 from typing import NamedTuple
@@ -34,10 +34,13 @@ from orderflow.schemas import DIMENSION_METADATA_COLUMNS, INGESTION_COLUMNS
 from orderflow.sources.staging import (
     counted_write,
     delete_folder,
+    discard,
     file_system,
+    lean_jobs,
     setting,
     stage,
     stage_counted,
+    staging_scope,
 )
 
 # Partitions named in one statement.
@@ -393,7 +396,8 @@ def _replace_all(df: DataFrame, table: str, keys: list[str], present: dict[str,
 
 def _days(df: DataFrame, date: str) -> set:
     """Distinct days as driver values, for partition statements only; bounded by the calendar."""
-    return {row[0] for row in df.select(date).distinct().collect()}
+    with lean_jobs(df.sparkSession):
+        return {row[0] for row in df.select(date).distinct().collect()}
 
 
 def _texts(days: set) -> set:
@@ -450,6 +454,18 @@ def publish_all_dates(df: DataFrame, table: str, date: str = "order_date") -> Pu
     return Published("overwrite", *_replace_days(df, table, date))
 
 
+def _merged(
+    found: Callable, updates: DataFrame, target: DataFrame, table: str, key: str, date: str
+) -> Published:
+    """Find the changes a batch makes and publish them; staged copies go as soon as they were read."""
+    with staging_scope():
+        batch = stage(updates)
+        with bounded_buckets(updates.sparkSession, table, batch):
+            changes = stage(merging.once_per_key(found(target, batch, key, date), key))
+        discard(batch)
+        return _publish_changes(changes, target, table, key, date)
+
+
 def _publish_changes(
     changes: DataFrame, target: DataFrame, table: str, key: str, date: str
 ) -> Published:
@@ -484,10 +500,7 @@ def publish_upsert(
     if versions.lacks_metadata(target, INGESTION_COLUMNS):
         migrated = versions.migrate_orders(target, updates)
         return _created(migrated, table, date, "migrated", wanted)
-    batch = stage(updates)
-    with bounded_buckets(spark, table, batch):
-        changes = stage(merging.changed_rows(target, batch, key, date))
-    return _publish_changes(changes, target, table, key, date)
+    return _merged(merging.changed_rows, updates, target, table, key, date)
 
 
 def publish_unconditional(
@@ -498,10 +511,7 @@ def publish_unconditional(
     if not spark.catalog.tableExists(table):
         return _created(updates, table, date)
     target = spark.table(table)
-    batch = stage(updates)
-    with bounded_buckets(spark, table, batch):
-        changes = stage(merging.forced_rows(target, batch, key, date))
-    return _publish_changes(changes, target, table, key, date)
+    return _merged(merging.forced_rows, updates, target, table, key, date)
 
 
 def publish_dimension(

@@ -5,7 +5,12 @@ from datetime import datetime
 from pyspark.sql import functions as F, types as T
 
 from conftest import order
-from orderflow.functions.hashing import packed_hash, unpacked_hash
+from orderflow.functions.hashing import (
+    packed_hash,
+    unpacked_hash,
+    with_packed_hash,
+    with_unpacked_hash,
+)
 from orderflow.operators import quality, review, upsert, versions
 from orderflow.schemas import ORDER_COLUMNS
 from orderflow.sources.staging import setting, stage
@@ -94,3 +99,38 @@ def test_few_unknown_ids_are_broadcast_beside_many_duplicates(spark):
         assert dict(quality.all_reason_counts(tagged).collect()) == {
             "duplicate_order_id": n, "unknown_customer_id": 3, "unknown_product_id": 1,
         }
+
+
+def test_hashes_of_a_rows_own_columns_are_left_out(spark, orders_frame):
+    first = versions.prepare_orders(orders_frame(order(1), order(2, quantity=None), order(3), order(4)), "2026-01-03")
+    foreign = F.when(F.col("order_id") == 3, HASH).when(F.col("order_id") != 4, F.col("record_hash"))
+    rows = first.withColumn("record_hash", foreign).localCheckpoint()
+    packed = with_packed_hash(rows)
+    sizes = dict(packed.select("order_id", F.octet_length("record_hash")).collect())
+    assert sizes == {1: 0, 2: 0, 3: 32, 4: None}
+    for copy in (with_unpacked_hash(packed, rows.schema), stage(rows)):
+        assert copy.schema == rows.schema and sorted(copy.collect()) == sorted(rows.collect())
+    empty = rows.withColumn("record_hash", F.lit(""))
+    assert with_unpacked_hash(with_packed_hash(empty), rows.schema).collect() == empty.collect()
+    narrow = rows.select("order_id", "record_hash")
+    assert sorted(stage(narrow).collect()) == sorted(narrow.collect())
+
+
+def test_merged_rows_of_other_types_keep_their_hashes(spark, orders_frame):
+    held = versions.prepare_orders(orders_frame(order(1), order(2, unit_price=2.5)), "2026-01-03 00:00:00")
+    new = versions.prepare_orders(
+        orders_frame(order(2, unit_price=7.25), order(3)).withColumn("unit_price", F.col("unit_price").cast("decimal(18,2)")),
+        "2026-01-04 00:00:00",
+    )
+    assert held.schema["unit_price"].dataType != new.schema["unit_price"].dataType
+    merged = upsert.merged_rows(held, new.withColumn("replaced_date", F.col("order_date")))
+    hashes = dict(held.union(new).filter("order_id != 2").select("order_id", "record_hash").collect())
+    hashes[2] = new.filter("order_id = 2").first().record_hash
+    assert dict(merged.select("order_id", "record_hash").collect()) == hashes
+
+
+def test_changes_are_marked_once_a_key(spark):
+    rows = [(1, "2026-01-01"), (1, "2026-01-02"), (2, None), (None, "2026-01-01"), (None, "2026-01-01")]
+    changes = spark.createDataFrame(rows, "order_id bigint, replaced_date string")
+    marked = upsert.once_per_key(changes).filter(upsert.FIRST).select("order_id").collect()
+    assert sorted(row.order_id or 0 for row in marked) == [0, 0, 1, 2]

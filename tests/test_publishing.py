@@ -1,5 +1,8 @@
 """Switching tables to new folders: faults between statements, retired folders, layouts, row counts."""
 
+import glob
+import os
+import time
 from datetime import date
 
 import pytest
@@ -278,3 +281,53 @@ def test_an_upsert_evaluates_its_batch_once(spark, database, orders_frame):
     batch = versions.prepare_orders(orders_frame(*[order(i) for i in range(1, 41)]), "2026-01-06")
     done = tables.publish_upsert(batch.withColumn("quantity", count("quantity")), name)
     assert (seen.value, done.rows, spark.table(name).count()) == (40, 40, 40)
+
+
+def shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {file for place in blocks.localDirsString() for file in glob.glob(f"{place}/*/shuffle_*.data")}
+
+
+def test_a_publication_leaves_its_table_alone_on_disk(spark, database, orders_frame, monkeypatch):
+    name, work = f"{database}.lean", staging.work_root(spark)
+    copies, held = [], []
+
+    def staged(df):
+        held.append([os.path.exists(path) for path in copies])
+        copy = stage(df)
+        copies.extend({file.removeprefix("file:").rpartition("/")[0] for file in copy.inputFiles()})
+        return copy
+
+    def replaced(*args):
+        held.append([os.path.exists(path) for path in copies])
+        return replace(*args)
+
+    replace = tables._replace_days
+    monkeypatch.setattr(tables, "stage", staged)
+    monkeypatch.setattr(tables, "_replace_days", replaced)
+    before = shuffle_files(spark)
+    first, second = (
+        versions.prepare_orders(
+            orders_frame(*[order(i, quantity=n, order_date=date(2026, 1, 1 + i % 3)) for i in range(40 * n)]), f"2026-01-0{n}"
+        )
+        for n in (1, 2)
+    )
+    with staging.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        tables.publish_upsert(first, name, buckets=4)
+        tables.publish_upsert(second, name)
+        # The batch is gone before the dates are rewritten, the changes afterwards.
+        assert held == [[], [True], [False, True]] and work in copies[0]
+        tables.publish_unconditional(second.select("order_id", "customer_id", "order_date"), name)
+    assert len(copies) == 4 and not any(map(os.path.exists, copies))
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert spark.table(name).count() == 80
+    assert all(".zstd." in file for file in spark.table(name).inputFiles())
+
+
+def test_a_codec_the_session_names_is_used(spark, database):
+    with staging.setting(spark, "spark.sql.parquet.compression.codec", "gzip"):
+        tables.publish_table(sales(spark, (1, 1)), f"{database}.zipped")
+    assert all(".gz." in file for file in spark.table(f"{database}.zipped").inputFiles())
