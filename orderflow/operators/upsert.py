@@ -78,10 +78,13 @@ def once_per_key(changes: DataFrame, key: str = "order_id") -> DataFrame:
     """Changes with a mark on one of each key and on all without a key.
 
     A key that stood under two dates, because a run died between switching them, has a change for each.
-    Marked where the join left the changes by key, they need not be moved once more to be told apart.
+    Marked where the join left the changes by key, they need not be moved once more to be told apart; where
+    they are moved, those without a key are spread.
     """
-    of_key = Window.partitionBy(key).orderBy(F.col("replaced_date"))
-    return changes.withColumn(FIRST, F.col(key).isNull() | (F.row_number().over(of_key) == 1))
+    unkeyed = F.col(key).isNull()
+    spread = changes.withColumn("_spread", F.when(unkeyed, F.monotonically_increasing_id()))
+    of_key = Window.partitionBy(key, "_spread").orderBy(key)
+    return spread.withColumn(FIRST, unkeyed | (F.row_number().over(of_key) == 1)).drop("_spread")
 
 
 def touched_dates(changes: DataFrame, date: str = "order_date") -> DataFrame:
